@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,6 +68,14 @@ def _slice(batch: pa.RecordBatch, texts: pa.Array, start: int, end: int) -> tupl
     return batch.slice(start, end - start), [t or b"" for t in texts.slice(start, end - start).to_pylist()]
 
 
+def worker_state(name: str, make: Callable[[], object]) -> object:
+    """What `make` returns, made once in a Python worker and kept for the tasks that it runs later."""
+    held = sys.modules.setdefault("_ladderworks_worker_state", ModuleType("_ladderworks_worker_state")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the graph with the given links, as (node, root): root is the component's smallest node.
 

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ladderworks.llm.common import table
 from ladderworks.llm.exact_dedup import exact_copies
+from ladderworks.llm.packing import packed
 from ladderworks.llm.quality_rules import quality_verdicts
+from ladderworks.llm.simhash_dedup import near_groups
+
+
+def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +26,11 @@ def op8_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_quality_outliers, op8_exact_copies)}
+def op9_simhash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_best_two_fit, op7_quality_outliers, op8_exact_copies, op9_simhash_tree)}
 
 ORACLES: dict[str, str] = {
     "op8_exact_copies": r"""
