@@ -12,6 +12,7 @@ from ladderworks.llm.exact_dedup import exact_copies
 from ladderworks.llm.packing import packed
 from ladderworks.llm.quality_rules import quality_verdicts
 from ladderworks.llm.simhash_dedup import near_groups
+from ladderworks.llm.substring_dedup import without_repeats
 
 
 def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,11 @@ def op9_simhash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_best_two_fit, op7_quality_outliers, op8_exact_copies, op9_simhash_tree)}
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("kept", "kept_sha256")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_best_two_fit, op7_quality_outliers, op8_exact_copies, op9_simhash_tree, op10_repeated_passages)}
 
 ORACLES: dict[str, str] = {
     "op8_exact_copies": r"""
@@ -42,5 +47,22 @@ ORACLES: dict[str, str] = {
             SELECT *, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS place,
                    count(*) OVER (PARTITION BY text_sha256) AS group_size
             FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id))
-        SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r""",
+        SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r""",    "op10_repeated_passages": r"""
+        WITH lists AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM lists),
+        windows AS (
+            SELECT doc_id, i, string_agg(word, ' ') OVER w AS t, count(*) OVER w AS n FROM words
+            WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+        placed AS (SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS place FROM windows WHERE n = 20),
+        later AS (SELECT doc_id, i, place > 1 AS gone FROM placed),
+        covered AS (
+            SELECT words.doc_id, words.i, word,
+                   coalesce(bool_or(gone) OVER (PARTITION BY words.doc_id ORDER BY words.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
+            FROM words LEFT JOIN later USING (doc_id, i)),
+        kept AS (
+            SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+                   string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS t
+            FROM covered GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM documents LEFT JOIN kept USING (doc_id)""",
 }
