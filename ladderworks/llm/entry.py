@@ -10,15 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from ladderworks.llm.common import table
 from ladderworks.llm.exact_dedup import exact_copies
 from ladderworks.llm.packing import packed
+from ladderworks.llm.pii import digest, personal_data
 from ladderworks.llm.quality_rules import quality_verdicts
 from ladderworks.llm.simhash_dedup import near_groups
 from ladderworks.llm.substring_dedup import without_repeats
+from ladderworks.llm.url_filter import judge, labelled_urls, train
+
+
+def op1_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"), train(labelled_urls(spark)))
 
 
 def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(personal_data(table(spark, sf_dir, "documents")))
+
+
 def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
@@ -35,7 +45,7 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("kept", "kept_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_best_two_fit, op7_quality_outliers, op8_exact_copies, op9_simhash_tree, op10_repeated_passages)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_model, op5_best_two_fit, op6_personal_data, op7_quality_outliers, op8_exact_copies, op9_simhash_tree, op10_repeated_passages)}
 
 ORACLES: dict[str, str] = {
     "op8_exact_copies": r"""

@@ -29,6 +29,8 @@ STEPS, TOLERANCE = 10, 1e-3
 CHI2_MEDIAN, CUTOFF = 4.351, 48.0
 #: Least deviations of the five features: what varies less than this in a cell isn't held against a document.
 FLOORS = (0.5, 0.08, 0.35, 0.5, 0.04)
+#: Cells whose estimates, some 300 bytes each, are broadcast; beyond that the join is left to Spark.
+BROADCAST = 20_000
 P = len(FLOORS)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 
@@ -119,22 +121,28 @@ def _solve(estimates: DataFrame) -> DataFrame:
     return scratch(estimates.mapInPandas(run, "cell string, mean array<double>, inv array<double>, logdet double"))
 
 
+def _with(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Rows and the small table of their cell; it is broadcast if it has BROADCAST rows at most, so no cell meets in one task."""
+    few = estimates.limit(BROADCAST + 1).count() <= BROADCAST
+    return rows.join(F.broadcast(estimates) if few else estimates, "cell")
+
+
 def _distance() -> Column:
     gap = [F.col(f"x{i}") - F.col("mean")[i] for i in range(P)]
     return sum((F.col("inv")[k] * gap[i] * gap[j] * (1 if i == j else 2) for k, (i, j) in enumerate(PAIRS)), F.lit(0.0))
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    mid = rows.groupBy("cell").agg(F.array(*(F.percentile_approx(f"x{i}", 0.5, 10000) for i in range(P))).alias("mean"))
-    off = rows.join(mid, "cell").groupBy("cell").agg(F.first("mean").alias("mean"), *(F.percentile_approx(F.abs(F.col(f"x{i}") - F.col("mean")[i]), 0.5, 10000).alias(f"d{i}") for i in range(P)))
+    mid = scratch(rows.groupBy("cell").agg(F.array(*(F.percentile_approx(f"x{i}", 0.5, 10000) for i in range(P))).alias("mean")))
+    off = _with(rows, mid).groupBy("cell").agg(F.first("mean").alias("mean"), *(F.percentile_approx(F.abs(F.col(f"x{i}") - F.col("mean")[i]), 0.5, 10000).alias(f"d{i}") for i in range(P)))
     return _solve(off.select("cell", "mean", F.array(*((F.col(f"d{i}") * 1.4826) ** 2 if i == j else F.lit(0.0) for i, j in PAIRS)).alias("cov")))
 
 
 def _step(rows: DataFrame, now: DataFrame) -> DataFrame:
-    far = rows.join(now, "cell").withColumn("d", _distance())
-    cut = far.groupBy("cell").agg(F.percentile_approx("d", SUPPORT, 10000).alias("cut"))
+    far = _with(rows, now).withColumn("d", _distance())
+    cut = scratch(far.groupBy("cell").agg(F.percentile_approx("d", SUPPORT, 10000).alias("cut")))
     gap = [F.col(f"x{i}") - F.col("mean")[i] for i in range(P)]  # sums about the last mean lose no digits
-    sums = far.join(cut, "cell").where("d <= cut").groupBy("cell").agg(F.first("mean").alias("old"), *(F.avg(g).alias(f"m{i}") for i, g in enumerate(gap)), *(F.avg(gap[i] * gap[j]).alias(f"s{i}{j}") for i, j in PAIRS))
+    sums = _with(far, cut).where("d <= cut").groupBy("cell").agg(F.first("mean").alias("old"), *(F.avg(g).alias(f"m{i}") for i, g in enumerate(gap)), *(F.avg(gap[i] * gap[j]).alias(f"s{i}{j}") for i, j in PAIRS))
     return _solve(sums.select("cell", F.array(*(F.col("old")[i] + F.col(f"m{i}") for i in range(P))).alias("mean"), F.array(*(F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") for i, j in PAIRS)).alias("cov")))
 
 
@@ -147,7 +155,7 @@ def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
         now = new
         if fell is None or fell <= TOLERANCE:
             break
-    scale = rows.join(now, "cell").groupBy("cell").agg(F.greatest(F.lit(1.0), F.percentile_approx(_distance(), 0.5, 10000) / CHI2_MEDIAN).alias("scale"))
+    scale = _with(rows, now).groupBy("cell").agg(F.greatest(F.lit(1.0), F.percentile_approx(_distance(), 0.5, 10000) / CHI2_MEDIAN).alias("scale"))
     return scratch(now.join(scale, "cell"))
 
 
@@ -158,13 +166,13 @@ def quality_verdicts(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int =
     over a fifth of the words repeated. Others go if their scaled squared distance is above `cutoff`; where even all rows
     together are fewer than `least_rows` there is no estimate and they stay. An empty table gives an empty result.
     """
-    counts = scratch(docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "text").mapInArrow(_counted, f"doc_id long, lang string, source string, {COUNTS}"))
+    counts = scratch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "text").mapInArrow(_counted, f"doc_id long, lang string, source string, {COUNTS}"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     counts = counts.withColumn("base_failed", failed)
     rows = counts.where("not base_failed").withColumns({f"x{i}": x for i, x in enumerate(_features())})
     rows = scratch(_cells(rows, least_rows))
     found = robust_estimates(rows.where("cell is not null").select("cell", *(f"x{i}" for i in range(P))))
-    judged = rows.join(found, "cell", "left").withColumn("distance", _distance() / F.col("scale"))
+    judged = rows.join(F.broadcast(found) if found.limit(BROADCAST + 1).count() <= BROADCAST else found, "cell", "left").withColumn("distance", _distance() / F.col("scale"))
     names = ["doc_id", *(x.split()[0] for x in COUNTS.split(", ")), "base_failed"]
     kept = judged.select(*names, (F.coalesce("distance", F.lit(0.0)) <= cutoff).alias("kept"), "cell", "distance")
     gone = counts.where("base_failed").select(*names, F.lit(False).alias("kept"), F.lit(None).cast("string").alias("cell"), F.lit(None).cast("double").alias("distance"))

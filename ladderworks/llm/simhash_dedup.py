@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for part, texts in chunks(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
 def grow(sample: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:

@@ -203,7 +203,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans of words (doc, start, end) to remove, in pieces that may overlap; a null id is NO_ID."""
-    rows = docs.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text"))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_dealt, RUNS).repartition("anchor").mapInArrow(_judged, "doc long, start int, end int")
 
 
@@ -215,6 +215,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     after all others. An empty table gives an empty result.
     """
     spans = repeated_spans(docs, id_col, text_col).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans")).select("doc", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(id_col), F.lit(NO_ID)).alias("doc"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"))
     marked = rows.join(spans.hint("shuffle_hash"), "doc", "left").select("doc_id", "text", "starts", "ends", *([] if digest else [F.lit(True).alias("kept")]))
     return marked.mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string")
