@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ladderworks.llm.common import table
+from ladderworks.llm.common import scratch_root, table
 from ladderworks.llm.exact_dedup import exact_copies
+from ladderworks.llm.mixing import mixed
 from ladderworks.llm.packing import packed
 from ladderworks.llm.pii import digest, personal_data
 from ladderworks.llm.quality_rules import quality_verdicts
+from ladderworks.llm.sharding import ShardStore
 from ladderworks.llm.simhash_dedup import near_groups
 from ladderworks.llm.substring_dedup import without_repeats
 from ladderworks.llm.url_filter import judge, labelled_urls, train
@@ -21,6 +25,30 @@ def op1_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), train(labelled_urls(spark)))
 
 
+def op2_compacted_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after twelve arrivals and their compaction, read from the newest manifest."""
+    store = ShardStore(spark, f"{scratch_root(spark)}/shards-{uuid.uuid4().hex}", target_bytes=64 << 20)
+    store.append_arrivals(table(spark, sf_dir, "documents").withColumn("arrival", F.pmod("doc_id", F.lit(12))), "arrival")
+    store.compact()
+    store.vacuum()
+    return store.read().select("doc_id", "lang", "source", "n_chars", F.char_length("text").cast("long").alias("length"), F.sha2("text", 256).alias("text_sha256"))
+
+
+#: Weights of the domains (sources by their number, modulo four) and of languages within them.
+WEIGHTS = {(f"domain{d}",): w for d, w in enumerate((4.0, 3.0, 2.0, 1.0))} | {(f"domain{d}", lang): w for d in range(4) for lang, w in (("en", 5.0), ("de", 2.0), ("fr", 2.0), ("es", 1.0))}
+
+
+def mixture(docs: DataFrame, budget_share: float = 0.8) -> DataFrame:
+    """Documents mixed with the weights above."""
+    number = F.regexp_extract("source", "([0-9]*)$", 1).try_cast("int")
+    return mixed(docs, F.concat(F.lit("domain"), F.pmod(number, F.lit(4)).cast("string")), WEIGHTS, budget_share=budget_share)
+
+
+def op3_hierarchical_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixture(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.col("_domain").alias("domain"), "lang", "source", F.col("_epoch").alias("epoch"), F.col("_tokens").alias("n_tokens"), F.col("_taken").alias("taken"))
+
+
 def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -45,9 +73,10 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("kept", "kept_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_model, op5_best_two_fit, op6_personal_data, op7_quality_outliers, op8_exact_copies, op9_simhash_tree, op10_repeated_passages)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_model, op2_compacted_shards, op3_hierarchical_mixture, op5_best_two_fit, op6_personal_data, op7_quality_outliers, op8_exact_copies, op9_simhash_tree, op10_repeated_passages)}
 
 ORACLES: dict[str, str] = {
+    "op2_compacted_shards": "SELECT doc_id, lang, source, n_chars, length(text) AS length, sha256(text) AS text_sha256 FROM documents",
     "op8_exact_copies": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
