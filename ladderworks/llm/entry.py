@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ladderworks.llm.common import scratch_root, table
 from ladderworks.llm.exact_dedup import exact_copies
+from ladderworks.llm.line_dedup import fuzzy_lines
 from ladderworks.llm.mixing import mixed
 from ladderworks.llm.packing import packed
 from ladderworks.llm.pii import digest, personal_data
@@ -49,6 +50,10 @@ def op3_hierarchical_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("_domain").alias("domain"), "lang", "source", F.col("_epoch").alias("epoch"), F.col("_tokens").alias("n_tokens"), F.col("_taken").alias("taken"))
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines(table(spark, sf_dir, "documents"))
+
+
 def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -73,7 +78,7 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("kept", "kept_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_model, op2_compacted_shards, op3_hierarchical_mixture, op5_best_two_fit, op6_personal_data, op7_quality_outliers, op8_exact_copies, op9_simhash_tree, op10_repeated_passages)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_model, op2_compacted_shards, op3_hierarchical_mixture, op4_fuzzy_lines, op5_best_two_fit, op6_personal_data, op7_quality_outliers, op8_exact_copies, op9_simhash_tree, op10_repeated_passages)}
 
 ORACLES: dict[str, str] = {
     "op2_compacted_shards": "SELECT doc_id, lang, source, n_chars, length(text) AS length, sha256(text) AS text_sha256 FROM documents",
