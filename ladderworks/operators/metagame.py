@@ -105,17 +105,17 @@ def metrics(rows: DataFrame, population: int = POPULATION, rounds: int = ROUNDS)
 
     Quartiles and medians are exact, by linear interpolation, and come from one aggregation over the table.
     """
-    at = lambda p: F.percentile("importance", p)
+    at = lambda p: F.percentile("_imp", p)
     ends = rows.agg(F.max("Meta").alias("_top"), F.min("Winrate").alias("_low"), F.max("Winrate").alias("_high"), F.median("Meta").alias("_mm"), F.median("Winrate").alias("_mw"))
     share = F.col("Meta") / F.when(F.col("_top") > 0, F.col("_top")).otherwise(1.0)
     span = F.when(F.col("_high") > F.col("_low"), F.col("_high") - F.col("_low")).otherwise(1.0)
-    own = rows.crossJoin(F.broadcast(ends)).withColumn("importance", 0.7 * share + 0.3 * (F.col("Winrate") - F.col("_low")) / span)
+    own = rows.crossJoin(F.broadcast(ends)).withColumn("_imp", 0.7 * share + 0.3 * (F.col("Winrate") - F.col("_low")) / span)
     own = own.crossJoin(F.broadcast(own.agg(at(0.25).alias("_q1"), at(0.5).alias("_q2"), at(0.75).alias("_q3"))))
-    quartile = F.when(F.col("importance") <= F.col("_q1"), "Q1").when(F.col("importance") <= F.col("_q2"), "Q2").when(F.col("importance") <= F.col("_q3"), "Q3").otherwise("Q4")
+    quartile = F.when(F.col("_imp") <= F.col("_q1"), "Q1").when(F.col("_imp") <= F.col("_q2"), "Q2").when(F.col("_imp") <= F.col("_q3"), "Q3").otherwise("Q4")
     label = F.when((F.col("Meta") < F.col("_mm")) & (F.col("Winrate") > F.col("_mw")), "Underplayed Winner").when((F.col("Meta") > F.col("_mm")) & (F.col("Winrate") < F.col("_mw")), "Popular Trap").otherwise("Neutral")
-    out = own.withColumns({"Encounter Copies": copies(F.col("Meta"), population), "Importance": rounded("importance", 6), "Quartile": quartile, "Performance Label": label})
+    out = own.withColumns({"Encounter Copies": copies(F.col("Meta"), population), "Importance": rounded("_imp", 6), "Quartile": quartile, "Performance Label": label})
     out = out.withColumns({"Encounter Probability": rounded(hits_at_least_one(F.col("Encounter Copies"), population, rounds), 6), "Prep Priority": prep_priority("Quartile")})
-    return out.drop("importance", *(c for c in out.columns if c.startswith("_")))
+    return out.drop(*(c for c in out.columns if c.startswith("_")))
 
 
 def whole_column_percent(rows: DataFrame, col: str) -> DataFrame:

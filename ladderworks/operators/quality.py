@@ -110,7 +110,8 @@ def bracket_checks(matches: DataFrame, results: DataFrame) -> DataFrame:
     side = lambda s: matches.select("EventID", "Round", T.identity_key(f"{s}LoginID", f"{s}Pilot").alias("id"), F.lit(s).alias("side"))
     sides = side("Winner").unionByName(side("Loser"))
     first = sides.where("Round = 'QF'").join(top, ["EventID", "id"], "left_anti")
-    final = sides.where("Round = 'F'").join(top, ["EventID", "id"], "left").where("Place IS NULL OR (side = 'Winner' AND Place <> 1) OR (side = 'Loser' AND Place <> 2)")
+    due = sides.where("Round = 'F'").withColumn("Place", F.when(F.col("side") == "Winner", 1).otherwise(2))
+    final = due.join(top, ["EventID", "id", "Place"], "left_anti")
     return union(
         violations(rounds.where("QF <> 4 OR SF <> 2 OR F <> 1"), "bracket_shape", F.col("EventID"), F.concat_ws("/", "QF", "SF", "F")),
         violations(first, "bracket_top8", F.concat_ws(":", "EventID", "id"), F.lit("not in the top eight")),
