@@ -45,6 +45,11 @@ def scratch(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def boxed(docs: DataFrame, **extra: Column) -> DataFrame:
+    """All columns of `docs` in the struct `doc`, beside the given ones, whose names then can't clash with theirs."""
+    return docs.select(F.struct("*").alias("doc"), *(c.alias(k) for k, c in extra.items()))
+
+
 def stripped(text: Column) -> Column:
     """The text without its white space; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), WHITE, "")

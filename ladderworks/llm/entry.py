@@ -47,7 +47,7 @@ def mixture(docs: DataFrame, budget_share: float = 0.8) -> DataFrame:
 
 def op3_hierarchical_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixture(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", F.col("_domain").alias("domain"), "lang", "source", F.col("_epoch").alias("epoch"), F.col("_tokens").alias("n_tokens"), F.col("_taken").alias("taken"))
+    return rows.select("doc.doc_id", "domain", "doc.lang", "doc.source", "epoch", F.col("tokens").alias("n_tokens"), "taken")
 
 
 def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

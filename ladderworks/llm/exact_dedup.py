@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladderworks.llm.common import scratch, stripped
+from ladderworks.llm.common import boxed, scratch, stripped
 
 #: Counters of a Misra-Gries summary, and the most digests that are broadcast.
 COUNTERS = 1024
@@ -67,13 +67,14 @@ def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
     """The rows of `docs` that stay, with all columns; of rows that repeat an id and a text, one with the longest text stays."""
     judged = scratch(exact_copies(docs, id_col, text_col, counters))
-    seen = judged.groupBy(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha")).agg(F.max("kept").alias("_stays"), F.count("*").alias("_n"))
-    known = docs.withColumn("_digest", F.unhex(F.sha2(stripped(F.col(text_col)), 256)))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha"))
-    left = known.join(seen.where("not _stays").hint("shuffle_hash"), same, "left_anti")
-    again = seen.where("_stays and _n > 1")
+    seen = judged.groupBy(F.col("doc_id").alias("key"), F.unhex("text_sha256").alias("sha")).agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+    text = F.col(text_col)
+    known = boxed(docs, id=F.col(id_col), digest=F.unhex(F.sha2(stripped(text), 256)), length=F.char_length(text))
+    same = F.col("id").eqNullSafe(F.col("key")) & (F.col("digest") == F.col("sha"))
+    left = known.join(seen.where("not stays").hint("shuffle_hash"), same, "left_anti")
+    again = seen.where("stays and n > 1")
     if again.take(1):
-        first = Window.partitionBy(id_col, "_digest").orderBy(F.desc(F.char_length(text_col)))
-        once = left.join(again, same, "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
+        first = Window.partitionBy("id", "digest").orderBy(F.desc("length"))
+        once = left.join(again, same, "left_semi").withColumn("place", F.row_number().over(first)).where("place = 1").drop("place")
         left = left.join(again, same, "left_anti").unionByName(once)
-    return left.drop("_digest")
+    return left.select("doc.*")

@@ -14,6 +14,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ladderworks.llm.common import boxed
+
 #: Most leaves of the tree, which is planned on the driver; ranges of a leaf's order.
 MAX_LEAVES, BUCKETS = 100_000, 4096
 LEVELS = ("domain", "lang", "source")
@@ -56,7 +58,7 @@ def budgets(room: Mapping[tuple, int], weights: Mapping[tuple, float], budget: i
 
 
 def mixed(docs: DataFrame, domain: Column, weights: Mapping[tuple, float], *, budget_share: float, epochs: int = 2, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` in the given mixture: its columns, _domain, _epoch, _tokens (of the text) and _taken (a prefix of them).
+    """The mixture as rows (doc, domain, epoch, tokens, taken): all columns of a document, its words, and how many of the first are taken.
 
     Tokens are words. The budget is `budget_share` of all tokens. A document comes once for each epoch that takes it. Null
     texts have no tokens; null domains, languages and sources count as values of their own. Documents without tokens come
@@ -64,37 +66,39 @@ def mixed(docs: DataFrame, domain: Column, weights: Mapping[tuple, float], *, bu
     they would alone. An empty table, or one without tokens, gives an empty result.
     """
     spark = docs.sparkSession
-    names = [c for c in docs.columns if c not in ("lang", "source", id_col, text_col)]
     leaf = [F.coalesce(c, F.lit("")) for c in (domain, F.col("lang"), F.col("source"))]
-    rows = docs.withColumns({"_leaf": F.array(*leaf), "_domain": leaf[0], "_tokens": F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")})
-    found = rows.groupBy("_leaf").agg(F.sum("_tokens").alias("n")).limit(MAX_LEAVES + 1).collect()
+    tokens = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+    rows = boxed(docs, leaf=F.array(*leaf), domain=leaf[0], tokens=tokens, id=F.col(id_col), ends_text=F.xxhash64(F.col(text_col)))
+    found = rows.groupBy("leaf").agg(F.sum("tokens").alias("n")).limit(MAX_LEAVES + 1).collect()
     if len(found) > MAX_LEAVES:
         raise ValueError(f"more than {MAX_LEAVES} leaves")
-    have = {tuple(r["_leaf"]): r["n"] for r in found if r["n"]}
+    have = {tuple(r["leaf"]): r["n"] for r in found if r["n"]}
     given = budgets({k: n * epochs for k, n in have.items()}, weights, int(budget_share * sum(have.values())))
-    plan = spark.createDataFrame([(list(k), n // have[k], n % have[k]) for k, n in given.items() if n], "_leaf array<string>, _whole int, _rest long")
-    draw = F.xxhash64(F.lit(seed), "_whole", F.col(id_col))
-    drawn = rows.join(F.broadcast(plan), "_leaf").withColumn("_draw", draw).withColumn("_range", F.shiftrightunsigned("_draw", 52))
-    sums = drawn.where("_rest > 0").groupBy("_leaf", "_rest", "_range").agg(F.sum("_tokens").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("_leaf").orderBy("_range")) - F.col("n")
-    ends = sums.withColumn("before", before).where("before < _rest").groupBy("_leaf").agg(F.max("_range").alias("_end"), F.max("before").alias("_before"))
+    plan = spark.createDataFrame([(list(k), n // have[k], n % have[k]) for k, n in given.items() if n], "leaf array<string>, whole int, rest long")
+    draw = F.xxhash64(F.lit(seed), "whole", "id")
+    drawn = rows.join(F.broadcast(plan), "leaf").withColumn("draw", draw).withColumn("part", F.shiftrightunsigned("draw", 52))
+    sums = drawn.where("rest > 0").groupBy("leaf", "rest", "part").agg(F.sum("tokens").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("leaf").orderBy("part")) - F.col("n")
+    ends = sums.withColumn("before", before).where("before < rest").groupBy("leaf").agg(F.max("part").alias("end"), F.max("before").alias("before"))
     ends = spark.createDataFrame(ends.collect(), ends.schema)  # a row for each leaf at most
-    drawn = drawn.join(F.broadcast(ends), "_leaf", "left")
-    keep = [*docs.columns, "_domain", "_epoch", "_tokens", "_taken"]
-    whole = F.when(F.col("_whole") > 0, F.sequence(F.lit(0), F.col("_whole") - 1)).otherwise(F.array().cast("array<int>"))
-    more = F.when(F.col("_range") < F.col("_end"), F.array("_whole")).otherwise(F.array().cast("array<int>"))
-    sure = drawn.withColumn("_epoch", F.explode(F.concat(whole, more))).withColumn("_taken", F.col("_tokens")).select(keep)
-    order = Window.partitionBy("_leaf").orderBy("_draw", id_col, "_tokens", *names).rowsBetween(Window.unboundedPreceding, -1)
-    last = drawn.where("_range = _end").withColumn("_at", F.col("_before") + F.coalesce(F.sum("_tokens").over(order), F.lit(0)))
-    part = last.where("_at < _rest").withColumn("_epoch", F.col("_whole")).withColumn("_taken", F.least(F.col("_tokens"), F.col("_rest") - F.col("_at"))).select(keep)
-    return sure.unionByName(part)
+    drawn = drawn.join(F.broadcast(ends), "leaf", "left")
+    keep = ["doc", "domain", "epoch", "tokens", "taken"]
+    none = F.array().cast("array<int>")
+    whole = F.when(F.col("whole") > 0, F.sequence(F.lit(0), F.col("whole") - 1)).otherwise(none)
+    more = F.when(F.col("part") < F.col("end"), F.array("whole")).otherwise(none)
+    sure = drawn.withColumn("epoch", F.explode(F.concat(whole, more))).withColumn("taken", F.col("tokens")).select(keep)
+    order = Window.partitionBy("leaf").orderBy("draw", "id", "tokens", "ends_text").rowsBetween(Window.unboundedPreceding, -1)
+    last = drawn.where("part = end").withColumn("at", F.col("before") + F.coalesce(F.sum("tokens").over(order), F.lit(0)))
+    prefix = last.where("at < rest").withColumn("epoch", F.col("whole")).withColumn("taken", F.least(F.col("tokens"), F.col("rest") - F.col("at"))).select(keep)
+    return sure.unionByName(prefix)
 
 
 def cut_text(rows: DataFrame, text_col: str = "text") -> DataFrame:
-    """Rows of `mixed` with their text cut to the tokens taken, and only the columns of the documents."""
-    words = F.slice(F.split(F.regexp_replace(F.col(text_col), r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), F.lit(1), F.col("_taken").cast("int"))
-    cut = F.col("_taken") < F.col("_tokens")
-    out = rows.withColumn(text_col, F.when(cut, F.array_join(words, " ")).otherwise(F.col(text_col)))
-    if "n_chars" in rows.columns:
-        out = out.withColumn("n_chars", F.when(cut, F.char_length(text_col).cast(rows.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.drop("_domain", "_epoch", "_tokens", "_taken")
+    """Rows of `mixed` as documents: the text cut to the tokens taken, and n_chars with it if there is one."""
+    text, cut = F.col(f"doc.{text_col}"), F.col("taken") < F.col("tokens")
+    words = F.slice(F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), F.lit(1), F.col("taken").cast("int"))
+    new = {text_col: F.when(cut, F.array_join(words, " ")).otherwise(text)}
+    fields = rows.schema["doc"].dataType
+    if "n_chars" in fields.names:
+        new["n_chars"] = F.when(cut, F.char_length(new[text_col]).cast(fields["n_chars"].dataType)).otherwise(F.col("doc.n_chars"))
+    return rows.select(*(new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in fields.names))

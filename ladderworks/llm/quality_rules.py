@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladderworks.llm.common import WHITE, chunks, scratch
+from ladderworks.llm.common import WHITE, boxed, chunks, scratch
 
 #: Share of a cell's rows that a concentration step keeps; up to the rest may be outliers.
 SUPPORT = 0.75
@@ -182,5 +182,5 @@ def quality_verdicts(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int =
 def keep_quality(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS) -> DataFrame:
     """The rows of `docs` that pass, with all columns. Rows that share an id go only together, if all of them are rejected."""
     verdicts = scratch(quality_verdicts(docs, cutoff, least_rows).select("doc_id", "kept"))
-    gone = verdicts.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept")).where("not _kept")
-    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    gone = verdicts.groupBy(F.col("doc_id").alias("key")).agg(F.max("kept").alias("kept")).where("not kept")
+    return boxed(docs, id=F.col("doc_id")).join(gone.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("key")), "left_anti").select("doc.*")

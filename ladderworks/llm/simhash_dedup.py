@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladderworks.llm.common import chunks, components, scratch
+from ladderworks.llm.common import boxed, chunks, components, scratch
 
 #: Fingerprints of a leaf, on average; the tree is as deep as the table of fingerprints needs for that.
 LEAF = 4096
@@ -172,5 +172,5 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows of `docs` with the smallest id of each group, with all columns."""
     groups = scratch(near_groups(docs, id_col, text_col, radius))
-    gone = groups.where("component_id < doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), F.col(id_col) == F.col("_id"), "left_anti")
+    gone = groups.where("component_id < doc_id").select(F.col("doc_id").alias("key")).distinct()
+    return boxed(docs, id=F.col(id_col)).join(gone.hint("shuffle_hash"), F.col("id") == F.col("key"), "left_anti").select("doc.*")
