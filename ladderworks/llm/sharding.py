@@ -2,7 +2,7 @@
 
 Arrivals are appended as small Parquet files and never changed. Files whose sizes fall into one tier (powers of FAN_IN)
 are merged once FAN_IN of them are there, into files of about the target size, without a shuffle. The files that make up
-the table are those of the newest manifest, a small JSON file whose exclusive creation is the commit: of two writers that
+the table are those of the newest manifest, a small JSON file whose exclusive renaming into place is the commit: of two writers that
 start from one version the second fails and can try again, and readers of older versions keep their files until they are
 removed by `vacuum`.
 """
@@ -14,6 +14,7 @@ import math
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_BYTES, FAN_IN = 128 << 20, 4
@@ -35,7 +36,10 @@ class ShardStore:
     def __init__(self, spark: SparkSession, root: str, target_bytes: int = TARGET_BYTES, fan_in: int = FAN_IN):
         self.spark, self.root, self.target, self.fan_in = spark, root.rstrip("/"), target_bytes, fan_in
         self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+        self._fs = self._path(self.root).getFileSystem(conf)
+        self._files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), conf)
+        self._no_options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
         self._fs.mkdirs(self._path(f"{self.root}/manifests"))
 
     def _list(self, folder: str, suffix: str) -> list[Shard]:
@@ -65,10 +69,13 @@ class ShardStore:
         out = self._fs.create(draft, False)
         out.write(bytearray(text.encode()))
         out.close()
-        claim = self._path(f"{self.root}/manifests/.claim-{base + 1:010d}")
-        if not self._fs.createNewFile(claim) or not self._fs.rename(draft, name):  # the claim is exclusive in every file system
+        try:
+            self._files.rename(draft, name, self._no_options)  # fails if the name is taken; a writer that dies before leaves only its draft
+        except Py4JJavaError as e:
             self._fs.delete(draft, False)
-            raise Conflict(f"version {base + 1} is taken")
+            if not self._fs.exists(name):
+                raise
+            raise Conflict(f"version {base + 1} is taken") from e
         return base + 1
 
     def _newest(self) -> int:
