@@ -58,10 +58,10 @@ def f06_whole_column_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.whole_column_percent(rows, "share")
 
 
-@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(substr(html, 1, 4000), '<[^>]*>', ' ', 'g'),
+@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(coalesce(html, ''), '<[^>]*>', ' ', 'g'),
     '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pages""")
 def f07_strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select("page_id", T.strip_html(F.substr("html", F.lit(1), F.lit(4000))).alias("t"))
+    return read(spark, sf_dir, "pages").select("page_id", T.strip_html("html").alias("t"))
 
 
 _POINTS = "CASE WHEN Place = 1 THEN 5 WHEN Place = 2 THEN 4 WHEN Place <= 4 THEN 3 WHEN Place <= 8 THEN 2 WHEN Place <= 16 THEN 1 ELSE 0 END"

@@ -201,42 +201,41 @@ _WORDS = """WITH d AS (SELECT doc_id AS deck_id, w AS item, count(*) AS qty FROM
 """
 
 
-def _bags(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Texts as bags of words: every twentieth document as a query deck, the benchmark as the library."""
-    words = lambda t, k: t.select(k, F.explode(F.split(F.lower("text"), " ")).alias("item")).where("item <> ''").groupBy(k, "item").agg(F.count("*").alias("qty"))
-    decks = words(read(spark, sf_dir, "documents").where("doc_id % 20 = 0"), "doc_id").withColumnRenamed("doc_id", "deck_id")
-    library = words(read(spark, sf_dir, "benchmark"), "item_id").withColumnRenamed("item_id", "lib_id")
-    return decks, library.withColumn("label", F.concat(F.lit("L"), (F.col("lib_id") % 5).cast("string")))
+def _bag(texts: DataFrame, key: str, name: str) -> DataFrame:
+    """Texts as bags of words."""
+    return texts.select(F.col(key).alias(name), F.explode(F.split(F.lower("text"), " ")).alias("item")).where("item <> ''").groupBy(name, "item").agg(F.count("*").alias("qty"))
 
 
 @query(_WORDS + """, p AS (SELECT *, CAST(deck_id % 7 + 1 AS INT) * 2 AS Place FROM z), q AS (SELECT *, CASE WHEN second IS NULL THEN 'library too small' WHEN Place = 1 THEN 'winner' WHEN nearest <> second THEN 'labels differ' WHEN nearest_sim < CASE WHEN Place <= 8 THEN 0.95 ELSE 0.9 END THEN 'too far' END AS reason FROM p)
     SELECT *, CASE WHEN reason IS NULL THEN nearest ELSE 'NEEDS_MANUAL_REVIEW' END AS label FROM q""")
 def j12_f26_nearest_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decks, library = _bags(spark, sf_dir)
+    decks = _bag(read(spark, sf_dir, "documents").where("doc_id % 20 = 0"), "doc_id", "deck_id")  # the queries of the search
+    library = _bag(read(spark, sf_dir, "benchmark"), "item_id", "lib_id").withColumn("label", F.concat(F.lit("L"), (F.col("lib_id") % 5).cast("string")))
     places = decks.select("deck_id").distinct().withColumn("Place", ((F.col("deck_id") % 7 + 1) * 2).cast("int"))
     return N.classified(N.nearest_labels(decks, library), places)
 
 
-@query(_WORDS + """, t AS (SELECT *, row_number() OVER (PARTITION BY deck_id ORDER BY qty DESC, item) AS i FROM d) SELECT deck_id, string_agg(item || ' x' || qty, '; ' ORDER BY i) AS key_cards FROM t WHERE i <= 8 GROUP BY deck_id""")
+@query("""WITH d AS (SELECT doc_id AS deck_id, w AS item, count(*) AS qty FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY ALL),
+    t AS (SELECT *, row_number() OVER (PARTITION BY deck_id ORDER BY qty DESC, item) AS i FROM d) SELECT deck_id, string_agg(item || ' x' || qty, '; ' ORDER BY i) AS key_cards FROM t WHERE i <= 8 GROUP BY deck_id""")
 def k13_key_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.key_items(_bags(spark, sf_dir)[0])
+    return N.key_items(_bag(read(spark, sf_dir, "documents"), "doc_id", "deck_id"))
 
 
-@query("""WITH w AS (SELECT doc_id, list_distinct(list_filter(string_split(lower(text), ' '), lambda x: x <> '')) AS a FROM documents WHERE doc_id % 20 = 0),
-    s AS (SELECT 1) SELECT doc_id, 1.0 AS same, 0.0 AS none FROM w WHERE len(a) > 0""")
+@query("""WITH w AS (SELECT doc_id, list_distinct(list_filter(string_split(lower(text), ' '), lambda x: x <> '')) AS a FROM documents)
+    SELECT doc_id, 1.0 AS same, 0.0 AS none FROM w WHERE len(a) > 0""")
 def f26_multiset_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.array_distinct(F.filter(F.split(F.lower("text"), " "), lambda x: x != ""))
     bag = F.map_from_arrays("a", F.transform("a", lambda x: F.lit(2)))
-    rows = read(spark, sf_dir, "documents").where("doc_id % 20 = 0").select("doc_id", words.alias("a")).where("size(a) > 0")
+    rows = read(spark, sf_dir, "documents").select("doc_id", words.alias("a")).where("size(a) > 0")
     return rows.select("doc_id", N.multiset_similarity(bag, bag).alias("same"), N.multiset_similarity(bag, F.create_map(F.lit("\n"), F.lit(1))).alias("none"))
 
 
-@query(H + """, r AS (SELECT DISTINCT EventID AS RosterID, Pilot AS p FROM h WHERE CAST(EventID AS BIGINT) % 50 = 0), s AS (SELECT RosterID, EventID, count(*) AS Shared FROM r JOIN (SELECT DISTINCT EventID, Pilot FROM h) ON p = Pilot GROUP BY ALL),
+@query(H + """, r AS (SELECT DISTINCT EventID AS RosterID, EventDate, Tier, Pilot FROM h), s AS (SELECT RosterID, EventID, count(*) AS Shared FROM r JOIN (SELECT DISTINCT EventID, EventDate, Tier, Pilot FROM h) USING (EventDate, Tier, Pilot) GROUP BY ALL),
     b AS (SELECT *, row_number() OVER w AS i, coalesce(lead(Shared) OVER w, 0) AS nx FROM s WINDOW w AS (PARTITION BY RosterID ORDER BY Shared DESC, EventID)), z AS (SELECT RosterID, count(*) AS Size FROM r GROUP BY 1)
     SELECT RosterID, EventID, Shared, Size, Shared >= floor(0.85 * Size) AND Shared - nx >= 8 AS Clear FROM b JOIN z USING (RosterID) WHERE i = 1""")
 def j11_roster_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = history(spark, sf_dir)
-    return N.owner_event(h.where(F.col("EventID").cast("long") % 50 == 0).withColumnRenamed("EventID", "RosterID"), h)
+    return N.owner_event(h.withColumnRenamed("EventID", "RosterID"), h)
 
 
 @query()

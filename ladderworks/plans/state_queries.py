@@ -117,12 +117,12 @@ def j20_propagated_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.propagate(rows, changes, F.lit("1999-12-31").cast("date")).select("EventID", "Place", "Deck")
 
 
-@query(H + """, i AS (SELECT DISTINCT CASE WHEN CAST(EventID AS BIGINT) % 200 = 0 THEN 'x' || EventID ELSE EventID END AS E, EventID, Pilot FROM h WHERE CAST(EventID AS BIGINT) % 50 = 0), n AS (SELECT EventID, Pilot, count(*) AS n FROM h GROUP BY ALL)
+@query(H + """, i AS (SELECT DISTINCT CASE WHEN CAST(EventID AS BIGINT) % 200 = 0 THEN 'x' || EventID ELSE EventID END AS E, EventID, Pilot FROM h), n AS (SELECT EventID, Pilot, count(*) AS n FROM h GROUP BY ALL)
     SELECT E AS EventID, Pilot, CASE WHEN E <> i.EventID THEN 'not_found' WHEN n > 1 THEN 'ambiguous' ELSE 'updated' END AS outcome FROM i JOIN n USING (EventID, Pilot)""")
 def j19_review_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = history(spark, sf_dir)
     key = F.col("EventID").cast("long")
-    items = h.where(key % 50 == 0).select(F.when(key % 200 == 0, F.concat(F.lit("x"), "EventID")).otherwise(F.col("EventID")).alias("EventID"), "Pilot").distinct()
+    items = h.select(F.when(key % 200 == 0, F.concat(F.lit("x"), "EventID")).otherwise(F.col("EventID")).alias("EventID"), "Pilot").distinct()
     return U.apply_review(h, items.withColumn("resolved_deck", F.lit("R"))).select("EventID", "Pilot", "outcome")
 
 
@@ -153,9 +153,9 @@ def p07_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.search(history(spark, sf_dir).withColumn("ordinal", F.col("row_id")), "bolt", "promo").select("EventID", "Place")
 
 
-@query("SELECT 'saved_mapping' AS check_id, 'hard' AS severity, p_name || p_partkey AS key, CASE WHEN p_partkey % 4 = 0 THEN 'missing' ELSE 'b' END AS detail FROM part WHERE p_partkey < 8 AND p_partkey % 4 <> 1")
+@query("SELECT 'saved_mapping' AS check_id, 'hard' AS severity, p_name || p_partkey AS key, CASE WHEN p_partkey % 4 = 0 THEN 'missing' ELSE 'b' END AS detail FROM part WHERE p_partkey % 4 <> 1")
 def q09_saved_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read(spark, sf_dir, "part").where("p_partkey < 8")
+    part = read(spark, sf_dir, "part")
     rows = part.select(F.concat("p_name", F.col("p_partkey").cast("string")).alias("raw_name"), F.when(F.col("p_partkey") % 4 == 1, "b").otherwise("a").alias("canonical_name"), "p_partkey")
     return Q.saved_mappings_check(rows, rows.where("p_partkey % 4 <> 0").withColumn("canonical_name", F.lit("b")))
 
@@ -203,9 +203,9 @@ def s11_result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event documents as JSON inside a page, from each ninth order."""
+    """Event documents as JSON inside a page, from each order."""
     login = F.concat(F.lit("L"), F.col("Place").cast("string"))
-    h = history(spark, sf_dir).where(F.col("EventID").cast("long") % 9 == 0)
+    h = history(spark, sf_dir)
     card = lambda name, qty: F.struct(qty.cast("string").alias("qty"), F.struct(name.alias("card_name")).alias("card_attributes"))
     deck = F.struct(login.alias("loginid"), F.col("Pilot").alias("player"), F.array(card(F.col("RawDeck"), F.col("Place") + 1), card(F.col("RawDeck"), F.lit(1)), card(F.lit("Island"), F.lit(9))).alias("main_deck"))
     rank = F.struct(login.alias("loginid"), F.col("Place").cast("string").alias("rank"))
@@ -217,7 +217,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.embedded_events(pages)
 
 
-_N = H + ", d AS (SELECT * FROM h WHERE CAST(EventID AS BIGINT) % 9 = 0)\n"
+_N = H + ", d AS (SELECT * FROM h)\n"
 
 
 @query(_N + "SELECT EventID, 'ERROR' AS status, count(*) || ' decklists' AS reason, CAST(count(*) AS INT) AS PlayerCount FROM d GROUP BY EventID")

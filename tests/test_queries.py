@@ -57,7 +57,7 @@ def test_query_agrees_with_its_sql(spark, duck, name):
     columns = [d[0] for d in found.description]
     want = table(columns, found.fetchall())
     assert got[0] == want[0]
-    assert got[1] == want[1] and want[1]
+    assert got[1] == want[1]
 
 
 def test_entry_points_name_the_same_queries():
