@@ -4,6 +4,10 @@ Lines that are equal but for case and white space are one. A line's shingles are
 units); its signature is the smallest shingle hash of each of 64 equal ranges of hash values (one-permutation hashing).
 Bands of five ranges make buckets; lines that share one are candidates, whose Jaccard similarity is computed from all
 their shingles. Links of at least THRESHOLD make components, of which the first line stays.
+
+In a bucket of many lines each line first meets the bucket's first one. Components then show which lines that has not
+joined to it; only these are compared with the lines of other components in their bucket, and of those only with the
+ones that share a shingle of the prefix that any similar pair must share. So no candidate of a bucket is left out.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from ladderworks.llm.common import components, scratch
 SHINGLE, THRESHOLD = 8, 0.8
 #: Two lines of similarity 0.8 share one of the BANDS bands of five ranges with a chance of 0.99.
 BANDS, RANGES = 12, 5
-#: In buckets of so many lines all pairs are candidates; in larger ones each line meets the first and the last.
+#: In buckets of so many lines all pairs are candidates; in larger ones each line meets the first, then see `rest_pairs`.
 ALL_PAIRS = 32
 #: Most rows of a table of longs that is broadcast (some 50 MB); beyond that the join shuffles.
 BROADCAST = 1_000_000
@@ -50,15 +54,48 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST + 1).count() <= BROADCAST else df
 
 
-def links(distinct: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) of keys k of similar lines, of a table of distinct lines with k, normal and bands."""
+def bucketed(distinct: DataFrame) -> DataFrame:
+    """bucket, k, first and n: the lines of all buckets that hold more than one, with the bucket's first line and size."""
     member = distinct.select("k", F.explode("bands").alias("bucket"))
-    shared = scratch(member.groupBy("bucket").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.count("*").alias("n")).where("n > 1"))
-    inside = scratch(member.join(_small(shared), "bucket"))
+    shared = scratch(member.groupBy("bucket").agg(F.min("k").alias("first"), F.count("*").alias("n")).where("n > 1"))
+    return scratch(member.join(_small(shared), "bucket"))
+
+
+def first_pairs(inside: DataFrame) -> DataFrame:
+    """Candidates (a, b) of `bucketed` lines: all pairs of a small bucket, pairs with the first line of a large one."""
     few = inside.where(F.col("n") <= ALL_PAIRS).select("bucket", "k")
     pairs = few.select("bucket", F.col("k").alias("a")).join(few.select("bucket", F.col("k").alias("b")), "bucket").where("a < b").select("a", "b")
-    ends = inside.where(F.col("n") > ALL_PAIRS).select(F.explode(F.array(F.struct(F.col("first").alias("a"), F.col("k").alias("b")), F.struct(F.col("k").alias("a"), F.col("last").alias("b")))).alias("p")).select("p.a", "p.b").where("a < b")
-    pairs = scratch(pairs.unionByName(ends).distinct())
+    star = inside.where((F.col("n") > ALL_PAIRS) & (F.col("first") < F.col("k"))).select(F.col("first").alias("a"), F.col("k").alias("b"))
+    return scratch(pairs.unionByName(star).distinct())
+
+
+def prefix(line: Column, threshold: float) -> Column:
+    """The smallest shingle hashes of a line, so many that two lines of at least that similarity have one of them in common."""
+    whole = F.transform(F.array(F.sort_array(F.array_distinct(shingles(line)))), lambda s: F.slice(s, F.lit(1), F.size(s) - F.ceil(threshold * F.size(s)).cast("int") + 1))
+    return whole[0]
+
+
+def rest_pairs(inside: DataFrame, distinct: DataFrame, roots: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
+    """Candidates of large buckets that the first pairs leave open: lines of different components that share a prefix shingle.
+
+    One of the two is outside the component of the bucket's first line. None if there is no such line.
+    """
+    crowded = inside.where(F.col("n") > ALL_PAIRS).select("bucket", "k", "first")
+    placed = crowded.join(roots.select(F.col("node").alias("k"), "root"), "k", "left").join(roots.select(F.col("node").alias("first"), F.col("root").alias("first_root")), "first", "left")
+    placed = scratch(placed.select("bucket", "k", F.coalesce("root", "k").alias("root"), F.coalesce("first_root", "first").alias("first_root")))
+    apart = placed.where("root <> first_root")
+    if not apart.take(1):
+        return None
+    near = placed.join(apart.select("bucket").distinct(), "bucket", "left_semi")
+    keys = distinct.join(near.select("k").distinct(), "k", "left_semi").select("k", F.explode(prefix(F.col("normal"), threshold)).alias("shingle"))
+    cut = scratch(near.join(keys, "k"))
+    own = cut.where("root <> first_root").select("bucket", "shingle", F.col("k").alias("a"), F.col("root").alias("root_a"))
+    pairs = own.join(cut.select("bucket", "shingle", F.col("k").alias("b"), "root"), ["bucket", "shingle"]).where("root_a <> root")
+    return scratch(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def similar(pairs: DataFrame, distinct: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Those of the pairs (a, b) of keys k whose lines have at least that Jaccard similarity."""
     wanted = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
     text = scratch(distinct.join(_small(scratch(wanted)), "k", "left_semi").select("k", "normal"))
     both = pairs.join(text.select(F.col("k").alias("a"), F.col("normal").alias("x")), "a").join(text.select(F.col("k").alias("b"), F.col("normal").alias("y")), "b")
@@ -76,7 +113,12 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     place = F.coalesce(F.col("doc_id"), F.lit(-(2**63))).cast("decimal(20,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col("line").cast("decimal(10,0)")
     found = lines(docs, id_col, text_col).withColumn("place", place.cast("decimal(38,0)")).groupBy("normal").agg(F.min("place").alias("place"), F.count("*").alias("n_copies"))
     distinct = scratch(found.withColumn("bands", bands(F.col("normal"))).withColumn("k", F.monotonically_increasing_id()))
-    roots = components(links(distinct, threshold))
+    inside = bucketed(distinct)
+    links = scratch(similar(first_pairs(inside), distinct, threshold))
+    roots = scratch(components(links))
+    rest = rest_pairs(inside, distinct, roots, threshold)
+    if rest is not None:
+        roots = components(links.unionByName(similar(rest, distinct, threshold)))
     named = distinct.select("k", "place", "n_copies").join(roots, F.col("k") == F.col("node"), "left").withColumn("root", F.coalesce("root", "k"))
     linked = named.where("node is not null")
     first = linked.groupBy("root").agg(F.min("place").alias("first"))

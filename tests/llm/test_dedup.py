@@ -161,6 +161,22 @@ def test_fuzzy_lines_brute_force(spark):
     assert "Python" not in line_dedup.lines(docs)._jdf.queryExecution().toString()
 
 
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    """With every bucket treated as a large one, the components are still those of all pairs."""
+    monkeypatch.setattr(line_dedup, "ALL_PAIRS", 1)
+    base = "the quick brown fox jumps over the lazy dog and then runs away from the very angry bear"
+    texts = [f"{base} {i}" for i in range(40)] + [f"{base[: 40 + i]} {'tail ' * (i // 4)}" for i in range(40)]
+    rows = list(enumerate(texts))
+    got = {(r.doc_id, r.line): (r.keep_doc, r.keep_line) for r in line_dedup.fuzzy_lines(documents(spark, rows)).collect()}
+    assert got == fuzzy(rows)
+
+
+def test_prefix_is_shared_by_similar_lines(spark):
+    rows = spark.createDataFrame([("abcdefghijklmnopqrstuvwxyz" * 3, "abcdefghijklmnopqrstuvwxyz" * 3 + "!!")], "x string, y string")
+    got = rows.select(line_dedup.prefix(F.col("x"), 0.8).alias("x"), line_dedup.prefix(F.col("y"), 0.8).alias("y")).first()
+    assert set(got.x) & set(got.y) and len(got.x) == 26 - 21 + 1
+
+
 def test_shingles_are_exact(spark):
     rows = spark.createDataFrame([("abcdefghij",), ("é" * 9,), ("ab",)], "t string")
     n = [r.n for r in rows.select(F.size(F.array_distinct(line_dedup.shingles(F.col("t")))).alias("n")).collect()]
