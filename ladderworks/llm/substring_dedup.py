@@ -1,11 +1,10 @@
 """Removal of repeated passages: every window of words that occurs earlier in the corpus goes.
 
-Windows are dealt out by content. The anchor of a window is the word n-gram in it with the smallest hash (the first of
-equals), so equal windows have equal anchors, and neighbouring windows share theirs. A run of windows with one anchor is
-one row: the anchor's hash and a byte for each word around it, about 40 bytes for eight windows. Rows meet by anchor;
-windows are equal if anchor and surroundings are, and all but the first by document and start are removed. Before that,
-runs whose windows all occur earlier in the same few megabytes of text are settled there, so that a very common passage
-gives a row for each chunk of input instead of one for each occurrence.
+Windows meet by content. A window is known by 75 bits of two hashes of all its words: a bucket of BUCKETS and 64 bits
+beside it. Each few megabytes of text give one row per bucket, with the hash, document and start of each window that is
+new there; a window that occurred before in the same text is settled there. So a window, however common, comes once
+from each chunk of input, and buckets are even whatever the texts hold. Buckets are shuffled and judged one after the
+other: all windows but the first by document and start are removed.
 """
 
 from __future__ import annotations
@@ -24,14 +23,18 @@ from pyspark.sql import functions as F
 from ladderworks.llm.common import chunks, worker_state
 
 WINDOW = 20
-#: Words of an anchor; of the other words of a window, SIDE at most stand on each side.
-ANCHOR = 6
-SIDE = WINDOW - ANCHOR
+#: Words of the grams that the bucket is made from.
+GRAM = 6
+#: Fixed value (a window's bucket must be the same everywhere): at 30 GB a bucket has some two million windows.
+BUCKETS = 2048
+#: Whole buckets of so many windows are judged at once, or one bucket alone.
+JUDGED = 1 << 21
 #: Most words whose hash a worker remembers.
 REMEMBERED = 1_500_000
 #: Stands for a null id, which comes last.
 NO_ID = 2**63 - 1
-RUNS = "anchor long, doc long, at int, lead int, around binary"
+#: Windows by bucket: `first` is the document of the first one, `docs` what each adds to it. Settled spans have no hashes.
+PIECES = "bucket int, first long, hashes binary, docs binary, starts binary, ends binary"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,49 +72,62 @@ def _first_least(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def _spread(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For ranges of the given lengths laid end to end: each element's range and its place in it."""
-    owner = np.repeat(np.arange(len(lengths)), lengths)
-    return owner, np.arange(len(owner)) - np.repeat(starts, lengths)
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The values in the smallest unsigned type that holds them."""
+    most = int(values.max()) if len(values) else 0
+    return values.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(t).max))
+
+
+def _blobs(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _piece(bucket: np.ndarray, first: np.ndarray, *columns: pa.Array | None) -> pa.RecordBatch:
+    filled = [pa.nulls(len(bucket), pa.binary()) if c is None else c for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(first.astype(np.int64)), *filled], ["bucket", "first", "hashes", "docs", "starts", "ends"])
 
 
-def _runs(ids: np.ndarray, split: list[list[bytes]], hashes: WordHashes) -> pa.RecordBatch:
-    """Rows of RUNS for some documents, in the order of their ids. Settled runs have no surroundings, and `lead` counts their windows."""
+def _keys(codes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 bits of hash and the bucket of the windows at `start`, both of all their words."""
+    grams = _grams(codes, GRAM)
+    other = sum((_mixed(grams[start + j] + np.uint64(j)) for j in (0, GRAM, 2 * GRAM, WINDOW - GRAM)), np.zeros(len(start), np.uint64))
+    return _grams(codes, WINDOW)[start], (_mixed(other) % np.uint64(BUCKETS)).astype(np.uint16)
+
+
+def _pieces(ids: np.ndarray, split: list[list[bytes]], hashes: WordHashes) -> Iterator[pa.RecordBatch]:
+    """Rows of PIECES for some documents, in the order of their ids."""
     lengths = np.array([len(w) for w in split], np.int64)
     codes = np.fromiter((hashes[w] for words in split for w in words), np.uint64, count=int(lengths.sum()))
-    empty = np.zeros(0, np.int64)
-    anchor, doc, at, lead, sizes, around, settled = empty, empty, empty, empty, empty, np.zeros(0, np.uint8), np.zeros(0, bool)
-    if len(codes) >= WINDOW:
-        owner = np.repeat(np.arange(len(lengths)), lengths)
-        begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        start = np.flatnonzero(owner[: len(codes) - WINDOW + 1] == owner[WINDOW - 1 :])
-        grams = _grams(codes, ANCHOR)
-        place = _first_least(grams, SIDE + 1)[start]
-        if len(start):
-            first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            last = np.append(first[1:], len(start)) - 1
-            own = owner[start]
-            own_id, own_at = ids[own], start - begin[own]
-            ends = [0, ANCHOR, 2 * ANCHOR, WINDOW - ANCHOR]
-            whole = sum((_mixed(grams[start + j] + np.uint64(j)) for j in ends), np.zeros(len(start), np.uint64))
-            group = pd.factorize(whole)[0]
-            leader = np.full(group.max() + 1, len(start))
-            np.minimum.at(leader, group, np.arange(len(start)))
-            leader = leader[group]
-            earlier = (own_id[leader] != own_id) | (own_at[leader] != own_at)
-            settled = np.logical_and.reduceat(earlier, first)
-            doc, at = own_id[first], own_at[first]
-            left, total = place[first] - start[first], start[last] + SIDE - start[first]
-            anchor = grams[place[first]].view(np.int64).copy()
-            anchor[settled] = _mixed(doc[settled].view(np.uint64) * _ODD + at[settled].astype(np.uint64)).view(np.int64)
-            lead = np.where(settled, last - first + 1, left)
-            sizes = np.where(settled, 0, total)
-            row, step = _spread(np.cumsum(sizes) - sizes, sizes)
-            around = (codes[start[first][row] + step + ANCHOR * (step >= left[row])] >> np.uint64(56)).astype(np.uint8)
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    seen = pa.array(~settled).buffers()[1]
-    binary = pa.Array.from_buffers(pa.binary(), len(sizes), [seen, pa.py_buffer(offsets), pa.py_buffer(around)])
-    return pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(doc), pa.array(at.astype(np.int32)), pa.array(lead.astype(np.int32)), binary], ["anchor", "doc", "at", "lead", "around"])
+    if len(codes) < WINDOW:
+        return
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.flatnonzero(owner[: len(codes) - WINDOW + 1] == owner[WINDOW - 1 :])
+    if not len(place):
+        return
+    own = owner[place]
+    doc, start = ids[own], place - (np.cumsum(lengths) - lengths)[own]
+    key, bucket = _keys(codes, place)
+    if (ids[1:] == ids[:-1]).any():  # rows of one document: its windows by start
+        order = np.lexsort((start, doc))
+        doc, start, key, bucket = doc[order], start[order], key[order], bucket[order]
+    group = pd.factorize(pd.factorize(key)[0] * BUCKETS + bucket)[0]
+    leader = np.full(group.max() + 1, len(doc))
+    np.minimum.at(leader, group, np.arange(len(doc)))
+    known = leader[group] < np.arange(len(doc))
+    gone = known & ((doc[leader[group]] != doc) | (start[leader[group]] != start))
+    if gone.any():
+        spans = _merged(doc[gone], start[gone], start[gone] + WINDOW)
+        one = np.array([0, len(spans)])
+        yield _piece(bucket[gone][:1], np.zeros(1), None, *(_blobs(spans.column(c).to_numpy(), one) for c in ("doc", "start", "end")))
+    at = np.flatnonzero(~known)
+    at = at[np.argsort(bucket[at], kind="stable")]
+    doc, bucket = doc[at], bucket[at]
+    new = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+    first = np.flatnonzero(new)
+    step = np.diff(doc.view(np.uint64), prepend=doc[:1].view(np.uint64))
+    step[new] = 0
+    offsets = np.append(first, len(at))
+    yield _piece(bucket[first], doc[first], _blobs(key[at], offsets), _blobs(_narrow(step), offsets), _blobs(_narrow(start[at]), offsets), None)
 
 
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +138,7 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hashes.clear()
             ids = part.column("doc").to_numpy()
             order = np.argsort(ids, kind="stable")
-            yield _runs(ids[order], [texts[i].split() for i in order], hashes)
+            yield from _pieces(ids[order], [texts[i].split() for i in order], hashes)
 
 
 def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
@@ -138,48 +154,53 @@ def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(doc.astype(np.int64)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["doc", "start", "end"])
 
 
-def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans that occur earlier, of all runs that share anchors."""
-    held = pa.Table.from_batches(batches) if (batches := list(batches)) else None
-    if held is None or not len(held):
+def _unpacked(pieces: pa.Table) -> tuple[np.ndarray, ...]:
+    """bucket, hash, document and start of all windows of some rows."""
+    out = []
+    for bucket, first, hashes, docs, starts in zip(*(pieces[c].to_pylist() for c in ("bucket", "first", "hashes", "docs", "starts")), strict=True):
+        n = len(hashes) // 8
+        steps, at = (np.frombuffer(x, f"u{len(x) // n}") for x in (docs, starts))
+        out.append((np.full(n, bucket, np.int16), np.frombuffer(hashes, np.uint64), np.cumsum(steps, dtype=np.uint64).view(np.int64) + first, at.astype(np.int64)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _later(pieces: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Spans that occur earlier, of all windows of some buckets."""
+    settled = pieces.filter(pa.compute.is_null(pieces["hashes"]))
+    for docs, starts, ends in zip(*(settled[c].to_pylist() for c in ("docs", "starts", "ends")), strict=True):
+        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(docs, np.int64)), pa.array(np.frombuffer(starts, np.int32)), pa.array(np.frombuffer(ends, np.int32))], ["doc", "start", "end"])
+    open_ = pieces.filter(pa.compute.is_valid(pieces["hashes"]))
+    if not len(open_):
         return
-    held = held.combine_chunks()
-    done = held.filter(pa.compute.is_null(held["around"]))
-    spans = [(done["doc"].to_numpy(), done["at"].to_numpy().astype(np.int64), done["at"].to_numpy().astype(np.int64) + done["lead"].to_numpy() + WINDOW - 1)]
-    again = pd.Series(held["anchor"].to_numpy()).duplicated(keep=False).to_numpy() & held["around"].is_valid().to_numpy()
-    held = held.filter(pa.array(again))
-    if len(held):
-        anchor, doc, left = held["anchor"].to_numpy(), held["doc"].to_numpy(), held["lead"].to_numpy().astype(np.int64)
-        place = held["at"].to_numpy().astype(np.int64) + left
-        order = np.lexsort((place, doc))  # so that the first of equal windows is the earliest
-        anchor, doc, left, place = anchor[order], doc[order], left[order], place[order]
-        around = held["around"].combine_chunks().take(pa.array(order))
-        around = around.chunk(0) if isinstance(around, pa.ChunkedArray) else around
-        sizes = pa.compute.binary_length(around).to_numpy(zero_copy_only=False).astype(np.int64)
-        row, step = _spread(np.cumsum(sizes) - sizes, sizes)
-        grid = np.zeros((len(doc), 2 * SIDE), np.uint8)
-        data = np.frombuffer(around.buffers()[2], np.uint8)[np.frombuffer(around.buffers()[1], np.int32)[around.offset] :][: len(row)]
-        grid[row, SIDE - left[row] + step] = data
-        found = []
-        for before in range(SIDE + 1):  # windows with so many words before their anchor
-            at = np.flatnonzero((left >= before) & (sizes - left >= SIDE - before))
-            key = np.zeros((len(at), 16), np.uint8)
-            key[:, :SIDE] = grid[at, SIDE - before : 2 * SIDE - before]
-            key[:, SIDE] = before
-            found.append((at, place[at] - before, key.view(np.uint64)))
-        at, start = (np.concatenate([x[i] for x in found]) for i in range(2))
-        key = np.concatenate([x[2] for x in found])
-        group, n = pd.factorize(anchor[at])[0].astype(np.int64), 0
-        for part in (key[:, 0], key[:, 1]):
-            other = pd.factorize(part)[0].astype(np.int64)
-            n = other.max() + 1 if len(other) else 1
-            group = pd.factorize(group * n + other)[0].astype(np.int64)
-        leader = np.full(group.max() + 1, len(at))
-        np.minimum.at(leader, group, np.arange(len(at)))
-        leader = leader[group]
-        gone = (doc[at[leader]] != doc[at]) | (start[leader] != start)
-        spans.append((doc[at[gone]], start[gone], start[gone] + WINDOW))
-    yield _merged(*(np.concatenate([s[i] for s in spans]) for i in range(3)))
+    bucket, key, doc, start = _unpacked(open_)
+    again = pd.Series(key).duplicated(keep=False).to_numpy()
+    bucket, key, doc, start = bucket[again], key[again], doc[again], start[again]
+    order = np.lexsort((start, doc, bucket, key))
+    bucket, key, doc, start = bucket[order], key[order], doc[order], start[order]
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])])[: len(key)]
+    leader = np.flatnonzero(new)[np.cumsum(new) - 1]
+    gone = (doc[leader] != doc) | (start[leader] != start)
+    yield _merged(doc[gone], start[gone], start[gone] + WINDOW)
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans that occur earlier, from rows in the order of their buckets."""
+    held, windows = [], 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        bucket = batch.column("bucket").to_numpy()
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("hashes")), 0).to_numpy(zero_copy_only=False)
+        begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        last = held[-1].column("bucket")[-1].as_py() if held else None
+        for a, b in zip(begin, np.append(begin[1:], len(bucket)), strict=True):
+            if held and windows >= JUDGED and bucket[a] != last:
+                yield from _later(pa.Table.from_batches(held))
+                held, windows = [], 0
+            held.append(batch.slice(a, b - a))
+            last, windows = bucket[a], windows + int(sizes[a:b].sum()) // 8
+    if held:
+        yield from _later(pa.Table.from_batches(held))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +225,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans of words (doc, start, end) to remove, in pieces that may overlap; a null id is NO_ID."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_dealt, RUNS).repartition("anchor").mapInArrow(_judged, "doc long, start int, end int")
+    return rows.mapInArrow(_dealt, PIECES).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_judged, "doc long, start int, end int")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, digest: bool = True) -> DataFrame:

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from ladderworks.llm import line_dedup, substring_dedup
 from ladderworks.llm.common import components
+from ladderworks.llm.entry import ORACLES, op10_repeated_passages
 from ladderworks.llm.exact_dedup import drop_exact_copies, exact_copies, misra_gries
 from ladderworks.llm.simhash_dedup import Forest, drop_near_copies, grow, leaf_links, near, near_groups, route
 from tests.llm.helpers import awkward, documents, words
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (1, 0), (200, 201)]
@@ -129,6 +132,23 @@ def test_repeated_passages_edges(spark):
     assert substring_dedup.without_repeats(documents(spark, [])).count() == 0
 
 
+def test_one_changing_word_makes_another_window(spark):
+    """One template with 1,000 fillers: only what stands before and after all of them is repeated."""
+    head, tail = (" ".join(f"{c}{i}" for i in range(19)) for c in "ht")
+    rows = [(i, f"{head} filler{i} {tail}") for i in range(1000)] + [(5000, head + " filler7 " + tail)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring_dedup.without_repeats(documents(spark, rows).repartition(8), digest=False).collect()}
+    assert got == without_repeats(rows)
+    assert sum(n for _, n, _ in got.values()) == 39
+
+
+def test_repeated_passages_agree_with_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    got = sorted(map(tuple, op10_repeated_passages(spark, SMALL).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()))
+    assert got == sorted(con.execute(f"SELECT doc_id, n_words, n_removed, kept_sha256 FROM ({ORACLES['op10_repeated_passages']})").fetchall())
+
+
 def test_first_least_takes_the_first_of_equals():
     values = np.array([3, 1, 1, 2, 1, 5, 5, 5], np.uint64)
     assert substring_dedup._first_least(values, 3).tolist() == [1, 1, 2, 4, 4, 5]
