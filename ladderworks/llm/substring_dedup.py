@@ -82,6 +82,23 @@ def _blobs(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
 
+def _planes(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """A blob per range of values: all their lowest bytes, then the next ones, which compress well if they are zeros."""
+    values = _narrow(values)
+    width, sizes = values.itemsize, np.diff(offsets)
+    data = values.view(np.uint8).reshape(-1, width)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    at = (width - 1) * offsets[:-1][row] + np.arange(len(values))
+    out = np.empty(data.size, np.uint8)
+    for b in range(width):
+        out[at + b * sizes[row]] = data[:, b]
+    return _blobs(out, offsets * width)
+
+
+def _from_planes(blob: bytes, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(-1, n).T).view(f"u{len(blob) // n}")[:, 0]
+
+
 def _piece(bucket: np.ndarray, first: np.ndarray, *columns: pa.Array | None) -> pa.RecordBatch:
     filled = [pa.nulls(len(bucket), pa.binary()) if c is None else c for c in columns]
     return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(first.astype(np.int64)), *filled], ["bucket", "first", "hashes", "docs", "starts", "ends"])
@@ -127,7 +144,7 @@ def _pieces(ids: np.ndarray, split: list[list[bytes]], hashes: WordHashes) -> It
     step = np.diff(doc.view(np.uint64), prepend=doc[:1].view(np.uint64))
     step[new] = 0
     offsets = np.append(first, len(at))
-    yield _piece(bucket[first], doc[first], _blobs(key[at], offsets), _blobs(_narrow(step), offsets), _blobs(_narrow(start[at]), offsets), None)
+    yield _piece(bucket[first], doc[first], _blobs(key[at], offsets), _planes(step, offsets), _planes(start[at], offsets), None)
 
 
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +176,7 @@ def _unpacked(pieces: pa.Table) -> tuple[np.ndarray, ...]:
     out = []
     for bucket, first, hashes, docs, starts in zip(*(pieces[c].to_pylist() for c in ("bucket", "first", "hashes", "docs", "starts")), strict=True):
         n = len(hashes) // 8
-        steps, at = (np.frombuffer(x, f"u{len(x) // n}") for x in (docs, starts))
+        steps, at = _from_planes(docs, n), _from_planes(starts, n)
         out.append((np.full(n, bucket, np.int16), np.frombuffer(hashes, np.uint64), np.cumsum(steps, dtype=np.uint64).view(np.int64) + first, at.astype(np.int64)))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
@@ -180,7 +197,7 @@ def _later(pieces: pa.Table) -> Iterator[pa.RecordBatch]:
     new = np.concatenate([[True], (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])])[: len(key)]
     leader = np.flatnonzero(new)[np.cumsum(new) - 1]
     gone = (doc[leader] != doc) | (start[leader] != start)
-    yield _merged(doc[gone], start[gone], start[gone] + WINDOW)
+    yield pa.RecordBatch.from_arrays([pa.array(doc[gone]), pa.array(start[gone].astype(np.int32)), pa.array((start[gone] + WINDOW).astype(np.int32))], ["doc", "start", "end"])
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

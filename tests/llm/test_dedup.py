@@ -141,6 +141,17 @@ def test_one_changing_word_makes_another_window(spark):
     assert sum(n for _, n, _ in got.values()) == 39
 
 
+def test_a_common_phrase_meets_in_no_one_task(spark):
+    """Windows around a phrase of six words in otherwise different texts are spread over all tasks, a common one comes once a chunk."""
+    phrase, passage = "all rights reserved by the publisher", " ".join(f"p{i}" for i in range(20))
+    side = lambda i, c: " ".join(f"{c}{i}x{k}" for k in range(14))
+    rows = [(i, f"{side(i, 'a')} {phrase} {side(i, 'b')}") for i in range(400)] + [(1000 + i, passage) for i in range(400)]
+    docs = documents(spark, rows).select(F.col("doc_id").alias("doc"), "text").coalesce(1)
+    shuffled = docs.mapInArrow(substring_dedup._dealt, substring_dedup.PIECES).repartition(8, "bucket")
+    sizes = [r.n for r in shuffled.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("hashes") / 8).alias("n")).collect()]
+    assert sum(sizes) == 400 * 15 + 1 and len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
 def test_repeated_passages_agree_with_sql(spark):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
