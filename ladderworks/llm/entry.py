@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ladderworks.llm.common import scratch_root, table
 from ladderworks.llm.exact_dedup import exact_copies
-from ladderworks.llm.line_dedup import fuzzy_lines
+from ladderworks.llm.line_dedup import line_verdicts
 from ladderworks.llm.mixing import mixed
 from ladderworks.llm.packing import packed
 from ladderworks.llm.pii import digest, personal_data
@@ -51,7 +51,7 @@ def op3_hierarchical_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_lines(table(spark, sf_dir, "documents"))
+    return line_verdicts(table(spark, sf_dir, "documents"))
 
 
 def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:

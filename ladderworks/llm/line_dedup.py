@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladderworks.llm.common import components, scratch
+from ladderworks.llm.common import boxed, components, scratch
 
 SHINGLE, THRESHOLD = 8, 0.8
 #: Two lines of similarity 0.8 share one of the BANDS bands of five ranges with a chance of 0.99.
@@ -24,6 +24,9 @@ BANDS, RANGES = 12, 5
 ALL_PAIRS = 32
 #: Most rows of a table of longs that is broadcast (some 50 MB); beyond that the join shuffles.
 BROADCAST = 1_000_000
+#: Lines with more copies are joined to their occurrences by broadcast; there is one for each HOT lines of input at most.
+HOT = 1_000
+SHIFT = 10**10
 
 
 def normal(line: Column) -> Column:
@@ -104,14 +107,28 @@ def similar(pairs: DataFrame, distinct: DataFrame, threshold: float = THRESHOLD)
     return sets.where(common >= threshold * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
-def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per distinct line: doc_id and line of its first occurrence, n_copies, keep_doc, keep_line, kept.
+def _place() -> Column:
+    """Document and line as one number, in their order; a null id comes first."""
+    place = F.coalesce(F.col("doc_id"), F.lit(-(2**63))).cast("decimal(20,0)") * F.lit(SHIFT).cast("decimal(11,0)") + F.col("line").cast("decimal(10,0)")
+    return place.cast("decimal(38,0)")
 
-    keep_doc and keep_line tell the first line of its component, which stays. A null id comes first. Texts without lines
-    with a word, null texts and empty tables give no rows; rows that repeat an id count as texts of one document.
-    """
-    place = F.coalesce(F.col("doc_id"), F.lit(-(2**63))).cast("decimal(20,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col("line").cast("decimal(10,0)")
-    found = lines(docs, id_col, text_col).withColumn("place", place.cast("decimal(38,0)")).groupBy("normal").agg(F.min("place").alias("place"), F.count("*").alias("n_copies"))
+
+def _doc(place: str) -> Column:
+    return F.floor(F.col(place) / F.lit(SHIFT).cast("decimal(11,0)")).cast("long")
+
+
+def _line(place: str) -> Column:
+    return F.pmod(F.col(place), F.lit(SHIFT).cast("decimal(11,0)")).cast("int")
+
+
+def _names(line: Column) -> list[Column]:
+    """128 bits of hash of a normal line, which stand for it where its text isn't carried."""
+    return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")]
+
+
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per distinct line: h1, h2, place of its first occurrence, n_copies, first: the place of the line that stays."""
+    found = lines(docs, id_col, text_col).withColumn("place", _place()).groupBy("normal").agg(F.min("place").alias("place"), F.count("*").alias("n_copies"))
     distinct = scratch(found.withColumn("bands", bands(F.col("normal"))).withColumn("k", F.monotonically_increasing_id()))
     inside = bucketed(distinct)
     links = scratch(similar(first_pairs(inside), distinct, threshold))
@@ -119,10 +136,49 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rest = rest_pairs(inside, distinct, roots, threshold)
     if rest is not None:
         roots = components(links.unionByName(similar(rest, distinct, threshold)))
-    named = distinct.select("k", "place", "n_copies").join(roots, F.col("k") == F.col("node"), "left").withColumn("root", F.coalesce("root", "k"))
+    named = distinct.select("k", *_names(F.col("normal")), "place", "n_copies").join(roots, F.col("k") == F.col("node"), "left").withColumn("root", F.coalesce("root", "k"))
     linked = named.where("node is not null")
     first = linked.groupBy("root").agg(F.min("place").alias("first"))
     rows = named.where("node is null").withColumn("first", F.col("place")).unionByName(linked.join(first, "root").select(*named.columns, "first"))
-    doc = lambda p: F.floor(F.col(p) / F.lit(10**10).cast("decimal(11,0)")).cast("long")
-    line = lambda p: F.pmod(F.col(p), F.lit(10**10).cast("decimal(11,0)")).cast("int")
-    return rows.select(doc("place").alias("doc_id"), line("place").alias("line"), "n_copies", doc("first").alias("keep_doc"), line("first").alias("keep_line"), (F.col("place") == F.col("first")).alias("kept"))
+    return rows.select("h1", "h2", "place", "n_copies", "first")
+
+
+def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per distinct line: doc_id and line of its first occurrence, n_copies, keep_doc, keep_line, kept.
+
+    keep_doc and keep_line tell the first line of its component, which stays. A null id comes first. Texts without lines
+    with a word, null texts and empty tables give no rows; rows that repeat an id count as texts of one document.
+    """
+    rows = judged(docs, id_col, text_col, threshold)
+    return rows.select(_doc("place").alias("doc_id"), _line("place").alias("line"), "n_copies", _doc("first").alias("keep_doc"), _line("first").alias("keep_line"), (F.col("place") == F.col("first")).alias("kept"))
+
+
+def _occurrences(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """doc_id, line, mark (a hash of number and text), place, n_copies, first: of every line with a word."""
+    verdicts = scratch(judged(docs, id_col, text_col, threshold))
+    every = lines(docs, id_col, text_col).select("doc_id", "line", F.xxhash64("line", "normal").alias("mark"), *_names(F.col("normal")))
+    hot, rest = verdicts.where(F.col("n_copies") > HOT), verdicts.where(F.col("n_copies") <= HOT)
+    side = lambda v, end: v.select(F.col("h1"), F.col("h2"), F.col("n_copies").alias(f"n{end}"), F.col("first").alias(f"first{end}"))
+    met = every.join(F.broadcast(side(hot, "")), ["h1", "h2"], "left")
+    columns = ["doc_id", "line", "mark", "n_copies", "first"]
+    of_hot = met.where("first is not null").withColumnRenamed("n", "n_copies").select(columns)
+    of_rest = met.where("first is null").drop("n", "first").join(side(rest, ""), ["h1", "h2"]).withColumnRenamed("n", "n_copies").select(columns)
+    return of_hot.unionByName(of_rest).withColumn("place", _place())
+
+
+def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per line with a word of every document: doc_id, line, n_copies, keep_doc, keep_line, kept.
+
+    Of all occurrences of the lines of a component only the first, keep_doc and keep_line, is kept. Ids are as in `fuzzy_lines`.
+    """
+    rows = _occurrences(docs, id_col, text_col, threshold)
+    return rows.select("doc_id", "line", "n_copies", _doc("first").alias("keep_doc"), _line("first").alias("keep_line"), (F.col("place") == F.col("first")).alias("kept"))
+
+
+def drop_fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """`docs` with all columns and rows, their texts without the lines that are not kept; lines without a word stay."""
+    gone = _occurrences(docs, id_col, text_col, threshold).where("place <> first").groupBy(F.col("doc_id").alias("key")).agg(F.collect_set("mark").alias("gone"))
+    rows = boxed(docs, id=F.col(id_col).cast("long")).join(gone.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("key")), "left")
+    stays = F.filter(F.split(F.col("doc")[text_col], "\n"), lambda x, i: ~F.array_contains(F.col("gone"), F.xxhash64(i, normal(x))))
+    text = F.when(F.col("gone").isNull(), F.col("doc")[text_col]).otherwise(F.array_join(stays, "\n"))
+    return rows.select(F.col("doc").withField(text_col, text).alias("doc")).select("doc.*")

@@ -202,6 +202,20 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
     assert got == fuzzy(rows)
 
 
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_every_line_has_a_verdict(spark, monkeypatch, hot):
+    """Each occurrence has a row, one of each component stays, and the texts lose the others."""
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    base = "the quick brown fox jumps over the lazy dog and then runs away from the very angry bear"
+    rows = [(1, f"{base}\n\nshort\n{base.upper()}  "), (2, None), (3, f"SHORT\n{base}"), (4, base + "s"), (5, "new\n \nshort")]
+    docs = documents(spark, rows, clashes=True)
+    got = sorted((r.doc_id, r.line, r.keep_doc, r.keep_line, r.kept) for r in line_dedup.line_verdicts(docs).collect())
+    assert got == [(1, 0, 1, 0, True), (1, 2, 1, 2, True), (1, 3, 1, 0, False), (3, 0, 1, 2, False), (3, 1, 1, 0, False), (4, 0, 1, 0, False), (5, 0, 5, 0, True), (5, 2, 1, 2, False)]
+    cleaned = line_dedup.drop_fuzzy_lines(docs)
+    assert cleaned.columns == docs.columns
+    assert {r.doc_id: r.text for r in cleaned.collect()} == {1: f"{base}\n\nshort", 2: None, 3: "", 4: "", 5: "new\n "}
+
+
 def test_prefix_is_shared_by_similar_lines(spark):
     rows = spark.createDataFrame([("abcdefghijklmnopqrstuvwxyz" * 3, "abcdefghijklmnopqrstuvwxyz" * 3 + "!!")], "x string, y string")
     got = rows.select(line_dedup.prefix(F.col("x"), 0.8).alias("x"), line_dedup.prefix(F.col("y"), 0.8).alias("y")).first()
