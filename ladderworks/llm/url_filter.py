@@ -20,19 +20,31 @@ LABELLED, BUCKETS, LENGTHS = 10_000, 1 << 16, (3, 4, 5)
 #: Fixed values: (verdict, host and start of the path). A rule holds for its host and all subdomains; the longest wins.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 
-# Words for the small labelled table: each bad or good pair makes hosts, and both share top-level names and paths.
-_BAD = "casino-win free-bets cheap-pills spam-farm adult-x ads-track win-casino bets-free pills-cheap adult-cams casino-bonus spam-links free-pills poker-win cheap-loans ads-click xxx-adult bets-online link-farm track-ads".split()
-_GOOD = "harbor meadow city-news open-data library museum garden weather recipes physics open-maps orchestra village-school mountain railways the-archive tannery thistle norther anthem".split()
+# Words for the small labelled table, from general knowledge of block lists and of ordinary sites, not from any page table.
+_BAD = (
+    "casino poker slots jackpot roulette blackjack betting bookie wager lottery gambling viagra cialis pharmacy pills steroid diet weightloss payday loan credit forex crypto "
+    "replica outlet rolex escort porn xxx adult webcam hookup nude dating torrent warez keygen crack serials clickbait survey prize giveaway popunder banner adserver tracker "
+    "malware phishing spam backlink linkfarm botnet spyware"
+).split(), "bonus vip online24 cheap cash king offer instant free hot best4u winner deals girls click promo secret unlimited rich discount boost now".split()
+_GOOD = (
+    "harbor meadow city museum garden weather recipe physics orchestra village mountain railway archive tannery thistle norther library science history school university health "
+    "travel photo chess music theatre poetry astronomy botany geology kitchen bicycle sailing forest river bridge farmers parish council hospital software compiler linux python "
+    "journal gazette herald tribune weaving pottery"
+).split(), "news data maps club society review guide notes daily lab institute online forum project review free trust weekly house studies collection today".split()
+_ENDS = "com net org info io de fr es co.uk example.com example.net example.org".split()
+_PATHS = ("/", "/index.html", "/{}", "/en/{}", "/{}/page", "/de/{}.html", "/p?id={}", "/fr/articles/{}/", "/2024/{}")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The small training table: url and bad (0 or 1), made from two word lists, name endings and paths."""
+    """The small training table: url and bad (0 or 1), four names for each first word, with endings and paths shared by both."""
     rows = []
-    for bad, names in ((1, _BAD), (0, _GOOD)):
-        for i, name in enumerate(names):
-            for j, end in enumerate(("example.com", "example.net", "example.org")):
-                front, tail = ("", "www.", "blog.", "m.")[(i + j) % 4], ("", "/", ".html")[(i + 2 * j) % 3]
-                rows.append((f"https://{front}{name}.{end}/{('en', 'fr', 'de', 'es')[(i + j) % 4]}/{(37 * i + 211 * j) % 1000}{tail}", bad))
+    for bad, (first, second) in ((1, _BAD), (0, _GOOD)):
+        for i, word in enumerate(first):
+            for j in range(4):
+                name = (word, ("-", "", "-", "")[(i + j) % 4], second[(5 * i + 7 * j) % len(second)])
+                name = "".join(name if j < 3 else name[::-1])
+                front, end, tail = ("", "www.", "blog.", "m.", "shop.")[(i + j) % 5], _ENDS[(3 * i + 5 * j) % len(_ENDS)], _PATHS[(2 * i + 5 * j) % len(_PATHS)]
+                rows.append((f"https://{front}{name}.{end}{tail.format((37 * i + 211 * j) % 1000)}", bad))
     return spark.createDataFrame(rows, "url string, bad int")
 
 

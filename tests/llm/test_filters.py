@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 
@@ -116,3 +117,20 @@ def test_url_model_on_held_out_rows(spark):
     assert again >= 0.98
     with pytest.raises(ValueError):
         url_filter.train(spark.range(url_filter.LABELLED + 1).selectExpr("'x://y' AS url", "0 AS bad"))
+
+
+def test_url_model_on_unseen_names(spark):
+    """With whole host names held out, the model tells them; none of the names comes from the page tables."""
+    bare = r"^https://(?:(?:www|blog|m|shop)\\.)?([^./]+)"
+    table = url_filter.labelled_urls(spark).selectExpr("url", "bad", f"regexp_extract(url, '{bare}', 1) AS name").cache()
+    right = n = 0
+    for k in range(4):
+        weights = url_filter.train(table.where(f"pmod(xxhash64(name), 4) <> {k}"))
+        rows = table.where(f"pmod(xxhash64(name), 4) = {k}").withColumnRenamed("bad", "page_id")
+        got = url_filter.judge(rows, weights, ()).selectExpr("sum(CAST((verdict = 'block') = (page_id = 1) AS INT))", "count(*)").first()
+        right, n = right + got[0], n + got[1]
+    print(f"unseen names: {right} of {n}")
+    assert n == table.count() and right >= 0.85 * n
+    for folder in filter(os.path.isdir, ("/root/testdata/sf0.001", "/root/testdata/sf0.1")):
+        pages = spark.read.parquet(f"{folder}/pages.parquet").selectExpr(f"regexp_extract(url, '{bare}', 1) AS name")
+        assert table.join(pages, "name", "left_semi").where("bad = 1").count() == 0
