@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 from types import ModuleType
 
@@ -37,12 +38,28 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch(df: DataFrame) -> DataFrame:
     """`df`, written once to the shared folder and read again: lineage ends here and a lost executor costs no recomputation.
 
-    The folder is scratch space: whoever owns spark.checkpoint.dir clears it when the application is over.
+    The folder is scratch space: `forget` removes it once nothing reads it any more; what results still need, whoever owns
+    spark.checkpoint.dir clears when the application is over.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/ladderworks-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _written[id(table)] = path
+    weakref.finalize(table, _written.pop, id(table), None)
+    return table
+
+
+#: Folders of the scratch tables, by the identity of their data frames.
+_written: dict[int, str] = {}
+
+
+def forget(table: DataFrame) -> None:
+    """Removes the folder of a table that `scratch` gave; nothing may read it afterwards."""
+    if path := _written.pop(id(table), None):
+        sc = table.sparkSession.sparkContext
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def boxed(docs: DataFrame, **extra: Column) -> DataFrame:
@@ -93,7 +110,8 @@ def components(edges: DataFrame) -> DataFrame:
     links = scratch(_oriented(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))))
     state = _checksum(links)
     while state[0]:
-        links = scratch(_star(_star(links, large=True), large=False))
+        before, links = links, scratch(_star(_star(links, large=True), large=False))
+        forget(before)
         new = _checksum(links)
         if new == state:
             break

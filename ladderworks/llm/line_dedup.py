@@ -1,13 +1,18 @@
 """Fuzzy line deduplication by MinHash, in DataFrame functions only.
 
 Lines that are equal but for case and white space are one. A line's shingles are its runs of SHINGLE characters (UTF-16
-units); its signature is the smallest shingle hash of each of 64 equal ranges of hash values (one-permutation hashing).
-Bands of five ranges make buckets; lines that share one are candidates, whose Jaccard similarity is computed from all
-their shingles. Links of at least THRESHOLD make components, of which the first line stays.
-
-In a bucket of many lines each line first meets the bucket's first one. Components then show which lines that has not
-joined to it; only these are compared with the lines of other components in their bucket, and of those only with the
-ones that share a shingle of the prefix that any similar pair must share. So no candidate of a bucket is left out.
+units). They are exploded, hashed in generated code and reduced to a signature of SLOTS smallest hashes
+(one-permutation hashing; a long line gives each slot DRAWN hashes to choose from on average, the lowest ones, which
+leaves out hashes that could hardly be a slot's smallest). Twelve bands of four slots make buckets; lines that share a
+bucket are candidates unless their lengths or signatures already tell them apart. Candidates are verified by the Jaccard
+similarity of all their shingles. Links of at least THRESHOLD make components, of which the first line stays.
+
+In a bucket each line first meets the bucket's first one. Components then show which lines that has not joined, and only
+lines of different components are compared after that; in a large bucket only those that share one of their rarest
+shingles, as any similar pair must. So no candidate is left out, a bucket of similar lines, however large, costs one
+comparison a line, and many lines that share a passage but not more cost little.
+
+Texts are not shuffled: lines are known by 128 bits of hash, and only lines in shared buckets are read again.
 """
 
 from __future__ import annotations
@@ -15,18 +20,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladderworks.llm.common import boxed, components, scratch
+from ladderworks.llm.common import boxed, components, forget, scratch
 
 SHINGLE, THRESHOLD = 8, 0.8
-#: Two lines of similarity 0.8 share one of the BANDS bands of five ranges with a chance of 0.99.
-BANDS, RANGES = 12, 5
-#: In buckets of so many lines all pairs are candidates; in larger ones each line meets the first, then see `rest_pairs`.
-ALL_PAIRS = 32
-#: Most rows of a table of longs that is broadcast (some 50 MB); beyond that the join shuffles.
-BROADCAST = 1_000_000
+SLOTS, DRAWN = 16, 2.5
+#: Slots of each band: the rows, the columns and one set of diagonals of a square of four by four slots (lines of the
+#: affine plane of order four, so that two bands share one slot at most). Lines of similarity 0.8 share a band with a
+#: chance of 0.98, lines of 0.85 with 0.994.
+BANDS = tuple(tuple(4 * x + y for x in range(4)) for y in range(4)) + tuple(tuple(4 * x + y for y in range(4)) for x in range(4)) + tuple(tuple(4 * x + (x ^ y) for x in range(4)) for y in range(4))
+#: Candidates agree in so many slots at least (compared by four bits each). Pairs of similarity 0.8 do so with a chance of 0.998.
+AGREE = 8
+#: Smallest hashes of a line that estimate a similarity before it is computed, and how far the estimate may fall below.
+SAMPLE, SLACK = 48, 0.18
+#: Buckets with at most so many pairs left open compare them; others compare lines that share a rare shingle. Both are exact.
+FEW = 1_024
+#: Lines of a group that `dealt_pairs` compares with each other, on average.
+GROUP = 6
+#: Tables of at most so many bytes, by count and width of their rows, are broadcast; larger ones are shuffled.
+BROADCAST_BYTES = 32 << 20
 #: Lines with more copies are joined to their occurrences by broadcast; there is one for each HOT lines of input at most.
 HOT = 1_000
 SHIFT = 10**10
+_NO_DOC = -(2**63)
+#: White space within a line.
+_INSIDE = "\t\x0b\x0c\r"
 
 
 def normal(line: Column) -> Column:
@@ -34,142 +51,272 @@ def normal(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")))
 
 
+def _normal_of_lower(line: Column) -> Column:
+    """`normal` for a line in lower case; most lines need no replacing, which is told at less cost."""
+    odd = F.contains(line, F.lit("  "))
+    for c in _INSIDE:
+        odd = odd | F.contains(line, F.lit(c))
+    return F.trim(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
+
+
+def _names(line: Column) -> list[Column]:
+    """128 bits of hash of a normal line, which stand for it where its text isn't carried."""
+    return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")]
+
+
+def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, line (from 0), normal, h1, h2: the lines with a word. Null texts have none."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.lower(text_col), "\n")).alias("line", "raw"))
+    return rows.select("doc_id", "line", _normal_of_lower(F.col("raw")).alias("normal")).where("normal <> ''").select("*", *_names(F.col("normal")))
+
+
 def shingles(line: Column) -> Column:
     """Hashes of all shingles of a line, in order; a shorter line is one shingle."""
-    return F.transform(F.array(F.encode(line, "UTF-16BE")), lambda b: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.octet_length(b) / 2).cast("int") - (SHINGLE - 1))), lambda i: F.xxhash64(F.substr(b, 2 * i - 1, F.lit(2 * SHINGLE)))))[0]
+    at = lambda b: F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(b) - (2 * SHINGLE - 1)), F.lit(2))
+    # the bytes come in as a lambda's variable, which isn't copied for each shingle as a column would be
+    return F.transform(F.array(F.encode(line, "UTF-16BE")), lambda b: F.transform(at(b), lambda i: F.xxhash64(F.substr(b, i, F.lit(2 * SHINGLE)))))[0]
+
+
+def _place() -> Column:
+    """Document and line as one number, in their order; a null id comes first."""
+    place = F.coalesce(F.col("doc_id"), F.lit(_NO_DOC)).cast("decimal(20,0)") * F.lit(SHIFT).cast("decimal(11,0)") + F.col("line").cast("decimal(10,0)")
+    return place.cast("decimal(38,0)")
 
 
-def bands(line: Column) -> Column:
-    """Bucket keys of a line: a hash for each band that has a smallest shingle in one of its ranges at least."""
-    at = lambda x: F.shiftright(x, 58)  # noqa: E731  -32 to 31
-    least = F.transform(F.array(F.sort_array(shingles(line))), lambda s: F.filter(s, lambda x, i: (i == 0) | (at(x) != at(F.get(s, i - 1)))))[0]
-    split = F.transform(F.array(least), lambda s: F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.filter(s, lambda x: F.floor((at(x) + 32) / RANGES) == b)))[0]
-    return F.transform(F.filter(F.transform(split, lambda s, b: F.struct(b.alias("b"), s.alias("s"))), lambda e: F.size(e["s"]) > 0), lambda e: F.xxhash64(e["b"], e["s"]))
+def _doc(place: str) -> Column:
+    """The document of a place, of which the null id is the least long."""
+    return F.floor(F.col(place) / F.lit(SHIFT).cast("decimal(11,0)")).cast("long")
 
 
-def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, line (from 0), normal: the lines with a word. Null texts have none."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line", "raw"))
-    return rows.select("doc_id", "line", normal(F.col("raw")).alias("normal")).where("normal <> ''")
+def _line(place: str) -> Column:
+    return F.pmod(F.col(place), F.lit(SHIFT).cast("decimal(11,0)")).cast("int")
+
 
+def signatures(found: DataFrame) -> DataFrame:
+    """One row per distinct line of `lines`: k, h1, h2, place of its first occurrence, copies, n (shingles), m0, m1, ..., sketch.
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST + 1).count() <= BROADCAST else df
+    m0 to m15 are the signature (null: no hash in that slot); sketch holds four bits of each.
+    """
+    count = F.greatest(F.lit(1), F.shiftright(F.octet_length("b"), 1) - (SHINGLE - 1))
+    drawn = int(SLOTS * DRAWN)
+    least = F.when(F.col("n") <= drawn, F.lit(2**32)).otherwise((F.lit(float(2**32 * drawn)) / F.col("n")).cast("long"))
+    rows = found.select("h1", "h2", _place().alias("place"), F.encode("normal", "UTF-16BE").alias("b")).withColumn("n", count).withColumn("least", least)
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), 2 * F.col("n") - 1, F.lit(2))).alias("i"))
+    rows = rows.withColumn("h", F.xxhash64(F.substr("b", F.col("i"), F.lit(2 * SHINGLE))))
+    rows = rows.select("h1", "h2", "place", "n", "i", "least", F.shiftrightunsigned("h", 32).alias("v"), F.col("h").bitwiseAND(SLOTS - 1).cast("int").alias("slot"))
+    rows = rows.where("v <= least OR i = 1")  # the first shingle also counts the line
+    mins = (F.min(F.when((F.col("slot") == j) & (F.col("v") <= F.col("least")), F.col("v"))).alias(f"m{j}") for j in range(SLOTS))
+    once = F.col("i") == 1
+    out = rows.groupBy("h1", "h2").agg(F.min(F.when(once, F.col("place"))).alias("place"), F.sum(F.when(once, 1)).alias("copies"), F.max("n").alias("n"), *mins)
+    bits = F.lit(0).cast("long")
+    for j in range(SLOTS):
+        bits = bits.bitwiseOR(F.shiftleft(F.coalesce(F.col(f"m{j}"), F.lit(0)).bitwiseAND(15), 4 * j))
+    small = (F.shiftright(F.col(f"m{j}"), 1).cast("int").alias(f"m{j}") for j in range(SLOTS))  # below 2**31
+    return out.select(F.monotonically_increasing_id().alias("k"), "h1", "h2", "place", "copies", F.col("n").cast("int").alias("n"), bits.alias("sketch"), *small)
+
+
+def members(distinct: DataFrame) -> DataFrame:
+    """bucket, k, n, sketch: each line in the bucket of each band. Bands without any hash, of short lines, have none."""
+    keys = (F.when(F.coalesce(*(F.col(f"m{j}") for j in band)).isNotNull(), F.xxhash64(F.lit(i), *(F.coalesce(f"m{j}", F.lit(-1)) for j in band))) for i, band in enumerate(BANDS))
+    return distinct.select("k", "n", "sketch", F.explode(F.array(*keys)).alias("bucket")).where("bucket is not null")
+
+
+def _small(df: DataFrame, row_bytes: int) -> DataFrame:
+    most = BROADCAST_BYTES // row_bytes
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def bucketed(distinct: DataFrame) -> DataFrame:
-    """bucket, k, first and n: the lines of all buckets that hold more than one, with the bucket's first line and size."""
-    member = distinct.select("k", F.explode("bands").alias("bucket"))
-    shared = scratch(member.groupBy("bucket").agg(F.min("k").alias("first"), F.count("*").alias("n")).where("n > 1"))
-    return scratch(member.join(_small(shared), "bucket"))
+    """bucket, first, k, n, sketch: the lines of all buckets that hold more than one, with the bucket's first line."""
+    member = members(distinct)
+    shared = scratch(member.groupBy("bucket").agg(F.min("k").alias("first"), F.count("*").alias("size")).where("size > 1").drop("size"))
+    return scratch(member.join(_small(shared, 64), "bucket"))
+
+
+def _agree(a: str, b: str) -> Column:
+    """Whether the sketches leave it open that two lines are similar."""
+    off = F.col(a).bitwiseXOR(F.col(b))
+    off = off.bitwiseOR(F.shiftright(off, 1))
+    off = off.bitwiseOR(F.shiftright(off, 2)).bitwiseAND(0x1111111111111111)
+    return F.bit_count(off) <= SLOTS - AGREE
 
 
 def first_pairs(inside: DataFrame) -> DataFrame:
-    """Candidates (a, b) of `bucketed` lines: all pairs of a small bucket, pairs with the first line of a large one."""
-    few = inside.where(F.col("n") <= ALL_PAIRS).select("bucket", "k")
-    pairs = few.select("bucket", F.col("k").alias("a")).join(few.select("bucket", F.col("k").alias("b")), "bucket").where("a < b").select("a", "b")
-    star = inside.where((F.col("n") > ALL_PAIRS) & (F.col("first") < F.col("k"))).select(F.col("first").alias("a"), F.col("k").alias("b"))
-    return scratch(pairs.unionByName(star).distinct())
+    """Candidates (a, b): each line of a bucket with the bucket's first."""
+    first = inside.where("k = first").select("bucket", F.col("sketch").alias("first_sketch"))
+    rest = inside.where("k > first").join(first, "bucket").where(_agree("sketch", "first_sketch"))
+    return rest.select(F.col("first").alias("a"), F.col("k").alias("b"))
+
 
+def texts(inside: DataFrame, distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """k, normal, n (distinct shingles) and low (the SAMPLE smallest of their hashes) of all lines in shared buckets.
 
-def prefix(line: Column, threshold: float) -> Column:
-    """The smallest shingle hashes of a line, so many that two lines of at least that similarity have one of them in common."""
-    whole = F.transform(F.array(F.sort_array(F.array_distinct(shingles(line)))), lambda s: F.slice(s, F.lit(1), F.size(s) - F.ceil(threshold * F.size(s)).cast("int") + 1))
-    return whole[0]
+    The lines are read again from the documents that hold them first.
+    """
+    wanted = scratch(inside.select("k").distinct())
+    named = scratch(distinct.select("k", "h1", "h2", "place").join(_small(wanted, 32), "k", "left_semi"))
+    holders = scratch(named.select(_doc("place").alias("holder")).distinct())
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = rows.join(_small(holders, 32), F.coalesce("doc_id", F.lit(_NO_DOC)) == F.col("holder"), "left_semi")
+    found = lines(rows).withColumn("place", _place()).join(_small(named, 96), ["place", "h1", "h2"])
+    once = found.groupBy("k").agg(F.first("normal").alias("normal"))
+    hashes = F.sort_array(F.array_distinct(shingles(F.col("normal"))))
+    out = scratch(once.withColumn("s", hashes).select("k", "normal", F.size("s").alias("n"), F.transform(F.slice("s", 1, SAMPLE), lambda h: F.shiftright(h, 32).cast("int")).alias("low")))
+    for df in (wanted, named, holders):
+        forget(df)
+    return out
+
+
+def placed(inside: DataFrame, roots: DataFrame) -> DataFrame:
+    """bucket, k, sketch, root, inner (in the component of most lines of the bucket), size and `pairs` (left to compare), of open buckets."""
+    rows = scratch(inside.join(_small(roots.select(F.col("node").alias("k"), "root"), 48), "k", "left").select("bucket", "k", "sketch", F.coalesce("root", "k").alias("root")))
+    sizes = rows.groupBy("bucket", "root").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("most"), F.sum("size").alias("all"))
+    main = scratch(main.select("bucket", F.col("most.root").alias("main"), ((F.col("all") - F.col("most.size")) * F.col("all")).alias("pairs"), F.col("all").alias("size")).where("pairs > 0"))
+    out = scratch(rows.join(_small(main, 48), "bucket").select("bucket", "k", "sketch", "root", (F.col("root") == F.col("main")).alias("inner"), "size", "pairs"))
+    forget(rows)
+    forget(main)
+    return out
+
+
+def dealt_pairs(open_: DataFrame) -> DataFrame:
+    """Candidates (a, b) of large buckets dealt out at random into groups of some GROUP lines: those of different components.
+
+    Most lines of a component that its first line has not joined are joined by one of these few comparisons a line.
+    """
+    many = open_.where(F.col("pairs") > FEW).select("bucket", F.pmod(F.xxhash64("bucket", "k"), F.ceil(F.col("size") / GROUP)).alias("part"), "k", "root", "sketch")
+    other = many.select(F.col("bucket").alias("same"), F.col("part").alias("same_part"), F.col("k").alias("b"), F.col("root").alias("root_b"), F.col("sketch").alias("sketch_b"))
+    alike = (F.col("k") < F.col("b")) & (F.col("root") != F.col("root_b")) & _agree("sketch", "sketch_b")
+    return many.join(other, (F.col("bucket") == F.col("same")) & (F.col("part") == F.col("same_part")) & alike).select(F.col("k").alias("a"), "b")
+
+
+def few_pairs(open_: DataFrame) -> DataFrame:
+    """Candidates (a, b) of small buckets: each line outside the main component with each inside, and with each other outside once."""
+    few = open_.where(F.col("pairs") <= FEW)
+    own = few.where("not inner").select("bucket", F.col("k").alias("a"), F.col("root").alias("root_a"), F.col("sketch").alias("sketch_a"))
+    other = few.select(F.col("bucket").alias("same"), F.col("k").alias("b"), "root", "inner", "sketch")
+    apart = (F.col("root_a") != F.col("root")) & (F.col("inner") | (F.col("a") < F.col("b")))
+    pairs = own.join(other, (F.col("bucket") == F.col("same")) & apart & _agree("sketch_a", "sketch"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def rest_pairs(inside: DataFrame, distinct: DataFrame, roots: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
-    """Candidates of large buckets that the first pairs leave open: lines of different components that share a prefix shingle.
+def prefixes(text: DataFrame, threshold: float) -> DataFrame:
+    """k and shingle: the rarest shingles of each line, so many that two lines of at least that similarity share one."""
+    each = text.select("k", F.explode(F.array_distinct(shingles(F.col("normal")))).alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("often"))
+    ranked = each.join(often, "shingle").groupBy("k").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("s"))
+    return ranked.select("k", F.explode(F.slice("s", F.lit(1), F.size("s") - F.ceil(threshold * F.size("s")).cast("int") + 1)).alias("s")).select("k", "s.shingle")
 
-    One of the two is outside the component of the bucket's first line. None if there is no such line.
+
+def many_pairs(open_: DataFrame, text: DataFrame, threshold: float) -> DataFrame | None:
+    """Candidates (a, b) of the other buckets: lines of different components that share a prefix shingle. None if there are none.
+
+    Of two lines with the threshold's similarity each has one of its rarest shingles in the other, whichever buckets they
+    share. So lines that have only a common passage, however many they are, don't meet.
     """
-    crowded = inside.where(F.col("n") > ALL_PAIRS).select("bucket", "k", "first")
-    placed = crowded.join(roots.select(F.col("node").alias("k"), "root"), "k", "left").join(roots.select(F.col("node").alias("first"), F.col("root").alias("first_root")), "first", "left")
-    placed = scratch(placed.select("bucket", "k", F.coalesce("root", "k").alias("root"), F.coalesce("first_root", "first").alias("first_root")))
-    apart = placed.where("root <> first_root")
-    if not apart.take(1):
+    many = open_.where(F.col("pairs") > FEW).groupBy("k").agg(F.max("root").alias("root"), F.max("sketch").alias("sketch"), F.min("inner").alias("inner"))
+    many = scratch(many)
+    if not many.take(1):
         return None
-    near = placed.join(apart.select("bucket").distinct(), "bucket", "left_semi")
-    keys = distinct.join(near.select("k").distinct(), "k", "left_semi").select("k", F.explode(prefix(F.col("normal"), threshold)).alias("shingle"))
-    cut = scratch(near.join(keys, "k"))
-    own = cut.where("root <> first_root").select("bucket", "shingle", F.col("k").alias("a"), F.col("root").alias("root_a"))
-    pairs = own.join(cut.select("bucket", "shingle", F.col("k").alias("b"), "root"), ["bucket", "shingle"]).where("root_a <> root")
-    return scratch(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    keys = scratch(prefixes(text.join(_small(many, 48), "k", "left_semi"), threshold).join(_small(many, 48), "k"))
+    own = keys.where("not inner").select("shingle", F.col("k").alias("a"), F.col("root").alias("root_a"), F.col("sketch").alias("sketch_a"))
+    other = keys.select(F.col("shingle").alias("same"), F.col("k").alias("b"), "root", "inner", "sketch")
+    apart = (F.col("root_a") != F.col("root")) & (F.col("inner") | (F.col("a") < F.col("b")))
+    pairs = own.join(other, (F.col("shingle") == F.col("same")) & apart & _agree("sketch_a", "sketch"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
 
+def likely(pairs: DataFrame, text: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose sizes allow the similarity and whose smallest hashes estimate it above threshold - SLACK, three deviations."""
+    side = lambda c, end: text.select(F.col("k").alias(c), F.col("n").alias(f"n{end}"), F.col("low").alias(f"low{end}"))
+    both = pairs.join(side("a", "_a"), "a").join(side("b", "_b"), "b")
+    both = both.where(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
+    least = F.slice(F.sort_array(F.array_union("low_a", "low_b")), 1, SAMPLE)
+    both = both.select("a", "b", least.alias("least"), F.array_intersect("low_a", "low_b").alias("common"))
+    return both.where(F.size(F.array_intersect("least", "common")) >= (threshold - SLACK) * F.size("least")).select("a", "b")
 
-def similar(pairs: DataFrame, distinct: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+
+def similar(pairs: DataFrame, text: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Those of the pairs (a, b) of keys k whose lines have at least that Jaccard similarity."""
-    wanted = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
-    text = scratch(distinct.join(_small(scratch(wanted)), "k", "left_semi").select("k", "normal"))
     both = pairs.join(text.select(F.col("k").alias("a"), F.col("normal").alias("x")), "a").join(text.select(F.col("k").alias("b"), F.col("normal").alias("y")), "b")
     sets = both.select("a", "b", F.array_distinct(shingles(F.col("x"))).alias("x"), F.array_distinct(shingles(F.col("y"))).alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     return sets.where(common >= threshold * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
-def _place() -> Column:
-    """Document and line as one number, in their order; a null id comes first."""
-    place = F.coalesce(F.col("doc_id"), F.lit(-(2**63))).cast("decimal(20,0)") * F.lit(SHIFT).cast("decimal(11,0)") + F.col("line").cast("decimal(10,0)")
-    return place.cast("decimal(38,0)")
-
-
-def _doc(place: str) -> Column:
-    return F.floor(F.col(place) / F.lit(SHIFT).cast("decimal(11,0)")).cast("long")
-
-
-def _line(place: str) -> Column:
-    return F.pmod(F.col(place), F.lit(SHIFT).cast("decimal(11,0)")).cast("int")
-
-
-def _names(line: Column) -> list[Column]:
-    """128 bits of hash of a normal line, which stand for it where its text isn't carried."""
-    return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")]
+def _links(pairs: DataFrame, text: DataFrame, threshold: float) -> DataFrame:
+    """The similar ones of some candidates, as a table."""
+    pairs = scratch(likely(pairs.distinct(), text, threshold))
+    found = scratch(similar(pairs, text, threshold))
+    forget(pairs)
+    return found
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per distinct line: h1, h2, place of its first occurrence, n_copies, first: the place of the line that stays."""
-    found = lines(docs, id_col, text_col).withColumn("place", _place()).groupBy("normal").agg(F.min("place").alias("place"), F.count("*").alias("n_copies"))
-    distinct = scratch(found.withColumn("bands", bands(F.col("normal"))).withColumn("k", F.monotonically_increasing_id()))
+    """One row per distinct line: h1, h2, place of its first occurrence, copies, first: the place of the line that stays."""
+    distinct = scratch(signatures(lines(docs, id_col, text_col)))
     inside = bucketed(distinct)
-    links = scratch(similar(first_pairs(inside), distinct, threshold))
+    text = texts(inside, distinct, docs, id_col, text_col)
+    links = _links(first_pairs(inside), text, threshold)
     roots = scratch(components(links))
-    rest = rest_pairs(inside, distinct, roots, threshold)
-    if rest is not None:
-        roots = components(links.unionByName(similar(rest, distinct, threshold)))
-    named = distinct.select("k", *_names(F.col("normal")), "place", "n_copies").join(roots, F.col("k") == F.col("node"), "left").withColumn("root", F.coalesce("root", "k"))
-    linked = named.where("node is not null")
+    open_ = placed(inside, roots)
+    if open_.where(F.col("pairs") > FEW).take(1):
+        links = links.unionByName(_links(dealt_pairs(open_), text, threshold))
+        forget(roots)
+        forget(open_)
+        roots = scratch(components(links))
+        open_ = placed(inside, roots)
+    forget(inside)
+    rest = few_pairs(open_)
+    many = many_pairs(open_, text, threshold)
+    more = _links(rest if many is None else rest.unionByName(many), text, threshold)
+    forget(text)
+    forget(open_)
+    if more.take(1):
+        forget(roots)
+        roots = scratch(components(links.unionByName(more)))
+    linked = distinct.select("k", "h1", "h2", "place", "copies").join(_small(roots.withColumnRenamed("node", "k"), 48), "k")
     first = linked.groupBy("root").agg(F.min("place").alias("first"))
-    rows = named.where("node is null").withColumn("first", F.col("place")).unionByName(linked.join(first, "root").select(*named.columns, "first"))
-    return rows.select("h1", "h2", "place", "n_copies", "first")
+    alone = distinct.select("k", "h1", "h2", "place", "copies").join(_small(roots.select(F.col("node").alias("k")), 32), "k", "left_anti")
+    columns = ["h1", "h2", "place", "copies", "first"]
+    out = scratch(alone.withColumn("first", F.col("place")).select(columns).unionByName(linked.join(first, "root").select(columns)))
+    for df in (distinct, more, roots):
+        forget(df)
+    return out
 
 
 def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per distinct line: doc_id and line of its first occurrence, n_copies, keep_doc, keep_line, kept.
 
-    keep_doc and keep_line tell the first line of its component, which stays. A null id comes first. Texts without lines
-    with a word, null texts and empty tables give no rows; rows that repeat an id count as texts of one document.
+    keep_doc and keep_line tell the first line of its component, which stays. A null id comes first and is the least long
+    here. Texts without lines with a word, null texts and empty tables give no rows; rows that repeat an id count as texts
+    of one document. Texts and lines of any length are compared whole.
     """
     rows = judged(docs, id_col, text_col, threshold)
-    return rows.select(_doc("place").alias("doc_id"), _line("place").alias("line"), "n_copies", _doc("first").alias("keep_doc"), _line("first").alias("keep_line"), (F.col("place") == F.col("first")).alias("kept"))
+    return rows.select(_doc("place").alias("doc_id"), _line("place").alias("line"), F.col("copies").alias("n_copies"), _doc("first").alias("keep_doc"), _line("first").alias("keep_line"), (F.col("place") == F.col("first")).alias("kept"))
+
 
+def _occurrences(docs: DataFrame, id_col: str, text_col: str, threshold: float, *more: Column) -> DataFrame:
+    """doc_id, line, place, n_copies, first, and `more`: of every line with a word.
 
-def _occurrences(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """doc_id, line, mark (a hash of number and text), place, n_copies, first: of every line with a word."""
-    verdicts = scratch(judged(docs, id_col, text_col, threshold))
-    every = lines(docs, id_col, text_col).select("doc_id", "line", F.xxhash64("line", "normal").alias("mark"), *_names(F.col("normal")))
-    hot, rest = verdicts.where(F.col("n_copies") > HOT), verdicts.where(F.col("n_copies") <= HOT)
-    side = lambda v, end: v.select(F.col("h1"), F.col("h2"), F.col("n_copies").alias(f"n{end}"), F.col("first").alias(f"first{end}"))
-    met = every.join(F.broadcast(side(hot, "")), ["h1", "h2"], "left")
-    columns = ["doc_id", "line", "mark", "n_copies", "first"]
-    of_hot = met.where("first is not null").withColumnRenamed("n", "n_copies").select(columns)
-    of_rest = met.where("first is null").drop("n", "first").join(side(rest, ""), ["h1", "h2"]).withColumnRenamed("n", "n_copies").select(columns)
-    return of_hot.unionByName(of_rest).withColumn("place", _place())
+    Lines that occur once and are like no other tell their verdict themselves. Those with many copies are joined by
+    broadcast; their occurrences then get a key of their own each, so that the other lines' join deals them out evenly.
+    """
+    verdicts = judged(docs, id_col, text_col, threshold)
+    verdicts = verdicts.where("copies > 1 OR place <> first").select("h1", "h2", "copies", "first")
+    hot = verdicts.where(F.col("copies") > HOT).select("h1", "h2", F.col("copies").alias("hot_copies"), F.col("first").alias("hot_first"))
+    rest = verdicts.where(F.col("copies") <= HOT)
+    every = lines(docs, id_col, text_col).select("doc_id", "line", "h1", "h2", *more).join(F.broadcast(hot), ["h1", "h2"], "left")
+    every = every.withColumn("h1", F.when(F.col("hot_first").isNull(), F.col("h1")).otherwise(F.xxhash64("doc_id", "line")))
+    every = every.join(rest, ["h1", "h2"], "left").withColumn("place", _place())
+    columns = [c for c in every.columns if c not in ("h1", "h2", "copies", "first", "hot_copies", "hot_first")]
+    return every.select(*columns, F.coalesce("hot_copies", "copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("hot_first", "first", "place").alias("first"))
 
 
 def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per line with a word of every document: doc_id, line, n_copies, keep_doc, keep_line, kept.
 
-    Of all occurrences of the lines of a component only the first, keep_doc and keep_line, is kept. Ids are as in `fuzzy_lines`.
+    Of all occurrences of the lines of a component only the first, keep_doc and keep_line, is kept. Cases as in `fuzzy_lines`.
     """
     rows = _occurrences(docs, id_col, text_col, threshold)
     return rows.select("doc_id", "line", "n_copies", _doc("first").alias("keep_doc"), _line("first").alias("keep_line"), (F.col("place") == F.col("first")).alias("kept"))
@@ -177,7 +324,8 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with all columns and rows, their texts without the lines that are not kept; lines without a word stay."""
-    gone = _occurrences(docs, id_col, text_col, threshold).where("place <> first").groupBy(F.col("doc_id").alias("key")).agg(F.collect_set("mark").alias("gone"))
+    mark = F.xxhash64("line", "normal").alias("mark")
+    gone = _occurrences(docs, id_col, text_col, threshold, mark).where("place <> first").groupBy(F.col("doc_id").alias("key")).agg(F.collect_set("mark").alias("gone"))
     rows = boxed(docs, id=F.col(id_col).cast("long")).join(gone.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("key")), "left")
     stays = F.filter(F.split(F.col("doc")[text_col], "\n"), lambda x, i: ~F.array_contains(F.col("gone"), F.xxhash64(i, normal(x))))
     text = F.when(F.col("gone").isNull(), F.col("doc")[text_col]).otherwise(F.array_join(stays, "\n"))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -192,16 +193,40 @@ def test_fuzzy_lines_brute_force(spark):
     assert "Python" not in line_dedup.lines(docs)._jdf.queryExecution().toString()
 
 
-def test_large_buckets_lose_no_link(spark, monkeypatch):
-    """With every bucket treated as a large one, the components are still those of all pairs."""
-    monkeypatch.setattr(line_dedup, "ALL_PAIRS", 1)
+@pytest.mark.parametrize("few", [0, 1024])
+def test_open_buckets_lose_no_link(spark, monkeypatch, few):
+    """Compared directly or by their rarest shingles, the components are those of all pairs; a common passage joins nothing."""
+    monkeypatch.setattr(line_dedup, "FEW", few)
     base = "the quick brown fox jumps over the lazy dog and then runs away from the very angry bear"
     texts = [f"{base} {i}" for i in range(40)] + [f"{base[: 40 + i]} {'tail ' * (i // 4)}" for i in range(40)]
+    texts += [f"{chr(97 + i) * 9} {i * 977} {base} {chr(97 + i) * 5} {i * 7919}" for i in range(26)]
     rows = list(enumerate(texts))
     got = {(r.doc_id, r.line): (r.keep_doc, r.keep_line) for r in line_dedup.fuzzy_lines(documents(spark, rows)).collect()}
     assert got == fuzzy(rows)
 
 
+def test_recall_of_fuzzy_lines(spark):
+    """On lines with random edits, nearly all pairs of similarity 0.8 or more end in one component, and no others are linked."""
+    rng = random.Random(3)
+    letters = "abcdefghijklmnop     "
+    texts = []
+    for _ in range(60):
+        base = "".join(rng.choice(letters) for _ in range(rng.choice((40, 120, 400)))).strip()
+        for _ in range(5):
+            line = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 60))):
+                line[rng.randrange(len(line))] = rng.choice("qrstuvwxyz")
+            texts.append(" ".join("".join(line).split()))
+    sets = [{t[k : k + 8] for k in range(max(1, len(t) - 7))} for t in texts]
+    close = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    got = {(r.doc_id, r.line): (r.keep_doc, r.keep_line) for r in line_dedup.line_verdicts(documents(spark, list(enumerate(texts)))).collect()}
+    found = sum(got[a, 0] == got[b, 0] for a, b in close)
+    print(f"recall: {found} of {len(close)} pairs")
+    assert len(close) > 100 and found >= 0.97 * len(close)
+    want = fuzzy(list(enumerate(texts)))
+    assert all(want[k] == want[got[k]] for k in want)
+
+
 @pytest.mark.parametrize("hot", [1, 1000])
 def test_every_line_has_a_verdict(spark, monkeypatch, hot):
     """Each occurrence has a row, one of each component stays, and the texts lose the others."""
@@ -217,9 +242,9 @@ def test_every_line_has_a_verdict(spark, monkeypatch, hot):
 
 
 def test_prefix_is_shared_by_similar_lines(spark):
-    rows = spark.createDataFrame([("abcdefghijklmnopqrstuvwxyz" * 3, "abcdefghijklmnopqrstuvwxyz" * 3 + "!!")], "x string, y string")
-    got = rows.select(line_dedup.prefix(F.col("x"), 0.8).alias("x"), line_dedup.prefix(F.col("y"), 0.8).alias("y")).first()
-    assert set(got.x) & set(got.y) and len(got.x) == 26 - 21 + 1
+    rows = spark.createDataFrame([(1, "abcdefghijklmnopqrstuvwxyz" * 3), (2, "abcdefghijklmnopqrstuvwxyz" * 3 + "!!"), (3, "0123456789" * 3)], "k long, normal string")
+    got = {k: {r.shingle for r in line_dedup.prefixes(rows, 0.8).where(F.col("k") == k).collect()} for k in (1, 2, 3)}
+    assert got[1] & got[2] and not got[1] & got[3] and len(got[1]) == 26 - 21 + 1
 
 
 def test_shingles_are_exact(spark):
