@@ -1,10 +1,12 @@
 """Quality rules: fixed rules on word statistics, then robust multivariate outliers by language and source.
 
 One pass over the texts gives a few counts per document. Documents that pass the fixed rules form cells by language and
-source (small cells join those of their language, then all). Each cell gets a minimum-covariance-determinant estimate:
-from medians and median deviations, concentration steps re-estimate mean and covariance from the share `SUPPORT` of the
-rows with the least Mahalanobis distances until no determinant falls. Every step is two aggregations over all rows of
-the table of counts, so cells of any size are estimated from all their rows and nothing but sums is gathered.
+source; one with few rows is judged by the estimate of all rows of its language, or of all rows if these are few too. Each
+estimate is a minimum covariance determinant: from several starts (medians and median deviations, and seeded parts of the
+rows) concentration steps re-estimate mean and covariance from the share `SUPPORT` of the rows with the least Mahalanobis
+distances until the determinant falls no more; the start that ends with the least determinant counts. Every step is two aggregations
+over all rows of the table of counts, so cells of any size are estimated from all their rows and nothing but sums is
+gathered. Rows whose distance equals the one that ends the share are all in it.
 """
 
 from __future__ import annotations
@@ -17,15 +19,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladderworks.llm.common import WHITE, boxed, chunks, scratch
+from ladderworks.llm.common import WHITE, boxed, chunks, forget, scratch
 
 #: Share of a cell's rows that a concentration step keeps; up to the rest may be outliers.
 SUPPORT = 0.75
-#: A cell with fewer rows joins a larger one.
+#: A cell with fewer rows is judged by the estimate of a larger one.
 LEAST_ROWS = 100
-#: Most concentration steps; they end earlier when no determinant falls by more than TOLERANCE (of its logarithm).
-STEPS, TOLERANCE = 10, 1e-3
-#: Median of the chi-squared distribution with five degrees of freedom, and the squared distance beyond which rows go.
+#: Starts of each estimate; all but the first are means and covariances of one in PART rows, chosen by hash.
+STARTS, PART = 3, 4
+#: Concentration steps end when no determinant falls by more than this (of its logarithm), which it can't do forever.
+TOLERANCE = 1e-3
+#: Median of the chi-squared distribution with five degrees of freedom, and the squared distance beyond which rows go: under
+#: that distribution 4 in a thousand million do, so that clean texts, whose counts have longer tails, stay.
 CHI2_MEDIAN, CUTOFF = 4.351, 48.0
 #: Least deviations of the five features: what varies less than this in a cell isn't held against a document.
 FLOORS = (0.5, 0.08, 0.35, 0.5, 0.04)
@@ -95,12 +100,23 @@ def _features() -> list[Column]:
 
 
 def _cells(rows: DataFrame, least: int) -> DataFrame:
-    """Adds `cell`: language and source, or the language, or all, as far as that many rows share it; else null."""
-    for cell, key in (("c2", F.concat_ws("|", F.lit("s"), "lang", "source")), ("c1", F.concat_ws("|", F.lit("l"), "lang")), ("c0", F.lit("all"))):
-        full = rows.where("c is null").groupBy(key.alias(cell)).count().where(F.col("count") >= least).drop("count") if "c" in rows.columns else rows.groupBy(key.alias(cell)).count().where(F.col("count") >= least).drop("count")
-        rows = rows.withColumn("k", key).join(full, F.col("k") == F.col(cell), "left")
-        rows = rows.withColumn("c", F.coalesce("c", cell) if "c" in rows.columns else F.col(cell)).drop("k", cell)
-    return rows.withColumnRenamed("c", "cell")
+    """Adds `cell`, by which a row is judged: language and source, or the language, or all, the first with `least` rows.
+
+    Adds `cells` too, the estimates that it is part of: its own one, and those of its language and of all where others need them.
+    """
+    both = scratch(rows.groupBy("lang", "source").agg(F.count("*").alias("n")))  # a row for each cell
+    by_lang = both.groupBy(F.col("lang").alias("l")).agg(F.sum("n").alias("all"), F.min("n").alias("fewest"))
+    placed = both.join(by_lang, F.col("lang") == F.col("l"))
+    own, wide = F.concat_ws("|", F.lit("s"), "lang", "source"), F.concat_ws("|", F.lit("l"), "lang")
+    cell = F.when(F.col("n") >= least, own).when(F.col("all") >= least, wide).otherwise("all")
+    placed = scratch(placed.select("lang", "source", cell.alias("cell")))
+    used = ["all"] if placed.where("cell = 'all'").take(1) else []
+    wides = placed.where("cell LIKE 'l|%'").select("lang", F.col("cell").alias("wide")).distinct()
+    placed = placed.join(wides, "lang", "left")
+    cells = F.array_distinct(F.array_compact(F.array("cell", "wide", *map(F.lit, used))))
+    placed = scratch(placed.select(F.col("lang").alias("cell_lang"), F.col("source").alias("cell_source"), "cell", cells.alias("cells")))
+    few = placed.limit(BROADCAST + 1).count() <= BROADCAST
+    return rows.join(F.broadcast(placed) if few else placed, (F.col("lang") == F.col("cell_lang")) & (F.col("source") == F.col("cell_source"))).drop("cell_lang", "cell_source")
 
 
 def _solved(found: pd.DataFrame) -> pd.DataFrame:
@@ -133,9 +149,13 @@ def _distance() -> Column:
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    mid = scratch(rows.groupBy("cell").agg(F.array(*(F.percentile_approx(f"x{i}", 0.5, 10000) for i in range(P))).alias("mean")))
-    off = _with(rows, mid).groupBy("cell").agg(F.first("mean").alias("mean"), *(F.percentile_approx(F.abs(F.col(f"x{i}") - F.col("mean")[i]), 0.5, 10000).alias(f"d{i}") for i in range(P)))
-    return _solve(off.select("cell", "mean", F.array(*((F.col(f"d{i}") * 1.4826) ** 2 if i == j else F.lit(0.0) for i, j in PAIRS)).alias("cov")))
+    """First estimates of all cells, which end in the number of the start."""
+    first, others = rows.where("start = 0"), rows.where("start > 0 AND pmod(xxhash64(start, x0, x1, x2, x3, x4), %d) = 0" % PART)
+    mid = scratch(first.groupBy("cell").agg(F.array(*(F.percentile_approx(f"x{i}", 0.5, 10000) for i in range(P))).alias("mean")))
+    off = _with(first, mid).groupBy("cell").agg(F.first("mean").alias("mean"), *(F.percentile_approx(F.abs(F.col(f"x{i}") - F.col("mean")[i]), 0.5, 10000).alias(f"d{i}") for i in range(P)))
+    robust = off.select("cell", "mean", F.array(*((F.col(f"d{i}") * 1.4826) ** 2 if i == j else F.lit(0.0) for i, j in PAIRS)).alias("cov"))
+    means, products = (F.avg(f"x{i}") for i in range(P)), (F.covar_pop(f"x{i}", f"x{j}") for i, j in PAIRS)
+    return _solve(robust.unionByName(others.groupBy("cell").agg(F.array(*means).alias("mean"), F.array(*products).alias("cov"))))
 
 
 def _step(rows: DataFrame, now: DataFrame) -> DataFrame:
@@ -146,17 +166,28 @@ def _step(rows: DataFrame, now: DataFrame) -> DataFrame:
     return _solve(sums.select("cell", F.array(*(F.col("old")[i] + F.col(f"m{i}") for i in range(P))).alias("mean"), F.array(*(F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") for i, j in PAIRS)).alias("cov")))
 
 
-def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Minimum-covariance-determinant mean and inverse covariance of x0.. by `cell`, and the scale of its distances."""
-    now = _start(rows)
-    for _ in range(steps):
-        new = _step(rows, now)
-        fell = new.join(now.select("cell", F.col("logdet").alias("was")), "cell").agg(F.max(F.col("was") - F.col("logdet"))).first()[0]
-        now = new
-        if fell is None or fell <= TOLERANCE:
-            break
-    scale = _with(rows, now).groupBy("cell").agg(F.greatest(F.lit(1.0), F.percentile_approx(_distance(), 0.5, 10000) / CHI2_MEDIAN).alias("scale"))
-    return scratch(now.join(scale, "cell"))
+def robust_estimates(rows: DataFrame, starts: int = STARTS) -> DataFrame:
+    """Minimum-covariance-determinant mean and inverse covariance of x0.. by `cell`, and the scale of its distances.
+
+    An empty table has no estimates. Of starts that end alike the first counts.
+    """
+    each = scratch(rows.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(starts - 1)))).withColumn("cell", F.concat("cell", F.lit("#"), F.col("start").cast("string"))))
+    open_, done = _start(each), None
+    while open_.take(1):
+        step = _step(each, open_)  # of the open cells' rows only
+        both = scratch(step.join(open_.select("cell", F.col("logdet").alias("was")), "cell"))
+        forget(step)
+        forget(open_)
+        ended = F.col("was") - F.col("logdet") <= TOLERANCE
+        done = both.where(ended).drop("was") if done is None else done.unionByName(both.where(ended).drop("was"))
+        open_ = both.where(~ended).drop("was")
+    if done is None:
+        done = open_
+    forget(each)
+    parts = done.select(F.regexp_extract("cell", r"(?s)^(.*)#", 1).alias("base"), F.struct(F.round("logdet", 6), "cell").alias("order"), F.struct("mean", "inv").alias("found"))
+    best = scratch(parts.groupBy("base").agg(F.min_by("found", "order").alias("found")).select(F.col("base").alias("cell"), "found.mean", "found.inv"))
+    scale = _with(rows, best).groupBy("cell").agg(F.greatest(F.lit(1.0), F.percentile_approx(_distance(), 0.5, 10000) / CHI2_MEDIAN).alias("scale"))
+    return scratch(best.join(scale, "cell"))
 
 
 def quality_verdicts(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS) -> DataFrame:
@@ -164,14 +195,15 @@ def quality_verdicts(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int =
 
     A null text has no words. Null languages and sources count as values of their own. base_failed: under 10 words, or
     over a fifth of the words repeated. Others go if their scaled squared distance is above `cutoff`; where even all rows
-    together are fewer than `least_rows` there is no estimate and they stay. An empty table gives an empty result.
+    together are fewer than `least_rows` they make one cell. Equal rows get equal verdicts, and a distance equal to the cutoff
+    stays. Very long texts are counted whole. An empty table gives an empty result.
     """
     counts = scratch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "text").mapInArrow(_counted, f"doc_id long, lang string, source string, {COUNTS}"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     counts = counts.withColumn("base_failed", failed)
     rows = counts.where("not base_failed").withColumns({f"x{i}": x for i, x in enumerate(_features())})
     rows = scratch(_cells(rows, least_rows))
-    found = robust_estimates(rows.where("cell is not null").select("cell", *(f"x{i}" for i in range(P))))
+    found = robust_estimates(rows.select(F.explode("cells").alias("cell"), *(f"x{i}" for i in range(P))))
     judged = rows.join(F.broadcast(found) if found.limit(BROADCAST + 1).count() <= BROADCAST else found, "cell", "left").withColumn("distance", _distance() / F.col("scale"))
     names = ["doc_id", *(x.split()[0] for x in COUNTS.split(", ")), "base_failed"]
     kept = judged.select(*names, (F.coalesce("distance", F.lit(0.0)) <= cutoff).alias("kept"), "cell", "distance")
