@@ -33,8 +33,11 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 
 
 def ends_in_mark(word: bytes) -> bool:
-    """Whether the word is a Latin letter and more, then a comma or full stop, which the tokenizer always splits off."""
-    return len(word) > 1 and word[-1:] in (b",", b".") and (last := word[:-1].decode()[-1]) < "\u0250" and last.isalpha()
+    """Whether the word is a Latin letter and more, then a comma or full stop, which the tokenizer always splits off.
+
+    Letters whose lower case is more than one character (it ends in a combining mark) are left to the tokenizer.
+    """
+    return len(word) > 1 and word[-1:] in (b",", b".") and (last := word[:-1].decode()[-1]) < "\u0250" and last.isalpha() and len(last.lower()) == 1
 
 
 def plain(word: bytes) -> bytes:
@@ -149,7 +152,9 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int,
 def packed(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A null or empty text is the single id 0. Rows that repeat an id are packed each. An empty table gives no piece.
+    A null or empty text is the single id 0. Rows that repeat an id are packed each. An empty table gives no piece. A very
+    long text gives as many pieces as it needs, each of `max_tokens` but the last; pieces of one length go into the bins in
+    the order of their input partitions, so ties are settled by that order.
     """
     spark = docs.sparkSession
     pieces = scratch(tokenized(docs, tokenizer_path, max_tokens, id_col, text_col))
