@@ -13,13 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Spans below this score are dropped. Characters before a span in which words of its context count.
+#: Spans below this score are dropped. Characters before and after a span in which words of its context count.
 ACCEPTED, NEAR = 0.5, 32
 
 
 @dataclass(frozen=True)
 class Kind:
-    """What proposes a span, what must occur in a text at all, its score, and what words before it add."""
+    """What proposes a span, what must occur in a text at all, its score, and what words near it add."""
 
     name: str
     pattern: str
@@ -85,20 +85,29 @@ def spans(text: Column, kind: Kind) -> Column:
     rank = KINDS.index(kind)
     none = F.array().cast(f"array<{SPAN}>")
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    pieces = F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"), found.alias("match"))
+    gaps = F.split(text, kind.pattern, -1)
+    pieces = F.arrays_zip(gaps.alias("gap"), found.alias("match"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("after"))
+    # matches are gathered in blocks and blocks in an array, as adding to one long array would copy it for each match
+    block = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(found))).cast("int"))
 
     def step(held: Column, piece: Column) -> Column:
         gap, match = piece["gap"], piece["match"]
         start = held["at"] + F.char_length(gap)
         end = start + F.coalesce(F.char_length(match), F.lit(0))
-        near = F.lower(F.concat(F.right(gap, F.lit(NEAR)), F.left(match, F.lit(4) if kind.name == "secret" else F.lit(0))))
+        own = F.left(match, F.lit(4) if kind.name == "secret" else F.lit(0))
+        near = F.lower(F.concat(F.right(gap, F.lit(NEAR)), own, F.lit(" "), F.left(F.coalesce(piece["after"], F.lit("")), F.lit(NEAR))))
         score = kind.score + F.when(near.rlike(kind.words), kind.bonus).otherwise(0.0)
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind.name).alias("kind"), match.alias("text"), score.alias("score"))
         stays = match.isNotNull() & _confirmed(kind, match) & (F.lit(rank < BASE) | (score >= ACCEPTED))
         return F.struct(end.alias("at"), F.when(stays, F.array_append(held["out"], span)).otherwise(held["out"]).alias("out"))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    all_spans = F.aggregate(pieces, start, step, lambda held: held["out"])
+    def gather(held: Column, some: Column) -> Column:
+        start = F.struct(held["at"].alias("at"), none.alias("out"))
+        return F.aggregate(some, start, step, lambda own: F.struct(own["at"].alias("at"), F.array_append(held["out"], own["out"]).alias("out")))
+
+    blocks = F.transform(F.sequence(F.lit(1), F.size(found) + 1, block), lambda i: F.slice(pieces, i, block))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("out"))
+    all_spans = F.flatten(F.aggregate(blocks, start, gather, lambda held: held["out"]))
     occurs = F.regexp_count(text, F.lit(kind.pattern)) > 0 if kind.needs is None else F.contains(text, F.lit(kind.needs))
     return F.when(occurs, all_spans).otherwise(none)
 
@@ -107,14 +116,17 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per row of `docs`: doc_id and `found`, all its spans by start and kind (see SPAN).
 
     A null text is an empty one and has none. Rows that repeat an id or a text get their row each; an empty table gives
-    an empty result. Spans of different kinds may overlap.
+    an empty result. Spans of different kinds may overlap. Very long texts are searched whole.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.select("doc_id", F.sort_array(F.concat(*(spans(F.col("text"), k) for k in KINDS))).alias("found"))
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with `[kind]` in place of each span in its text; of overlapping spans the first counts."""
+    """`docs` with `[kind]` in place of each span in its text; of overlapping spans the first counts.
+
+    All rows and columns stay, repeated ones too; null and empty texts stay as they are; an empty table stays empty.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = F.sort_array(F.concat(*(spans(text, k) for k in KINDS)))
 
