@@ -23,11 +23,13 @@ from ladderworks.llm.common import boxed, chunks, components, scratch
 
 #: Fingerprints of a leaf, on average; the tree is as deep as the table of fingerprints needs for that.
 LEAF = 4096
-#: Fingerprints sampled per leaf for the choice of vantage points, and the most levels; the tree is under 1 MB.
-SAMPLE, LEVELS = 32, 16
+#: Fingerprints sampled per leaf for the choice of vantage points, and the most levels; the tree is 10 MB at most; larger leaves grow trees of their own.
+SAMPLE, LEVELS = 32, 20
 #: Largest differing bits of linked fingerprints.
 RADIUS = 2
 BLOCK = 1024
+#: Most frequent fingerprints whose rows are judged by broadcast; any other has fewer than one in HOT of all rows.
+HOT = 1024
 SEED = 42
 
 
@@ -161,12 +163,26 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links of at most `radius` bits lead to. Rows that repeat an id get its row each; an empty table gives an empty result.
     """
     prints = scratch(fingerprints(docs, id_col, text_col))
-    distinct = scratch(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    distinct = scratch(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = components(fingerprint_links(distinct, radius))
     placed = roots.join(distinct, roots["node"] == distinct["fp"]).select("node", "root", "least")
     groups = placed.join(placed.groupBy("root").agg(F.min("least").alias("component")), "root").select("node", "component")
-    known = distinct.join(groups, distinct["fp"] == groups["node"], "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return prints.join(known, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    known = scratch(distinct.join(groups, distinct["fp"] == groups["node"], "left").select("fp", "n", F.coalesce("component", "least").alias("component_id")))
+    rows = _with_groups(prints, known)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _with_groups(prints: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, print and component_id of all rows.
+
+    The HOT most frequent fingerprints, whose rows are the large groups of equal texts, are joined by broadcast; in the
+    join for the others their rows have keys of their own, so that no task gets more than its share.
+    """
+    hot = known.where("n > 1").orderBy(F.desc("n"), "fp").limit(HOT).select("fp", F.col("component_id").alias("hot_id"))
+    rows = prints.withColumn("print", F.col("fp")).join(F.broadcast(scratch(hot)), "fp", "left")
+    rows = rows.withColumn("fp", F.when(F.col("hot_id").isNull(), F.col("fp")).otherwise(F.xxhash64("doc_id", "fp"))).alias("r")
+    rows = rows.join(known.alias("k"), F.col("r.fp") == F.col("k.fp"), "left")
+    return rows.select("doc_id", "print", F.coalesce("hot_id", "component_id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
