@@ -74,7 +74,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     left = known.join(seen.where("not stays").hint("shuffle_hash"), same, "left_anti")
     again = seen.where("stays and n > 1")
     if again.take(1):
-        first = Window.partitionBy("id", "digest").orderBy(F.desc("length"))
+        first = Window.partitionBy("id", "digest").orderBy(F.desc("length"), F.xxhash64("doc"))
         once = left.join(again, same, "left_semi").withColumn("place", F.row_number().over(first)).where("place = 1").drop("place")
         left = left.join(again, same, "left_anti").unionByName(once)
     return left.select("doc.*")

@@ -38,8 +38,8 @@ FEW = 1_024
 GROUP = 6
 #: Tables of at most so many bytes, by count and width of their rows, are broadcast; larger ones are shuffled.
 BROADCAST_BYTES = 32 << 20
-#: Lines with more copies are joined to their occurrences by broadcast; there is one for each HOT lines of input at most.
-HOT = 1_000
+#: The HOT lines with the most copies are joined to their occurrences by broadcast.
+HOT = 1024
 SHIFT = 10**10
 _NO_DOC = -(2**63)
 #: White space within a line.
@@ -304,11 +304,10 @@ def _occurrences(docs: DataFrame, id_col: str, text_col: str, threshold: float,
     """
     verdicts = judged(docs, id_col, text_col, threshold)
     verdicts = verdicts.where("copies > 1 OR place <> first").select("h1", "h2", "copies", "first")
-    hot = verdicts.where(F.col("copies") > HOT).select("h1", "h2", F.col("copies").alias("hot_copies"), F.col("first").alias("hot_first"))
-    rest = verdicts.where(F.col("copies") <= HOT)
+    hot = scratch(verdicts.where("copies > 1").orderBy(F.desc("copies"), "h1", "h2").limit(HOT)).select("h1", "h2", F.col("copies").alias("hot_copies"), F.col("first").alias("hot_first"))
     every = lines(docs, id_col, text_col).select("doc_id", "line", "h1", "h2", *more).join(F.broadcast(hot), ["h1", "h2"], "left")
     every = every.withColumn("h1", F.when(F.col("hot_first").isNull(), F.col("h1")).otherwise(F.xxhash64("doc_id", "line")))
-    every = every.join(rest, ["h1", "h2"], "left").withColumn("place", _place())
+    every = every.join(verdicts, ["h1", "h2"], "left").withColumn("place", _place())
     columns = [c for c in every.columns if c not in ("h1", "h2", "copies", "first", "hot_copies", "hot_first")]
     return every.select(*columns, F.coalesce("hot_copies", "copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("hot_first", "first", "place").alias("first"))
 

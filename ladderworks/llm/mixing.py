@@ -62,8 +62,8 @@ def mixed(docs: DataFrame, domain: Column, weights: Mapping[tuple, float], *, bu
 
     Tokens are words. The budget is `budget_share` of all tokens. A document comes once for each epoch that takes it. Null
     texts have no tokens; null domains, languages and sources count as values of their own. Documents without tokens come
-    with whole epochs, and with a prefix that ends after their place. Rows that repeat an id stand in the order as
-    they would alone. An empty table, or one without tokens, gives an empty result.
+    with whole epochs, and with a prefix that ends after their place. Rows that repeat an id are drawn by their texts
+    as well; of equal ones it makes no difference which is taken. Very long texts count whole. An empty table, or one without tokens, gives an empty result.
     """
     spark = docs.sparkSession
     leaf = [F.coalesce(c, F.lit("")) for c in (domain, F.col("lang"), F.col("source"))]
@@ -75,7 +75,7 @@ def mixed(docs: DataFrame, domain: Column, weights: Mapping[tuple, float], *, bu
     have = {tuple(r["leaf"]): r["n"] for r in found if r["n"]}
     given = budgets({k: n * epochs for k, n in have.items()}, weights, int(budget_share * sum(have.values())))
     plan = spark.createDataFrame([(list(k), n // have[k], n % have[k]) for k, n in given.items() if n], "leaf array<string>, whole int, rest long")
-    draw = F.xxhash64(F.lit(seed), "whole", "id")
+    draw = F.xxhash64(F.lit(seed), "whole", "id", "ends_text")
     drawn = rows.join(F.broadcast(plan), "leaf").withColumn("draw", draw).withColumn("part", F.shiftrightunsigned("draw", 52))
     sums = drawn.where("rest > 0").groupBy("leaf", "rest", "part").agg(F.sum("tokens").alias("n"))
     before = F.sum("n").over(Window.partitionBy("leaf").orderBy("part")) - F.col("n")
@@ -94,7 +94,11 @@ def mixed(docs: DataFrame, domain: Column, weights: Mapping[tuple, float], *, bu
 
 
 def cut_text(rows: DataFrame, text_col: str = "text") -> DataFrame:
-    """Rows of `mixed` as documents: the text cut to the tokens taken, and n_chars with it if there is one."""
+    """Rows of `mixed` as documents: the text cut to the tokens taken, and n_chars with it if there is one.
+
+    Texts taken whole stay as they are, null and empty ones included; cut ones are their first words, joined by one space. Other
+    columns, whatever their names, stay; an empty table stays empty; a document comes as often as `mixed` gives it.
+    """
     text, cut = F.col(f"doc.{text_col}"), F.col("taken") < F.col("tokens")
     words = F.slice(F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), F.lit(1), F.col("taken").cast("int"))
     new = {text_col: F.when(cut, F.array_join(words, " ")).otherwise(text)}
