@@ -148,7 +148,7 @@ def test_a_common_phrase_meets_in_no_one_task(spark):
     side = lambda i, c: " ".join(f"{c}{i}x{k}" for k in range(14))
     rows = [(i, f"{side(i, 'a')} {phrase} {side(i, 'b')}") for i in range(400)] + [(1000 + i, passage) for i in range(400)]
     docs = documents(spark, rows).select(F.col("doc_id").alias("doc"), "text").coalesce(1)
-    shuffled = docs.mapInArrow(substring_dedup._dealt, substring_dedup.PIECES).repartition(8, "bucket")
+    shuffled = docs.mapInArrow(substring_dedup._dealt(substring_dedup.BUCKETS), substring_dedup.PIECES).repartition(8, "bucket")
     sizes = [r.n for r in shuffled.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("hashes") / 8).alias("n")).collect()]
     assert sum(sizes) == 400 * 15 + 1 and len(sizes) == 8 and max(sizes) < 2 * min(sizes)
 
@@ -161,11 +161,6 @@ def test_repeated_passages_agree_with_sql(spark):
     assert got == sorted(con.execute(f"SELECT doc_id, n_words, n_removed, kept_sha256 FROM ({ORACLES['op10_repeated_passages']})").fetchall())
 
 
-def test_first_least_takes_the_first_of_equals():
-    values = np.array([3, 1, 1, 2, 1, 5, 5, 5], np.uint64)
-    assert substring_dedup._first_least(values, 3).tolist() == [1, 1, 2, 4, 4, 5]
-
-
 def fuzzy(rows):
     first = {}
     for i, t in rows:

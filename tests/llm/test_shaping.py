@@ -1,6 +1,7 @@
 import os
 import zlib
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import public_tokenizers
@@ -52,6 +53,48 @@ def test_plan_uses_every_piece_once():
     assert len(room) <= 1.01 * -(-sum(n * k for n, k in histogram.items()) // 100)
 
 
+def test_every_latin_letter_before_a_mark_is_tokenised_as_a_whole():
+    tokenizer, tokens = Tokenizer.from_file(PATH), packing.WordTokens(PATH)
+    words = [f"{front}{chr(c)}{end}" for c in range(0xC0, 0x250) for front in ("", "ab") for end in ("", ".", ",", "..", ".,")]
+    tokens.learn([w.encode() for w in words])
+    for w in words:
+        assert np.frombuffer(tokens[w.encode()], "<u4").tolist() == tokenizer.encode(w, add_special_tokens=False).ids, w
+
+
+def one_by_one(lengths, size):
+    """Best-two-fit, a bin after the other, on plain lists."""
+    left, bins = sorted(lengths, reverse=True), []
+    while left:
+        own, gap = [], size
+        for n in list(left):
+            if n <= gap:
+                own.append(n)
+                left.remove(n)
+                gap -= n
+        if gap and len(own) > 1:
+            room = gap + own[-1]
+            fits = [(-a - b, a, b) for i, a in enumerate(left) for b in left[i + 1 :] if own[-1] < a + b <= room]
+            if fits:  # the tightest, of equal ones the most alike
+                left.append(own.pop())
+                for n in min(fits)[1:]:
+                    left.remove(n)
+                    own.append(n)
+                left.sort(reverse=True)
+        bins.append(sum(own))
+    return sorted(bins)
+
+
+def test_plan_fills_bins_as_one_by_one():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        lengths = rng.integers(1, 31, int(rng.integers(1, 120))).tolist()
+        room = defaultdict(int)
+        for n, _, ranks, bins, at, _ in packing.plan({n: lengths.count(n) for n in set(lengths)}, 30):
+            for r in range(ranks):
+                room[at + r % bins] += n
+        assert sorted(room.values()) == one_by_one(lengths, 30)
+
+
 def test_two_fit_beats_greedy():
     counts = np.zeros(11, np.int64)
     counts[[6, 3, 2]] = [1, 1, 2]
@@ -86,7 +129,8 @@ def test_mixture_brute_force(spark):
         leaves["d", lang or "", source].append(i)
     have = {k: sum(size[i] for i in v) for k, v in leaves.items()}
     given = mixing.budgets({k: 2 * n for k, n in have.items() if n}, {("d", "en"): 5.0}, int(1.1 * sum(have.values())))
-    draws = {(r.i, r.e): r.u for r in spark.createDataFrame([(i, e) for i in size for e in range(3)], "i long, e int").select("i", "e", F.xxhash64(F.lit(42), "e", "i").alias("u")).collect()}
+    text = spark.createDataFrame([(i, e, t) for i, t, *_ in rows for e in range(3)], "i long, e int, t string")
+    draws = {(r.i, r.e): r.u for r in text.select("i", "e", F.xxhash64(F.lit(42), "e", "i", F.xxhash64("t")).alias("u")).collect()}
     want = []
     for k, ids in leaves.items():
         whole, rest = divmod(given.get(k, 0), have[k] or 1)
@@ -118,15 +162,38 @@ def test_shards_round_trip(spark, tmp_path):
     key = lambda df: sorted(map(str, df.select("doc_id", "text").collect()))
     assert key(store.read()) == key(store.read(version)) == sorted(key(docs) * 5)
     with pytest.raises(Conflict):
-        store.commit(version, [])
+        store.commit(version, [], "")
     store.vacuum()
     assert len(store.versions()) == 1 and key(store.read()) == sorted(key(docs) * 5)
 
 
+def test_an_empty_first_arrival(spark, tmp_path):
+    store = ShardStore(spark, f"file://{tmp_path}/s")
+    docs = documents(spark, [], clashes=True)
+    assert store.append_arrivals(docs.withColumn("day", F.lit(1)), "day") == 1 and store.compact() == 1
+    assert store.read().count() == 0 and store.read().columns == docs.columns
+    assert store.append(documents(spark, [(1, None), (1, None)], clashes=True)) == 2 and store.read().count() == 2
+
+
+def test_of_racing_writers_one_wins(spark, tmp_path, monkeypatch):
+    """All of them have seen version 1 as the newest when they commit."""
+    store = ShardStore(spark, f"file://{tmp_path}/s")
+    store.append(spark.range(3))
+    monkeypatch.setattr(ShardStore, "versions", lambda self: [1])
+    with ThreadPoolExecutor(6) as pool:
+        done = [f.exception() for f in [pool.submit(store.commit, 1, [], "") for _ in range(6)]]
+    assert sum(e is None for e in done) == 1 and all(e is None or isinstance(e, Conflict) for e in done)
+
+
 def test_arrivals_each_commit(spark, tmp_path):
     store = ShardStore(spark, str(tmp_path))
     assert store.append_arrivals(spark.range(20).withColumn("day", F.col("id") % 4), "day") == 4
     assert sorted(r.id for r in store.read().collect()) == list(range(20)) and store.read().columns == ["id"]
+    other = ShardStore(spark, f"{tmp_path}/other")
+    other.append_arrivals(spark.range(12).withColumn("day", F.col("id")), "day")
+    assert [len(other.shards(v)) for v in other.versions()] == list(range(1, 13))
+    first = {s.path for s in other.shards(11)} - {s.path for s in other.shards(10)}
+    assert [r.id for r in spark.read.parquet(*first).collect()] == [10]
     assert store.append(spark.range(0)) == 5 and store.read().count() == 20
 
 
