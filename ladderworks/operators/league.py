@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
 from ladderworks.functions.scoring import league_points, premier_points
+from ladderworks.operators.ranking import ranks
 
 TOPS = ("Wins", "Top2", "Top4", "Top8", "Top16")
 
@@ -34,8 +35,8 @@ def season_totals(results: DataFrame, row: Column) -> DataFrame:
 
 def ranked(totals: DataFrame) -> DataFrame:
     """Rank 1..n by points, then wins to starts, then average finish, name and login. The table has a row per pilot of a season."""
-    order = [F.desc(c) for c in ("Points", *TOPS, "Starts")] + [F.asc(c) for c in ("_finish", "Pilot", "LoginID")]
-    return totals.withColumn("Rank", F.row_number().over(Window.orderBy(*order)))
+    # the key of the identity comes last, so that the order is total
+    return ranks(totals, *(-F.col(c) for c in ("Points", *TOPS, "Starts")), *map(F.col, ("_finish", "Pilot", "LoginID", "_key")))
 
 
 def season_table(results: DataFrame, row: Column, as_of: Column, days_back: int = 7) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
 from ladderworks.functions.scoring import percent, rounded
+from ladderworks.operators.ranking import ranks
 
 TOPS = (8, 16)
 SUMMED = ("Events", "Appearances", "Top8Count", "Top16Count", "WinnerCount", "Top32EventCount", "Top32EntryCount", "Top8EventCount", "Top16EventCount", "WinnerEventCount")
@@ -21,20 +22,35 @@ def event_counts(history: DataFrame) -> DataFrame:
     return history.groupBy("Tier").agg(F.countDistinct("EventID").alias("n_events"))
 
 
+def event_lists(history: DataFrame, *by: str) -> DataFrame:
+    """EventIDs and EventDates of each group, sorted and joined by semicolons, for tables that are written out.
+
+    A list is as long as its key has events; what only counts events doesn't need it.
+    """
+    rows = history.where(F.col(by[-1]).isNotNull())
+    ids = rows.select(*by, "EventID").distinct().groupBy(*by).agg(_listed(F.col("EventID")).alias("EventIDs"))
+    days = rows.select(*by, F.col("EventDate").cast("string").alias("d")).distinct().groupBy(*by).agg(_listed(F.col("d")).alias("EventDates"))
+    return ids.join(days, list(by))
+
+
 def presence(history: DataFrame, key: str = "Deck") -> DataFrame:
     """The presence table of each tier and key, of history rows (EventID, EventDate, Tier, Place, the key, Pilot, LoginID).
 
-    Two aggregations by tier and key, combined map-side; rows without a key are dropped. Percentages of events are
-    over the tier's events and rounded to two digits, but those of the top 4 and top 2, which are not rounded.
+    Rows are grouped once by event, combined map-side; events then count by their best place, so that no row is read once
+    for each distinct count. Rows without a key are dropped. Percentages of events are over the tier's events and rounded
+    to two digits, but those of the top 4 and top 2, which are not rounded. For the lists of events see `event_lists`.
     """
     rows = history.where(F.col(key).isNotNull())
-    top = lambda k: F.col("Place") <= k
-    once = lambda cond: F.countDistinct(F.when(cond, F.col("EventID")))
-    stats = rows.groupBy("Tier", key).agg(
-        F.countDistinct("EventID").alias("Events"), F.count("*").alias("Appearances"), rounded(F.avg("Place"), 1).alias("AvgPlace"), F.coalesce(F.min("Place"), F.lit(999)).alias("BestPlace"),
-        *(F.count_if(top(k)).alias(f"Top{k}Count") for k in (16, 8, 4, 2)), F.count_if(F.col("Place") == 1).alias("WinnerCount"),
-        *(once(top(k)).alias(f"Top{k}EventCount") for k in (16, 8, 4, 2)), once(F.col("Place") == 1).alias("WinnerEventCount"),
-        _listed(F.col("EventID")).alias("EventIDs"), _listed(F.col("EventDate").cast("string")).alias("EventDates"),
+    tops = (16, 8, 4, 2)
+    each = rows.groupBy("Tier", key, "EventID").agg(
+        F.count("*").alias("n"), F.sum("Place").alias("places"), F.count("Place").alias("placed"), F.min("Place").alias("best"),
+        *(F.count_if(F.col("Place") <= k).alias(f"in{k}") for k in tops), F.count_if(F.col("Place") == 1).alias("won"),
+    )
+    event = F.col("EventID").isNotNull()
+    stats = each.groupBy("Tier", key).agg(
+        F.count("EventID").alias("Events"), F.sum("n").alias("Appearances"), rounded(F.sum("places") / F.sum("placed"), 1).alias("AvgPlace"), F.coalesce(F.min("best"), F.lit(999)).alias("BestPlace"),
+        *(F.sum(f"in{k}").alias(f"Top{k}Count") for k in tops), F.sum("won").alias("WinnerCount"),
+        *(F.count_if(event & (F.col(f"in{k}") > 0)).alias(f"Top{k}EventCount") for k in tops), F.count_if(event & (F.col("won") > 0)).alias("WinnerEventCount"),
     )
     by_pilot = rows.withColumn("_id", T.identity_key("LoginID", "Pilot")).groupBy("Tier", key, "_id").agg(F.count("*").alias("n")).groupBy("Tier", key).agg(F.count("*").alias("DistinctPilots"), F.max("n").alias("_most"))
     n, seen = F.col("n_events"), F.greatest(F.col("Appearances"), F.lit(1))
@@ -55,8 +71,7 @@ def all_tiers(tables: DataFrame, key: str = "Deck") -> DataFrame:
     The average place is weighted by appearances from the tiers' rounded averages. Top 4, top 2 and pilots are not carried.
     """
     total = tables.select("Tier", "n_events").distinct().agg(F.sum("n_events").alias("n_all"))
-    union = lambda c: F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split(c, ";"))))), ";").alias(c)
-    sums = tables.groupBy(key).agg(*(F.sum(c).alias(c) for c in SUMMED), F.sum(F.col("AvgPlace") * F.col("Appearances")).alias("_places"), F.min("BestPlace").alias("BestPlace"), union("EventIDs"), union("EventDates"))
+    sums = tables.groupBy(key).agg(*(F.sum(c).alias(c) for c in SUMMED), F.sum(F.col("AvgPlace") * F.col("Appearances")).alias("_places"), F.min("BestPlace").alias("BestPlace"))
     n, seen = F.col("n_all"), F.greatest(F.col("Appearances"), F.lit(1))
     pct = {"AvgPlace": rounded(F.col("_places") / seen, 1), "Tier": F.lit("ALL")}
     pct |= {"PresencePct": percent(F.col("Events"), n), "Top32EventFreqPct": percent(F.col("Events"), n), "WinnerEventFreqPct": percent(F.col("WinnerEventCount"), n)}
@@ -89,8 +104,7 @@ def pilot_table(history: DataFrame, row: Column) -> DataFrame:
     A pilot is the login, or the name where there is none; the name shown is the latest. Ties keep the order of the keys.
     """
     rows = history.where(T.trimmed("Pilot") != "").withColumns({"_key": T.identity_key("LoginID", "Pilot"), "_row": row})
-    order = Window.orderBy(F.desc("Wins"), F.desc("Top8"), F.desc("Top32"), "_key")
-    return _first_decks(rows).withColumn("Rank", F.row_number().over(order)).drop("_key")
+    return ranks(_first_decks(rows), -F.col("Wins"), -F.col("Top8"), -F.col("Top32"), F.col("_key")).drop("_key")
 
 
 def trend(history: DataFrame, key: str = "Deck") -> DataFrame:

@@ -35,12 +35,14 @@ PRESENCE = H + _PRESENCE.format(key="Deck")
 
 @query(PRESENCE + "SELECT * FROM p")
 def a01_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.presence(history(spark, sf_dir))
+    h = history(spark, sf_dir)
+    return P.presence(h).join(P.event_lists(h, "Tier", "Deck"), ["Tier", "Deck"])
 
 
 @query(H + _PRESENCE.format(key="Archetype") + "SELECT * FROM p")
 def a01_presence_archetypes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.presence(history(spark, sf_dir), "Archetype")
+    h = history(spark, sf_dir)
+    return P.presence(h, "Archetype").join(P.event_lists(h, "Tier", "Archetype"), ["Tier", "Archetype"])
 
 
 _ALL = PRESENCE + f""", t AS (SELECT sum(n_events) AS n_all FROM n),
@@ -54,7 +56,8 @@ _ALL = PRESENCE + f""", t AS (SELECT sum(n_events) AS n_all FROM n),
 
 @query(_ALL + "SELECT * REPLACE (CAST(n_all AS BIGINT) AS n_all) FROM total")
 def a02_all_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.all_tiers(P.presence(history(spark, sf_dir)))
+    h = history(spark, sf_dir)
+    return P.all_tiers(P.presence(h)).join(P.event_lists(h, "Deck"), "Deck")
 
 
 @query(H + f""", k AS (SELECT K, arg_max(Pilot, (EventDate, -(CAST(EventID AS BIGINT) * 100 + Place))) AS Pilot, min(LoginID) AS LoginID, count(*) FILTER (Place = 1) AS Wins, count(*) FILTER (Place <= 8) AS Top8, count(*) AS Top32,
