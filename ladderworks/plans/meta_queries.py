@@ -185,12 +185,17 @@ def w04_c03_chart_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.chart_trend(_weeks(spark, sf_dir), 6)
 
 
-@query("SELECT 7 + 1 AS new_week, 3 AS same_week")
+@query("""WITH w AS (SELECT DISTINCT year(o_orderdate) - 1991 AS WeekIndex, date_trunc('year', o_orderdate) AS WeekStart FROM orders),
+    asked AS (SELECT min(WeekStart) AS d FROM w UNION ALL SELECT max(WeekStart) FROM w UNION ALL SELECT max(WeekStart) + INTERVAL 3 YEAR FROM w)
+    SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS week_start, CAST(coalesce((SELECT max(WeekIndex) FROM w WHERE WeekStart = d), (SELECT max(WeekIndex) + 1 FROM w), 1) AS BIGINT) AS WeekIndex FROM asked""")
 def w05_week_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weeks = read(spark, sf_dir, "orders").select((F.year("o_orderdate") - 1994).alias("WeekIndex")).distinct().withColumn("WeekStart", F.make_date(F.col("WeekIndex") + 1994, F.lit(1), F.lit(1))).withColumn("WeekEnd", F.date_add("WeekStart", 6))
-    day = lambda d: F.lit(d).cast("date")
-    new = M.week_index(weeks, day("2050-01-01"), day("2050-01-07")).select(F.col("WeekIndex").alias("new_week"))
-    return new.crossJoin(M.week_index(weeks, day("1997-01-01"), day("1997-01-07")).select(F.col("WeekIndex").alias("same_week")))  # a row each
+    """The numbers of the first week there is, of the last, and of one that is new."""
+    year = F.year("o_orderdate")
+    weeks = read(spark, sf_dir, "orders").select((year - 1991).alias("WeekIndex"), F.make_date(year, F.lit(1), F.lit(1)).alias("WeekStart")).distinct().withColumn("WeekEnd", F.date_add("WeekStart", 6))
+    first, last = weeks.agg(F.min("WeekStart"), F.max("WeekStart")).first()
+    asked = (first, last, last.replace(year=last.year + 3))
+    rows = [M.week_index(weeks, F.lit(d), F.date_add(F.lit(d), 6)).select(F.lit(str(d)).alias("week_start"), F.col("WeekIndex").cast("long").alias("WeekIndex")) for d in asked]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 _WORDS = """WITH d AS (SELECT doc_id AS deck_id, w AS item, count(*) AS qty FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents WHERE doc_id % 20 = 0) WHERE w <> '' GROUP BY ALL),
@@ -221,13 +226,15 @@ def k13_key_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.key_items(_bag(read(spark, sf_dir, "documents"), "doc_id", "deck_id"))
 
 
-@query("""WITH w AS (SELECT doc_id, list_distinct(list_filter(string_split(lower(text), ' '), lambda x: x <> '')) AS a FROM documents)
-    SELECT doc_id, 1.0 AS same, 0.0 AS none FROM w WHERE len(a) > 0""")
+@query("""WITH b AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY ALL),
+    pairs AS (SELECT doc_id AS x, doc_id + 1 AS y FROM documents WHERE doc_id + 1 IN (SELECT doc_id FROM documents)),
+    low AS (SELECT x, sum(least(a.n, c.n)) AS low FROM pairs JOIN b a ON a.doc_id = x JOIN b c ON c.doc_id = y AND c.w = a.w GROUP BY x), s AS (SELECT doc_id, sum(n) AS n FROM b GROUP BY doc_id)
+    SELECT x AS doc_id, round_even(coalesce(low, 0) / (s.n + t.n - coalesce(low, 0)) * 1e6, 0) / 1e6 AS similarity FROM pairs JOIN s ON s.doc_id = x JOIN s t ON t.doc_id = y LEFT JOIN low USING (x)""")
 def f26_multiset_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.array_distinct(F.filter(F.split(F.lower("text"), " "), lambda x: x != ""))
-    bag = F.map_from_arrays("a", F.transform("a", lambda x: F.lit(2)))
-    rows = read(spark, sf_dir, "documents").select("doc_id", words.alias("a")).where("size(a) > 0")
-    return rows.select("doc_id", N.multiset_similarity(bag, bag).alias("same"), N.multiset_similarity(bag, F.create_map(F.lit("\n"), F.lit(1))).alias("none"))
+    """Each document's bag of words beside that of the document with the next id."""
+    bags = _bag(read(spark, sf_dir, "documents"), "doc_id", "doc_id").groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("item", F.col("qty").cast("int")))).alias("bag"))
+    after = bags.select((F.col("doc_id") - 1).alias("doc_id"), F.col("bag").alias("other"))
+    return bags.join(after, "doc_id").select("doc_id", S.rounded(N.multiset_similarity(F.col("bag"), F.col("other")), 6).alias("similarity"))
 
 
 @query(H + """, r AS (SELECT DISTINCT EventID AS RosterID, EventDate, Tier, Pilot FROM h), s AS (SELECT RosterID, EventID, count(*) AS Shared FROM r JOIN (SELECT DISTINCT EventID, EventDate, Tier, Pilot FROM h) USING (EventDate, Tier, Pilot) GROUP BY ALL),
