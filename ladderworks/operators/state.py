@@ -20,8 +20,14 @@ def sync_window(existing: DataFrame, fresh: DataFrame, format_name: str, start:
     A deck that was resolved before stays with its event and pilot. An empty `fresh` changes nothing.
     """
     scope = (T.normalize_name("Format") == T.normalize_name(F.lit(format_name))) & F.col("EventDate").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return replace_again(existing, fresh, scope)
+
+
+def replace_again(existing: DataFrame, fresh: DataFrame, scope: Column | None = None) -> DataFrame:
+    """Rows of the events that were read again (within `scope`) give way to the fresh ones, but for decks resolved before."""
     ids = fresh.select("EventID").distinct().withColumn("_again", F.lit(True))
-    marked = existing.join(ids, "EventID", "left").withColumn("_drop", F.coalesce(scope & F.col("_again"), F.lit(False))).drop("_again")
+    drop = F.col("_again") if scope is None else scope & F.col("_again")
+    marked = existing.join(ids, "EventID", "left").withColumn("_drop", F.coalesce(drop, F.lit(False))).drop("_again")
     sticky = marked.where(F.col("_drop") & (F.col("Deck") != SENTINEL)).groupBy(*RESULT).agg(F.max(F.struct("Deck", "Archetype")).alias("_s"))
     new = fresh.join(sticky, list(RESULT), "left").withColumns({c: F.coalesce(F.col(f"_s.{c}"), F.col(c)) for c in ("Deck", "Archetype")}).drop("_s")
     return marked.where(~F.col("_drop")).drop("_drop").unionByName(new.select(*existing.columns))

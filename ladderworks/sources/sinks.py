@@ -17,9 +17,14 @@ def write_sheets(sheets: dict[str, DataFrame], path: str) -> None:
         write_csv(rows, f"{path}/{name}", one_file=True)
 
 
+def write_by(rows: DataFrame, path: str, *keys: str) -> None:
+    """Replaces the partitions of the keys that are in `rows` and leaves the others."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
 def write_by_event(rows: DataFrame, path: str) -> None:
     """Replaces the partitions of the events in `rows` and leaves those of others."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("EventID").parquet(path)
+    write_by(rows, path, "EventID")
 
 
 def write_version(rows: DataFrame, path: str, version: str) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql.utils import AnalysisException
 from ladderworks.functions import text as T
 from ladderworks.functions.scoring import week_of_path
 
-#: Columns of the event history, of league results and of bracket matches.
+#: Columns of the event history, of league results and of bracket matches.
 HISTORY = ("EventDate", "Format", "Tier", "PlayerCount", "EventSlug", "EventID", "Place", "Deck", "Archetype", "Pilot", "LoginID")
 RESULTS = ("EventID", "EventDate", "Tier", "EventClass", "Pilot", "LoginID", "Place", "Deck", "LeaguePoints", "SwissRank", "SwissPoints", "OMWP", "GWP", "OGWP")
 MATCHES = ("EventID", "EventDate", "Tier", "EventClass", "Round", "WinnerPilot", "WinnerLoginID", "LoserPilot", "LoserLoginID", "WinnerGames", "LoserGames", "WinnerDeck", "LoserDeck")
@@ -22,15 +22,41 @@ def with_columns(rows: DataFrame, columns: Iterable[str]) -> DataFrame:
     return rows.select(*(T.text_of(F.col(f"`{c}`")).alias(c) if c in rows.columns else F.lit("").alias(c) for c in columns))
 
 
-def read_csv(spark: SparkSession, path: str | list[str], columns: Iterable[str]) -> DataFrame:
-    """A CSV file, folder or pattern with a header; a path that isn't there is an empty table. Files may differ in columns."""
+def _headers(spark: SparkSession, path: str | list[str], options: dict[str, str]) -> dict[str, list[str]]:
+    """The files of a path by their header lines."""
+    rows = spark.read.options(**options).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    first = rows.where("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    found: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():  # a row for each file
+        found.setdefault(r["header"].removeprefix("\ufeff").strip(), []).append(r["file"])
+    return found
+
+
+def read_csv(spark: SparkSession, path: str | list[str], columns: Iterable[str], **options: str) -> DataFrame:
+    """A CSV file, folder or pattern with headers, by name: files may differ in columns and their order.
+
+    Missing columns are empty. A path that isn't there, and files without a line, are an empty table.
+    """
     columns = list(columns)
+    out = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").options(**options)
     try:
-        return with_columns(spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path), columns)
+        whole = reader.csv(path)
+        if len(whole.inputFiles()) < 2:
+            return with_columns(_plain(whole), columns)
+        groups = _headers(spark, path, options)
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+        return out
+    for files in groups.values():  # files with one header are read together
+        out = out.unionByName(with_columns(_plain(reader.csv(files)), columns))
+    return out
+
+
+def _plain(rows: DataFrame) -> DataFrame:
+    """Without a byte order mark before the first name."""
+    return rows.toDF(*(c.removeprefix("\ufeff").strip() for c in rows.columns))
 
 
 def typed_history(rows: DataFrame) -> DataFrame:
@@ -45,11 +71,16 @@ def typed_results(rows: DataFrame) -> DataFrame:
 
 def bracket_matches(spark: SparkSession, folder: str, start: str, end: str) -> DataFrame:
     """Matches of a range of dates from one file per event; the list of events without a bracket is left out."""
-    reader = spark.read.option("header", True).option("pathGlobFilter", "[!_]*.csv")
-    rows = with_columns(reader.csv(folder), MATCHES).withColumn("EventDate", F.try_to_date("EventDate"))
+    rows = read_csv(spark, folder, MATCHES, pathGlobFilter="[!_]*.csv").withColumn("EventDate", F.try_to_date("EventDate"))
     return rows.where(F.col("EventDate").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
+def run_share(rows: DataFrame) -> DataFrame:
+    """Market share as numbers; rows without a deck, a share or a win rate are left out."""
+    typed = rows.select("Deck", F.col("Meta").try_cast("double").alias("Meta"), F.col("Winrate").try_cast("double").alias("Winrate"))
+    return typed.where((T.trimmed("Deck") != "") & F.col("Meta").isNotNull() & F.col("Winrate").isNotNull())
+
+
 def numbered(rows: DataFrame) -> DataFrame:
     """Adds `ordinal`, the place of each row in its file, for small tables read from one file."""
     return rows.withColumn("ordinal", F.monotonically_increasing_id())

@@ -1,32 +1,56 @@
-"""Event results as a stream: files that arrive are synchronised into the stored history, one version per batch."""
+"""Event results as a stream: files that arrive are synchronised into the stored history."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ladderworks.operators.state import upsert
-from ladderworks.sources.tables import HISTORY, typed_history
-
-
-def arriving_results(spark: SparkSession, folder: str) -> DataFrame:
-    """History rows of CSV files as they arrive in a folder."""
-    schema = ", ".join(f"`{c}` string" for c in HISTORY)
-    return typed_history(spark.readStream.schema(schema).option("header", True).csv(folder).na.fill(""))
-
-
-def sync_stream(rows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Keeps the newest version of the table at `table`: a batch replaces the events that it has. A batch that runs again writes the same version."""
-
-    def batch(fresh: DataFrame, number: int) -> None:
-        spark = fresh.sparkSession
-        target = f"{table}/version={number:08d}"
-        if number:
-            fresh = upsert(spark.read.parquet(f"{table}/version={number - 1:08d}"), fresh, "EventID")
-        fresh.write.mode("overwrite").parquet(target)
-
-    return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+from ladderworks.operators.state import replace_again
+from ladderworks.sources.tables import HISTORY, read_csv, typed_history
+
+
+def arriving_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths of CSV files as they arrive in a folder, once each."""
+    return spark.readStream.option("recursiveFileLookup", True).text(folder).select(F.col("_metadata.file_path").alias("file"))
+
+
+def sync_stream(spark: SparkSession, folder: str, table: str, checkpoint: str) -> StreamingQuery:
+    """Keeps the history at `table`, by month: the events of a batch of files replace their rows.
+
+    Files are read by the names of their columns. A deck that was resolved before stays with its event and pilot. Only
+    months that an event comes to or leaves are written again; they are written beside the table first, so that a batch
+    that fails changes nothing, and one that runs again gives the same table.
+    """
+
+    def batch(files: DataFrame, number: int) -> None:
+        session = files.sparkSession
+        paths = [r["file"] for r in files.distinct().collect()]  # the files of one batch
+        if not paths:
+            return
+        month = F.coalesce(F.date_format("EventDate", "yyyy-MM"), F.lit("none"))
+        fresh = typed_history(read_csv(session, paths, HISTORY)).withColumn("Month", month)
+        fs = session.sparkContext._jvm.org.apache.hadoop.fs.Path(table).getFileSystem(session.sparkContext._jsc.hadoopConfiguration())
+        target = session.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+        if fs.exists(target):
+            stored = session.read.schema(fresh.schema).parquet(table)
+            touched = fresh.select("Month").unionByName(stored.join(fresh.select("EventID").distinct(), "EventID", "left_semi").select("Month")).distinct()
+            months = [r["Month"] for r in touched.collect()]  # a month has many events
+            fresh = replace_again(stored.where(F.col("Month").isin(months)), fresh)
+            gone = set(months)
+        else:
+            gone = set()
+        beside = f"{table.rstrip('/')}.batch-{uuid.uuid4().hex}"
+        fresh.write.mode("overwrite").parquet(beside)
+        done = session.read.parquet(beside)
+        done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("Month").parquet(table)
+        for m in gone - {r["Month"] for r in done.select("Month").distinct().collect()}:  # months that all events left
+            fs.delete(session.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/Month={m}"), True)
+        fs.delete(session.sparkContext._jvm.org.apache.hadoop.fs.Path(beside), True)
+
+    return arriving_files(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def activity_windows(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
