@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -88,12 +89,25 @@ def parse_count(x: Column | str) -> Column:
     return F.greatest(F.lit(0), F.coalesce(value.try_cast("int"), F.lit(0)))
 
 
+def unescaped(x: Column) -> Column:
+    """Text with its character references resolved once: numbers, and the names of HTML 4; others stay as they are."""
+    pattern = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,9});"
+    names = F.create_map(*(F.lit(v) for name, code in sorted(name2codepoint.items()) for v in (name, chr(code))), F.lit("apos"), F.lit("'"))
+
+    def resolved(e: Column) -> Column:
+        inner = F.substring_index(F.substr(e, F.lit(2)), ";", 1)
+        code = F.when(F.startswith(F.lower(inner), F.lit("#x")), F.conv(F.substr(inner, F.lit(3)), 16, 10)).otherwise(F.substr(inner, F.lit(2))).try_cast("int")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(~F.startswith(inner, F.lit("#")), F.coalesce(F.get(F.map_values(F.map_filter(names, lambda k, v: k == inner)), F.lit(0)), e)).when(valid, char).otherwise(e)
+
+    parts = F.zip_with(F.split(x, pattern, -1), F.regexp_extract_all(x, F.lit(pattern), F.lit(0)), lambda gap, e: F.concat(gap, F.when(e.isNull(), "").otherwise(resolved(e))))
+    return F.when(F.contains(x, F.lit("&")), F.array_join(parts, "")).otherwise(x)
+
+
 def strip_html(x: Column | str) -> Column:
-    """Text between tags, the five named entities and the no-break space resolved, collapsed."""
-    x = F.regexp_replace(text_of(x), "<[^>]*>", " ")
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        x = F.replace(x, F.lit(name), F.lit(char))
-    return collapsed(x)
+    """Text between tags, character references resolved, white space and no-break spaces collapsed."""
+    return collapsed(F.replace(unescaped(F.regexp_replace(text_of(x), "<[^>]*>", " ")), F.lit("\u00a0"), F.lit(" ")))
 
 
 def identity_key(login: Column | str, pilot: Column | str) -> Column:

