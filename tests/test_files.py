@@ -6,8 +6,9 @@ import os
 from difflib import SequenceMatcher, get_close_matches
 
 from ladderworks.functions import text as T
+from ladderworks.operators import similarity
 from ladderworks.operators.ranking import ranks
-from ladderworks.operators.similarity import name_suggestions
+from ladderworks.operators.similarity import name_suggestions, nearest_labels
 from ladderworks.sources import sinks, tables
 from ladderworks.streaming.sync import sync_stream
 from pyspark.sql import functions as F
@@ -102,3 +103,12 @@ def test_ranks_are_those_of_one_sort(spark):
     got = [r.id for r in ranks(rows, -F.col("x"), F.col("id")).orderBy("Rank").collect()]
     assert got == [r.id for r in rows.orderBy(F.desc("x"), "id").collect()]
     assert [r.Rank for r in ranks(rows.limit(1), F.col("id")).collect()] == [1] and ranks(rows.limit(0), F.col("id")).count() == 0
+
+
+def test_nearest_labels_alike_with_a_salted_library(spark, monkeypatch):
+    decks = spark.createDataFrame([(d, f"i{(d * 7 + k) % 9}", 1 + k % 3) for d in range(12) for k in range(5)], "deck_id int, item string, qty int").dropDuplicates(["deck_id", "item"])
+    library = decks.selectExpr("deck_id + 100 AS lib_id", "concat('L', deck_id % 3) AS label", "item", "qty")
+    rows = lambda: sorted(map(tuple, nearest_labels(decks, library).collect()))
+    want = rows()
+    monkeypatch.setattr(similarity, "LIBRARY", 1)
+    assert rows() == want and len(want) == 12
