@@ -8,8 +8,8 @@ bucket are candidates unless their lengths or signatures already tell them apart
 similarity of all their shingles. Links of at least THRESHOLD make components, of which the first line stays.
 
 In a bucket each line first meets the bucket's first one. Components then show which lines that has not joined, and only
-lines of different components are compared after that; in a large bucket only those that share one of their rarest
-shingles, as any similar pair must. So no candidate is left out, a bucket of similar lines, however large, costs one
+lines of different components are compared after that; in a large bucket only those that share one of their samples'
+rarest hashes, as any pair must that the samples don't tell apart. So no candidate is left out, a bucket of similar lines, however large, costs one
 comparison a line, and many lines that share a passage but not more cost little.
 
 Texts are not shuffled: lines are known by 128 bits of hash, and only lines in shared buckets are read again.
@@ -31,8 +31,9 @@ BANDS = tuple(tuple(4 * x + y for x in range(4)) for y in range(4)) + tuple(tupl
 #: Candidates agree in so many slots at least (compared by four bits each). Pairs of similarity 0.8 do so with a chance of 0.998.
 AGREE = 8
 #: Smallest hashes of a line that estimate a similarity before it is computed, and how far the estimate may fall below.
-SAMPLE, SLACK = 48, 0.18
-#: Buckets with at most so many pairs left open compare them; others compare lines that share a rare shingle. Both are exact.
+SAMPLE, SLACK = 96, 0.12
+#: Buckets with at most so many pairs left open compare them; others compare lines that share a rare hash. Neither leaves out a
+#: pair that the other would have found.
 FEW = 1_024
 #: Lines of a group that `dealt_pairs` compares with each other, on average.
 GROUP = 6
@@ -201,18 +202,19 @@ def few_pairs(open_: DataFrame) -> DataFrame:
 
 
 def prefixes(text: DataFrame, threshold: float) -> DataFrame:
-    """k and shingle: the rarest shingles of each line, so many that two lines of at least that similarity share one."""
-    each = text.select("k", F.explode(F.array_distinct(shingles(F.col("normal")))).alias("shingle"))
+    """k and shingle: the rarest hashes of each line's sample, so many that two lines that are `likely` similar share one."""
+    each = text.select("k", F.explode("low").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count("*").alias("often"))
     ranked = each.join(often, "shingle").groupBy("k").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("s"))
-    return ranked.select("k", F.explode(F.slice("s", F.lit(1), F.size("s") - F.ceil(threshold * F.size("s")).cast("int") + 1)).alias("s")).select("k", "s.shingle")
+    shared = F.ceil(F.size("s") * (threshold - SLACK)).cast("int")  # so many hashes of the sample at least are in the other's
+    return ranked.select("k", F.explode(F.slice("s", F.lit(1), F.size("s") - shared + 1)).alias("s")).select("k", "s.shingle")
 
 
 def many_pairs(open_: DataFrame, text: DataFrame, threshold: float) -> DataFrame | None:
     """Candidates (a, b) of the other buckets: lines of different components that share a prefix shingle. None if there are none.
 
-    Of two lines with the threshold's similarity each has one of its rarest shingles in the other, whichever buckets they
-    share. So lines that have only a common passage, however many they are, don't meet.
+    Of two lines that `likely` lets through each has one of its sample's rarest hashes among the other's, whichever buckets
+    they share. So lines that have only a common passage, however many they are, hardly meet.
     """
     many = open_.where(F.col("pairs") > FEW).groupBy("k").agg(F.max("root").alias("root"), F.max("sketch").alias("sketch"), F.min("inner").alias("inner"))
     many = scratch(many)
