@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladderworks.operators import league as L
+from ladderworks.operators import similarity as N
 from ladderworks.operators import state as U
 from ladderworks.plans.standins import H, history, matches, query, shares
 from ladderworks.plans.standins import M as SHARES
@@ -113,3 +114,24 @@ def u09_rescanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     waiting = h.select("EventID", "Pilot", "Place", F.when(F.col("Deck") == "Brand#11", U.SENTINEL).otherwise(F.col("Deck")).alias("Deck"))
     labels = h.select("EventID", "Pilot", F.when(F.col("EventID").cast("long") % 2 == 0, F.concat(F.lit("L"), "Place")).otherwise(U.SENTINEL).alias("label"))
     return U.rescan(waiting, labels)
+
+
+@query(H + """, d AS (SELECT *, EventID || '-' || Place AS deck_id, Games / 50.0 AS s1, Games / 90.0 AS s2, CASE WHEN Games > 10 THEN Archetype ELSE Deck END AS second FROM h WHERE Archetype LIKE 'P%'),
+    r AS (SELECT *, CASE WHEN Place = 1 THEN 'winner' WHEN Archetype <> second THEN 'labels differ' WHEN s1 < CASE WHEN Place <= 8 THEN 0.95 ELSE 0.9 END THEN 'too far' END AS reason FROM d),
+    w AS (SELECT deck_id, w, length(w) AS n FROM (SELECT DISTINCT deck_id, unnest(string_split(RawDeck, ' ')) AS w FROM d)),
+    c AS (SELECT deck_id, string_agg(w || ' x' || n, '; ' ORDER BY n DESC, w) AS key_cards FROM (SELECT *, row_number() OVER (PARTITION BY deck_id ORDER BY n DESC, w) AS i FROM w) WHERE i <= 8 GROUP BY deck_id)
+    SELECT EventID AS event_id, CAST(EventDate AS VARCHAR) AS date, Format AS format, EventClass AS kind, Tier AS tier, CAST(Place AS INTEGER) AS place, Pilot AS pilot, reason, Archetype AS nearest_label,
+        round_even(s1 * 1000, 0) / 1000 AS nearest_sim, second AS second_label, round_even(s2 * 1000, 0) / 1000 AS second_sim, key_cards, EventSlug AS event_url, '' AS resolved_deck
+    FROM r JOIN c USING (deck_id) WHERE reason IS NOT NULL""")
+def k13_review_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries that wait for review, as the file in which their decks are filled in."""
+    rows = history(spark, sf_dir).where("Archetype LIKE 'P%'").withColumn("deck_id", F.concat("EventID", F.lit("-"), "Place"))
+    second = F.when(F.col("Games") > 10, F.col("Archetype")).otherwise(F.col("Deck"))
+    games = F.col("Games").cast("double")
+    rated = N.classified(rows.select("deck_id", F.col("Archetype").alias("nearest"), (games / 50).alias("nearest_sim"), second.alias("second"), (games / 90).alias("second_sim")), rows.select("deck_id", "Place"))
+    cards = N.key_items(rows.select("deck_id", F.explode(F.array_distinct(F.split("RawDeck", " "))).alias("item")).withColumn("qty", F.length("item")))
+    names = {"EventID": "event_id", "EventDate": "date", "Format": "format", "EventClass": "kind", "Tier": "tier", "Pilot": "pilot", "EventSlug": "event_url"}
+    folder = _folder(spark)
+    sinks.write_csv(N.review_items(rated, cards, rows.select("deck_id", *(F.col(c).alias(n) for c, n in names.items()))), folder)
+    types = {"place": "int", "nearest_sim": "double", "second_sim": "double"}
+    return S.read_csv(spark, folder, N.REVIEW).withColumns({c: F.col(c).cast(t) for c, t in types.items()})

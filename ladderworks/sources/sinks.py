@@ -27,10 +27,18 @@ def write_by_event(rows: DataFrame, path: str) -> None:
     write_by(rows, path, "EventID")
 
 
-def write_version(rows: DataFrame, path: str, version: str) -> str:
-    """Writes beside older versions, which are the backup."""
+def write_version(rows: DataFrame, path: str, version: str, keep: int = 20) -> str:
+    """Writes beside older versions, which are the backup; of all versions, by name, the last `keep` stay."""
+    if keep < 1:
+        raise ValueError("at least one version must stay")
     target = f"{path}/version={version}"
     rows.write.mode("errorifexists").parquet(target)
+    context = rows.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    versions = {f.getPath().getName(): f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("version=")}
+    for name in sorted(versions)[:-keep]:
+        fs.delete(versions[name], True)
     return target
 
 

@@ -5,6 +5,7 @@ import html
 import os
 from difflib import SequenceMatcher, get_close_matches
 
+import pytest
 from ladderworks.functions import text as T
 from ladderworks.operators import similarity
 from ladderworks.operators.ranking import ranks
@@ -53,6 +54,28 @@ def test_versions_stay_and_events_are_replaced(spark, tmp_path):
     assert spark.read.parquet(first).count() == 2
 
 
+def test_oldest_versions_go(spark, tmp_path):
+    rows = spark.range(1)
+    for v in ("1", "2", "3", "4"):
+        sinks.write_version(rows, f"{tmp_path}/v[x]", v, keep=2)
+    sinks.write_csv(rows, f"{tmp_path}/v[x]/other")
+    sinks.write_version(rows, f"{tmp_path}/v[x]", "5", keep=2)
+    assert sorted(n for n in os.listdir(tmp_path / "v[x]") if not n.startswith(".")) == ["other", "version=4", "version=5"]
+    with pytest.raises(ValueError):
+        sinks.write_version(rows, f"{tmp_path}/v[x]", "6", keep=0)
+
+
+def test_review_items_hold_what_waits(spark):
+    nearest = spark.createDataFrame([(1, "Jund", 0.98764, "Jund", 0.5), (2, "Jund", 0.99, "Jund", 0.98), (3, None, 0.0, None, 0.0)], "deck_id int, nearest string, nearest_sim double, second string, second_sim double")
+    rated = similarity.classified(nearest, spark.createDataFrame([(1, 1), (2, 2), (3, 9)], "deck_id int, Place int"))
+    entries = spark.createDataFrame([(d, f"e{d}", "2026-01-04", "Modern", "Challenge", "C32", "Ann", "u") for d in (1, 2, 3)], "deck_id int, event_id string, date string, format string, kind string, tier string, pilot string, event_url string")
+    cards = similarity.key_items(spark.createDataFrame([(1, "Bolt", 4), (1, "Bog", 2)], "deck_id int, item string, qty int"))
+    got = similarity.review_items(rated, cards, entries)
+    assert tuple(got.columns) == similarity.REVIEW
+    want = [("e1", 1, "winner", "Jund", 0.988, "Jund", 0.5, "Bolt x4; Bog x2", ""), ("e3", 9, "library too small", "", 0.0, "", 0.0, "", "")]
+    assert sorted(map(tuple, got.select("event_id", "place", "reason", "nearest_label", "nearest_sim", "second_label", "second_sim", "key_cards", "resolved_deck").collect())) == want
+
+
 def test_bracket_lists_are_left_out(spark, tmp_path):
     head = ",".join(tables.MATCHES)
     write(tmp_path, "1.csv", f"{head}\n1,2026-01-04,C32,Challenge,F,A,1,B,2,2,0,Jund,Storm\n")
