@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -85,8 +87,9 @@ def week_of_path(path: Column) -> Column:
 
 
 def next_anchor(latest_end: Column, today: Column) -> Column:
-    """The next Sunday after the latest run and a week more, a week from today at most; without a run the last Sunday."""
-    return F.coalesce(F.least(F.date_add(F.next_day(latest_end, "Sun"), 7), F.date_add(today, 7)), latest_sunday(today))
+    """A week after the first Sunday from the end of the latest run on; without a run, or more than a week ahead, the last Sunday."""
+    due = F.date_add(F.next_day(F.date_sub(latest_end, 1), "Sun"), 7)
+    return F.when(due <= F.date_add(today, 7), due).otherwise(latest_sunday(today))
 
 
 def trend_label(now: Column, past: Column, threshold: float = 1.0) -> Column:
@@ -128,6 +131,27 @@ def hits_at_least_one(own: Column, population: int, draws: int, *, none: float =
     return F.when(own <= 0, F.lit(none)).otherwise(1 - F.greatest(miss, F.lit(0.0)))
 
 
+def hits_at_least(own: Column, population: int, draws: int, least: int = 1) -> Column:
+    """Hypergeometric chance of meeting `least` of `own` copies or more in `draws` of the population.
+
+    As many as can be met are enough, so that without copies the chance is 1. Copies count as the whole population at most.
+    Nothing drawn, nobody there or nothing asked for is 0.
+    """
+    if population <= 0 or draws <= 0 or least <= 0:
+        return F.lit(0.0)
+    draws = min(draws, population)
+    own = F.least(F.greatest(own, F.lit(0)), F.lit(population))
+    most = F.least(own, F.lit(draws))
+    ways = F.array(*(F.lit(float(comb(draws, k))) for k in range(draws + 1)))
+
+    def chance(k: Column) -> Column:  # each order of the draws is as likely: first the hits, then the others
+        part = lambda i: F.when(i < k, own - i).otherwise(F.lit(population) - own - (i - k)) / (F.lit(float(population)) - i)
+        return F.get(ways, k) * F.aggregate(F.sequence(F.lit(0), F.lit(draws - 1)), F.lit(1.0), lambda a, i: a * part(i))
+
+    counts = F.sequence(F.least(F.lit(least), most), most)
+    return F.aggregate(F.transform(counts, chance), F.lit(0.0), lambda a, b: a + b)
+
+
 def reachable_score(score: Column, rounds: Column) -> Column:
     """Whether a Swiss score is 3 w + d with w + d at most the rounds."""
     return F.when((rounds > 0) & (score >= 0), F.exists(F.sequence(F.lit(0), F.greatest(rounds, F.lit(0))), lambda w: (score - 3 * w).between(0, rounds - w))).otherwise(score == 0)

@@ -28,7 +28,7 @@ KEYWORD_PAIRS = (
     ("temur", ("prowess", "steel"), "Prowess"),
 )
 #: Labels that mean that nothing is known.
-UNKNOWN_WORDS = ("", "unknown", "none", "nan", "null", "n/a", "na")
+UNKNOWN_WORDS = ("", "unknown", "unkown", "n/a", "na", "none", "null", "?", "-")
 
 
 def text_of(x: Column | str) -> Column:
@@ -168,10 +168,12 @@ def source_names(x: Column | str) -> Column:
     return seen[0]
 
 
-def event_label(tier: Column | str) -> Column:
-    """`C64` as `Modern Challenge 64`; slugs as words in title case, RC in capitals."""
-    words = F.transform(F.split(F.replace(text_of(tier), F.lit("-"), F.lit(" ")), " +"), lambda w: F.when(F.lower(w) == "rc", "RC").otherwise(F.initcap(w)))
-    return F.when(text_of(tier).rlike("^C[0-9]+$"), F.concat(F.lit("Modern Challenge "), F.substr(text_of(tier), F.lit(2)))).otherwise(F.array_join(words, " "))
+def event_label(tier: Column | str, event_class: Column) -> Column:
+    """`C64` of a challenge as `Modern Challenge 64`; else the words of the slug in title case, RC in capitals, Premier for none."""
+    tier = trimmed(tier)
+    parts = F.filter(F.split(tier, r"(?U)[-_\s]+"), lambda w: w != "")
+    words = F.transform(parts, lambda w: F.when(F.lower(w) == "rc", "RC").otherwise(F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substr(w, F.lit(2))))))
+    return F.when((event_class == "Challenge") & tier.rlike("^C[0-9]+$"), F.concat(F.lit("Modern Challenge "), F.substr(tier, F.lit(2)))).when(tier == "", "Premier").otherwise(F.array_join(words, " "))
 
 
 def hex_color(x: Column | str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
 from ladderworks.functions.scoring import copies, hits_at_least_one, prep_priority, record_probabilities, rounded, trend_label, trust_label
+from ladderworks.operators.ranking import ranks
 
 #: Population, rounds, cutoff of encounter charts in percent, weeks of a trend, thresholds of trends.
 POPULATION, ROUNDS, CUTOFF, WEEKS_BACK, DECK_TREND, ARCHETYPE_TREND = 1000, 5, 5.0, 4, 0.5, 0.2
@@ -125,7 +126,7 @@ def whole_column_percent(rows: DataFrame, col: str) -> DataFrame:
     return rows.crossJoin(F.broadcast(scale)).withColumn(col, F.when(F.col("_percent"), value / 100).otherwise(value)).drop("_percent")
 
 
-def week_trend(history: DataFrame, current: DataFrame, week: int, threshold: float = 1.0) -> DataFrame:
+def week_trend(history: DataFrame, current: DataFrame, week: int, threshold: float = DECK_TREND) -> DataFrame:
     """Adds the trend of each deck against the mean share of its last four rows of other weeks; Stable without any."""
     place = Window.partitionBy("Deck").orderBy(F.desc("WeekIndex"), F.desc("Level"))
     past = history.where(F.col("WeekIndex") != week).withColumn("_n", F.row_number().over(place)).where("_n <= 4").groupBy("Deck").agg(F.avg("Meta").alias("_past"))
@@ -174,10 +175,30 @@ def expected_wins(decks: DataFrame, rounds: int = ROUNDS, min_games: int = MIN_G
     return rows.orderBy(F.desc("ExpectedWins"), "Deck").limit(top).select("Deck", "ExpectedWins", "Games", trust_label("Games").alias("Trust"))
 
 
-def delta_ranking(compared: DataFrame, least: int = 4) -> DataFrame:
-    """Decks by difference of shares, beside the median difference where there are enough decks."""
-    middle = compared.agg(F.when(F.count("*") >= least, rounded(F.median("Delta pp"), 4)).alias("MedianDelta"))
-    return compared.crossJoin(F.broadcast(middle)).select("Deck", "Delta pp", "MedianDelta", F.rank().over(Window.orderBy(F.desc("Delta pp"))).alias("DeltaRank"))
+def _met(share: Column, population: int, rounds: int) -> Column:
+    """The chance of meeting a deck of that share; decks without copies have none."""
+    return hits_at_least_one(F.least(F.greatest(copies(share, population), F.lit(0)), F.lit(population)), population, rounds, none=0.0)
+
+
+def presence_against_share(stats: DataFrame, key: str = "Deck", *, by_share: bool = False, cutoff: float = CUTOFF, population: int = POPULATION, rounds: int = ROUNDS) -> DataFrame:
+    """Presence beside the market share (MetaPct) of the keys whose chance of being met reaches the cutoff, in their order.
+
+    The order is by event frequency of entries, then of top eights, then share, or by share first; ties go by key.
+    """
+    bars = ("Top32EventFreqPct", "Top8EventFreqPct", "MetaPct")
+    rows = stats.select(key, *bars).na.fill(0, list(bars)).where(_met(F.col("MetaPct"), max(1, population), max(1, rounds)) >= cutoff / 100)
+    order = ("MetaPct", *bars[:2]) if by_share else bars
+    return ranks(rows, *(-F.col(c) for c in order), F.col(key), name="Order")
+
+
+def delta_ranking(stats: DataFrame, key: str = "Deck", *, least: int = 4, cutoff: float = CUTOFF, population: int = POPULATION, rounds: int = ROUNDS, median_of_all: bool = False) -> DataFrame:
+    """Keys whose chance of being met reaches the cutoff by how far their event frequency lies above their market share
+    (MetaPct), beside the median difference of these, or of all keys, where there are enough."""
+    rows = stats.select(key, "Top32EventFreqPct", "MetaPct").na.fill(0, ["Top32EventFreqPct", "MetaPct"]).withColumn("Delta pp", rounded(F.col("Top32EventFreqPct") - F.col("MetaPct")))
+    shown = rows.where(_met(F.col("MetaPct"), max(1, population), max(1, rounds)) >= cutoff / 100)
+    middle = (rows if median_of_all else shown).agg(F.when(F.count("*") >= least, rounded(F.median("Delta pp"), 4)).alias("MedianDelta"))
+    placed = ranks(shown.select(key, "Delta pp"), -F.col("Delta pp"), F.col(key), name="DeltaRank")
+    return placed.join(F.broadcast(middle), F.lit(True))  # one row of the median
 
 
 def conversion(presence: DataFrame, top: int = CHART_ROWS) -> DataFrame:

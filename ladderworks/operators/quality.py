@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
 from ladderworks.functions.scoring import reachable_score
+from ladderworks.operators.invariants import Rule, fired
 
 COLUMNS = ("check_id", "severity", "key", "detail")
 #: Pairs of seeds that meet in the first round.
@@ -104,19 +105,49 @@ def standings_checks(standings: DataFrame) -> DataFrame:
 
 
 def bracket_checks(matches: DataFrame, results: DataFrame) -> DataFrame:
-    """Four, two and one match; the first round is the top eight; the final is between first and second."""
-    rounds = matches.groupBy("EventID").agg(*(F.count_if(F.col("Round") == r).alias(r) for r in ("QF", "SF", "F")))
-    top = results.where("Place <= 8").select("EventID", T.identity_key("LoginID", "Pilot").alias("id"), "Place")
-    side = lambda s: matches.select("EventID", "Round", T.identity_key(f"{s}LoginID", f"{s}Pilot").alias("id"), F.lit(s).alias("side"))
-    sides = side("Winner").unionByName(side("Loser"))
-    first = sides.where("Round = 'QF'").join(top, ["EventID", "id"], "left_anti")
-    due = sides.where("Round = 'F'").withColumn("Place", F.when(F.col("side") == "Winner", 1).otherwise(2))
-    final = due.join(top, ["EventID", "id", "Place"], "left_anti")
-    return union(
-        violations(rounds.where("QF <> 4 OR SF <> 2 OR F <> 1"), "bracket_shape", F.col("EventID"), F.concat_ws("/", "QF", "SF", "F")),
-        violations(first, "bracket_top8", F.concat_ws(":", "EventID", "id"), F.lit("not in the top eight")),
-        violations(final, "bracket_final", F.concat_ws(":", "EventID", "id"), F.col("side")),
-    )
+    """Brackets beside the results, by event, in one aggregation of the matches with their players' places.
+
+    Four, two and one match; if so, the first round has the first eight, the losers of the second are third and fourth, and
+    first and second meet in the final. Where the matches have games, the winner has more; other scores than 2-0 and 2-1 are
+    told. Where they have Swiss ranks, pairs of the first round other than SEEDS are told.
+    """
+    names = ("Winner", "Loser")
+    ident = lambda s: T.identity_key(f"{s}LoginID", f"{s}Pilot") if s else T.identity_key("LoginID", "Pilot")
+    top = results.where("Place BETWEEN 1 AND 8").groupBy("EventID", ident("").alias("id")).agg(F.min("Place").alias("Place"))
+    rows = matches
+    for s in names:
+        of = top.select(F.col("EventID").alias("_e"), F.col("id").alias("_i"), F.col("Place").alias(f"{s}Place"))
+        rows = rows.withColumn("_id", ident(s)).join(of, (F.col("EventID") == F.col("_e")) & (F.col("_id") == F.col("_i")), "left").drop("_id", "_e", "_i")
+    at = lambda r: F.col("Round") == r
+    bit = lambda c: F.expr(f"shiftleft(1, {c} - 1)")
+    w, l = F.col("WinnerPlace"), F.col("LoserPlace")  # noqa: E741
+    sums = [F.count_if(at(r)).alias(r) for r in ("QF", "SF", "F")]
+    sums += [F.bit_or(F.when(at("QF"), bit("WinnerPlace"))).alias("_w"), F.bit_or(F.when(at("QF"), bit("LoserPlace"))).alias("_l"), F.count_if(at("QF") & (w.isNull() | l.isNull())).alias("_out")]
+    sums += [F.bit_or(F.when(at("SF"), bit("LoserPlace"))).alias("_sf"), F.count_if(at("SF") & ~F.coalesce(l.isin(3, 4), F.lit(False))).alias("_sf_out"), F.max(F.when(at("F"), w)).alias("_first"), F.max(F.when(at("F"), l)).alias("_second")]
+    games = {f"{s}Games" for s in names} <= set(matches.columns)
+    if games:
+        won, lost = (F.col(f"{s}Games").cast("string").try_cast("int") for s in names)
+        sums += [F.count_if(~F.coalesce(won > lost, F.lit(False))).alias("_bad"), F.count_if((won > lost) & ~((won == 2) & (lost <= 1))).alias("_odd")]
+    if seeds := {f"{s}SwissRank" for s in names} <= set(matches.columns):
+        a, b = (F.col(f"{s}SwissRank").cast("string").try_cast("int") for s in names)
+        pair = F.concat_ws("v", F.least(a, b), F.greatest(a, b))
+        sums += [F.array_sort(F.collect_set(F.when(at("QF") & a.isNotNull() & b.isNotNull(), pair))).alias("_pairs")]  # four at most
+    there = results.groupBy(F.col("EventID").alias("_e")).agg(F.coalesce(F.bit_or(F.when(F.col("Place").between(1, 8), bit("Place"))), F.lit(0)).alias("_top"))
+    each = rows.groupBy("EventID").agg(*sums).join(there, F.col("EventID") == F.col("_e"), "left").na.fill(0, ["_w", "_l", "_sf", "_top"])
+    whole = (F.col("QF") == 4) & (F.col("SF") == 2) & (F.col("F") == 1)
+    seen, both = F.expr("_w | _l"), F.expr("_top & 12")
+    rules = [
+        Rule("bracket_shape", ~whole, F.concat_ws("/", "QF", "SF", "F")),
+        Rule("bracket_top8", whole & ((F.col("_out") > 0) | (seen != F.col("_top"))), F.concat_ws("/", F.bit_count(seen), F.bit_count("_top"))),
+        Rule("bracket_semifinal", whole & ((F.col("_sf_out") > 0) | (F.col("_sf") != both)), F.concat_ws("/", F.bit_count(F.expr("_sf & 12")), F.bit_count(both))),
+        Rule("bracket_final", whole & ~(F.col("_first").eqNullSafe(1) & F.col("_second").eqNullSafe(2)), F.concat_ws("/", F.coalesce("_first", F.lit(0)), F.coalesce("_second", F.lit(0)))),
+    ]
+    if games:
+        rules += [Rule("bracket_games", whole & (F.col("_bad") > 0), F.col("_bad")), Rule("bracket_score", whole & (F.col("_odd") > 0), F.col("_odd"), "warn")]
+    if seeds:
+        due = F.array(*(F.lit(f"{min(s)}v{max(s)}") for s in sorted(SEEDS)))
+        rules.append(Rule("bracket_seeds", whole & (F.col("_pairs") != due), F.concat_ws(" ", "_pairs"), "warn"))
+    return fired(each, F.col("EventID"), *rules)
 
 
 def completeness(registry: DataFrame, fetched: DataFrame, kind: str = "challenge") -> DataFrame:
@@ -127,18 +158,6 @@ def completeness(registry: DataFrame, fetched: DataFrame, kind: str = "challenge
     return both.select(F.when(F.col("n") > 0, F.col("n")).alias("registry_count"), F.when(F.col("n") > 0, F.col("got")).alias("fetched_count"), ((F.col("n") > 0) & (F.col("n") == F.col("got"))).alias("complete"))
 
 
-def gate(summary: DataFrame, *, allow_partial: bool = False, same_window: bool = True) -> str:
-    """`full`, `partial` or `withheld`, from a completeness row. Complete without a count is a contradiction and raises."""
-    row = summary.first()
-    if row is None:
-        return "withheld"
-    if row["complete"] and not row["registry_count"]:
-        raise ValueError("complete, but without a count of the registry")
-    if row["complete"] and same_window:
-        return "full"
-    return "partial" if allow_partial else "withheld"
-
-
 def saved_mappings_check(expected: DataFrame, saved: DataFrame) -> DataFrame:
     """Every expected raw name is saved with the same target."""
     table = saved.select(T.normalize_name("raw_name").alias("_k"), F.col("canonical_name").alias("_c"))
@@ -156,3 +175,8 @@ def isolate(rows: DataFrame, found: DataFrame, columns: tuple[str, ...]) -> Data
 def unknown_share(history: DataFrame) -> DataFrame:
     """Entries of unknown archetype, all entries, and the share."""
     return history.agg(F.count_if(T.is_unknown("Archetype")).alias("unknown"), F.count("*").alias("total")).withColumn("share", F.try_divide("unknown", "total"))
+
+
+def unknown_rows(history: DataFrame) -> DataFrame:
+    """The entries of unknown archetype."""
+    return history.where(T.is_unknown("Archetype"))

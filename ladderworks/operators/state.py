@@ -159,8 +159,8 @@ def matches(query: str, columns: tuple[str, ...] = ("Deck", "RawDeck", "Archetyp
 
 
 def search(rows: DataFrame, query: str, archetype: str | None = None, limit: int = 500) -> DataFrame:
-    """The first rows (by ordinal) that hold the query and, if one is given, are of the archetype."""
-    found = rows.where(matches(query))
+    """The first rows (by ordinal) that hold the query and, if one is given, are of the archetype; none if neither is given."""
+    found = rows.where(matches(query) if query.strip() or archetype else F.lit(False))
     return (found if archetype is None else found.where(T.normalize_name("Archetype") == T.normalize_name(F.lit(archetype)))).orderBy("ordinal").limit(limit)
 
 

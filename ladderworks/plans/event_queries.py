@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
 from ladderworks.operators import league as L
 from ladderworks.operators import presence as P
+from ladderworks.operators import publishing
 from ladderworks.operators import quality as Q
 from ladderworks.operators import similarity as N
 from ladderworks.plans.standins import H, history, matches, query, read
@@ -119,10 +120,11 @@ def a13_tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history(spark, sf_dir).groupBy("Tier").agg(F.count("*").alias("n_rows"), F.countDistinct("EventID").alias("n_events"))
 
 
-@query(H + """, s AS (SELECT EventDate, Tier, EventID, substr(sha1(array_to_string(list_sort(list(lower(Pilot) || '::' || lower(Deck))), '|')), 1, 12) AS sig FROM h GROUP BY ALL)
-    SELECT EventDate, Tier, count(*) AS Events, count(DISTINCT sig) = 1 AS SameRoster FROM s GROUP BY ALL HAVING count(*) > 1""", dates="EventDate")
+@query(H + """, s AS (SELECT EventDate, Tier, 'slug-' || CAST(EventID AS BIGINT) % 50 AS slug, substr(sha1(array_to_string(list_sort(list(lower(Pilot) || '::' || lower(Deck))), '|')), 1, 12) AS sig FROM h WHERE Format = 'O' GROUP BY ALL)
+    SELECT EventDate, Tier, count(*) AS SlugCount, string_agg(slug, ', ' ORDER BY slug) AS EventSlugs, count(DISTINCT sig) = 1 AS ContentHashesMatch, string_agg(sig, ', ' ORDER BY slug) AS Signatures FROM s GROUP BY ALL HAVING count(*) > 1""", dates="EventDate")
 def a14_f25_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.collisions(history(spark, sf_dir))
+    slug = F.concat(F.lit("slug-"), (F.col("EventID").cast("long") % 50).cast("string"), F.lit(" "))
+    return N.collisions(history(spark, sf_dir).withColumn("EventSlug", slug), " o")
 
 
 @query(H + """, s AS (SELECT EventDate, Tier, EventSlug, substr(sha1(array_to_string(list_sort(list(lower(Pilot) || '::' || lower(Deck))), '|')), 1, 12) AS sig FROM h GROUP BY ALL),
@@ -132,10 +134,24 @@ def j23_republished(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.without_republished(history(spark, sf_dir))
 
 
-@query(H + """SELECT count(*) FILTER (Archetype = 'PROMO') AS unknown, count(*) AS total, count(*) FILTER (Archetype = 'PROMO') / count(*) AS share FROM h""")
+#: Labels that are and aren't unknown, dealt by the event's number.
+_SAID = ("", "Unknown", "unkown", " N/A", "na", "NONE", "null", "?", " - ", "unknown deck", "nan", "--", "Control")
+_LABEL = "(['" + "', '".join(_SAID) + "'])[CAST(EventID AS BIGINT) % 13 + 1]"
+
+
+@query(H + """SELECT count(*) FILTER (m < 10) AS unknown, count(*) AS total, count(*) FILTER (m < 10) / count(*) AS share FROM (SELECT CAST(EventID AS BIGINT) % 13 AS m FROM h)""")
 def a15_unknown_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = history(spark, sf_dir)
-    return Q.unknown_share(h.withColumn("Archetype", F.when(F.col("Archetype") == "PROMO", "unknown").otherwise(F.col("Archetype"))))
+    return Q.unknown_share(_labelled(history(spark, sf_dir)))
+
+
+def _labelled(h: DataFrame) -> DataFrame:
+    return h.withColumn("Archetype", F.get(F.array(*map(F.lit, _SAID)), (F.col("EventID").cast("long") % 13).cast("int")))
+
+
+@query(H + f"SELECT EventID, Place, Pilot, Deck, {_LABEL} AS Archetype FROM h WHERE CAST(EventID AS BIGINT) % 13 < 10")
+def a15_unknown_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows whose archetype is unknown."""
+    return Q.unknown_rows(_labelled(history(spark, sf_dir))).select("EventID", "Place", "Pilot", "Deck", "Archetype")
 
 
 @query(H + """SELECT a.EventID, a.EventDate, a.Tier, a.Deck AS FirstDeck, a.Pilot AS FirstPilot, b.Deck AS SecondDeck, b.Pilot AS SecondPilot FROM h a JOIN h b ON a.EventID = b.EventID AND a.Place = 1 AND b.Place = 2""", dates="EventDate")
@@ -199,10 +215,13 @@ def a13_f29_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.manifest(history(spark, sf_dir))
 
 
-@query(H + """SELECT string_agg(EventDate || ' ' || Tier || ' (' || EventID || ')', ', ' ORDER BY EventDate, EventDate || ' ' || Tier || ' (' || EventID || ')') AS note FROM (SELECT DISTINCT EventDate, Tier, EventID FROM h WHERE EventClass = 'Premier' AND EventDate >= DATE '2001-06-01')""")
+@query(H + """SELECT string_agg(EventDate || ' ' || Tier || ' (' || EventID || ')', '; ' ORDER BY EventDate, EventDate || ' ' || Tier || ' (' || EventID || ')') AS note FROM (SELECT DISTINCT EventDate, Tier, EventID FROM h WHERE EventClass = 'Premier' AND EventDate >= DATE '2001-06-01')
+    UNION ALL SELECT 'No Modern premier events in window 1901-01-01..1901-01-31 (registry checked)' FROM h WHERE EventDate <= DATE '1901-01-31' HAVING count(*) = 0""")
 def f39_premier_note(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = history(spark, sf_dir).where("EventClass = 'Premier' AND EventDate >= DATE '2001-06-01'")
-    return sinks.premier_note(h.select(F.col("EventDate").alias("date"), F.col("Tier").alias("event_type"), F.col("EventID").alias("event_id")).distinct())
+    """The notes of two windows, one of which has no event."""
+    h = history(spark, sf_dir).where("EventClass = 'Premier'").select(F.col("EventDate").alias("date"), F.col("Tier").alias("event_type"), F.col("EventID").alias("event_id")).distinct()
+    late = publishing.premier_note(h.where("date >= DATE '2001-06-01'"), "Modern", "2001-06-01", "2001-12-31")
+    return late.unionByName(publishing.premier_note(h.where("date <= DATE '1901-01-31'"), "Modern", "1901-01-01", "1901-01-31"))
 
 
 @query(H + """SELECT EventID, Place, Deck FROM h WHERE EventDate IN (SELECT DISTINCT EventDate FROM h ORDER BY 1 DESC LIMIT 8)""")
@@ -286,6 +305,30 @@ def q07_bracket_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.bracket_checks(matches(spark, sf_dir), history(spark, sf_dir).dropDuplicates(["EventID", "Place"]))
 
 
+_EIGHT = H + """, p AS (SELECT EventID, Place, CAST(EventID AS BIGINT) % 8 AS m FROM h WHERE Place <= 8 AND EventID IN (SELECT EventID FROM h GROUP BY EventID HAVING count(*) >= 8)), e AS (SELECT DISTINCT EventID, m FROM p)
+    SELECT CASE m WHEN 1 THEN 'bracket_semifinal' WHEN 2 THEN 'bracket_games' WHEN 3 THEN 'bracket_seeds' WHEN 4 THEN 'bracket_shape' WHEN 5 THEN 'bracket_final' WHEN 6 THEN 'bracket_top8' WHEN 7 THEN 'bracket_score' END AS check_id,
+           CASE WHEN m IN (3, 7) THEN 'warn' ELSE 'hard' END AS severity, EventID AS key,
+           CASE m WHEN 1 THEN '1/2' WHEN 2 THEN '1' WHEN 3 THEN '1v7 2v8 3v6 4v5' WHEN 4 THEN '3/2/1' WHEN 5 THEN '1/3' WHEN 6 THEN '7/8' WHEN 7 THEN '1' END AS detail FROM e WHERE m > 0
+"""
+
+
+@query(_EIGHT)
+def q07_bracket_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brackets of events with eight entries or more, seven of eight with one fault each."""
+    h = history(spark, sf_dir)
+    full = h.withColumn("_n", F.max("Place").over(Window.partitionBy("EventID"))).where("_n >= 8 AND Place <= 8").withColumn("Pilot", F.concat("Pilot", F.lit("-"), "Place")).withColumn("LoginID", F.lit(""))
+    m, n = F.col("EventID").cast("long") % 8, F.col("n")
+    pairs = (("QF", 1, 8), ("QF", 4, 5), ("QF", 2, 7), ("QF", 3, 6), ("SF", 1, 4), ("SF", 2, 3), ("F", 1, 2))
+    each = full.groupBy("EventID").agg(F.map_from_entries(F.collect_list(F.struct(F.col("Place").cast("int"), "Pilot"))).alias("who")).select("EventID", "who", F.posexplode(F.array(*(F.struct(F.lit(r).alias("Round"), F.lit(a).alias("a"), F.lit(b).alias("b")) for r, a, b in pairs))).alias("n", "x")).select("EventID", "who", "n", "x.*")
+    loser = F.when((m == 1) & (n == 4), 5).when((m == 5) & (n == 6), 3).otherwise(F.col("b"))
+    seed = lambda c: F.when((m == 3) & (c >= 7), 15 - c).otherwise(c)
+    rows = each.where(~((m == 4) & (n == 0))).select(
+        "EventID", "Round", F.col("who")[F.col("a")].alias("WinnerPilot"), F.lit("").alias("WinnerLoginID"), F.when((m == 6) & (n == 0), "nobody").otherwise(F.col("who")[loser]).alias("LoserPilot"), F.lit("").alias("LoserLoginID"),
+        F.when((m == 2) & (n == 6), 1).when((m == 7) & (n == 6), 3).otherwise(2).alias("WinnerGames"), F.when((m == 2) & (n == 6), "x").otherwise("1").alias("LoserGames"), seed(F.col("a")).alias("WinnerSwissRank"), seed(F.col("b")).alias("LoserSwissRank"),
+    )
+    return Q.bracket_checks(rows, full)
+
+
 @query(H + """, bad AS (SELECT EventID FROM h GROUP BY EventID HAVING count(*) <> 4) SELECT EventID, Place, CASE WHEN EventID NOT IN (SELECT EventID FROM bad) THEN LoginID END AS LoginID FROM h""")
 def q10_isolated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = history(spark, sf_dir)

@@ -114,7 +114,18 @@ def f19_f20_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", "k", S.rounded(S.hits_at_least_one(F.col("k"), 1000, 5), 6).alias("open"), S.rounded(S.hits_at_least_one(F.col("k"), 1000, 5, none=0.0), 6).alias("chart"))
 
 
-_DECKS = ["Boros Burn", "Jund Rock", "UW Control", "Ruby Storm", "Mono G Tron", "Izzet Murktide", "Lantern Prison", "Living End", "Jeskai Blink", "Izzet Prowess", "Sultai Midrange", "reanimator", "WUBRG", "Domain Zoo", "Merfolks", "  "]
+_CHOICES = "(" + " + ".join(f"(coalesce(list_product([1000.0 - k - i FOR i IN range({5 - j})]), 1) * list_product([(k - i) * 1.0 FOR i IN range({j})]) * {w})" for j, w in ((2, 10), (3, 10), (4, 5), (5, 1))) + ") / (1000.0 * 999 * 998 * 997 * 996)"
+
+
+@query(f"""WITH k AS (SELECT p_partkey, p_size - 2 AS k FROM part), c AS (SELECT p_partkey, greatest(k, 0) AS k FROM k)
+    SELECT p_partkey, k, round_even(CASE WHEN k = 0 THEN 1 WHEN k = 1 THEN 0.005 ELSE {_CHOICES} END * 1e9, 0) / 1e9 AS two, CAST(0 AS DOUBLE) AS none FROM c""")
+def f19_encounters_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meeting two copies or more; of one copy, or none, as many as there are."""
+    rows = read(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") - 2).alias("k"))
+    return rows.select("p_partkey", F.greatest("k", F.lit(0)).alias("k"), S.rounded(S.hits_at_least(F.col("k"), 1000, 5, 2), 9).alias("two"), S.hits_at_least(F.col("k"), 1000, 0, 2).alias("none"))
+
+
+_DECKS = ["Boros Burn", "Jund Rock", "UW Control", "Ruby Storm", "Mono G Tron", "Izzet Murktide", "Lantern Prison", "Living End", "Jeskai Blink", "Izzet Prowess", "Sultai Midrange", "reanimator", "WUBRG", "Domain Zoo", "Merfolks", "  ", "Unkown", "N/A", "NA", "none", "Null", "?", "-", "nan", "mostly unknown"]
 
 
 @query(rf"""WITH d AS (SELECT p_partkey, x, lower(trim(x)) AS n FROM (SELECT p_partkey, {_picked(_DECKS, 'p_partkey')} AS x FROM part))
@@ -124,21 +135,23 @@ _DECKS = ["Boros Burn", "Jund Rock", "UW Control", "Ruby Storm", "Mono G Tron",
     CASE WHEN n = 'reanimator' THEN 'Graveyard' WHEN n = '' THEN 'Unknown' ELSE trim(x) END AS label, CASE WHEN n = 'sultai midrange' THEN 'Midrange' ELSE 'Other' END AS forced,
     regexp_matches(trim(x), '^[A-Z]{{1,5}}$') OR regexp_matches(n, '^[wubrg]{{1,5}}$') AS code,
     CASE WHEN n LIKE '%jeskai%' AND (n LIKE '%blink%' OR n LIKE '%evoke%') THEN 'Jeskai Blink' WHEN n LIKE '%domain%' AND n LIKE '%zoo%' THEN 'Domain Zoo' WHEN n LIKE '%izzet%' AND (n LIKE '%prowess%' OR n LIKE '%steel%') THEN 'Prowess' ELSE x END AS keyword,
-    n = '' OR n LIKE '%unknown%' AS unknown FROM d""")
+    n IN ('', 'unknown', 'unkown', 'n/a', 'na', 'none', 'null', '?', '-') OR n LIKE '%unknown%' AS unknown FROM d""")
 def f21_f24_f33_f42_archetypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "part").select("p_partkey", _pick(_DECKS, "p_partkey").alias("x"))
     return rows.select("p_partkey", T.heuristic_archetype("x").alias("guess"), T.archetype_label("x").alias("label"), T.archetype_override("x", "x", F.lit("Other")).alias("forced"), T.is_code_like("x").alias("code"), T.keyword_archetype("x").alias("keyword"), T.is_unknown("x").alias("unknown"))
 
 
-@query(r"""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'Modern Challenge ' || p_size ELSE 'Modern RC ' || upper(p_type[1]) || lower(p_type[2:]) END AS label,
+@query(r"""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'Modern Challenge ' || p_size WHEN 1 THEN 'Modern RC ' || upper(p_type[1]) || lower(p_type[2:]) WHEN 2 THEN 'C' || p_size WHEN 3 THEN 'Premier' WHEN 4 THEN 'Super Qualifier RC' ELSE 'C64x' END AS label,
     CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_size % 3 = 0 THEN NULL ELSE '#ab' || lpad(CAST(p_size AS VARCHAR), 4, '0') END AS color,
     CASE WHEN p_size % 2 = 0 THEN 'classic' ELSE 'neon' END AS style FROM part""")
 def f28_f31_f40_f41_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size").cast("string")
-    tier = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("C"), size)).otherwise(F.concat(F.lit("modern-rc-"), F.lower("p_type")))
+    m = F.col("p_partkey") % 6
+    tier = F.when(m.isin(0, 2), F.concat(F.lit(" C"), size)).when(m == 1, F.concat(F.lit("modern_rc--"), F.lower("p_type"))).when(m == 3, "  ").when(m == 4, "super-qualifier rc_").otherwise("c64X")
+    kind = F.when(m.isin(0, 5), "Challenge").otherwise("Premier")
     color = F.concat(F.when(F.col("p_size") % 3 == 0, "#xy").otherwise("#AB"), F.lpad(size, 4, "0"))
     style = F.when(F.col("p_size") % 2 == 0, "sepia").otherwise("Neon")
-    return read(spark, sf_dir, "part").select("p_partkey", T.event_label(tier).alias("label"), T.event_id(F.concat(F.col("p_partkey").cast("string"), F.lit(".0"))).alias("id"), T.hex_color(color).alias("color"), T.style_of(style, ["classic", "neon"]).alias("style"))
+    return read(spark, sf_dir, "part").select("p_partkey", T.event_label(tier, kind).alias("label"), T.event_id(F.concat(F.col("p_partkey").cast("string"), F.lit(".0"))).alias("id"), T.hex_color(color).alias("color"), T.style_of(style, ["classic", "neon"]).alias("style"))
 
 
 @query("SELECT p_partkey, p_name || ' / ' || p_brand AS names, 2 AS n FROM part")
@@ -156,12 +169,12 @@ def f35_reachable_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)
     SELECT o_orderkey, strftime(d, '%Y/%m/') || 'W' || lpad(CAST(weekofyear(d) AS VARCHAR), 2, '0') || '_' || (d - 13) || '_to_' || d AS folder, d - 13 AS starts, d AS ends,
-    least(d + (7 - CAST(dayofweek(d) AS INT)) + 7, DATE '2001-08-01' + 7) AS anchor FROM o""", dates="starts ends anchor")
+    CASE WHEN d + (7 - CAST(dayofweek(d) AS INT)) % 7 + 7 <= DATE '1998-06-17' + 7 THEN d + (7 - CAST(dayofweek(d) AS INT)) % 7 + 7 ELSE DATE '1998-06-14' END AS anchor FROM o""", dates="starts ends anchor")
 def f36_f38_k11_run_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.to_date("o_orderdate")
     rows = read(spark, sf_dir, "orders").select("o_orderkey", d.alias("d"), S.week_folder(F.date_sub(d, 13), d).alias("folder"))
     w = S.week_of_path(F.col("folder"))
-    return rows.select("o_orderkey", "folder", w["week_start"].alias("starts"), w["week_end"].alias("ends"), S.next_anchor(F.col("d"), F.lit("2001-08-01").cast("date")).alias("anchor"))
+    return rows.select("o_orderkey", "folder", w["week_start"].alias("starts"), w["week_end"].alias("ends"), S.next_anchor(F.col("d"), F.lit("1998-06-17").cast("date")).alias("anchor"))
 
 
 @query("""WITH c AS (SELECT doc_id, list_distinct(string_split(lower(text), ' ')) AS w FROM documents)

@@ -143,9 +143,35 @@ def j07_c04_compared_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compared(spark, sf_dir)
 
 
-@query(_COMPARE + f"""SELECT Deck, "Delta pp", (SELECT {_R('median("Delta pp")', 4)} FROM d) AS MedianDelta, rank() OVER (ORDER BY "Delta pp" DESC) AS DeltaRank FROM d""")
+_STATS = H + SHARES + f""", a AS (SELECT Deck, {_R("100.0 * count(DISTINCT EventID) / (SELECT sum(n) FROM (SELECT count(DISTINCT EventID) AS n FROM h GROUP BY Tier))")} AS Top32EventFreqPct,
+        {_R("100.0 * count(DISTINCT EventID) FILTER (Place <= 8) / (SELECT sum(n) FROM (SELECT count(DISTINCT EventID) AS n FROM h GROUP BY Tier))")} AS Top8EventFreqPct FROM h GROUP BY Deck),
+    s AS (SELECT a.*, CASE WHEN Deck = 'Brand#4' THEN 0 ELSE coalesce({_R('Meta')}, 0) END AS MetaPct FROM a LEFT JOIN m USING (Deck)), x AS (SELECT *, {_R('Top32EventFreqPct - MetaPct')} AS delta, CAST(round_even(MetaPct * 10, 0) AS INT) AS c FROM s)
+"""
+
+
+def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decks over all tiers, with their market share, which one deck lacks."""
+    return M.with_meta_share(P.all_tiers(P.presence(history(spark, sf_dir))), shares(spark, sf_dir).where("Deck <> 'Brand#4'"))
+
+
+@query(_STATS + f"""SELECT Deck, delta AS "Delta pp", CAST(row_number() OVER (ORDER BY delta DESC, Deck) AS INT) AS DeltaRank, (SELECT CASE WHEN count(*) >= 4 THEN {_R('median(delta)', 4)} END FROM x WHERE c > 0 AND {_ENC} >= 0.18) AS MedianDelta FROM x WHERE c > 0 AND {_ENC} >= 0.18""")
 def c05_delta_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.delta_ranking(_compared(spark, sf_dir))
+    return M.delta_ranking(_stats(spark, sf_dir), cutoff=18)
+
+
+@query(_STATS + f"""SELECT Deck, delta AS "Delta pp", CAST(row_number() OVER (ORDER BY delta DESC, Deck) AS INT) AS DeltaRank, (SELECT {_R('median(delta)', 4)} FROM x) AS MedianDelta FROM x WHERE c > 0 AND {_ENC} >= 0.18""")
+def c05_delta_ranking_beside_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.delta_ranking(_stats(spark, sf_dir), cutoff=18, median_of_all=True)
+
+
+@query(_STATS + f"SELECT Deck, Top32EventFreqPct, Top8EventFreqPct, MetaPct, CAST(row_number() OVER (ORDER BY Top32EventFreqPct DESC, Top8EventFreqPct DESC, MetaPct DESC, Deck) AS INT) AS \"Order\" FROM x WHERE c > 0 AND {_ENC} >= 0.18")
+def c04_presence_against_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.presence_against_share(_stats(spark, sf_dir), cutoff=18)
+
+
+@query(_STATS + f"SELECT Deck, Top32EventFreqPct, Top8EventFreqPct, MetaPct, CAST(row_number() OVER (ORDER BY MetaPct DESC, Top32EventFreqPct DESC, Top8EventFreqPct DESC, Deck) AS INT) AS \"Order\" FROM x WHERE c > 0 AND {_ENC} >= 0.18")
+def c04_presence_by_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.presence_against_share(_stats(spark, sf_dir), cutoff=18, by_share=True)
 
 
 @query(H + SHARES + f"""SELECT Tier, Deck, count(DISTINCT EventID) AS Events, CASE WHEN Deck = 'Brand#4' THEN 0.0 ELSE {_R('any_value(Meta)')} END AS MetaPct FROM h JOIN m USING (Deck) GROUP BY Tier, Deck""")

@@ -153,6 +153,14 @@ def p07_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.search(history(spark, sf_dir).withColumn("ordinal", F.col("row_id")), "bolt", "promo").select("EventID", "Place")
 
 
+@query(H + "SELECT 'archetype' AS asked, count(*) AS n FROM (SELECT 1 FROM h WHERE Archetype = 'PROMO' LIMIT 500) UNION ALL SELECT 'nothing', 0")
+def p07_search_without_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archetype alone finds its rows; nothing at all finds none."""
+    rows = history(spark, sf_dir).withColumn("ordinal", F.col("row_id"))
+    found = lambda name, archetype: U.search(rows, " ", archetype).agg(F.lit(name).alias("asked"), F.count("*").alias("n"))
+    return found("archetype", "promo").unionByName(found("nothing", None))
+
+
 @query("SELECT 'saved_mapping' AS check_id, 'hard' AS severity, p_name || p_partkey AS key, CASE WHEN p_partkey % 4 = 0 THEN 'missing' ELSE 'b' END AS detail FROM part WHERE p_partkey % 4 <> 1")
 def q09_saved_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read(spark, sf_dir, "part")
@@ -173,7 +181,7 @@ def j18_registry_against_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     slug = F.when(F.col("o_orderkey") % 3 == 0, "modern-challenge-64").when(F.col("o_orderkey") % 3 == 1, "modern-super-qualifier").otherwise("pauper-league")
-    link = F.concat(F.lit('<p><a href="/decklist/'), slug, F.lit("-"), day, (F.col("o_orderkey") + 12000000).cast("string"), F.lit('">x</a> <a href="/other">y</a></p>'))
+    link = F.concat(F.when(F.col("o_orderkey") % 2 == 0, '<p><A HREF="/Decklist/').otherwise('<p><a href="/decklist/'), slug, F.lit("-"), day, (F.col("o_orderkey") + 12000000).cast("string"), F.lit('">x</a> <a href="/other">y</a></p>'))
     return read(spark, sf_dir, "orders").select(link.alias("html"))
 
 
@@ -195,9 +203,14 @@ def s13_truncated_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.truncated_months(links, stored, F.lit("1990-01-01").cast("date"))
 
 
-@query(H + "SELECT EventID, CAST(Place AS INT) AS place, Deck AS deck, Pilot AS pilot FROM h")
+@query(H + "SELECT EventID, CAST(Place AS INT) AS place, CASE WHEN Place = 3 THEN Deck || ' Mana cost 3' ELSE Deck END AS deck, Pilot AS pilot FROM h WHERE Place NOT IN (2, 4, 5)")
 def s11_result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = F.concat(F.lit("<tr class=x><td>"), F.col("Place").cast("string"), F.when(F.col("Place") == 1, "st").otherwise("th"), F.lit("</td><TD><b>"), "Deck", F.lit("</b> Mana cost 3</TD><td>&nbsp;"), "Pilot", F.lit("</td></tr>"))
+    """Result tables in which the second place has no ordinal, the third no colon, the fourth no pilot and the fifth no deck."""
+    at = F.col("Place")
+    row = F.concat(
+        F.lit("<tr class=x><td>"), at.cast("string"), F.when(at == 1, "st").when(at == 2, "").otherwise("TH"), F.lit("</td><TD><b>"), F.when(at == 5, "").otherwise(F.col("Deck")),
+        F.when(at == 3, "</b> Mana cost 3</TD><td>&nbsp;").otherwise("</b> Mana Cost : 3</TD><td>&nbsp;"), F.when(at == 4, " ").otherwise(F.col("Pilot")), F.lit("</td></tr>"),
+    )
     pages = history(spark, sf_dir).groupBy("EventID").agg(F.concat(F.lit("<table><tr><td>Place</td></tr>"), F.array_join(F.collect_list(row), "\n"), F.lit("</table>")).alias("html"))
     return events.result_rows(pages, "EventID").select("EventID", "place", "deck", "pilot")
 
@@ -207,12 +220,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     login = F.concat(F.lit("L"), F.col("Place").cast("string"))
     h = history(spark, sf_dir)
     card = lambda name, qty: F.struct(qty.cast("string").alias("qty"), F.struct(name.alias("card_name")).alias("card_attributes"))
-    deck = F.struct(login.alias("loginid"), F.col("Pilot").alias("player"), F.array(card(F.col("RawDeck"), F.col("Place") + 1), card(F.col("RawDeck"), F.lit(1)), card(F.lit("Island"), F.lit(9))).alias("main_deck"))
+    written = F.concat(F.lit(" "), F.upper(F.replace("RawDeck", F.lit(" "), F.lit("  "))))
+    deck = F.struct(login.alias("loginid"), F.col("Pilot").alias("player"), F.array(card(F.col("RawDeck"), F.col("Place") + 1), card(written, F.lit(None)), card(F.lit("Island"), F.lit(9)), card(F.lit(" WASTES "), F.lit(None)), card(F.lit(" "), F.lit(2))).alias("main_deck"))
     rank = F.struct(login.alias("loginid"), F.col("Place").cast("string").alias("rank"))
     standing = F.struct(F.upper("Pilot").alias("login_name"), F.when(F.col("Place") % 2 == 0, login).otherwise("").alias("loginid"), F.col("Place").cast("string").alias("rank"), F.lit("9").alias("score"))
-    player = lambda p, win: F.max(F.when(F.col("Place") == p, F.struct(F.col("Pilot").alias("player"), login.alias("loginid"), F.lit(2 if win else 1).alias("wins"), F.lit(win).alias("winner"))))
+    own = F.when(F.col("EventID").cast("long") % 3 != 0, login).otherwise(" ")
+    player = lambda p, win: F.max(F.when(F.col("Place") == p, F.struct(F.col("Pilot").alias("player"), (login if win else own).alias("loginid"), F.lit(2 if win else 1).alias("wins"), F.lit(win).alias("winner"), F.lit(p).alias("seeding"))))
     match = F.struct(F.lit(0).alias("index"), F.array(F.struct(F.array(player(1, True), player(2, False)).alias("players"))).alias("matches"))
-    body = F.struct(F.first("EventID").alias("event_id"), F.struct(F.count("*").cast("string").alias("players")).alias("player_count"), F.collect_list(rank).alias("final_rank"), F.collect_list(standing).alias("standings"), F.collect_list(deck).alias("decklists"), F.when(F.count("*") > 1, F.array(match)).alias("brackets"))
+    body = F.struct(F.first("EventID").alias("event_id"), F.struct(F.count("*").cast("string").alias("players")).alias("player_count"), F.collect_list(rank).alias("final_rank"), F.transform(F.array_sort(F.collect_list(F.struct("Place", standing.alias("s")))), lambda s: s["s"]).alias("standings"), F.array_sort(F.collect_list(deck)).alias("decklists"), F.when(F.count("*") > 1, F.array(match)).when(F.col("EventID").cast("long") % 2 == 0, F.array().cast("array<struct<index: int, matches: array<struct<players: array<struct<player: string, loginid: string, wins: int, winner: boolean, seeding: int>>>>>>")).alias("brackets"))
     pages = h.groupBy("EventID").agg(F.concat(F.lit("<script>window.MTGO.decklists.data = "), F.to_json(body), F.lit(";\n</script>")).alias("html")).select("html")
     return events.embedded_events(pages)
 
@@ -220,19 +235,26 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _N = H + ", d AS (SELECT * FROM h)\n"
 
 
-@query(_N + "SELECT EventID, 'ERROR' AS status, count(*) || ' decklists' AS reason, CAST(count(*) AS INT) AS PlayerCount FROM d GROUP BY EventID")
+@query(_N + """, n AS (SELECT EventID, count(*) AS n, CAST(EventID AS BIGINT) % 5 AS m FROM d GROUP BY EventID)
+    SELECT EventID, CASE WHEN n <> 4 OR m = 4 THEN 'ERROR' WHEN m = 0 THEN 'PENDING' WHEN m = 1 THEN 'ERROR' ELSE 'OK' END AS status, CASE WHEN n <> 4 OR m = 4 THEN 'places are not 1 to 4' WHEN m = 0 THEN 'no decklists' WHEN m = 1 THEN '3 decklists' END AS reason, CAST(n AS INT) AS PlayerCount FROM n""")
 def s14_s24_event_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.event_status(_documents(spark, sf_dir))
+    """Events of four: some without decklists, with one less, with a login that is ranked twice, or whose last rank is its first."""
+    m, again = F.col("event.event_id").cast("long") % 5, lambda i: F.array_append("event.final_rank", F.struct(F.lit("L1").alias("loginid"), F.lit(i).alias("rank"), F.lit(None).cast("string").alias("roundnumber")))
+    docs = _documents(spark, sf_dir).withColumn("event", F.col("event").withField("decklists", F.when(m == 0, F.slice("event.decklists", 1, 0)).when(m == 1, F.slice("event.decklists", 1, 3)).otherwise(F.col("event.decklists"))))
+    docs = docs.withColumn("event", F.col("event").withField("final_rank", F.when(m == 4, again("2")).when(m == 3, again("1")).otherwise(F.col("event.final_rank"))))
+    return events.event_status(docs, 4)
 
 
-@query(_N + "SELECT EventID, 'L' || Place AS LoginID, Pilot, CAST(Place AS INT) AS Place, RawDeck AS item, CAST(Place + 2 AS BIGINT) AS qty FROM d")
+@query(_N + "SELECT EventID, 'L' || Place AS LoginID, Pilot, CAST(Place AS INT) AS Place, lower(RawDeck) AS item, CAST(Place + 2 AS BIGINT) AS qty FROM d")
 def s15_j25_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = events.rosters(_documents(spark, sf_dir))
     cards = events.cards(r).select(F.split("deck_id", ":")[0].alias("EventID"), F.split("deck_id", ":")[1].alias("LoginID"), "item", "qty")
     return r.select("EventID", "LoginID", "Pilot", "Place").join(cards, ["EventID", "LoginID"])
 
 
-@query(_N + """SELECT a.EventID, 'F' AS Round, a.Pilot AS WinnerPilot, 'L1' AS WinnerLoginID, 2 AS WinnerGames, b.Pilot AS LoserPilot, 'L2' AS LoserLoginID, 1 AS LoserGames FROM d a JOIN d b ON a.EventID = b.EventID AND a.Place = 1 AND b.Place = 2""")
+@query(_N + """, l AS (SELECT EventID, Pilot, max('L' || Place) AS l FROM d GROUP BY ALL), x AS (SELECT *, CAST(EventID AS BIGINT) % 3 = 0 AS blank FROM d)
+    SELECT a.EventID, 'F' AS Round, a.Pilot AS WinnerPilot, 'L1' AS WinnerLoginID, 2 AS WinnerGames, 1 AS WinnerSwissRank, b.Pilot AS LoserPilot, CASE WHEN b.blank THEN l ELSE 'L2' END AS LoserLoginID, 1 AS LoserGames, 2 AS LoserSwissRank, CAST(b.blank AS INT) AS Borrowed
+    FROM d a JOIN x b ON a.EventID = b.EventID AND a.Place = 1 AND b.Place = 2 JOIN l ON l.EventID = b.EventID AND l.Pilot = b.Pilot""")
 def s23_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.brackets(_documents(spark, sf_dir))
 
@@ -242,7 +264,8 @@ def s23_without_bracket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.without_bracket(_documents(spark, sf_dir))
 
 
-@query(_N + """, l AS (SELECT EventID, Pilot, min('L' || Place) AS l FROM d GROUP BY ALL) SELECT EventID, CASE WHEN Place % 2 = 0 THEN 'L' || Place ELSE l END AS LoginID, CAST(Place AS INT) AS SwissRank, 9 AS SwissPoints, Place % 2 = 1 AS ByName FROM d JOIN l USING (EventID, Pilot)""")
+@query(_N + """, l AS (SELECT EventID, Pilot, max('L' || Place) AS l FROM d GROUP BY ALL), r AS (SELECT EventID, CASE WHEN Place % 2 = 0 THEN 'L' || Place ELSE l END AS LoginID, Place, Place % 2 = 1 AS ByName FROM d JOIN l USING (EventID, Pilot))
+    SELECT EventID, LoginID, CAST(max(Place) AS INT) AS SwissRank, 9 AS SwissPoints, arg_max(ByName, Place) AS ByName FROM r GROUP BY EventID, LoginID""")
 def j14_j24_swiss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.swiss(_documents(spark, sf_dir)).select("EventID", "LoginID", "SwissRank", "SwissPoints", "ByName")
 

@@ -17,13 +17,13 @@ EVENT = (
 )
 #: The mark of the embedded document, the links of an index page, rounds of a bracket by their index.
 EMBEDDED = r"(?s)window\.MTGO\.decklists\.data\s*=\s*(\{.*?\});"
-LINK = r'href="/decklist/([a-z0-9-]+?)-(\d{4}-\d{2}-\d{2})(\d+)"'
+LINK = r'(?i)href="/decklist/([a-z0-9-]+)-(\d{4}-\d{2}-\d{2})(\d+)"'
 ROUNDS = {2: "QF", 1: "SF", 0: "F"}
 SIZE = 32
 
 
 def index_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """slug, date and id of every event link, once each."""
+    """slug, date and id of every event link, once each, whatever the case of the link; null dates are no dates."""
     rows = pages.select(F.explode(F.regexp_extract_all(html, F.lit(LINK), F.lit(0))).alias("a")).distinct()
     part = lambda i: F.regexp_extract("a", LINK, i)
     return rows.select(part(1).alias("slug"), F.try_to_date(part(2)).alias("date"), part(3).alias("event_id"))
@@ -52,12 +52,13 @@ def truncated_months(links: DataFrame, stored: DataFrame, due: Column) -> DataFr
 
 
 def result_rows(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """Rows of a result table: place, deck and pilot from the first three cells, where the first is a place such as 1st."""
+    """Rows of a result table: place, deck and pilot from the first three cells, where the first is a place such as 1st and the
+    others aren't empty. What follows `mana cost:` in a deck's cell isn't its name."""
     rows = pages.select(key, F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0))).alias("row", "tr"))
     cells = rows.withColumn("td", F.transform(F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1)), T.strip_html))
-    place = F.regexp_extract(F.get("td", F.lit(0)), r"^(\d+)(?:st|nd|rd|th)?$", 1).try_cast("int")
-    deck = F.regexp_replace(F.get("td", F.lit(1)), r"(?i)\s*mana cost.*$", "")
-    return cells.select(key, "row", place.alias("place"), deck.alias("deck"), F.get("td", F.lit(2)).alias("pilot")).where("place IS NOT NULL")
+    place = F.regexp_extract(F.lower(F.get("td", F.lit(0))), r"^(\d+)(?:st|nd|rd|th)$", 1).try_cast("int")
+    deck = F.trim(F.regexp_replace(F.get("td", F.lit(1)), r"(?i)\s*mana cost\s*:.*$", ""))
+    return cells.select(key, "row", place.alias("place"), deck.alias("deck"), F.get("td", F.lit(2)).alias("pilot")).where("place IS NOT NULL AND deck <> '' AND pilot <> ''")
 
 
 def embedded_events(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -71,46 +72,79 @@ def parse_events(text: DataFrame, col: str = "value") -> DataFrame:
     return text.withColumn("event", F.from_json(col, EVENT))
 
 
-def event_status(events: DataFrame) -> DataFrame:
-    """OK, PENDING (no decklists yet) or ERROR with its reason, and the number of players or null, never 0 by default."""
-    ranks = F.array_sort(F.transform("event.final_rank", lambda r: r["rank"].try_cast("int")))
+def _ranks() -> Column:
+    """The last entry of each login among the final ranks, as (loginid, rank)."""
+    entries = F.transform("event.final_rank", lambda r: F.named_struct(F.lit("loginid"), r["loginid"], F.lit("rank"), r["rank"].try_cast("int")))
+    last = lambda own: F.filter(own, lambda r, i: ~F.exists(F.slice(own, i + 2, F.greatest(F.size(own) - i - 1, F.lit(0))), lambda q: q["loginid"].eqNullSafe(r["loginid"])))
+    return F.get(F.transform(F.array(F.coalesce(entries, F.expr("cast(array() as array<struct<loginid: string, rank: int>>)"))), last), F.lit(0))
+
+
+def event_status(events: DataFrame, size: int = SIZE) -> DataFrame:
+    """OK, ERROR with its reason, or PENDING (places, but no decklists yet), and the number of players or null, never 0 by default.
+
+    Places are judged first: those of the logins, the last of each, must be exactly 1 to `size`.
+    """
+    places = F.array_sort(F.array_distinct(F.transform(_ranks(), lambda r: r["rank"])))
+    good = F.coalesce(places == F.sequence(F.lit(1), F.lit(size)), F.lit(False))
     n = F.coalesce(F.size("event.decklists"), F.lit(0))
-    status = F.when(n <= 0, "PENDING").when(n != SIZE, "ERROR").when(~F.coalesce(ranks == F.sequence(F.lit(1), F.lit(SIZE)), F.lit(False)), "ERROR").otherwise("OK")
-    reason = F.when(status == "PENDING", "no decklists").when(n != SIZE, F.concat(n.cast("string"), F.lit(" decklists"))).when(status == "ERROR", "places are not 1 to 32")
+    n = F.greatest(n, F.lit(0))
+    status = F.when(~good, "ERROR").when(n == 0, "PENDING").when(n != size, "ERROR").otherwise("OK")
+    reason = F.when(~good, f"places are not 1 to {size}").when(n == 0, "no decklists").when(n != size, F.concat(n.cast("string"), F.lit(" decklists")))
     return events.select(F.col("event.event_id").alias("EventID"), status.alias("status"), reason.alias("reason"), F.col("event.player_count.players").try_cast("int").alias("PlayerCount"))
 
 
 def rosters(events: DataFrame) -> DataFrame:
     """Pilot, login, place and cards of each decklist: EventID, LoginID, Pilot, Place, cards (map of name to quantity, no basic lands)."""
-    rank = F.map_from_entries(F.transform(F.filter("event.final_rank", lambda r: (F.coalesce(F.trim(r["loginid"]), F.lit("")) != "") & r["rank"].try_cast("int").isNotNull()), lambda r: F.struct(r["loginid"], r["rank"].try_cast("int"))))
+    rank = F.map_from_entries(F.filter(_ranks(), lambda r: (F.coalesce(F.trim(r["loginid"]), F.lit("")) != "") & r["rank"].isNotNull()))
     rows = events.select(F.col("event.event_id").alias("EventID"), rank.alias("_rank"), F.explode("event.decklists").alias("d"))
     return rows.select("EventID", F.col("d.loginid").alias("LoginID"), F.col("d.player").alias("Pilot"), F.try_element_at("_rank", F.col("d.loginid")).alias("Place"), "d.main_deck")
 
 
 def cards(rosters_: DataFrame) -> DataFrame:
-    """deck_id, item and qty of each roster's deck, quantities of a card summed, basic lands left out."""
+    """deck_id, item and qty of each roster's deck: names in lower case with single spaces, quantities of a card summed, one
+    where none is given; cards without a name and basic lands are left out. A quantity that is no number is an error."""
     rows = rosters_.select(F.concat_ws(":", "EventID", "LoginID").alias("deck_id"), F.explode("main_deck").alias("c"))
-    return rows.select("deck_id", F.col("c.card_attributes.card_name").alias("item"), F.coalesce(F.col("c.qty").try_cast("int"), F.lit(0)).alias("qty")).where(~F.col("item").isin(*BASIC_LANDS)).groupBy("deck_id", "item").agg(F.sum("qty").alias("qty"))
+    named = rows.select("deck_id", T.normalize_name("c.card_attributes.card_name").alias("item"), F.coalesce(F.col("c.qty").cast("int"), F.lit(1)).alias("qty"))
+    return named.where((F.col("item") != "") & ~F.col("item").isin(*BASIC_LANDS)).groupBy("deck_id", "item").agg(F.sum("qty").alias("qty"))
+
+
+def _logins(events: DataFrame) -> DataFrame:
+    """The login of each name in an event's decklists, the last of equal names (EventID, _p, _l)."""
+    rows = events.select(F.col("event.event_id").alias("EventID"), F.posexplode("event.decklists").alias("i", "d"))
+    known = rows.select("EventID", "i", T.normalize_name("d.player").alias("_p"), T.trimmed("d.loginid").alias("_l")).where("_p <> '' AND _l <> ''")
+    return known.groupBy("EventID", "_p").agg(F.max_by("_l", "i").alias("_l"))
+
+
+def _resolved(rows: DataFrame, events: DataFrame, login: str, name: str) -> DataFrame:
+    """Rows with `login` filled from the decklists where it is blank, empty if the name isn't there either, and `_borrowed`: whether it was blank."""
+    named = _logins(events).withColumnsRenamed({"EventID": "_e"})
+    out = rows.withColumn("_n", T.normalize_name(name)).join(named, (F.col("EventID") == F.col("_e")) & (F.col("_n") == F.col("_p")), "left")
+    blank = T.trimmed(login) == ""
+    return out.withColumns({login: F.when(blank, F.coalesce("_l", F.lit(""))).otherwise(T.trimmed(login)), "_borrowed": blank}).drop("_n", "_e", "_p", "_l")
 
 
 def brackets(events: DataFrame) -> DataFrame:
-    """Matches of each event: round, winner and loser. A match needs two players, one of them the winner."""
+    """Matches of each event: round, winner and loser with their seeds, and how many of the two logins (0 to 2) were blank and
+    so looked up by name. A match needs two players, one of them the winner."""
     one = events.select(F.col("event.event_id").alias("EventID"), F.explode("event.brackets").alias("b")).select("EventID", F.col("b.index").alias("i"), F.explode("b.matches").alias("m"))
     won = lambda flag: F.filter("m.players", lambda p: F.coalesce(p["winner"], F.lit(False)) == flag)
     rows = one.where(F.size("m.players") == 2).select("EventID", "i", won(True).alias("w"), won(False).alias("l")).where("size(w) = 1 AND size(l) = 1")
     name = F.coalesce(*(F.when(F.col("i") == i, r) for i, r in ROUNDS.items()))
-    side = lambda s, c: [F.col(f"{s}.{f}")[0].alias(f"{c}{n}") for f, n in (("player", "Pilot"), ("loginid", "LoginID"), ("wins", "Games"))]
-    return rows.select("EventID", name.alias("Round"), *side("w", "Winner"), *side("l", "Loser"))
+    side = lambda s, c: [F.col(f"{s}.{f}")[0].alias(f"{c}{n}") for f, n in (("player", "Pilot"), ("loginid", "LoginID"), ("wins", "Games"), ("seeding", "SwissRank"))]
+    out = rows.select("EventID", name.alias("Round"), *side("w", "Winner"), *side("l", "Loser")).withColumns({f"{c}Pilot": T.trimmed(f"{c}Pilot") for c in ("Winner", "Loser")})
+    out = _resolved(out, events, "WinnerLoginID", "WinnerPilot").withColumnRenamed("_borrowed", "_b")
+    return _resolved(out, events, "LoserLoginID", "LoserPilot").withColumn("Borrowed", F.col("_b").cast("int") + F.col("_borrowed").cast("int")).drop("_b", "_borrowed")
 
 
 def without_bracket(events: DataFrame) -> DataFrame:
-    """Events whose document has no bracket, which is not the same as an empty one."""
-    return events.where("event.event_id IS NOT NULL AND event.brackets IS NULL").select(F.col("event.event_id").alias("EventID"), F.lit("no bracket").alias("Reason"))
+    """Events whose document has no bracket; an empty list is none."""
+    return events.where("event.event_id IS NOT NULL AND coalesce(size(event.brackets), 0) <= 0").select(F.col("event.event_id").alias("EventID"), F.lit("no bracket").alias("Reason"))
 
 
 def swiss(events: DataFrame) -> DataFrame:
-    """Standings of each event: login (its own, else that of the decklist of that name), rank, score and percentages as they are written."""
-    rows = events.select(F.col("event.event_id").alias("EventID"), F.explode("event.standings").alias("s")).select("EventID", "s.*")
-    named = events.select(F.col("event.event_id").alias("EventID"), F.explode("event.decklists").alias("d")).groupBy("EventID", T.normalize_name("d.player").alias("_p")).agg(F.min("d.loginid").alias("_l"))
-    out = rows.withColumn("_p", T.normalize_name("login_name")).join(named, ["EventID", "_p"], "left")
-    return out.select("EventID", F.coalesce(F.nullif(T.trimmed("loginid"), F.lit("")), "_l").alias("LoginID"), F.col("rank").try_cast("int").alias("SwissRank"), F.col("score").try_cast("int").alias("SwissPoints"), F.col("opponentmatchwinpercentage").alias("OMWP"), F.col("gamewinpercentage").alias("GWP"), F.col("opponentgamewinpercentage").alias("OGWP"), (T.trimmed("loginid") == "").alias("ByName"))
+    """Standings of each event: login (its own, else that of the decklist of that name; without either the row is left out),
+    rank, score and percentages as they are written, and whether the login was looked up. A login's last row counts."""
+    rows = events.select(F.col("event.event_id").alias("EventID"), F.posexplode("event.standings").alias("_i", "s")).select("EventID", "_i", "s.*")
+    out = _resolved(rows, events, "loginid", "login_name").where("loginid <> ''")
+    one = out.groupBy("EventID", F.col("loginid").alias("LoginID")).agg(F.max_by(F.struct(*(c for c in out.columns if c not in ("EventID", "loginid"))), "_i").alias("s")).select("EventID", "LoginID", "s.*")
+    return one.select("EventID", "LoginID", F.col("rank").try_cast("int").alias("SwissRank"), F.col("score").try_cast("int").alias("SwissPoints"), *(T.trimmed(c).alias(n) for c, n in (("opponentmatchwinpercentage", "OMWP"), ("gamewinpercentage", "GWP"), ("opponentgamewinpercentage", "OGWP"))), F.col("_borrowed").alias("ByName"))

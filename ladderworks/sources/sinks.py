@@ -76,12 +76,6 @@ def manifest(history: DataFrame) -> DataFrame:
     return rows.join(top_eight(history), "EventID", "left")
 
 
-def premier_note(events: DataFrame) -> DataFrame:
-    """`date type (id), ...` of the premier events by date, or that there is none."""
-    one = F.concat(F.col("date").cast("string"), F.lit(" "), F.col("event_type"), F.lit(" ("), F.col("event_id"), F.lit(")"))
-    return events.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("date", one.alias("t")))), lambda s: s["t"]), ", ").alias("n")).select(F.when(F.col("n") == "", "none (registry checked)").otherwise(F.col("n")).alias("note"))
-
-
 def uptime(pings: DataFrame) -> DataFrame:
     """By endpoint: share of good calls in percent, and how many have failed since the last good one (endpoint, ts, ok)."""
     last = pings.groupBy("endpoint").agg(F.max(F.when(F.col("ok"), F.col("ts"))).alias("last_ok"))
