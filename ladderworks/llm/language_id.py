@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladderworks.llm.common import chunks
+from ladderworks.llm.common import chunks, scratch
 
 #: Bounds of the training sample: distinct texts in all, pieces of each, words of a piece. So many languages at most.
 TEXTS, SNIPPETS, SNIPPET_WORDS = 4_000, 3, (2, 60)
@@ -118,11 +118,17 @@ def sample(labelled: DataFrame, label: Column, text: Column, texts: int = TEXTS)
     """(label, hash of the text, piece of the text) of the bounded sample, in a fixed order. A text counts once for each label,
     however often it is repeated; texts without a letter and rows without a label don't count."""
     rows = labelled.select(label.alias("label"), text.alias("text")).where(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("hash", F.xxhash64("text"))
-    n = rows.select("label").distinct().limit(texts + 1).count()
-    if n > texts:
+    distinct = scratch(rows.select("label", "hash").distinct())
+    sizes = distinct.groupBy("label").agg(F.count("*").alias("n")).limit(texts + 1).collect()
+    if len(sizes) > texts:
         raise ValueError(f"more than {texts} languages")
+    # Hashes are spread evenly, so that few beyond the smallest `each` lie below a bound; these few are then ranked.
+    each = max(1, texts // max(len(sizes), 1))
+    bounds = [(r.label, min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, (1.2 * each + 20) / r.n)))) for r in sizes]
+    bounds = rows.sparkSession.createDataFrame(bounds, "label string, bound long")
     first = Window.partitionBy("label").orderBy("hash")
-    hashes = rows.select("label", "hash").distinct().withColumn("place", F.row_number().over(first)).where(F.col("place") <= max(1, texts // max(n, 1)))
+    low = distinct.join(F.broadcast(bounds), "label").where("hash <= bound")
+    hashes = low.withColumn("place", F.row_number().over(first)).where(F.col("place") <= each)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
