@@ -9,13 +9,13 @@ prediction is rejected. Predicting is one pass over whole texts without a shuffl
 from __future__ import annotations
 
 import random
-from collections import Counter
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,8 +27,9 @@ TEXTS, SNIPPETS, SNIPPET_WORDS = 4_000, 3, (2, 60)
 BUCKETS, DIMENSIONS, LENGTHS = 1 << 16, 16, (1, 2, 3, 4)
 #: The share of accepted predictions that should be right.
 ACCURACY = 0.99
-#: Runs of letters; longer ones are read in pieces of so many letters. Words whose sums a worker remembers.
-WORD, HELD_WORDS = regex.compile(r"\p{L}{1,48}"), 200_000
+#: Runs of letters (and of numbers that are no digits, such as fractions); longer ones are read in pieces of so many. Words whose
+#: sums a worker remembers, unless those that it works on are more; words that it works on together.
+WORD, HELD_WORDS, TOGETHER = re.compile(r"[^\W\d_]{1,48}"), 400_000, 400_000
 #: Characters of a text that are split into words at once.
 PIECE = 1 << 20
 
@@ -84,29 +85,40 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_known": {}, "_sums": None, "_shares": None}
 
-    def learn(self, found: set[str]) -> None:
-        """Remembers the scores of the words' subwords, summed, and their number."""
-        new = [w for w in found if w not in self._known]
+    def numbers(self, found: list[str]) -> np.ndarray:
+        """The row of each word in the remembered sums: the scores of its subwords, and their number."""
+        new = set(found).difference(self._known)
         if self._sums is None or len(self._known) + len(new) > HELD_WORDS:
-            self._known, self._sums, new = {}, np.zeros((0, len(self.languages) + 1)), list(found)
+            self._known, self._sums, new = {}, np.zeros((0, len(self.languages) + 1)), set(found)
         if new:
             if self._shares is None:
                 self._shares = np.column_stack([self.embeddings @ self.weights, np.ones(BUCKETS)])
-            bucket, owner = subwords(new)
-            sums = np.add.reduceat(self._shares[bucket], np.searchsorted(owner, np.arange(len(new))), axis=0)
-            self._known.update(zip(new, range(len(self._known), len(self._known) + len(new)), strict=True))
+            ordered = list(new)
+            bucket, owner = subwords(ordered)
+            sums = np.add.reduceat(self._shares[bucket], np.searchsorted(owner, np.arange(len(ordered))), axis=0)
+            self._known.update(zip(ordered, range(len(self._known), len(self._known) + len(ordered)), strict=True))
             self._sums = np.concatenate([self._sums, sums])
-
-    def logits(self, counts: Counter) -> np.ndarray:
-        """Scores by language of a text with these words."""
-        total, n = np.zeros(len(self.languages)), 0.0
-        left = list(counts.items())
-        for i in range(0, len(left), HELD_WORDS // 2):
-            part = left[i : i + HELD_WORDS // 2]
-            self.learn({w for w, _ in part})
-            sums = np.array([c for _, c in part], float) @ self._sums[[self._known[w] for w, _ in part]]
-            total, n = total + sums[:-1], n + sums[-1]
-        return total / max(n, 1.0) + self.bias
+        return np.fromiter(map(self._known.__getitem__, found), np.int64, len(found))
+
+    def logits(self, pieces: Iterable[tuple[int, list[str]]], texts: int) -> np.ndarray:
+        """Scores by language of each text, from pieces (number of the text, words)."""
+        total, owners, sizes, held = np.zeros((texts, len(self.languages) + 1)), [], [], []
+
+        def add() -> None:
+            rows = self.numbers(held)
+            np.add.at(total, owners, np.add.reduceat(self._sums[rows], np.cumsum([0, *sizes[:-1]]), axis=0))
+
+        for owner, found in pieces:
+            if found:
+                owners.append(owner)
+                sizes.append(len(found))
+                held += found
+            if len(held) >= TOGETHER:
+                add()
+                owners, sizes, held = [], [], []
+        if held:
+            add()
+        return total[:, :-1] / np.maximum(total[:, -1:], 1) + self.bias
 
     def chances(self, logits: np.ndarray) -> np.ndarray:
         scaled = logits / self.temperature
@@ -216,21 +228,20 @@ def languages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, found in chunks(batch, "text"):
-                counts = [Counter() for _ in found]
-                for count, text in zip(counts, found, strict=True):
-                    for ws in words(text.decode()):
-                        count.update(ws)
-                if model.languages:
-                    new = {w for count in counts for w in count}
-                    if len(new) < HELD_WORDS // 2:
-                        model.learn(new)
-                best, score = [], []
-                for count in counts:
-                    chances = model.chances(model.logits(count)) if count and model.languages else None
-                    best.append("und" if chances is None else model.languages[int(chances.argmax())])
-                    score.append(0.0 if chances is None else float(chances.max()))
-                ok = [b != "und" and s >= model.least for b, s in zip(best, score, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(ok, pa.bool_())], ["doc_id", "lang_pred", "score", "accepted"])
+                lettered = np.zeros(len(found), bool)
+
+                def pieces(found: list[bytes] = found, lettered: np.ndarray = lettered) -> Iterator[tuple[int, list[str]]]:
+                    for i, text in enumerate(found):
+                        for ws in words(text.decode()):
+                            lettered[i] |= any(map(str.isalpha, chain.from_iterable(ws))) if not lettered[i] else True
+                            yield i, ws
+
+                logits = model.logits(pieces(), len(found)) if model.languages else np.zeros((len(found), 1))
+                known = lettered & bool(model.languages)
+                chances = model.chances(logits)
+                best, score = chances.argmax(axis=1), np.where(known, chances.max(axis=1), 0.0)
+                names = [model.languages[b] if k else "und" for b, k in zip(best.tolist(), known.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(known & (score >= model.least))], ["doc_id", "lang_pred", "score", "accepted"])
 
     kind = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(predict, f"doc_id {kind}, lang_pred string, score double, accepted boolean")

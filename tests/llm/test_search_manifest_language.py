@@ -151,7 +151,7 @@ def test_languages_of_texts_that_were_not_learned(spark):
     model = language_id.fitted(documents(spark, [*labelled(300, 1), (1, None, "xx", "s"), (2, "12 !", "yy", "s"), (3, "ba", None, "s")], clashes=True))
     assert model.languages == ["xx", "yy", "zz"] and 0 <= model.least <= 1
     fresh = labelled(200, 2)
-    odd = [(1000, None, "xx", "s"), (1001, "", "xx", "s"), (1002, "12 _ !", "xx", "s"), (None, "ba be", "xx", "s"), (5, "ba " * 300_000, "xx", "s"), (5, "krastra" * 100_000, "yy", "s")]
+    odd = [(1000, None, "xx", "s"), (1001, "", "xx", "s"), (1002, "12 _ ! ½", "xx", "s"), (None, "ba be", "xx", "s"), (5, "ba " * 300_000, "xx", "s"), (5, "krastra" * 100_000, "yy", "s")]
     got = language_id.languages(documents(spark, fresh + odd, clashes=True), model).collect()
     by_id = defaultdict(list)
     for r in got:
@@ -182,15 +182,19 @@ def test_sample_is_bounded_and_counts_copies_once(spark):
 def test_remembered_words_change_no_score(spark, monkeypatch):
     rows = language_id.sample(documents(spark, labelled(60, 5)), F.col("lang"), F.col("text"))
     model = language_id.train(rows, epochs=1)
-    texts = [Counter(t.split()) for _, t, _, _ in labelled(40, 6)]
-    want = [model.logits(c) for c in texts]
+    texts = [t.split() for _, t, _, _ in labelled(40, 6)]
+    pieces = [(i, ws[k : k + 7]) for i, ws in enumerate(texts) for k in range(0, len(ws), 7)]
+    want = np.concatenate([model.logits([(0, ws)], 1) for ws in texts])
+    assert np.allclose(want, model.logits(pieces, len(texts)))
     monkeypatch.setattr(language_id, "HELD_WORDS", 12)
+    monkeypatch.setattr(language_id, "TOGETHER", 20)
     fresh = language_id.train(rows, epochs=1)
-    assert np.allclose(want, [fresh.logits(c) for c in texts])
-    whole = [language_id.train(rows, epochs=1).logits(Counter({w: 1})) for w in ("babe", "kraské")]
-    bucket, owner = language_id.subwords(["babe", "kraské"])
-    for i, logits in enumerate(whole):
-        assert np.allclose(logits, model.embeddings[bucket[owner == i]].mean(axis=0) @ model.weights + model.bias)
+    assert np.allclose(want, fresh.logits([*pieces, (3, [])], len(texts)))
+    whole = language_id.train(rows, epochs=1).logits([(1, ["babe"]), (0, ["kraské"])], 3)
+    bucket, owner = language_id.subwords(["kraské", "babe"])
+    for i in range(2):
+        assert np.allclose(whole[i], model.embeddings[bucket[owner == i]].mean(axis=0) @ model.weights + model.bias)
+    assert np.allclose(whole[2], model.bias)
 
 
 def test_calibration_bounds_the_errors():
