@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from ladderworks.operators import league as L
 from ladderworks.operators import similarity as N
 from ladderworks.operators import state as U
-from ladderworks.plans.standins import H, history, matches, query, shares
+from ladderworks.operators.ranking import ranks
+from ladderworks.plans.standins import H, history, matches, query, read, shares
 from ladderworks.plans.standins import M as SHARES
-from ladderworks.sources import sinks
+from ladderworks.sources import pages, sinks
 from ladderworks.sources import tables as S
+from ladderworks.sources.tables import cache_key
 
 
 def _folder(spark: SparkSession) -> str:
@@ -37,8 +39,8 @@ def s01_k01_history_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, folder = F.col("EventID").cast("long") % 2 == 1, _folder(spark)
     sinks.write_csv(rows.where(~old), f"{folder}/new")
     sinks.write_csv(rows.where(old).select("EventID", "Pilot", "Place", "Deck", "Archetype", "EventDate", "Tier", "Format", "EventSlug"), f"{folder}/old")
-    read = S.typed_history(S.read_csv(spark, f"{folder}/*", S.HISTORY))
-    return read.select("EventID", F.col("EventDate").cast("string").alias("EventDate"), "Tier", "Deck", "Archetype", "Pilot", "Place", "LoginID")
+    back = S.typed_history(S.read_csv(spark, f"{folder}/*", S.HISTORY))
+    return back.select("EventID", F.col("EventDate").cast("string").alias("EventDate"), "Tier", "Deck", "Archetype", "Pilot", "Place", "LoginID")
 
 
 _POINTS = "CASE WHEN Place = 1 THEN 5 ELSE 1 END"
@@ -135,3 +137,70 @@ def k13_review_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_csv(N.review_items(rated, cards, rows.select("deck_id", *(F.col(c).alias(n) for c, n in names.items()))), folder)
     types = {"place": "int", "nearest_sim": "double", "second_sim": "double"}
     return S.read_csv(spark, folder, N.REVIEW).withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+
+
+_PAGE = 37
+
+
+def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as rows of a calendar, in pages, whose answers are stored with faults: of each page the service has none, half of
+    one, or all; the backup has every second and the cache all."""
+    rows = read(spark, sf_dir, "orders")
+    n = F.col("o_orderkey")
+    text = F.when(n % 4 == 0, "Modern Challenge 64").when(n % 4 == 1, " MODERN  challenge").when(n % 4 == 2, "Legacy Challenge 32").otherwise("Modern Challenge later")
+    body = F.to_json(F.struct(text.alias("description"), (n % 3).alias("minimumplayers"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm").alias("starttime"), n.alias("tournamentid")))
+    numbered = ranks(rows.select("o_orderkey", body.alias("body")), F.col("o_orderkey"))
+    page = numbered.withColumn("page", F.floor((F.col("Rank") - 1) / _PAGE).cast("int"))
+    lists = page.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("Rank", "body"))).alias("l"), F.count("*").alias("n"))
+    whole = lists.select("page", F.concat(F.lit('{"tournament_calendar_list": ['), F.array_join("l.body", ", "), F.lit("]}")).alias("body"))
+    last = lists.agg((F.max("page") + 1).cast("int").alias("page")).select("page", F.lit('{"tournament_calendar_list": []}').alias("body"))
+    return whole.unionByName(last)
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> str:
+    folder = _folder(spark)
+    whole = _calendar(spark, sf_dir).persist()
+    key = cache_key(F.lit("s:dgc/calendar"), F.create_map(F.lit("c:limit"), F.lit(str(_PAGE)), F.lit("c:start"), (F.col("page") * _PAGE).cast("string")))
+    named = whole.withColumn("name", F.concat(F.lit("s:dgc_calendar_"), key, F.lit(".json")))
+    answer = lambda source, where, body="body": named.where(where).select(F.lit(source).alias("source"), "name", F.expr(body).alias("body"))
+    pages.store_answers(answer("primary", "page % 3 = 0").unionByName(answer("primary", "page % 3 = 1", "left(body, 50)")).unionByName(answer("backup", "page % 2 = 0")).unionByName(answer("cache", "page % 3 <> 0")), folder)
+    whole.unpersist()
+    return folder
+
+
+_ORDERS = f"WITH o AS (SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // {_PAGE} AS page FROM orders)"
+
+
+@query(_ORDERS + """ SELECT CAST(page AS INT) AS page, CASE WHEN page % 3 = 0 THEN 'primary' WHEN page % 2 = 0 THEN 'backup' ELSE 'cache' END AS source, count(*) AS n, CAST(min(o_orderkey) AS VARCHAR) AS first, CAST(max(o_orderkey) AS VARCHAR) AS last FROM o GROUP BY page""")
+def s09_paged_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of stored pages, each from the first source that can answer it: service, backup, cache."""
+    rows = pages.all_rows(spark, _stored(spark, sf_dir), "s:dgc/calendar", "tournament_calendar_list", _PAGE)
+    each = rows.withColumn("id", F.get_json_object("value", "$.tournamentid").cast("long"))
+    return each.groupBy("page", "source").agg(F.count("*").alias("n"), F.min("id").cast("string").alias("first"), F.max("id").cast("string").alias("last"))
+
+
+@query(_ORDERS + """ SELECT CAST(page AS INT) AS page, count(*) AS n FROM o WHERE page BETWEEN 2 AND 5 AND page <> 4 GROUP BY page""")
+def s09_some_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some pages; no other is asked for."""
+    found = pages.pages(spark, _stored(spark, sf_dir), "s:dgc/calendar", "tournament_calendar_list", _PAGE)
+    return found.where("page >= 2 AND page < 6 AND page IN (2, 3, 5, 7)").groupBy("page").agg(F.count("value").alias("n"))
+
+
+@query("""WITH o AS (SELECT CAST(o_orderdate AS DATE) AS EventDate, CASE WHEN o_orderkey % 4 = 0 THEN 64 ELSE o_orderkey % 3 END AS size, o_orderkey AS id FROM orders WHERE o_orderkey % 4 IN (0, 1))
+    SELECT EventDate, CAST(size AS INT) AS size, CAST(id AS VARCHAR) AS event_id, 'modern-challenge-' || size || '-' || EventDate || id AS slug, 'calendar' AS listed FROM o WHERE size > 0 AND EventDate BETWEEN DATE '1994-01-01' AND DATE '1996-12-31'""", dates="EventDate")
+def s16_calendar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pages.all_rows(spark, _stored(spark, sf_dir), "s:dgc/calendar", "tournament_calendar_list", _PAGE)
+    return pages.found_events(pages.calendar_events(rows, " Modern", "1994-01-01", "1996-12-31"), _index(spark, sf_dir))
+
+
+def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as events of an index page."""
+    day, n = F.to_date("o_orderdate"), F.col("o_orderkey")
+    return read(spark, sf_dir, "orders").select(day.alias("EventDate"), F.when(n % 2 == 0, 64).otherwise(32).alias("size"), n.cast("string").alias("event_id"), F.concat(F.lit("slug-"), n.cast("string")).alias("slug"))
+
+
+@query("""SELECT CAST(o_orderdate AS DATE) AS EventDate, CASE WHEN o_orderkey % 2 = 0 THEN 64 ELSE 32 END AS size, CAST(max(o_orderkey) AS VARCHAR) AS event_id, 'slug-' || max(o_orderkey) AS slug, 'index' AS listed FROM orders GROUP BY 1, 2""", dates="EventDate")
+def s16_events_of_the_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calendar without an event of the format leaves the index page."""
+    rows = _calendar(spark, sf_dir).select(F.explode(F.from_json(F.get_json_object("body", "$.tournament_calendar_list"), "array<string>")).alias("value"))
+    return pages.found_events(pages.calendar_events(rows, "Vintage", "1992-01-01", "2002-12-31"), _index(spark, sf_dir))
