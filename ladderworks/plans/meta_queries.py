@@ -246,6 +246,24 @@ def j12_f26_nearest_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.classified(N.nearest_labels(decks, library), places)
 
 
+@query("""WITH w AS (SELECT doc_id, w AS item, count(*) AS qty FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY ALL),
+    z AS (SELECT doc_id, sum(qty) AS n FROM w GROUP BY 1),
+    s AS (SELECT a.doc_id AS deck_id, b.doc_id AS lib_id, sum(least(a.qty, b.qty)) AS low FROM w a JOIN w b ON a.item = b.item AND a.doc_id % 20 = 0 AND b.doc_id % 20 <> 0 GROUP BY ALL),
+    r AS (SELECT deck_id, source AS label, low / (x.n + y.n - low) AS sim, row_number() OVER (PARTITION BY deck_id ORDER BY low / (x.n + y.n - low) DESC, lib_id) AS i FROM s JOIN z x ON x.doc_id = deck_id JOIN z y ON y.doc_id = lib_id JOIN documents d ON d.doc_id = lib_id),
+    t AS (SELECT deck_id, max(label) FILTER (i = 1) AS nearest, max(sim) FILTER (i = 1) AS nearest_sim, max(label) FILTER (i = 2) AS second, max(sim) FILTER (i = 2) AS second_sim FROM r GROUP BY deck_id HAVING max(sim) >= 0.9),
+    f AS (SELECT z.doc_id AS deck_id, CAST(z.doc_id // 20 % 4 + 1 AS INT) AS Place, nearest, second, round_even(coalesce(nearest_sim, 0) * 1e6, 0) / 1e6 AS nearest_sim, round_even(coalesce(second_sim, 0) * 1e6, 0) / 1e6 AS second_sim FROM z LEFT JOIN t ON t.deck_id = z.doc_id WHERE z.doc_id % 20 = 0),
+    q AS (SELECT *, CASE WHEN nearest IS NULL THEN CASE WHEN Place = 1 THEN 'winner' ELSE 'too far' END WHEN second IS NULL THEN 'library too small' WHEN Place = 1 THEN 'winner' WHEN nearest <> second THEN 'labels differ' WHEN nearest_sim < 0.95 THEN 'too far' END AS reason FROM f)
+    SELECT *, CASE WHEN reason IS NULL THEN nearest ELSE 'NEEDS_MANUAL_REVIEW' END AS label FROM q""")
+def j12_labels_at_the_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as bags of words, labelled by the sources of those that are as good as equal. Only rare words meet."""
+    docs = read(spark, sf_dir, "documents")
+    decks = _bag(docs.where("doc_id % 20 = 0"), "doc_id", "deck_id")  # the queries of the search
+    rest = docs.where("doc_id % 20 <> 0")
+    library = _bag(rest, "doc_id", "lib_id").join(rest.select(F.col("doc_id").alias("lib_id"), F.col("source").alias("label")), "lib_id")
+    places = decks.select("deck_id").distinct().withColumn("Place", (F.floor(F.col("deck_id") / 20) % 4 + 1).cast("int"))
+    return N.classified_at(N.labels_at(decks, library), places)
+
+
 @query("""WITH d AS (SELECT doc_id AS deck_id, w AS item, count(*) AS qty FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY ALL),
     t AS (SELECT *, row_number() OVER (PARTITION BY deck_id ORDER BY qty DESC, item) AS i FROM d) SELECT deck_id, string_agg(item || ' x' || qty, '; ' ORDER BY i) AS key_cards FROM t WHERE i <= 8 GROUP BY deck_id""")
 def k13_key_items(spark: SparkSession, sf_dir: str) -> DataFrame:

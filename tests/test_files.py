@@ -3,6 +3,7 @@
 import datetime
 import html
 import os
+import random
 from difflib import SequenceMatcher, get_close_matches
 
 import pytest
@@ -135,3 +136,30 @@ def test_nearest_labels_alike_with_a_salted_library(spark, monkeypatch):
     want = rows()
     monkeypatch.setattr(similarity, "LIBRARY", 1)
     assert rows() == want and len(want) == 12
+
+
+def test_labels_at_the_bound_are_those_of_all_pairs(spark):
+    """Random decks and edits of them: the same neighbours as by comparing everything, from few candidates."""
+    rng = random.Random(3)
+    pool = [f"c{i}" for i in range(400)]
+    base = [{c: rng.randint(1, 4) for c in rng.sample(pool, 20)} for _ in range(60)]
+    edited = lambda d, k: {c: q for c, q in list(d.items())[k:]} | {rng.choice(pool): rng.randint(1, 4) for _ in range(k)}
+    library = [(f"L{i % 7}", d) for i, d in enumerate(base)] + [(f"L{i % 5}", edited(d, i % 4)) for i, d in enumerate(base)] + [("L1", base[0]), ("L2", base[0])]
+    decks = [edited(d, i % 3) for i, d in enumerate(base)] + [base[0], base[0], {"only": 1}, {"c0": 1000}, {"c0": 900, "c1": 1}]
+    rows = lambda ds: [(i, c, q) for i, d in enumerate(ds) for c, q in d.items()]
+    own = spark.createDataFrame(rows(decks), "deck_id int, item string, qty int")
+    theirs = spark.createDataFrame([(i, library[i][0], c, q) for i, c, q in rows([d for _, d in library])], "lib_id int, label string, item string, qty int")
+
+    def sim(a, b):
+        return sum(min(a.get(c, 0), b.get(c, 0)) for c in a.keys() | b.keys()) / sum(max(a.get(c, 0), b.get(c, 0)) for c in a.keys() | b.keys())
+
+    want = {}
+    for i, d in enumerate(decks):
+        (s1, _, l1), (s2, _, l2) = sorted((-sim(d, e), j, label) for j, (label, e) in enumerate(library))[:2]
+        want[i] = (l1, round(-s1, 6), l2 if s2 else None, round(-s2, 6)) if -s1 >= 0.9 else (None, 0.0, None, 0.0)
+    got = {r.deck_id: (r.nearest, r.nearest_sim, r.second, r.second_sim) for r in similarity.labels_at(own, theirs).collect()}
+    assert got == want and sum(v[0] is not None for v in want.values()) > 30
+    pairs = similarity.candidate_pairs(similarity.bags(own, "deck_id")[0], similarity.bags(theirs, "lib_id")[0], 0.9).count()
+    assert pairs < 0.1 * len(decks) * len(library)
+    empty = similarity.labels_at(own, theirs.limit(0)).collect()
+    assert len(empty) == len(decks) and all(r.nearest is None for r in empty) and similarity.labels_at(own.limit(0), theirs).count() == 0
