@@ -1,20 +1,28 @@
 """Prioritised rule tables: names to canonical names, names to archetypes, raw names to saved mappings.
 
 A rule table has `pattern`, a target, `match_type` (exact, contains, regex), `priority` and `ordinal` (its place in the
-file). The first match by priority and ordinal decides. Exact rules are an equi-join on the normalised key; only the few
-contains and regex rules are compared with every name, and only with its distinct values, so the facts are never part of
-a nested loop.
+file). The first match by priority and ordinal decides. Exact rules are an equi-join on the normalised key. Contains rules
+are one automaton over all their patterns, which reads each distinct name once; regex rules are only tried on names in
+which the automaton finds a literal that the expression can't do without, and in order of rank.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from re import _constants, _parser
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
 
-#: Rule tables up to this size are broadcast; a larger one is refused, since its open patterns would meet every name.
-MAX_RULES = 100_000
+#: Rules that travel to the executors at once; a larger table is read in blocks of so many.
+BLOCK_RULES = 100_000
+#: Letters that case-blind expressions take for an ASCII letter, though they aren't it in lower case.
+_FOLDED = str.maketrans({"\u0131": "i", "\u0130": "i", "\u017f": "s", "\u212a": "k"})
 
 
 def load_rules(rows: DataFrame, target: str) -> DataFrame:
@@ -29,19 +37,99 @@ def load_mappings(rows: DataFrame) -> DataFrame:
     return rows.select(*(T.trimmed(c).alias(c) for c in ("raw_name", "canonical_name", "archetype")), "ordinal").where("raw_name <> '' AND canonical_name <> ''")
 
 
+def required_literal(pattern: str) -> str:
+    """The longest run of ASCII characters, in lower case, that every match of the expression has in it; empty if none is known."""
+    best, run = "", ""
+    for kind, value in _parser.parse(pattern, re.IGNORECASE):
+        if kind is _constants.LITERAL and value < 128:
+            run += chr(value).lower()
+            best = max(best, run, key=len)
+        elif kind is _constants.AT:
+            continue  # a place takes no characters
+        else:
+            run = ""
+    return best
+
+
+class _Loose:
+    """The contains and regex rules of a block, as rows (pattern, key of the pattern, match_type, priority, ordinal, target)."""
+
+    def __init__(self, rules: list[tuple[str, str, str, int, int, str]]) -> None:
+        self.words = ahocorasick.Automaton()
+        found: dict[str, list] = {}  # a word: the best rank and target of its contains rules, and its expressions
+        self.others = []
+        for pattern, key, kind, priority, ordinal, target in rules:
+            if kind == "contains":
+                entry = found.setdefault(key, [None, []])
+                entry[0] = min(filter(None, (entry[0], (priority, ordinal, target))))
+            else:
+                rule = (priority, ordinal, target, pattern)
+                literal = required_literal(pattern)
+                (found.setdefault(literal, [None, []])[1] if literal else self.others).append(rule)
+        self.always = found.pop("", [None, []])[0]  # what an empty pattern gives to every name
+        for word, entry in found.items():
+            self.words.add_word(word, tuple(entry))
+        self.words.make_automaton()
+        self.compiled: dict[str, re.Pattern] = {}
+
+    def _holds(self, pattern: str, base: str) -> bool:
+        if pattern not in self.compiled:
+            self.compiled[pattern] = re.compile(pattern, re.IGNORECASE)
+        return self.compiled[pattern].search(base) is not None
+
+    def first(self, key: str, base: str) -> tuple[int, int, str] | None:
+        """Rank and target of the first rule that holds for a name."""
+        best, tried = self.always, list(self.others)
+        if len(self.words):
+            for _, (own, _) in self.words.iter(key):
+                if own and (best is None or own < best):
+                    best = own
+            for _, (_, expressions) in self.words.iter(base.lower().translate(_FOLDED)):
+                tried += expressions
+        for priority, ordinal, target, pattern in sorted(set(tried)):
+            if best is not None and (priority, ordinal, target) >= best:
+                break
+            if self._holds(pattern, base):
+                return priority, ordinal, target
+        return best
+
+
+def _loose_matches(keyed: DataFrame, rules: list[tuple]) -> DataFrame:
+    """name, priority, ordinal and target of the first of these contains and regex rules, for names (name, _key, _base) with one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loose = _Loose(rules)
+        for batch in batches:
+            names, keys, bases = (batch.column(c).to_pylist() for c in ("name", "_key", "_base"))
+            hits = [(n, loose.first(k or "", b or "")) for n, k, b in zip(names, keys, bases, strict=True)]
+            hits = [(n, *hit) for n, hit in hits if hit]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*hits, strict=True) if hits else [()] * 4, (pa.string(), pa.int32(), pa.int64(), pa.string()), strict=True)], ["name", "priority", "ordinal", "target"])
+
+    return keyed.select("name", "_key", "_base").mapInArrow(run, "name string, priority int, ordinal long, target string")
+
+
 def first_match(names: DataFrame, rules: DataFrame, *, base: Column, key: Column, pattern_key: Column) -> DataFrame:
-    """`names` (distinct values in column `name`) with `target` of the first rule that matches, null if none does."""
-    if rules.limit(MAX_RULES + 1).count() > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
+    """`names` (distinct values in column `name`) with `target` of the first rule that matches, null if none does.
+
+    Expressions are those of Python, whatever the case. An expression that can't be read is an error.
+    """
     rank = F.struct("priority", "ordinal")
     keyed = names.withColumns({"_base": base, "_key": key})
-    rules = rules.withColumn("_pattern", pattern_key)
+    rules = rules.withColumns({"_pattern": pattern_key, "ordinal": F.col("ordinal").cast("long")})
     exact = rules.where("match_type = 'exact'").groupBy("_pattern").agg(F.min_by("target", rank).alias("t1"), F.min(rank).alias("r1"))
-    found = keyed.join(F.broadcast(exact), F.col("_key") == F.col("_pattern"), "left").drop("_pattern")
-    open_ = F.broadcast(rules.where("match_type <> 'exact'").select(F.col("_pattern").alias("p"), F.col("pattern").alias("q"), "match_type", "priority", "ordinal", "target"))
-    hit = ((F.col("match_type") == "contains") & F.contains("_key", F.col("p"))) | ((F.col("match_type") == "regex") & F.regexp_like("_base", F.concat(F.lit("(?i)"), F.col("q"))))
-    loose = found.join(open_, hit).groupBy("name").agg(F.min_by("target", rank).alias("t2"), F.min(rank).alias("r2"))
-    both = found.join(loose, "name", "left")
+    found = keyed.join(exact, F.col("_key") == F.col("_pattern"), "left").drop("_pattern")
+    loose, block = None, []
+    open_ = rules.where("match_type IN ('contains', 'regex')").select("pattern", "_pattern", "match_type", "priority", "ordinal", "target")
+    for r in open_.toLocalIterator():
+        block.append(tuple(r))
+        if len(block) == BLOCK_RULES:
+            some = _loose_matches(keyed, block)
+            loose, block = some if loose is None else loose.unionByName(some), []
+    if block or loose is None:
+        some = _loose_matches(keyed, block)
+        loose = some if loose is None else loose.unionByName(some)
+    best = loose.groupBy("name").agg(F.min_by("target", rank).alias("t2"), F.min(rank).alias("r2")).withColumnRenamed("name", "_name")
+    both = found.join(best, F.col("name").eqNullSafe(F.col("_name")), "left").drop("_name")
     return both.withColumn("target", F.when(F.col("r2").isNull() | (F.col("r1") < F.col("r2")), F.col("t1")).otherwise(F.col("t2"))).drop("t1", "t2", "r1", "r2", "_base", "_key")
 
 

@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ladderworks.functions import text as T
 from ladderworks.operators import league as L
+from ladderworks.operators import rules as R
 from ladderworks.operators import similarity as N
 from ladderworks.operators import state as U
 from ladderworks.operators.ranking import ranks
@@ -204,3 +206,24 @@ def s16_events_of_the_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A calendar without an event of the format leaves the index page."""
     rows = _calendar(spark, sf_dir).select(F.explode(F.from_json(F.get_json_object("body", "$.tournament_calendar_list"), "array<string>")).alias("value"))
     return pages.found_events(pages.calendar_events(rows, "Vintage", "1992-01-01", "2002-12-31"), _index(spark, sf_dir))
+
+
+_RULES = """WITH r AS (SELECT CASE p_partkey % 3 WHEN 0 THEN 'contains' WHEN 1 THEN 'regex' ELSE 'exact' END AS kind, CASE p_partkey % 3 WHEN 0 THEN upper(split_part(p_name, ' ', 2)) || ' b' WHEN 1 THEN '^' || split_part(p_name, ' ', 1) || ' .*' || right(p_brand, 2) || '$' ELSE p_name || '  ' || p_brand END AS pattern,
+        'T' || p_partkey AS target, p_partkey % 7 AS priority, p_partkey AS ordinal FROM part WHERE p_partkey % 5 = 0)
+    , n AS (SELECT DISTINCT p_name || ' ' || p_brand AS name FROM part),
+    m AS (SELECT name, arg_min(target, (priority, ordinal)) AS target FROM n JOIN r ON CASE kind WHEN 'exact' THEN lower(name) = lower(replace(pattern, '  ', ' ')) WHEN 'contains' THEN contains(lower(name), lower(pattern)) ELSE regexp_matches(name, '(?i)' || pattern) END GROUP BY name)
+"""
+
+
+@query(_RULES + "SELECT p_partkey, target FROM part LEFT JOIN m ON name = p_name || ' ' || p_brand")
+def j03_s04_rules_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule table of a fifth of the parts, written and read as a file, on all names."""
+    part, folder = read(spark, sf_dir, "part"), _folder(spark)
+    kind, word = F.col("p_partkey") % 3, lambda i: F.split("p_name", " ")[i]
+    pattern = F.when(kind == 0, F.concat(F.upper(word(1)), F.lit(" b"))).when(kind == 1, F.concat(F.lit("^"), word(0), F.lit(" .*"), F.right("p_brand", F.lit(2)), F.lit("$"))).otherwise(F.concat_ws("  ", "p_name", "p_brand"))
+    rules = part.where("p_partkey % 5 = 0").select(pattern.alias("pattern"), F.concat(F.lit("T"), "p_partkey").alias("canonical_name"), F.when(kind == 0, "").when(kind == 1, " Regex").otherwise("EXACT").alias("match_type"), (F.col("p_partkey") % 7).alias("priority"), F.col("p_partkey").alias("place"))
+    sinks.write_csv(rules, f"{folder}/rules")
+    stored = S.read_csv(spark, f"{folder}/rules", ("pattern", "canonical_name", "match_type", "priority", "place")).withColumn("ordinal", F.col("place").cast("long"))
+    names = part.select(F.concat_ws(" ", "p_name", "p_brand").alias("name")).distinct()
+    found = R.first_match(names, R.load_rules(stored, "canonical_name"), base=T.text_of("name"), key=T.normalize_name("name"), pattern_key=T.normalize_name("pattern"))
+    return part.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("name")).join(found, "name", "left").select("p_partkey", "target")
