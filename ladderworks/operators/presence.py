@@ -9,7 +9,7 @@ from ladderworks.functions import text as T
 from ladderworks.functions.scoring import percent, rounded
 from ladderworks.operators.ranking import ranks
 
-TOPS = (8, 16)
+TOPS, TOP_PLACES = (8, 16), (16, 8, 4, 2)
 SUMMED = ("Events", "Appearances", "Top8Count", "Top16Count", "WinnerCount", "Top32EventCount", "Top32EntryCount", "Top8EventCount", "Top16EventCount", "WinnerEventCount")
 
 
@@ -17,6 +17,18 @@ def _listed(x: Column) -> Column:
     return F.array_join(F.array_sort(F.collect_set(x)), ";")
 
 
+def entries(history: DataFrame, key: str = "Deck") -> DataFrame:
+    """History rows counted by tier, key, event and pilot: what presence, its lists and its bitmaps are all made from.
+
+    Rows without a key are counted too, so that an event counts for its tier whatever was entered. A caller that needs more
+    than one of these tables keeps this one, and the history is read once.
+    """
+    return history.groupBy("Tier", key, "EventID", "EventDate", T.identity_key("LoginID", "Pilot").alias("_id")).agg(
+        F.count("*").alias("n"), F.sum("Place").alias("places"), F.count("Place").alias("placed"), F.min("Place").alias("best"),
+        *(F.count_if(F.col("Place") <= k).alias(f"in{k}") for k in TOP_PLACES), F.count_if(F.col("Place") == 1).alias("won"),
+    )
+
+
 def event_counts(history: DataFrame) -> DataFrame:
     """Tier and n_events: the distinct events of each tier."""
     return history.groupBy("Tier").agg(F.countDistinct("EventID").alias("n_events"))
@@ -36,25 +48,26 @@ def event_lists(history: DataFrame, *by: str) -> DataFrame:
 def presence(history: DataFrame, key: str = "Deck") -> DataFrame:
     """The presence table of each tier and key, of history rows (EventID, EventDate, Tier, Place, the key, Pilot, LoginID).
 
-    Rows are grouped once by event, combined map-side; events then count by their best place, so that no row is read once
-    for each distinct count. Rows without a key are dropped. Percentages of events are over the tier's events and rounded
-    to two digits, but those of the top 4 and top 2, which are not rounded. For the lists of events see `event_lists`.
+    Rows are grouped once by event and pilot, combined map-side; events then count by their best place, so that no row is
+    read once for each distinct count. Rows without a key are dropped. Percentages of events are over the tier's events and
+    rounded to two digits, but those of the top 4 and top 2, which are not rounded. For the lists of events see `event_lists`.
     """
-    rows = history.where(F.col(key).isNotNull())
-    tops = (16, 8, 4, 2)
-    each = rows.groupBy("Tier", key, "EventID").agg(
-        F.count("*").alias("n"), F.sum("Place").alias("places"), F.count("Place").alias("placed"), F.min("Place").alias("best"),
-        *(F.count_if(F.col("Place") <= k).alias(f"in{k}") for k in tops), F.count_if(F.col("Place") == 1).alias("won"),
-    )
+    return presence_of(entries(history, key), key)
+
+
+def presence_of(counted: DataFrame, key: str = "Deck") -> DataFrame:
+    """The presence table, from `entries`."""
+    rows = counted.where(F.col(key).isNotNull())
+    each = rows.groupBy("Tier", key, "EventID").agg(*(F.sum(c).alias(c) for c in ("n", "places", "placed", *(f"in{k}" for k in TOP_PLACES), "won")), F.min("best").alias("best"))
     event = F.col("EventID").isNotNull()
     stats = each.groupBy("Tier", key).agg(
         F.count("EventID").alias("Events"), F.sum("n").alias("Appearances"), rounded(F.sum("places") / F.sum("placed"), 1).alias("AvgPlace"), F.coalesce(F.min("best"), F.lit(999)).alias("BestPlace"),
-        *(F.sum(f"in{k}").alias(f"Top{k}Count") for k in tops), F.sum("won").alias("WinnerCount"),
-        *(F.count_if(event & (F.col(f"in{k}") > 0)).alias(f"Top{k}EventCount") for k in tops), F.count_if(event & (F.col("won") > 0)).alias("WinnerEventCount"),
+        *(F.sum(f"in{k}").alias(f"Top{k}Count") for k in TOP_PLACES), F.sum("won").alias("WinnerCount"),
+        *(F.count_if(event & (F.col(f"in{k}") > 0)).alias(f"Top{k}EventCount") for k in TOP_PLACES), F.count_if(event & (F.col("won") > 0)).alias("WinnerEventCount"),
     )
-    by_pilot = rows.withColumn("_id", T.identity_key("LoginID", "Pilot")).groupBy("Tier", key, "_id").agg(F.count("*").alias("n")).groupBy("Tier", key).agg(F.count("*").alias("DistinctPilots"), F.max("n").alias("_most"))
+    by_pilot = rows.groupBy("Tier", key, "_id").agg(F.sum("n").alias("n")).groupBy("Tier", key).agg(F.count("*").alias("DistinctPilots"), F.max("n").alias("_most"))
     n, seen = F.col("n_events"), F.greatest(F.col("Appearances"), F.lit(1))
-    out = stats.join(by_pilot, ["Tier", key]).join(event_counts(history), "Tier")
+    out = stats.join(by_pilot, ["Tier", key]).join(event_counts(counted), "Tier")
     pct = {"PresencePct": percent(F.col("Events"), n)}
     pct |= {f"Top{k}EventFreqPct": percent(F.col(f"Top{k}EventCount"), n, 2 if k >= 8 else None) for k in (16, 8, 4, 2)}
     pct |= {f"Top{k}PresencePct": pct[f"Top{k}EventFreqPct"] for k in TOPS}

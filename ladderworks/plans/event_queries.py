@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
+from ladderworks.operators import bitmaps as B
 from ladderworks.operators import league as L
 from ladderworks.operators import presence as P
 from ladderworks.operators import publishing
@@ -57,8 +58,23 @@ _ALL = PRESENCE + f""", t AS (SELECT sum(n_events) AS n_all FROM n),
 
 @query(_ALL + "SELECT * REPLACE (CAST(n_all AS BIGINT) AS n_all) FROM total")
 def a02_all_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = history(spark, sf_dir)
-    return P.all_tiers(P.presence(h)).join(P.event_lists(h, "Deck"), "Deck")
+    """The ALL table with its lists of events, which are spelled out from bitmaps at the end. The history is read once."""
+    rows = P.entries(history(spark, sf_dir)).persist()
+    numbers = B.event_numbers(rows)
+    bits = B.event_bitmaps(rows, numbers).where(F.col("Tier") == B.ALL)
+    return P.all_tiers(P.presence_of(rows)).join(B.lists(bits, numbers, "Deck"), "Deck")
+
+
+@query(PRESENCE + """, a AS (SELECT Deck, count(DISTINCT EventID) AS n, count(DISTINCT EventID) FILTER (year(EventDate) % 2 = 0) AS even FROM h GROUP BY Deck)
+    SELECT Tier, Deck, Events, CAST(NULL AS BIGINT) AS EvenYears FROM p UNION ALL SELECT 'ALL', Deck, n, even FROM a""")
+def a01_a02_event_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each deck by tier and over all, counted from bitmaps; those of even years by merging the tiers' bitmaps of these years."""
+    rows = P.entries(history(spark, sf_dir)).persist()
+    numbers = B.event_numbers(rows).persist()
+    every = B.counted(B.event_bitmaps(rows, numbers), "Tier", "Deck")
+    even = B.event_bitmaps(rows.where(F.year("EventDate") % 2 == 0), numbers).where(F.col("Tier") != B.ALL)
+    some = B.counted(B.merged(even, "Deck"), "Deck").select(F.lit(B.ALL).alias("Tier"), "Deck", F.col("Events").alias("EvenYears"))
+    return every.join(some, ["Tier", "Deck"], "left").withColumn("EvenYears", F.when(F.col("Tier") == B.ALL, F.coalesce("EvenYears", F.lit(0))))
 
 
 @query(H + f""", k AS (SELECT K, arg_max(Pilot, (EventDate, -(CAST(EventID AS BIGINT) * 100 + Place))) AS Pilot, min(LoginID) AS LoginID, count(*) FILTER (Place = 1) AS Wins, count(*) FILTER (Place <= 8) AS Top8, count(*) AS Top32,
