@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
+from ladderworks.functions.scoring import rounded, trend_label
+from ladderworks.operators.metagame import DECK_TREND
+from ladderworks.operators.ranking import ranks
 from ladderworks.operators.rules import last_by_key
 
 SENTINEL = "NEEDS_MANUAL_REVIEW"
@@ -48,6 +51,25 @@ def numbered_weeks(weeks: DataFrame) -> DataFrame:
     return weeks.select("WeekStart", "WeekEnd").distinct().withColumn("WeekIndex", F.row_number().over(Window.orderBy("WeekStart", "WeekEnd")))
 
 
+def rebuilt_shares(runs: DataFrame, decks: DataFrame, threshold: float = DECK_TREND) -> DataFrame:
+    """Share history from all runs in one job: decks and archetypes of each week with the week's number and trend.
+
+    `runs` has path, week_start and week_end of every run folder; they are numbered in order, also those that have no decks
+    and so are skipped. `decks` has path, Deck, Archetype and Meta. A deck's trend is against the mean of the last four rows
+    of its name in earlier weeks, among which an archetype of the same name counts; without any, and for archetypes, it is
+    Stable. That is what adding week after week to an empty history gives.
+    """
+    weeks = ranks(runs, F.col("week_start"), F.col("week_end"), F.col("path"), name="WeekIndex").select("path", F.col("week_start").alias("WeekStart"), F.col("week_end").alias("WeekEnd"), "WeekIndex")
+    own = decks.select("path", "Deck", "Meta", F.lit("Deck").alias("Level"))
+    groups = decks.groupBy("path", F.col("Archetype").alias("Deck")).agg(rounded(F.sum("Meta"), 6).alias("Meta")).withColumn("Level", F.lit("Archetype"))
+    rows = own.unionByName(groups.select(own.columns)).join(weeks, "path")
+    # By number, the weeks before end one below; an archetype follows the decks of its week.
+    before = Window.partitionBy("Deck").orderBy("WeekIndex", F.col("Level") == "Archetype").rowsBetween(-4, -1)
+    past = F.avg("Meta").over(before)
+    label = F.when(F.col("Level") == "Deck", trend_label(F.col("Meta"), F.coalesce("_past", "Meta"), threshold)).otherwise("Stable")
+    return rows.withColumn("_past", past).withColumn("Trend Label", label).drop("_past", "path")
+
+
 def rebuild(files: DataFrame) -> DataFrame:
     """History from event files (ordinal, EventID, EventDate, Tier, Place and more): of equal keys the last row counts.
 

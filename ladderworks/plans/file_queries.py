@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
+from ladderworks.functions.scoring import week_folder
 from ladderworks.operators import league as L
 from ladderworks.operators import rules as R
 from ladderworks.operators import similarity as N
@@ -18,6 +19,7 @@ from ladderworks.plans.standins import H, history, matches, query, read, shares
 from ladderworks.plans.standins import M as SHARES
 from ladderworks.sources import pages, sinks
 from ladderworks.sources import tables as S
+from ladderworks.sources.store import KeyedTable
 from ladderworks.sources.tables import cache_key
 
 
@@ -227,3 +229,64 @@ def j03_s04_rules_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = part.select(F.concat_ws(" ", "p_name", "p_brand").alias("name")).distinct()
     found = R.first_match(names, R.load_rules(stored, "canonical_name"), base=T.text_of("name"), key=T.normalize_name("name"), pattern_key=T.normalize_name("pattern"))
     return part.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("name")).join(found, "name", "left").select("p_partkey", "target")
+
+
+_CHANGED = "CAST(EventID AS BIGINT) > (SELECT 0.99 * max(CAST(EventID AS BIGINT)) FROM h)"
+
+
+def _changed(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, list]:
+    """The history in 16 files by event, of which the newest hundredth of the ids is read again, then one deck renamed there."""
+    h = history(spark, sf_dir).select(F.col("EventID").cast("long").alias("Event"), "EventID", "Pilot", "Place", "Deck", "Archetype").withColumn("Deck", F.when(F.col("Place") == 1, U.SENTINEL).otherwise(F.col("Deck")))
+    table = KeyedTable(spark, f"{_folder(spark)}/keyed", "Event")
+    changes = [table.create(h, 16)]
+    top = h.agg(F.max("Event").alias("top"))
+    fresh = h.join(F.broadcast(top), F.col("Event") > 0.99 * F.col("top")).drop("top").withColumns({"Deck": F.lit("again"), "Archetype": F.lit("new")})
+    again = lambda old: U.replace_again(old.drop("Event"), fresh.drop("Event")).withColumn("Event", F.col("EventID").cast("long"))
+    changes.append(table.change(fresh.select("Event"), again, 1))
+    changes.append(table.update(F.col("Deck") == "again", {"Deck": F.lit("winner")}, 1))
+    return table, changes
+
+
+@query(H + f""", d AS (SELECT EventID, Pilot, max((Deck, Archetype)) AS s FROM h WHERE Place <> 1 AND {_CHANGED} GROUP BY ALL)
+    SELECT EventID, Pilot, CAST(Place AS INT) AS Place, CASE WHEN {_CHANGED} THEN coalesce(s[1], 'winner') WHEN Place = 1 THEN 'NEEDS_MANUAL_REVIEW' ELSE Deck END AS Deck, CASE WHEN {_CHANGED} THEN coalesce(s[2], 'new') ELSE Archetype END AS Archetype FROM h LEFT JOIN d USING (EventID, Pilot)""".replace("(Deck, Archetype)", "[Deck, Archetype]"))
+def u01_u06_changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after both changes, from its newest version."""
+    table, _ = _changed(spark, sf_dir)
+    return table.read().select("EventID", "Pilot", "Place", "Deck", "Archetype")
+
+
+@query(H + """SELECT * FROM (VALUES (1, true, true), (2, true, true), (3, true, true)) AS t(version, few_rewritten, others_kept)""")
+def u01_files_of_a_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each version, whether two files or fewer were rewritten and the others of the sixteen stayed."""
+    _, changes = _changed(spark, sf_dir)
+    rows = [(c.version, c.rewritten <= 2 and c.looked_into <= 2, c.version == 1 or c.kept >= 13) for c in changes]
+    return spark.createDataFrame(rows, "version int, few_rewritten boolean, others_kept boolean")
+
+
+@query(H + "SELECT EventID, Place, Pilot AS OldPilot, Pilot || ' jr' AS NewPilot, LoginID AS NewLoginID FROM h WHERE CAST(EventID AS BIGINT) % 9 = 0")
+def j17_drift_of_bucketed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored and fresh results, both bucketed by event, so that they join where they lie."""
+    stored, fresh = _bucketed(spark, sf_dir)
+    return L.name_drift(stored, fresh)
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    h = history(spark, sf_dir).select("EventID", "Place", "Pilot", "LoginID")
+    renamed = h.withColumn("Pilot", F.when(F.col("EventID").cast("long") % 9 == 0, F.concat("Pilot", F.lit(" jr"))).otherwise(F.upper("Pilot")))
+    name = uuid.uuid4().hex
+    return tuple(sinks.write_bucketed(t, f"results_{s}_{name}", f"{_folder(spark)}/{s}", buckets=8).hint("merge") for s, t in (("stored", h), ("fresh", renamed)))
+
+
+@query(H + """, w AS (SELECT DISTINCT date_trunc('month', EventDate) AS m FROM h), n AS (SELECT m, row_number() OVER (ORDER BY m) AS i FROM w),
+    d AS (SELECT date_trunc('month', EventDate) AS m, Deck, any_value(CASE WHEN Deck < 'Brand#2' THEN 'Brand#11' ELSE left(Deck, 7) END) AS A, CAST(count(*) AS DOUBLE) AS Meta FROM h WHERE month(EventDate) % 5 <> 0 GROUP BY ALL),
+    r AS (SELECT m, Deck, Meta, 'Deck' AS Level FROM d UNION ALL SELECT m, A, sum(Meta), 'Archetype' FROM d GROUP BY m, A), x AS (SELECT * FROM r JOIN n USING (m)),
+    p AS (SELECT *, avg(Meta) OVER (PARTITION BY Deck ORDER BY i, Level = 'Archetype' ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS past FROM x)
+    SELECT CAST(i AS INT) AS WeekIndex, CAST(CAST(m AS DATE) AS VARCHAR) AS WeekStart, Deck, Level, Meta, CASE WHEN Level = 'Archetype' OR past IS NULL THEN 'Stable' WHEN Meta - past > 0.5 THEN 'Rising' WHEN Meta - past < -0.5 THEN 'Falling' ELSE 'Stable' END AS "Trend Label" FROM p""")
+def u05_rebuilt_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months as runs, two of each year without decks; some archetypes have the name of a deck."""
+    h = history(spark, sf_dir).withColumn("start", F.trunc("EventDate", "MM"))
+    path = week_folder(F.col("start"), F.last_day("start"))
+    runs = S.run_folders(h.select("start").distinct().select(F.concat(F.lit("runs/"), path).alias("path")))
+    group = F.when(F.col("Deck") < "Brand#2", "Brand#11").otherwise(F.left("Deck", F.lit(7)))
+    decks = h.where(F.month("EventDate") % 5 != 0).groupBy(F.concat(F.lit("runs/"), path).alias("path"), "Deck").agg(F.count("*").cast("double").alias("Meta")).withColumn("Archetype", group)
+    return U.rebuilt_shares(runs, decks).select("WeekIndex", F.col("WeekStart").cast("string").alias("WeekStart"), "Deck", "Level", "Meta", "Trend Label")

@@ -27,6 +27,17 @@ def write_by_event(rows: DataFrame, path: str) -> None:
     write_by(rows, path, "EventID")
 
 
+def write_bucketed(rows: DataFrame, table: str, path: str, key: str = "EventID", buckets: int = 64) -> DataFrame:
+    """A table of the catalogue, bucketed and sorted by a key: tables with as many buckets join on it without a shuffle.
+
+    So do joins on the key and more columns, for which the session must let a part of a join's columns say where rows lie; that
+    is set here.
+    """
+    rows.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    rows.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return rows.sparkSession.table(table)
+
+
 def write_version(rows: DataFrame, path: str, version: str, keep: int = 20) -> str:
     """Writes beside older versions, which are the backup; of all versions, by name, the last `keep` stay."""
     if keep < 1:
