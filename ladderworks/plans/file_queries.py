@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,20 +18,11 @@ from ladderworks.plans.standins import H, history, matches, query, read, shares
 from ladderworks.plans.standins import M as SHARES
 from ladderworks.sources import pages, sinks
 from ladderworks.sources import tables as S
+from ladderworks.sources.scratch import shared_folder
 from ladderworks.sources.store import KeyedTable
 from ladderworks.sources.tables import cache_key
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new path in the folder that the cluster shares; only a local session without one gets a temporary folder."""
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="ladderworks-")
-    return f"{root}/files-{uuid.uuid4().hex}"
-
-
 _TEXT = "EventID, CAST(EventDate AS VARCHAR) AS EventDate, Tier, Deck, Archetype, Pilot"
 
 
@@ -40,7 +30,7 @@ _TEXT = "EventID, CAST(EventDate AS VARCHAR) AS EventDate, Tier, Deck, Archetype
 def s01_k01_history_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History in CSV files of two generations, the older ones without logins and in another order of columns."""
     rows = history(spark, sf_dir).select("EventDate", "Format", "Tier", "EventSlug", "EventID", "Place", "Deck", "Archetype", "Pilot", "LoginID")
-    old, folder = F.col("EventID").cast("long") % 2 == 1, _folder(spark)
+    old, folder = F.col("EventID").cast("long") % 2 == 1, shared_folder(spark)
     sinks.write_csv(rows.where(~old), f"{folder}/new")
     sinks.write_csv(rows.where(old).select("EventID", "Pilot", "Place", "Deck", "Archetype", "EventDate", "Tier", "Format", "EventSlug"), f"{folder}/old")
     back = S.typed_history(S.read_csv(spark, f"{folder}/*", S.HISTORY))
@@ -55,7 +45,7 @@ def s02_k14_u10_u13_result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """League results in CSV files, a third of them from before there were classes."""
     points = F.when(F.col("Place") == 1, 5).otherwise(1).alias("LeaguePoints")
     rows = history(spark, sf_dir).select("EventID", "EventDate", "Tier", "EventClass", "Pilot", "LoginID", "Place", "Deck", points)
-    old, folder = F.col("EventID").cast("long") % 3 == 0, _folder(spark)
+    old, folder = F.col("EventID").cast("long") % 3 == 0, shared_folder(spark)
     sinks.write_csv(rows.where(~old), f"{folder}/new")
     sinks.write_csv(rows.where(old).drop("EventClass"), f"{folder}/old")
     return S.typed_results(L.with_class(S.read_csv(spark, f"{folder}/*", S.RESULTS))).select("EventID", "Place", "Pilot", "EventClass", "LeaguePoints")
@@ -65,7 +55,7 @@ def s02_k14_u10_u13_result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM h a JOIN h b USING (EventID) WHERE a.Place = 1 AND b.Place = 2 AND a.EventDate BETWEEN DATE '1995-03-01' AND DATE '1996-08-31'""")
 def s03_bracket_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bracket matches of a range of dates, beside a list of events without a bracket, which is left out."""
-    folder = _folder(spark)
+    folder = shared_folder(spark)
     sinks.write_csv(matches(spark, sf_dir), f"{folder}/a")
     rows = S.bracket_matches(spark, f"{folder}/a", "1995-03-01", "1996-08-31")
     return rows.select("EventID", F.col("EventDate").cast("string").alias("EventDate"), "Round", "WinnerPilot", "LoserPilot", "WinnerDeck", "LoserDeck")
@@ -74,7 +64,7 @@ def s03_bracket_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(H + SHARES + "SELECT Archetype, CAST(count(*) AS BIGINT) AS decks, string_agg(Deck, ';' ORDER BY Deck) AS names FROM m GROUP BY Archetype")
 def k05_archetype_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archetypes and their decks as nested XML, read back."""
-    folder = _folder(spark)
+    folder = shared_folder(spark)
     sinks.write_xml(sinks.archetype_tree(shares(spark, sf_dir)), folder)
     schema = "_name string, _decks long, Deck array<struct<_name: string, _meta: double>>"
     rows = spark.read.format("xml").option("rowTag", "Archetype").schema(schema).load(folder)
@@ -84,7 +74,7 @@ def k05_archetype_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(H + SHARES + """SELECT Deck AS name, '{"archetype":"' || Archetype || '","games":' || Games || '}' AS value FROM m""")
 def k06_k09_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON document with sorted keys for each deck, read back from its folder."""
-    folder = _folder(spark)
+    folder = shared_folder(spark)
     fields = sinks.status_row(games=F.col("Games"), archetype=F.col("Archetype"))
     sinks.write_documents(shares(spark, sf_dir), folder, F.col("Deck"), F.to_json(F.struct(*fields)))
     return spark.read.schema("value string, name string").text(folder).select("name", "value")
@@ -93,7 +83,7 @@ def k06_k09_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(H + "SELECT EventID, Place, CASE WHEN Tier = '1-URGENT' THEN 'again' ELSE Deck END AS Deck FROM h")
 def k07_k08_by_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A version of the results whose events of one tier are written again, each in place of its old rows."""
-    rows, folder = history(spark, sf_dir), _folder(spark)
+    rows, folder = history(spark, sf_dir), shared_folder(spark)
     tiers = sinks.write_version(rows.select("EventID", "Tier", "Place", "Deck"), folder, "00000001")
     stored = f"{folder}/by-tier"
     spark.read.parquet(tiers).write.partitionBy("Tier").parquet(stored)
@@ -105,7 +95,7 @@ def k07_k08_by_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE Meta IS NOT NULL AND Winrate IS NOT NULL""")
 def p06_s25_run_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The market share that stands in a run's own folder, without decks that lack a share or a win rate."""
-    folder = _folder(spark)
+    folder = shared_folder(spark)
     rows = shares(spark, sf_dir).select("Deck", F.when(~F.col("Deck").endswith("1"), F.col("Meta")).alias("Meta"), F.when(~F.col("Deck").endswith("2"), F.col("Winrate")).alias("Winrate"))
     sinks.write_csv(rows, f"{folder}/metagame", one_file=True)
     return S.run_share(S.read_csv(spark, f"{folder}/metagame", ("Deck", "Meta", "Winrate")))
@@ -137,7 +127,7 @@ def k13_review_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = N.classified(rows.select("deck_id", F.col("Archetype").alias("nearest"), (games / 50).alias("nearest_sim"), second.alias("second"), (games / 90).alias("second_sim")), rows.select("deck_id", "Place"))
     cards = N.key_items(rows.select("deck_id", F.explode(F.array_distinct(F.split("RawDeck", " "))).alias("item")).withColumn("qty", F.length("item")))
     names = {"EventID": "event_id", "EventDate": "date", "Format": "format", "EventClass": "kind", "Tier": "tier", "Pilot": "pilot", "EventSlug": "event_url"}
-    folder = _folder(spark)
+    folder = shared_folder(spark)
     sinks.write_csv(N.review_items(rated, cards, rows.select("deck_id", *(F.col(c).alias(n) for c, n in names.items()))), folder)
     types = {"place": "int", "nearest_sim": "double", "second_sim": "double"}
     return S.read_csv(spark, folder, N.REVIEW).withColumns({c: F.col(c).cast(t) for c, t in types.items()})
@@ -162,7 +152,7 @@ def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> str:
-    folder = _folder(spark)
+    folder = shared_folder(spark)
     whole = _calendar(spark, sf_dir).persist()
     key = cache_key(F.lit("s:dgc/calendar"), F.create_map(F.lit("c:limit"), F.lit(str(_PAGE)), F.lit("c:start"), (F.col("page") * _PAGE).cast("string")))
     named = whole.withColumn("name", F.concat(F.lit("s:dgc_calendar_"), key, F.lit(".json")))
@@ -220,7 +210,7 @@ _RULES = """WITH r AS (SELECT CASE p_partkey % 3 WHEN 0 THEN 'contains' WHEN 1 T
 @query(_RULES + "SELECT p_partkey, target FROM part LEFT JOIN m ON name = p_name || ' ' || p_brand")
 def j03_s04_rules_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule table of a fifth of the parts, written and read as a file, on all names."""
-    part, folder = read(spark, sf_dir, "part"), _folder(spark)
+    part, folder = read(spark, sf_dir, "part"), shared_folder(spark)
     kind, word = F.col("p_partkey") % 3, lambda i: F.split("p_name", " ")[i]
     pattern = F.when(kind == 0, F.concat(F.upper(word(1)), F.lit(" b"))).when(kind == 1, F.concat(F.lit("^"), word(0), F.lit(" .*"), F.right("p_brand", F.lit(2)), F.lit("$"))).otherwise(F.concat_ws("  ", "p_name", "p_brand"))
     rules = part.where("p_partkey % 5 = 0").select(pattern.alias("pattern"), F.concat(F.lit("T"), "p_partkey").alias("canonical_name"), F.when(kind == 0, "").when(kind == 1, " Regex").otherwise("EXACT").alias("match_type"), (F.col("p_partkey") % 7).alias("priority"), F.col("p_partkey").alias("place"))
@@ -237,7 +227,7 @@ _CHANGED = "CAST(EventID AS BIGINT) > (SELECT 0.99 * max(CAST(EventID AS BIGINT)
 def _changed(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, list]:
     """The history in 16 files by event, of which the newest hundredth of the ids is read again, then one deck renamed there."""
     h = history(spark, sf_dir).select(F.col("EventID").cast("long").alias("Event"), "EventID", "Pilot", "Place", "Deck", "Archetype").withColumn("Deck", F.when(F.col("Place") == 1, U.SENTINEL).otherwise(F.col("Deck")))
-    table = KeyedTable(spark, f"{_folder(spark)}/keyed", "Event")
+    table = KeyedTable(spark, f"{shared_folder(spark)}/keyed", "Event")
     changes = [table.create(h, 16)]
     top = h.agg(F.max("Event").alias("top"))
     fresh = h.join(F.broadcast(top), F.col("Event") > 0.99 * F.col("top")).drop("top").withColumns({"Deck": F.lit("again"), "Archetype": F.lit("new")})
@@ -274,7 +264,7 @@ def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     h = history(spark, sf_dir).select("EventID", "Place", "Pilot", "LoginID")
     renamed = h.withColumn("Pilot", F.when(F.col("EventID").cast("long") % 9 == 0, F.concat("Pilot", F.lit(" jr"))).otherwise(F.upper("Pilot")))
     name = uuid.uuid4().hex
-    return tuple(sinks.write_bucketed(t, f"results_{s}_{name}", f"{_folder(spark)}/{s}", buckets=8).hint("merge") for s, t in (("stored", h), ("fresh", renamed)))
+    return tuple(sinks.write_bucketed(t, f"results_{s}_{name}", f"{shared_folder(spark)}/{s}", buckets=8).hint("merge") for s, t in (("stored", h), ("fresh", renamed)))
 
 
 @query(H + """, w AS (SELECT DISTINCT date_trunc('month', EventDate) AS m FROM h), n AS (SELECT m, row_number() OVER (ORDER BY m) AS i FROM w),

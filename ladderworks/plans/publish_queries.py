@@ -11,8 +11,8 @@ from ladderworks.operators import invariants as I
 from ladderworks.operators import presence as P
 from ladderworks.operators import publishing
 from ladderworks.plans.event_queries import _PRESENCE, PRESENCE
-from ladderworks.plans.file_queries import _folder
 from ladderworks.plans.standins import H, history, query
+from ladderworks.sources.scratch import shared_folder
 
 #: Entries of the events here: those of the orders with as many lines or more.
 SIZE = 4
@@ -179,7 +179,7 @@ def _notes(h: DataFrame) -> DataFrame:
 
 def _run(spark: SparkSession, h: DataFrame, stored: DataFrame, name: str, faulty: DataFrame | None = None, summary: bool = True, **more: object) -> DataFrame:
     """The outcome of publishing, as the folder and the status show it."""
-    folder, window = _folder(spark), ("1992-01-01", "1998-12-31")
+    folder, window = shared_folder(spark), ("1992-01-01", "1998-12-31")
     registry = h.select("EventID", "EventDate", F.lit(SIZE).alias("size"), F.lit("challenge").alias("kind")).distinct()
     note = publishing.premier_note(_notes(h).limit(0), "F", *window)
     state = publishing.registry_state(registry, stored.withColumn("Format", F.lit("F")), "F")

@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from ladderworks.operators import presence as P
 from ladderworks.operators import quality as Q
+from ladderworks.operators import review
+from ladderworks.operators import rules as R
 from ladderworks.operators import state as U
+from ladderworks.plans.meta_queries import _RULE_SQL, _rules
 from ladderworks.plans.standins import H, history, query, read
 from ladderworks.sources import events, tables
+from ladderworks.sources.scratch import shared_folder
+from ladderworks.sources.store import KeyedTable
+from ladderworks.streaming import pending
 from ladderworks.streaming.sync import activity_windows
 
 _COLS = "EventID, EventDate, Format, Place, Deck, Archetype, Pilot"
@@ -238,11 +244,37 @@ _N = H + ", d AS (SELECT * FROM h)\n"
 @query(_N + """, n AS (SELECT EventID, count(*) AS n, CAST(EventID AS BIGINT) % 5 AS m FROM d GROUP BY EventID)
     SELECT EventID, CASE WHEN n <> 4 OR m = 4 THEN 'ERROR' WHEN m = 0 THEN 'PENDING' WHEN m = 1 THEN 'ERROR' ELSE 'OK' END AS status, CASE WHEN n <> 4 OR m = 4 THEN 'places are not 1 to 4' WHEN m = 0 THEN 'no decklists' WHEN m = 1 THEN '3 decklists' END AS reason, CAST(n AS INT) AS PlayerCount FROM n""")
 def s14_s24_event_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of four: some without decklists, with one less, with a login that is ranked twice, or whose last rank is its first."""
+    return events.event_status(_faulty_documents(spark, sf_dir), 4)
+
+
+def _faulty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of four: some without decklists, with one less, with a login that is ranked twice, or whose last rank is its first,
+    some without a bracket."""
     m, again = F.col("event.event_id").cast("long") % 5, lambda i: F.array_append("event.final_rank", F.struct(F.lit("L1").alias("loginid"), F.lit(i).alias("rank"), F.lit(None).cast("string").alias("roundnumber")))
     docs = _documents(spark, sf_dir).withColumn("event", F.col("event").withField("decklists", F.when(m == 0, F.slice("event.decklists", 1, 0)).when(m == 1, F.slice("event.decklists", 1, 3)).otherwise(F.col("event.decklists"))))
     docs = docs.withColumn("event", F.col("event").withField("final_rank", F.when(m == 4, again("2")).when(m == 3, again("1")).otherwise(F.col("event.final_rank"))))
-    return events.event_status(docs, 4)
+    return docs.withColumn("event", F.col("event").withField("brackets", F.when(m == 2, F.slice("event.brackets", 1, 0)).otherwise(F.col("event.brackets"))))
+
+
+@query(_N + """, n AS (SELECT EventID, count(*) AS n, CAST(EventID AS BIGINT) % 5 AS m FROM d GROUP BY EventID)
+    SELECT CAST(o_orderkey AS VARCHAR) AS EventID, CASE WHEN n IS NULL THEN 'missing' WHEN n <> 4 OR m IN (1, 4) AND m <> 0 THEN 'error' WHEN m = 0 THEN 'pending' WHEN m = 2 THEN 'none' ELSE 'rows' END AS State FROM orders LEFT JOIN n ON EventID = CAST(o_orderkey AS VARCHAR)""")
+def s15_k07_event_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scanned with matches, scanned without a bracket, not published, in error, never scanned."""
+    table = pending.match_table(_faulty_documents(spark, sf_dir), 4)
+    return pending.event_states(table, read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("EventID")))
+
+
+@query(_N + """, n AS (SELECT EventID, count(*) AS n, CAST(EventID AS BIGINT) % 5 AS m FROM d GROUP BY EventID)
+    SELECT a.EventID, 'F' AS Round, a.Pilot AS WinnerPilot, b.Pilot AS LoserPilot FROM n JOIN d a ON n.EventID = a.EventID AND a.Place = 1 JOIN d b ON b.EventID = a.EventID AND b.Place = 2 WHERE n = 4 AND m = 3""")
+def s15_k07_committed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matches of a table that was written with the states of its events, where an event that was pending came later."""
+    table = KeyedTable(spark, f"{shared_folder(spark)}/matches", "EventID")
+    docs = _faulty_documents(spark, sf_dir)
+    late = F.col("event.event_id").cast("long") % 10 == 3
+    hidden = docs.withColumn("event", F.col("event").withField("decklists", F.when(late, F.slice("event.decklists", 1, 0)).otherwise(F.col("event.decklists"))))
+    table.create(pending.match_table(hidden, 4), 4)
+    table.replace(pending.match_table(docs.where(late), 4))
+    return table.read().where(F.col("State") == pending.ROWS).select("EventID", "Round", "WinnerPilot", "LoserPilot")
 
 
 @query(_N + "SELECT EventID, 'L' || Place AS LoginID, Pilot, CAST(Place AS INT) AS Place, lower(RawDeck) AS item, CAST(Place + 2 AS BIGINT) AS qty FROM d")
@@ -327,3 +359,40 @@ def s08_first_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streaming_activity_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = activity_windows(read(spark, sf_dir, "events"))
     return rows.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", (F.rint(F.col("value") * 100) / 100).alias("value"))
+
+
+_RAW = "CASE CAST(EventID AS BIGINT) % 5 WHEN 0 THEN ' ' WHEN 2 THEN 'map me' WHEN 3 THEN 'Map  Both' ELSE RawDeck END"
+
+
+@query(H + f""", s AS (SELECT EventID, Pilot, {_RAW} AS raw, CAST(EventID AS BIGINT) % 5 AS m FROM h WHERE Place = 1), c AS (SELECT EventID, Pilot, count(*) AS n FROM h GROUP BY ALL),
+    o AS (SELECT s.*, CASE WHEN m = 0 THEN 'skipped' WHEN m = 4 THEN 'not_found' WHEN n > 1 THEN 'ambiguous' ELSE 'applied' END AS outcome FROM s JOIN c USING (EventID, Pilot)),
+    f AS (SELECT *, CASE m WHEN 2 THEN 'Mapped' WHEN 3 THEN 'Both' ELSE {_RULE_SQL.format(rest='x')} END AS D FROM (SELECT *, raw AS x, lower(raw) AS n FROM o)),
+    a AS (SELECT *, CASE WHEN m = 3 THEN 'Given' WHEN contains(lower(D), 'bolt') THEN 'Bolts' WHEN lower(D) = 'small ring' THEN 'Ring' WHEN contains(lower(D), 'widget') THEN 'Widgets' ELSE 'Unknown' END AS A FROM f)
+    SELECT h.EventID, h.Place, CASE WHEN a.outcome = 'applied' THEN D ELSE h.Deck END AS Deck, CASE WHEN a.outcome = 'applied' THEN A ELSE h.Archetype END AS Archetype, a.outcome FROM h LEFT JOIN a ON a.EventID = h.EventID AND h.Place = 1""")
+def j19_reviewed_decks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winners' decks filled in by hand: by saved mappings, by alias rules, blank, for another name, and where a pilot is there twice."""
+    h = history(spark, sf_dir)
+    m, raw = F.col("EventID").cast("long") % 5, F.col("RawDeck")
+    chosen = h.where("Place = 1").select(F.concat("EventID", F.lit(".0")).alias("event_id"), F.when(m == 4, "nobody").otherwise(F.concat(F.lit(" "), "Pilot")).alias("pilot"), F.when(m == 0, " ").when(m == 2, "map me").when(m == 3, "Map  Both").otherwise(raw).alias("resolved_deck"), F.col("row_id").alias("ordinal"))
+    mappings = R.load_mappings(spark.createDataFrame([("Map Me", "Mapped", "", 1), ("map both", "older", "Older", 2), ("MAP BOTH", "Both", "Given", 3)], "raw_name string, canonical_name string, archetype string, ordinal long"))
+    rows, outcomes = review.apply_selections(h.select("EventID", "Place", "Pilot", "Deck", "Archetype"), chosen, _rules(spark), _rules(spark), mappings)
+    said = outcomes.select(F.regexp_replace("event_id", r"\.0$", "").alias("_e"), "outcome")
+    return rows.join(said, (F.col("EventID") == F.col("_e")) & (F.col("Place") == 1), "left").select("EventID", "Place", "Deck", "Archetype", "outcome")
+
+
+@query("""WITH w AS (SELECT doc_id, w AS item, count(*) AS qty FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY ALL),
+    z AS (SELECT doc_id, sum(qty) AS n FROM w GROUP BY 1),
+    s AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.qty, b.qty)) AS low FROM w a JOIN w b ON a.item = b.item AND a.doc_id % 3 <> 0 AND b.doc_id % 3 = 0 GROUP BY ALL),
+    r AS (SELECT a, lang AS label, low / (x.n + y.n - low) AS sim, row_number() OVER (PARTITION BY a ORDER BY low / (x.n + y.n - low) DESC, b) AS i FROM s JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b JOIN documents d ON d.doc_id = b),
+    t AS (SELECT a, max(label) FILTER (i = 1) AS l1, max(sim) FILTER (i = 1) AS s1, max(label) FILTER (i = 2) AS l2 FROM r GROUP BY a),
+    f AS (SELECT doc_id AS row_id, CASE WHEN doc_id % 3 = 0 THEN lang WHEN l1 = l2 AND s1 >= 0.9 AND doc_id % 2 = 0 OR l1 = l2 AND s1 >= 0.95 AND doc_id % 2 = 1 THEN l1 ELSE 'NEEDS_MANUAL_REVIEW' END AS Deck FROM documents LEFT JOIN t ON a = doc_id)
+    SELECT row_id, Deck, CASE WHEN row_id % 3 = 0 THEN 'known' WHEN Deck = 'NEEDS_MANUAL_REVIEW' THEN 'waits' WHEN Deck = 'en' THEN 'English' ELSE 'Unknown' END AS Archetype FROM f""")
+def u09_rescanned_library(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as decks of words: those of two thirds wait, and take the language of their nearest among the others."""
+    docs = read(spark, sf_dir, "documents").withColumnRenamed("doc_id", "row_id")
+    open_ = F.col("row_id") % 3 != 0
+    rows = docs.select("row_id", F.when(F.col("row_id") % 2 == 0, 20).otherwise(5).alias("Place"), F.when(open_, U.SENTINEL).otherwise(F.col("lang")).alias("Deck"), F.when(open_, "waits").otherwise("known").alias("Archetype"))
+    words = docs.select("row_id", F.explode(F.split(F.lower("text"), " ")).alias("item")).where("item <> ''").groupBy("row_id", "item").agg(F.count("*").alias("qty"))
+    mappings = R.load_mappings(spark.createDataFrame([("EN", "en", "English", 1)], "raw_name string, canonical_name string, archetype string, ordinal long"))
+    found, _, _ = review.rescan(rows, words, _rules(spark), mappings)
+    return found.select("row_id", "Deck", "Archetype")
