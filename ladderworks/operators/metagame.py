@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ladderworks.functions import text as T
 from ladderworks.functions.scoring import copies, hits_at_least_one, prep_priority, record_probabilities, rounded, trend_label, trust_label
 from ladderworks.operators.ranking import ranks
+from ladderworks.operators.rules import archetypes
 
 #: Population, rounds, cutoff of encounter charts in percent, weeks of a trend, thresholds of trends.
 POPULATION, ROUNDS, CUTOFF, WEEKS_BACK, DECK_TREND, ARCHETYPE_TREND = 1000, 5, 5.0, 4, 0.5, 0.2
@@ -95,8 +96,11 @@ def compare_share(challenge: DataFrame, meta: DataFrame) -> DataFrame:
     return both.withColumn("Delta pp", rounded(F.col("Challenge Share") - F.col("Meta Share")))
 
 
-def with_meta_share(presence: DataFrame, meta: DataFrame, key: str = "Deck") -> DataFrame:
-    """Adds the market share summed by key, 0 where there is none."""
+def with_meta_share(presence: DataFrame, meta: DataFrame, key: str = "Deck", rules: DataFrame | None = None) -> DataFrame:
+    """Adds the market share summed by key, 0 where there is none. By archetype, with `rules`: that of the deck's name by the
+    rules, whatever archetype the market share itself has."""
+    named = meta.withColumn("Deck", T.trimmed("Deck"))
+    meta = archetypes(named.drop("Archetype"), rules) if rules is not None else named
     share = meta.groupBy(key).agg(rounded(F.sum("Meta")).alias("MetaPct"))
     return presence.join(share, key, "left").na.fill(0, ["MetaPct"])
 

@@ -125,9 +125,36 @@ def replace_archetype(rows: DataFrame, old: str, new: str, col: str = "archetype
     return rows.withColumn(col, F.when(T.normalize_name(col) == T.normalize_name(F.lit(old)), new).otherwise(F.col(col)))
 
 
+def save_assignments(rows: DataFrame, rules: DataFrame, assignments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows and archetype rules after decks of unknown archetype were assigned one (ordinal, deck, archetype).
+
+    Each assignment that says something becomes an exact rule of priority 1, and the rows of its deck are changed at once.
+    """
+    said = assignments.where((T.trimmed("deck") != "") & ~F.lower(T.trimmed("archetype")).isin("", "unknown"))
+    queued = said.select(T.trimmed("deck").alias("pattern"), T.trimmed("archetype").alias("target"), F.lit("exact").alias("match_type"), F.lit(1).alias("priority"), "ordinal")
+    return assign_unknown(rows, said), upsert_rules(rules, queued, "target")
+
+
+def relabel(rows: DataFrame, hits: DataFrame, archetype: str, mappings: DataFrame, aliases: DataFrame, rules: DataFrame, limit: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """An archetype for all rows that were found (ordinal, raw_deck, Deck): the stored rows, mappings, aliases and rules after it.
+
+    Each raw name that was found is mapped to its deck and the archetype, by an exact alias and exact rules of priority 1 for
+    both names; then stored rows follow, in weeks up to `limit` or in all (see `propagate`). Rows that lack a name are passed over.
+    """
+    found = hits.select("ordinal", T.trimmed("raw_deck").alias("raw_name"), T.trimmed("Deck").alias("canonical_name"), F.lit(archetype.strip()).alias("archetype"))
+    found = found.where("raw_name <> '' AND canonical_name <> '' AND archetype <> ''")
+    rule = lambda pattern, target: found.select(F.col(pattern).alias("pattern"), F.col(target).alias("target"), F.lit("exact").alias("match_type"), F.lit(1).alias("priority"), "ordinal")
+    changes = last_by_key(found, T.normalize_name("raw_name"))
+    return (
+        propagate(rows, changes, limit), upsert_mappings(mappings, found),
+        upsert_rules(aliases, rule("raw_name", "canonical_name"), "target"), upsert_rules(rules, rule("raw_name", "archetype").unionByName(rule("canonical_name", "archetype")), "target"),
+    )
+
+
 def assign_unknown(rows: DataFrame, assignments: DataFrame) -> DataFrame:
-    """Archetypes of decks from a table (deck, archetype), by the lower-case name."""
-    table = assignments.select(F.lower(F.trim("deck")).alias("_d"), F.col("archetype").alias("_a"))
+    """Archetypes of decks from a table (ordinal, deck, archetype), by the lower-case name; of equal names the last counts."""
+    last = last_by_key(assignments, F.lower(F.trim("deck")))
+    table = last.select(F.lower(F.trim("deck")).alias("_d"), F.col("archetype").alias("_a"))
     return rows.join(table, F.lower(F.trim("Deck")) == F.col("_d"), "left").withColumn("Archetype", F.coalesce("_a", "Archetype")).drop("_d", "_a")
 
 

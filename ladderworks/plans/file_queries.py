@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from ladderworks.functions import text as T
 from ladderworks.functions.scoring import week_folder
 from ladderworks.operators import league as L
+from ladderworks.operators import presence as P
 from ladderworks.operators import rules as R
 from ladderworks.operators import similarity as N
 from ladderworks.operators import state as U
 from ladderworks.operators.ranking import ranks
+from ladderworks.plans.event_queries import PRESENCE
 from ladderworks.plans.standins import H, history, matches, query, read, shares
 from ladderworks.plans.standins import M as SHARES
 from ladderworks.sources import pages, sinks
@@ -200,6 +202,25 @@ def s16_events_of_the_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.found_events(pages.calendar_events(rows, "Vintage", "1992-01-01", "2002-12-31"), _index(spark, sf_dir))
 
 
+@query(PRESENCE + """, o AS (SELECT *, row_number() OVER (PARTITION BY Tier ORDER BY Top32EventFreqPct DESC, Top32EventCount DESC, Deck) AS i FROM p)
+    SELECT CAST(2 * dense_rank() OVER (ORDER BY Tier) AS VARCHAR) || '_C' || Tier || '_Decks' AS sheet, CAST(i AS INT) AS position, Deck FROM o
+    UNION ALL SELECT '1_STATUS', 1, NULL""")
+def k04_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sheets of a run, written and read again: their order, and that of the decks in them."""
+    h, folder = history(spark, sf_dir), shared_folder(spark)
+    decks, groups = P.presence(h).persist(), P.presence(h, "Archetype").persist()
+    tiers = sorted(r.Tier for r in decks.select("Tier").distinct().collect())
+    status = spark.createDataFrame([(True, False)], "Complete boolean, Partial boolean")
+    sheets = sinks.statistics_sheets(status, tiers, decks, groups, P.all_tiers(decks), P.all_tiers(groups, "Archetype"), P.pilot_table(h, F.col("row_id")))
+    sinks.write_sheets(sheets, folder)
+    read_back = None
+    for i, name in enumerate(sheets, 1):
+        if name == "STATUS" or (name.endswith("_Decks") and not name.startswith("ALL")):
+            rows = S.numbered(S.read_csv(spark, f"{folder}/{i:02d}_{name}", ("Deck",))).select(F.lit(f"{i}_{name}").alias("sheet"), (F.col("ordinal") + 1).cast("int").alias("position"), F.nullif("Deck", F.lit("")).alias("Deck"))
+            read_back = rows if read_back is None else read_back.unionByName(rows)
+    return read_back
+
+
 _RULES = """WITH r AS (SELECT CASE p_partkey % 3 WHEN 0 THEN 'contains' WHEN 1 THEN 'regex' ELSE 'exact' END AS kind, CASE p_partkey % 3 WHEN 0 THEN upper(split_part(p_name, ' ', 2)) || ' b' WHEN 1 THEN '^' || split_part(p_name, ' ', 1) || ' .*' || right(p_brand, 2) || '$' ELSE p_name || '  ' || p_brand END AS pattern,
         'T' || p_partkey AS target, p_partkey % 7 AS priority, p_partkey AS ordinal FROM part WHERE p_partkey % 5 = 0)
     , n AS (SELECT DISTINCT p_name || ' ' || p_brand AS name FROM part),

@@ -108,6 +108,29 @@ def a08_archetype_roll_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.roll_up_archetypes(rows)
 
 
+_SIDE = "SELECT lower(RawDeck) AS o, {r} AS w, CAST(sum(Games) AS BIGINT) AS g FROM h WHERE {where} GROUP BY 1"
+
+
+@query(H + f""", p AS ({_SIDE.format(r=_R("sum(CASE WHEN Flag = 'R' THEN Games ELSE 0 END) / sum(Games)", 4), where="Place = 1 AND RawDeck LIKE '%o%'")}), f AS ({_SIDE.format(r=_R("sum(CASE WHEN Flag = 'R' THEN Games ELSE 0 END) / sum(Games)", 4), where="Place = 2 AND RawDeck NOT LIKE '%w%'")}), d AS (SELECT DISTINCT RawDeck FROM h)
+    SELECT RawDeck AS Deck, coalesce(p.w, f.w) AS MyWinrate, CASE WHEN p.w IS NOT NULL THEN p.g WHEN f.w IS NOT NULL THEN f.g ELSE 0 END AS MyGames, CASE WHEN p.w IS NOT NULL THEN 'primary' WHEN f.w IS NOT NULL THEN 'fallback' ELSE 'none' END AS MySource FROM d LEFT JOIN p ON p.o = lower(RawDeck) LEFT JOIN f ON f.o = lower(RawDeck)""")
+def j06_my_winrates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Win rates against each deck from the primary window, else the fallback, else none."""
+    h = history(spark, sf_dir)
+    side = lambda where: M.collapse_matchups(h.where(where).select(F.upper("RawDeck").alias("opponent"), F.when(F.col("Flag") == "R", 1.0).otherwise(0.0).alias("winrate"), F.col("Games").cast("long").alias("games")))
+    decks = h.select(F.col("RawDeck").alias("Deck")).distinct()
+    return M.with_my_winrate(decks, side("Place = 1 AND RawDeck LIKE '%o%'"), side("Place = 2 AND RawDeck NOT LIKE '%w%'"))
+
+
+@query(H + f""", m AS (SELECT CASE WHEN contains(RawDeck, 'bolt') THEN 'Bolts' WHEN RawDeck = 'small ring' THEN 'Ring' WHEN contains(RawDeck, 'widget') THEN 'Widgets' WHEN RawDeck LIKE 'old %' THEN 'Antiques' WHEN RawDeck LIKE '%gear' THEN 'Gears' ELSE 'Unknown' END AS A, count(*) * 0.125e0 AS s FROM h GROUP BY RawDeck),
+    g AS (SELECT A, {_R('sum(s)')} AS MetaPct FROM m GROUP BY A)
+    SELECT DISTINCT a.A AS Archetype, coalesce(MetaPct, 0) AS MetaPct FROM (SELECT unnest(['Bolts', 'Ring', 'Widgets', 'Antiques', 'Gears', 'Unknown', 'Elsewhere']) AS A) a LEFT JOIN g USING (A)""")
+def j08_share_by_ruled_archetype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market share of archetypes by the rules for the decks' names; the share's own archetype doesn't count."""
+    meta = history(spark, sf_dir).groupBy(F.concat(F.lit(" "), "RawDeck").alias("Deck")).agg((F.count("*") * 0.125).alias("Meta"), F.min("Archetype").alias("Archetype"))
+    known = spark.createDataFrame([(a,) for a in ("Bolts", "Ring", "Widgets", "Antiques", "Gears", "Unknown", "Elsewhere")], "Archetype string")
+    return M.with_meta_share(known, meta, "Archetype", _rules(spark))
+
+
 _ENC = "(1 - (1000.0 - c) / 1000 * (999.0 - c) / 999 * (998.0 - c) / 998 * (997.0 - c) / 997 * (996.0 - c) / 996)"
 _METRICS = H + SHARES + f""", x AS (SELECT max(Meta) AS top, min(Winrate) AS low, max(Winrate) AS high, median(Meta) AS mm, median(Winrate) AS mw FROM m),
     i AS (SELECT m.*, mm, mw, 0.7 * Meta / top + 0.3 * (Winrate - low) / (high - low) AS imp, CAST(round_even(Meta * 10, 0) AS INT) AS c FROM m, x),

@@ -12,7 +12,7 @@ from ladderworks.operators import rules as R
 from ladderworks.operators import state as U
 from ladderworks.plans.meta_queries import _RULE_SQL, _rules
 from ladderworks.plans.standins import H, history, query, read
-from ladderworks.sources import events, tables
+from ladderworks.sources import events, pages, tables
 from ladderworks.sources.scratch import shared_folder
 from ladderworks.sources.store import KeyedTable
 from ladderworks.streaming import pending
@@ -109,10 +109,68 @@ def u08_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.replace_archetype(U.catalog(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("ordinal"), mixed.alias("archetype"))), "promo", "Other")
 
 
-@query(H + "SELECT EventID, Place, CASE WHEN Deck IN ('Brand#1', 'Brand#2') THEN 'Fixed ' || Deck ELSE Archetype END AS Archetype FROM h")
+_ASSIGNED = """, a AS (SELECT p_brand AS deck, 'Fixed ' || max(p_partkey) AS archetype FROM part WHERE p_partkey % 2 = 0 AND p_brand < 'Brand#3' GROUP BY 1)
+"""
+
+
+def _assigned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Decks that are assigned an archetype again and again, and some that are told to be unknown."""
+    part, n = read(spark, sf_dir, "part"), F.col("p_partkey")
+    said = part.where("p_brand < 'Brand#3'").select(n.alias("ordinal"), F.upper("p_brand").alias("deck"), F.when(n % 2 == 0, F.concat(F.lit("Fixed "), n)).when(n % 4 == 1, "Unknown").otherwise(" ").alias("archetype"))
+    rules = part.select("p_brand").distinct().select(F.col("p_brand").alias("pattern"), F.lit("exact").alias("match_type"), F.lit("old").alias("target"), F.lit(100).alias("priority"))
+    return U.save_assignments(history(spark, sf_dir), rules, said)
+
+
+@query(H + _ASSIGNED + "SELECT EventID, Place, coalesce(a.archetype, h.Archetype) AS Archetype FROM h LEFT JOIN a ON h.Deck = a.deck")
 def u15_assigned_archetypes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = read(spark, sf_dir, "part").where("p_brand IN ('Brand#1', 'Brand#2')").select(F.upper("p_brand").alias("deck"), F.concat(F.lit("Fixed "), "p_brand").alias("archetype")).distinct()
-    return U.assign_unknown(history(spark, sf_dir), table).select("EventID", "Place", "Archetype")
+    return _assigned(spark, sf_dir)[0].select("EventID", "Place", "Archetype")
+
+
+@query(H + _ASSIGNED + "SELECT upper(deck) AS pattern, 'exact' AS match_type, archetype AS target, 1 AS priority FROM a UNION ALL SELECT DISTINCT p_brand, 'exact', 'old', 100 FROM part WHERE p_brand NOT IN (SELECT deck FROM a)")
+def u15_rules_of_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _assigned(spark, sf_dir)[1]
+
+
+_HITS = """, x AS (SELECT RawDeck AS raw, arg_max(Deck, CAST(EventID AS BIGINT) * 100 + Place) AS D FROM h WHERE RawDeck LIKE '%bolt%' GROUP BY RawDeck)
+"""
+
+
+def _relabelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """All rows that a search finds get an archetype, in weeks up to the end of 1999."""
+    h = history(spark, sf_dir)
+    hits = h.where(U.matches(" BOLT", ("RawDeck",))).select(F.col("row_id").alias("ordinal"), F.col("RawDeck").alias("raw_deck"), "Deck")
+    rows = h.withColumns({"source_names": F.concat(F.lit("none | "), F.upper("RawDeck")), "week_end": F.col("EventDate")})
+    mappings = spark.createDataFrame([("Old  Bolt", "kept?", "kept?"), ("other", "stays", "stays")], "raw_name string, canonical_name string, archetype string")
+    none = spark.createDataFrame([("other", "exact", "stays", 5)], "pattern string, match_type string, target string, priority int")
+    return U.relabel(rows, hits, " Bolted ", mappings, none, none, F.lit("1999-12-31").cast("date"))
+
+
+@query(H + _HITS + "SELECT EventID, Place, CASE WHEN EventDate <= DATE '1999-12-31' THEN coalesce(D, Deck) ELSE Deck END AS Deck, CASE WHEN EventDate <= DATE '1999-12-31' AND D IS NOT NULL THEN 'Bolted' ELSE Archetype END AS Archetype FROM h LEFT JOIN x ON raw = RawDeck")
+def u14_relabelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _relabelled(spark, sf_dir)[0].select("EventID", "Place", "Deck", "Archetype")
+
+
+@query(H + _HITS + """SELECT 'mapping' AS kind, raw AS name, D || '/Bolted' AS target FROM x UNION ALL SELECT 'mapping', 'other', 'stays/stays' UNION ALL SELECT 'alias', raw, D FROM x UNION ALL SELECT 'alias', 'other', 'stays'
+    UNION ALL SELECT 'rule', raw, 'Bolted' FROM x UNION ALL SELECT DISTINCT 'rule', Deck, 'Bolted' FROM h WHERE RawDeck LIKE '%bolt%' UNION ALL SELECT 'rule', 'other', 'stays'""")
+def u14_saved_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, mappings, aliases, rules = _relabelled(spark, sf_dir)
+    said = mappings.select(F.lit("mapping").alias("kind"), F.col("raw_name").alias("name"), F.concat_ws("/", "canonical_name", "archetype").alias("target"))
+    for kind, table in (("alias", aliases), ("rule", rules)):
+        said = said.unionByName(table.select(F.lit(kind).alias("kind"), F.col("pattern").alias("name"), "target"))
+    return said
+
+
+@query(H + "SELECT EventID, CAST(count(*) AS BIGINT) AS players FROM h WHERE CAST(EventID AS BIGINT) % 4 < 3 GROUP BY EventID")
+def s17_cached_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a folder by either name; one in four events isn't there, one has an older file besides."""
+    folder = shared_folder(spark)
+    docs = _documents(spark, sf_dir).select(F.col("event.event_id").alias("id"), F.to_json("event").alias("body"))
+    n = F.col("id").cast("long") % 4
+    first = docs.where(n < 2).select(F.lit("events").alias("source"), F.concat("id", F.lit(".json")).alias("name"), "body")
+    second = docs.where(n.isin(1, 2)).select(F.lit("events").alias("source"), F.concat("id", F.lit(".0.json")).alias("name"), F.when(n == 1, "{}").otherwise(F.col("body")).alias("body"))
+    pages.store_answers(first.unionByName(second), folder)
+    ids = history(spark, sf_dir).select(F.concat("EventID", F.lit(".0")).alias("EventID")).distinct()
+    return events.cached_events(spark, f"{folder}/events", ids).select("EventID", F.col("event.player_count.players").cast("long").alias("players"))
 
 
 @query(H + """, c AS (SELECT p_name, min(p_brand) AS canonical_name FROM part WHERE p_name LIKE '%bolt' GROUP BY 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
@@ -72,6 +72,18 @@ def parse_events(text: DataFrame, col: str = "value") -> DataFrame:
     return text.withColumn("event", F.from_json(col, EVENT))
 
 
+def cached_events(spark: SparkSession, folder: str, ids: DataFrame) -> DataFrame:
+    """EventID and the document of those events that are in a folder, as `<id>.json` or else `<id>.0.json`; none is fetched.
+
+    `event` is null where the file can't be read. The files are read whole, those of other events too.
+    """
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json").select("value", name.alias("name"))
+    found = files.select("value", F.regexp_replace("name", r"(\.0)?\.json$", "").alias("EventID"), F.col("name").endswith(".0.json").alias("second"))
+    one = found.join(ids.select(T.event_id("EventID").alias("EventID")).distinct(), "EventID", "left_semi").groupBy("EventID").agg(F.min_by("value", "second").alias("value"))
+    return parse_events(one).select("EventID", "event")
+
+
 def _ranks() -> Column:
     """The last entry of each login among the final ranks, as (loginid, rank)."""
     entries = F.transform("event.final_rank", lambda r: F.named_struct(F.lit("loginid"), r["loginid"], F.lit("rank"), r["rank"].try_cast("int")))

@@ -11,10 +11,23 @@ def write_csv(rows: DataFrame, path: str, *, one_file: bool = False) -> None:
     (rows.coalesce(1) if one_file else rows).write.mode("overwrite").option("header", True).option("lineSep", "\n").option("emptyValue", "").csv(path)
 
 
+def statistics_sheets(status: DataFrame, tiers: list[str], decks: DataFrame, archetypes: DataFrame, all_decks: DataFrame, all_archetypes: DataFrame, pilots: DataFrame) -> dict[str, DataFrame]:
+    """The sheets of a run in order: STATUS, of each tier its decks and archetypes, ALL_Decks, ALL_Archetypes, BestPilots.
+
+    Presence tables go down by event frequency, then by the number of events, then by name; pilots by their rank.
+    """
+    down = lambda rows, key: rows.orderBy(F.desc("Top32EventFreqPct"), F.desc("Top32EventCount"), key)
+    sheets = {"STATUS": status}
+    for tier in tiers:
+        of = F.col("Tier") == tier
+        sheets |= {f"C{tier}_Decks": down(decks.where(of), "Deck"), f"C{tier}_Archetypes": down(archetypes.where(of), "Archetype")}
+    return sheets | {"ALL_Decks": down(all_decks, "Deck"), "ALL_Archetypes": down(all_archetypes, "Archetype"), "BestPilots": pilots.orderBy("Rank")}
+
+
 def write_sheets(sheets: dict[str, DataFrame], path: str) -> None:
-    """One folder per sheet."""
-    for name, rows in sheets.items():
-        write_csv(rows, f"{path}/{name}", one_file=True)
+    """One folder per sheet, numbered in their order, each one file in the order of its rows."""
+    for i, (name, rows) in enumerate(sheets.items(), 1):
+        write_csv(rows, f"{path}/{i:02d}_{name}", one_file=True)
 
 
 def write_by(rows: DataFrame, path: str, *keys: str) -> None:
