@@ -8,18 +8,19 @@ where nothing can follow, so that long runs cost linear time; what they match is
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Spans below this score are dropped. Characters before and after a span in which words of its context count.
+#: Spans below this score are dropped, but for those of the base kinds, which then aren't redacted. Characters before and after a span in which words of its context count.
 ACCEPTED, NEAR = 0.5, 32
 
 
 @dataclass(frozen=True)
 class Kind:
-    """What proposes a span, what must occur in a text at all, its score, and what words near it add."""
+    """What proposes a span, what must occur in a text at all, its score, and what words near it add or take away."""
 
     name: str
     pattern: str
@@ -27,16 +28,18 @@ class Kind:
     score: float
     words: str
     bonus: float
+    others: str
+    malus: float
 
 
 #: Fixed order: the base kinds come first, whose spans always stay.
 KINDS = (
-    Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.8, "mail|contact|write", 0.2),
-    Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", None, 0.6, "ip|host|server|address", 0.3),
-    Kind("card", r"[0-9](?:[0-9]|[\x20-][0-9])++", None, 0.7, "card|visa|credit|pay", 0.3),
-    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.6, "phone|call|tel|mobile", 0.3),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])", None, 0.6, "iban|account|bank|konto", 0.3),
-    Kind("secret", r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*+[0-9])[A-Za-z0-9_]{16,}+", None, 0.2, "password|passwd|token|secret|api.?key|access.?key|akia", 0.5),
+    Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.8, "mail|contact|write", 0.2, "example|sample|placeholder", 0.4),
+    Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", None, 0.6, r"\b(?:ip|host|server|address)", 0.3, r"version|release|section|chapter|\bv$", 0.3),
+    Kind("card", r"[0-9](?:[0-9]|[\x20-][0-9])++", None, 0.7, "card|visa|credit|pay", 0.3, "isbn|tracking|serial|barcode|part no", 0.4),
+    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.6, r"phone|\bcall|\btel|mobile", 0.3, "serial|invoice|order no|item no", 0.3),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])", None, 0.6, "iban|account|bank|konto", 0.3, "serial|licen[cs]e|product key|part no", 0.3),
+    Kind("secret", r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*+[0-9])[A-Za-z0-9_]{16,}+", None, 0.2, "password|passwd|token|secret|api.?key|access.?key|akia", 0.5, "sha-?[0-9]|md5|checksum|commit|digest|uuid|integrity", 0.4),
 )
 BASE = 4
 SPAN = "struct<start: int, rank: int, end: int, kind: string, text: string, score: double>"
@@ -80,15 +83,17 @@ def _confirmed(kind: Kind, text: Column) -> Column:
     return checks[kind.name](text) if kind.name in checks else text.isNotNull()
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once, however often it stands in the expression."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def spans(text: Column, kind: Kind) -> Column:
     """Confirmed spans of one kind as an array of SPAN, in order; start and end count code points, the end exclusive."""
     rank = KINDS.index(kind)
     none = F.array().cast(f"array<{SPAN}>")
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     gaps = F.split(text, kind.pattern, -1)
-    pieces = F.arrays_zip(gaps.alias("gap"), found.alias("match"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("after"))
-    # matches are gathered in blocks and blocks in an array, as adding to one long array would copy it for each match
-    block = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(found))).cast("int"))
 
     def step(held: Column, piece: Column) -> Column:
         gap, match = piece["gap"], piece["match"]
@@ -96,7 +101,7 @@ def spans(text: Column, kind: Kind) -> Column:
         end = start + F.coalesce(F.char_length(match), F.lit(0))
         own = F.left(match, F.lit(4) if kind.name == "secret" else F.lit(0))
         near = F.lower(F.concat(F.right(gap, F.lit(NEAR)), own, F.lit(" "), F.left(F.coalesce(piece["after"], F.lit("")), F.lit(NEAR))))
-        score = kind.score + F.when(near.rlike(kind.words), kind.bonus).otherwise(0.0)
+        score = _once(near, lambda n: F.round(kind.score + F.when(n.rlike(kind.words), kind.bonus).otherwise(0.0) - F.when(n.rlike(kind.others), kind.malus).otherwise(0.0), 2))
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind.name).alias("kind"), match.alias("text"), score.alias("score"))
         stays = match.isNotNull() & _confirmed(kind, match) & (F.lit(rank < BASE) | (score >= ACCEPTED))
         return F.struct(end.alias("at"), F.when(stays, F.array_append(held["out"], span)).otherwise(held["out"]).alias("out"))
@@ -105,15 +110,23 @@ def spans(text: Column, kind: Kind) -> Column:
         start = F.struct(held["at"].alias("at"), none.alias("out"))
         return F.aggregate(some, start, step, lambda own: F.struct(own["at"].alias("at"), F.array_append(held["out"], own["out"]).alias("out")))
 
-    blocks = F.transform(F.sequence(F.lit(1), F.size(found) + 1, block), lambda i: F.slice(pieces, i, block))
+    def pieces(matches: Column, between: Column) -> Column:
+        return F.transform(between, lambda gap, i: F.named_struct(F.lit("gap"), gap, F.lit("match"), F.get(matches, i), F.lit("after"), F.get(between, i + 1)))
+
+    def blocks(of: Column) -> Column:
+        """Matches are gathered in blocks and blocks in an array, as adding to one long array would copy it for each match."""
+        size = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(of))).cast("int"))
+        return F.transform(F.sequence(F.lit(1), F.size(of), size), lambda i: F.slice(of, i, size))
+
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("out"))
-    all_spans = F.flatten(F.aggregate(blocks, start, gather, lambda held: held["out"]))
+    split = _once(found, lambda matches: _once(gaps, lambda between: _once(pieces(matches, between), blocks)))
+    all_spans = F.flatten(F.aggregate(split, start, gather, lambda held: held["out"]))
     occurs = F.regexp_count(text, F.lit(kind.pattern)) > 0 if kind.needs is None else F.contains(text, F.lit(kind.needs))
     return F.when(occurs, all_spans).otherwise(none)
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of `docs`: doc_id and `found`, all its spans by start and kind (see SPAN).
+    """One row per row of `docs`: doc_id and `found`, all its spans by start and kind (see SPAN), with their scores.
 
     A null text is an empty one and has none. Rows that repeat an id or a text get their row each; an empty table gives
     an empty result. Spans of different kinds may overlap. Very long texts are searched whole.
@@ -123,12 +136,12 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with `[kind]` in place of each span in its text; of overlapping spans the first counts.
+    """`docs` with `[kind]` in place of each accepted span in its text; of overlapping spans the first counts.
 
     All rows and columns stay, repeated ones too; null and empty texts stay as they are; an empty table stays empty.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = F.sort_array(F.concat(*(spans(text, k) for k in KINDS)))
+    found = F.filter(F.sort_array(F.concat(*(spans(text, k) for k in KINDS))), lambda s: s["score"] >= ACCEPTED)
 
     def step(held: Column, span: Column) -> Column:
         part = F.concat(held["text"], F.substr(text, held["at"] + 1, span["start"] - held["at"]), F.lit("["), span["kind"], F.lit("]"))
@@ -139,8 +152,8 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts of the base kinds, the SHA-256 of their spans, and all spans as text."""
+    """Counts of the base kinds, the SHA-256 of their spans, all spans as text, their scores, and how many are accepted."""
     line = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("found", lambda s: s["rank"] < BASE)
     count = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long")
-    return found.select("doc_id", *(count(k.name).alias(f"n_{k.name}") for k in KINDS[:BASE]), F.sha2(F.array_join(F.transform(base, line), ","), 256).alias("base_sha256"), F.array_join(F.transform("found", line), ",").alias("spans"))
+    return found.select("doc_id", *(count(k.name).alias(f"n_{k.name}") for k in KINDS[:BASE]), F.sha2(F.array_join(F.transform(base, line), ","), 256).alias("base_sha256"), F.array_join(F.transform("found", line), ",").alias("spans"), F.array_join(F.transform("found", lambda s: s["score"].cast("string")), ",").alias("scores"), F.size(F.filter("found", lambda s: s["score"] >= ACCEPTED)).cast("long").alias("n_accepted"))

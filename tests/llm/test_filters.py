@@ -195,3 +195,16 @@ def test_url_model_on_unseen_names(spark):
     for folder in filter(os.path.isdir, ("/root/testdata/sf0.001", "/root/testdata/sf0.1")):
         pages = spark.read.parquet(f"{folder}/pages.parquet").selectExpr(f"regexp_extract(url, '{bare}', 1) AS name")
         assert table.join(pages, "name", "left_semi").where("bad = 1").count() == 0
+
+
+def test_words_near_a_span_raise_and_lower_its_score(spark):
+    """The same digits after a word for them and after a word that speaks against them."""
+    texts = [
+        "host 10.0.0.1", "release 10.0.0.1", "about 10.0.0.1", "IBAN GB82 WEST 1234 5698 7654 32", "serial GB82 WEST 1234 5698 7654 32", "token abcdefgh12345678", "token, a checksum: abcdefgh12345678", "abcdefgh12345678",
+    ]
+    rows = pii.personal_data(documents(spark, list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [[(s.kind, s.score) for s in r.found] for r in rows] == [[("ip", 0.9)], [("ip", 0.3)], [("ip", 0.6)], [("iban", 0.9)], [], [("secret", 0.7)], [], []]
+    done = [r.text for r in pii.redacted(documents(spark, list(enumerate(texts)))).orderBy("doc_id").collect()]
+    assert done[:5] == ["host [ip]", "release 10.0.0.1", "about [ip]", "IBAN [iban]", texts[4]] and done[5:] == ["token [secret]", *texts[6:]]
+    told = pii.digest(pii.personal_data(documents(spark, list(enumerate(texts))))).orderBy("doc_id").collect()
+    assert [(r.n_ip, r.scores, r.n_accepted) for r in told[:3]] == [(1, "0.9", 1), (1, "0.3", 0), (1, "0.6", 1)]
