@@ -23,8 +23,6 @@ from ladderworks.llm.common import WHITE, boxed, chunks, forget, scratch
 
 #: Share of a cell's rows that a concentration step keeps; up to the rest may be outliers.
 SUPPORT = 0.75
-#: A cell with fewer rows is judged by the estimate of a larger one.
-LEAST_ROWS = 100
 #: Starts of each estimate; all but the first are means and covariances of one in PART rows, chosen by hash.
 STARTS, PART = 3, 4
 #: Concentration steps end when no determinant falls by more than this (of its logarithm), which it can't do forever.
@@ -37,6 +35,8 @@ FLOORS = (0.5, 0.08, 0.35, 0.5, 0.04)
 #: Cells whose estimates, some 300 bytes each, are broadcast; beyond that the join is left to Spark.
 BROADCAST = 20_000
 P = len(FLOORS)
+#: A cell with fewer rows, five for each feature, is judged by the estimate of a larger one.
+LEAST_ROWS = 5 * P
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 
 _SYMBOLS = b"#*$%&|<>"  # fixed value
