@@ -4,13 +4,16 @@ Lines that are equal but for case and white space are one. A line's shingles are
 units). They are exploded, hashed in generated code and reduced to a signature of SLOTS smallest hashes
 (one-permutation hashing; a long line gives each slot DRAWN hashes to choose from on average, the lowest ones, which
 leaves out hashes that could hardly be a slot's smallest). Twelve bands of four slots make buckets; lines that share a
-bucket are candidates unless their lengths or signatures already tell them apart. Candidates are verified by the Jaccard
-similarity of all their shingles. Links of at least THRESHOLD make components, of which the first line stays.
+bucket are candidates unless their lengths or signatures already tell them apart, or the parities of their shingles: each
+cell of hashes that holds an odd number of one line's shingles and an even number of the other's has one that they don't
+share, which bounds their similarity from above. Candidates are verified by the Jaccard similarity of all their shingles.
+Links of at least THRESHOLD make components, of which the first line stays.
 
 In a bucket each line first meets the bucket's first one. Components then show which lines that has not joined, and only
-lines of different components are compared after that; in a large bucket only those that share one of their samples'
-rarest hashes, as any pair must that the samples don't tell apart. So no candidate is left out, a bucket of similar lines, however large, costs one
-comparison a line, and many lines that share a passage but not more cost little.
+lines of different components are compared after that; in a large bucket first a few at random, in rounds, and then those
+that share one of their samples' rarest hashes, as any pair must that the samples don't tell apart. So no candidate is left
+out, a bucket of similar lines, however large, costs few comparisons a line, and many lines that share a passage but not
+more cost little.
 
 Texts are not shuffled: lines are known by 128 bits of hash, and only lines in shared buckets are read again.
 """
@@ -35,8 +38,10 @@ SAMPLE, SLACK = 96, 0.12
 #: Buckets with at most so many pairs left open compare them; others compare lines that share a rare hash. Neither leaves out a
 #: pair that the other would have found.
 FEW = 1_024
-#: Lines of a group that `dealt_pairs` compares with each other, on average.
-GROUP = 6
+#: Lines of a group that `dealt_pairs` compares with each other, on average, and how often lines are dealt out at most.
+GROUP, ROUNDS = 16, 2
+#: Words of 64 cells each that keep the parities of a line's shingles.
+WORDS = 8
 #: Tables of at most so many bytes, by count and width of their rows, are broadcast; larger ones are shuffled.
 BROADCAST_BYTES = 32 << 20
 #: The HOT lines with the most copies are joined to their occurrences by broadcast.
@@ -142,15 +147,41 @@ def _agree(a: str, b: str) -> Column:
     return F.bit_count(off) <= SLOTS - AGREE
 
 
-def first_pairs(inside: DataFrame) -> DataFrame:
+def parities(hashes: Column) -> list[Column]:
+    """p0, p1, ...: a bit for each of 64 * WORDS cells, set if an odd number of the distinct hashes falls into it."""
+
+    def flipped(word: Column, h: Column) -> Column:
+        cell = F.shiftrightunsigned(h, 6).bitwiseAND(63).cast("int")
+        return word.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), cell))
+
+    of = lambda j: F.filter(hashes, lambda h: h.bitwiseAND(WORDS - 1) == j)
+    return [F.aggregate(of(j), F.lit(0).cast("long"), flipped).alias(f"p{j}") for j in range(WORDS)]
+
+
+def _may_be(a: str, b: str, threshold: float) -> Column:
+    """Whether sizes and parities (the `known` of two lines) allow the similarity; no pair that has it is told apart.
+
+    Of x and y shingles, similar lines leave (1 - threshold) / (1 + threshold) * (x + y) unshared at most, and each cell of
+    different parity holds one.
+    """
+    x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
+    off = F.lit(0)
+    for j in range(WORDS):
+        off = off + F.bit_count(F.col(f"{a}.p{j}").bitwiseXOR(F.col(f"{b}.p{j}")))
+    return (F.least(x, y) >= threshold * F.greatest(x, y)) & ((1 + threshold) * off <= (1 - threshold) * (x + y) + 1e-6)
+
+
+def first_pairs(inside: DataFrame, text: DataFrame, threshold: float) -> DataFrame:
     """Candidates (a, b): each line of a bucket with the bucket's first."""
     first = inside.where("k = first").select("bucket", F.col("sketch").alias("first_sketch"))
     rest = inside.where("k > first").join(first, "bucket").where(_agree("sketch", "first_sketch"))
-    return rest.select(F.col("first").alias("a"), F.col("k").alias("b"))
+    pairs = rest.select(F.col("first").alias("a"), F.col("k").alias("b")).distinct()
+    side = lambda c: text.select(F.col("k").alias(c), F.col("known").alias(f"known_{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_may_be("known_a", "known_b", threshold)).select("a", "b")
 
 
 def texts(inside: DataFrame, distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """k, normal, n (distinct shingles) and low (the SAMPLE smallest of their hashes) of all lines in shared buckets.
+    """k, normal, known (distinct shingles n, and `parities`) and low (the SAMPLE smallest hashes) of all lines in shared buckets.
 
     The lines are read again from the documents that hold them first.
     """
@@ -162,47 +193,52 @@ def texts(inside: DataFrame, distinct: DataFrame, docs: DataFrame, id_col: str,
     found = lines(rows).withColumn("place", _place()).join(_small(named, 96), ["place", "h1", "h2"])
     once = found.groupBy("k").agg(F.first("normal").alias("normal"))
     hashes = F.sort_array(F.array_distinct(shingles(F.col("normal"))))
-    out = scratch(once.withColumn("s", hashes).select("k", "normal", F.size("s").alias("n"), F.transform(F.slice("s", 1, SAMPLE), lambda h: F.shiftright(h, 32).cast("int")).alias("low")))
+    known = F.struct(F.size("s").alias("n"), *parities(F.col("s")))
+    out = scratch(once.withColumn("s", hashes).select("k", "normal", known.alias("known"), F.transform(F.slice("s", 1, SAMPLE), lambda h: F.shiftright(h, 32).cast("int")).alias("low")))
     for df in (wanted, named, holders):
         forget(df)
     return out
 
 
-def placed(inside: DataFrame, roots: DataFrame) -> DataFrame:
-    """bucket, k, sketch, root, inner (in the component of most lines of the bucket), size and `pairs` (left to compare), of open buckets."""
+def placed(inside: DataFrame, roots: DataFrame, text: DataFrame) -> DataFrame:
+    """The lines of open buckets: bucket, k, sketch, known, root, inner (in the component of most lines of the bucket), size, pairs.
+
+    pairs is how many of the bucket's are left to compare.
+    """
     rows = scratch(inside.join(_small(roots.select(F.col("node").alias("k"), "root"), 48), "k", "left").select("bucket", "k", "sketch", F.coalesce("root", "k").alias("root")))
     sizes = rows.groupBy("bucket", "root").agg(F.count("*").alias("size"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("most"), F.sum("size").alias("all"))
     main = scratch(main.select("bucket", F.col("most.root").alias("main"), ((F.col("all") - F.col("most.size")) * F.col("all")).alias("pairs"), F.col("all").alias("size")).where("pairs > 0"))
-    out = scratch(rows.join(_small(main, 48), "bucket").select("bucket", "k", "sketch", "root", (F.col("root") == F.col("main")).alias("inner"), "size", "pairs"))
+    open_ = rows.join(_small(main, 48), "bucket").select("bucket", "k", "sketch", "root", (F.col("root") == F.col("main")).alias("inner"), "size", "pairs")
+    out = scratch(open_.join(text.select("k", "known"), "k"))
     forget(rows)
     forget(main)
     return out
 
 
-def dealt_pairs(open_: DataFrame) -> DataFrame:
+def dealt_pairs(open_: DataFrame, turn: int, threshold: float) -> DataFrame:
     """Candidates (a, b) of large buckets dealt out at random into groups of some GROUP lines: those of different components.
 
     Most lines of a component that its first line has not joined are joined by one of these few comparisons a line.
     """
-    many = open_.where(F.col("pairs") > FEW).select("bucket", F.pmod(F.xxhash64("bucket", "k"), F.ceil(F.col("size") / GROUP)).alias("part"), "k", "root", "sketch")
-    other = many.select(F.col("bucket").alias("same"), F.col("part").alias("same_part"), F.col("k").alias("b"), F.col("root").alias("root_b"), F.col("sketch").alias("sketch_b"))
-    alike = (F.col("k") < F.col("b")) & (F.col("root") != F.col("root_b")) & _agree("sketch", "sketch_b")
+    many = open_.where(F.col("pairs") > FEW).select("bucket", F.pmod(F.xxhash64(F.lit(turn), "bucket", "k"), F.ceil(F.col("size") / GROUP)).alias("part"), "k", "root", "sketch", "known")
+    other = many.select(F.col("bucket").alias("same"), F.col("part").alias("same_part"), F.col("k").alias("b"), F.col("root").alias("root_b"), F.col("sketch").alias("sketch_b"), F.col("known").alias("known_b"))
+    alike = (F.col("k") < F.col("b")) & (F.col("root") != F.col("root_b")) & _agree("sketch", "sketch_b") & _may_be("known", "known_b", threshold)
     return many.join(other, (F.col("bucket") == F.col("same")) & (F.col("part") == F.col("same_part")) & alike).select(F.col("k").alias("a"), "b")
 
 
-def few_pairs(open_: DataFrame) -> DataFrame:
+def few_pairs(open_: DataFrame, threshold: float) -> DataFrame:
     """Candidates (a, b) of small buckets: each line outside the main component with each inside, and with each other outside once."""
     few = open_.where(F.col("pairs") <= FEW)
-    own = few.where("not inner").select("bucket", F.col("k").alias("a"), F.col("root").alias("root_a"), F.col("sketch").alias("sketch_a"))
-    other = few.select(F.col("bucket").alias("same"), F.col("k").alias("b"), "root", "inner", "sketch")
+    own = few.where("not inner").select("bucket", F.col("k").alias("a"), F.col("root").alias("root_a"), F.col("sketch").alias("sketch_a"), F.col("known").alias("known_a"))
+    other = few.select(F.col("bucket").alias("same"), F.col("k").alias("b"), "root", "inner", "sketch", "known")
     apart = (F.col("root_a") != F.col("root")) & (F.col("inner") | (F.col("a") < F.col("b")))
-    pairs = own.join(other, (F.col("bucket") == F.col("same")) & apart & _agree("sketch_a", "sketch"))
+    pairs = own.join(other, (F.col("bucket") == F.col("same")) & apart & _agree("sketch_a", "sketch") & _may_be("known_a", "known", threshold))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def prefixes(text: DataFrame, threshold: float) -> DataFrame:
-    """k and shingle: the rarest hashes of each line's sample, so many that two lines that are `likely` similar share one."""
+    """k and shingle: the rarest hashes of each line's sample, so many that two lines whose samples are `_likely` share one."""
     each = text.select("k", F.explode("low").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count("*").alias("often"))
     ranked = each.join(often, "shingle").groupBy("k").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("s"))
@@ -213,34 +249,32 @@ def prefixes(text: DataFrame, threshold: float) -> DataFrame:
 def many_pairs(open_: DataFrame, text: DataFrame, threshold: float) -> DataFrame | None:
     """Candidates (a, b) of the other buckets: lines of different components that share a prefix shingle. None if there are none.
 
-    Of two lines that `likely` lets through each has one of its sample's rarest hashes among the other's, whichever buckets
+    Of two lines that `_likely` lets through each has one of its sample's rarest hashes among the other's, whichever buckets
     they share. So lines that have only a common passage, however many they are, hardly meet.
     """
     many = open_.where(F.col("pairs") > FEW).groupBy("k").agg(F.max("root").alias("root"), F.max("sketch").alias("sketch"), F.min("inner").alias("inner"))
-    many = scratch(many)
+    many = scratch(many.join(text.select("k", "known"), "k"))
     if not many.take(1):
         return None
-    keys = scratch(prefixes(text.join(_small(many, 48), "k", "left_semi"), threshold).join(_small(many, 48), "k"))
-    own = keys.where("not inner").select("shingle", F.col("k").alias("a"), F.col("root").alias("root_a"), F.col("sketch").alias("sketch_a"))
-    other = keys.select(F.col("shingle").alias("same"), F.col("k").alias("b"), "root", "inner", "sketch")
+    keys = scratch(prefixes(text.join(_small(many.select("k"), 32), "k", "left_semi"), threshold).join(_small(many, 192), "k"))
+    own = keys.where("not inner").select("shingle", F.col("k").alias("a"), F.col("root").alias("root_a"), F.col("sketch").alias("sketch_a"), F.col("known").alias("known_a"))
+    other = keys.select(F.col("shingle").alias("same"), F.col("k").alias("b"), "root", "inner", "sketch", "known")
     apart = (F.col("root_a") != F.col("root")) & (F.col("inner") | (F.col("a") < F.col("b")))
-    pairs = own.join(other, (F.col("shingle") == F.col("same")) & apart & _agree("sketch_a", "sketch"))
+    pairs = own.join(other, (F.col("shingle") == F.col("same")) & apart & _agree("sketch_a", "sketch") & _may_be("known_a", "known", threshold))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def likely(pairs: DataFrame, text: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose sizes allow the similarity and whose smallest hashes estimate it above threshold - SLACK, three deviations."""
-    side = lambda c, end: text.select(F.col("k").alias(c), F.col("n").alias(f"n{end}"), F.col("low").alias(f"low{end}"))
-    both = pairs.join(side("a", "_a"), "a").join(side("b", "_b"), "b")
-    both = both.where(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
-    least = F.slice(F.sort_array(F.array_union("low_a", "low_b")), 1, SAMPLE)
-    both = both.select("a", "b", least.alias("least"), F.array_intersect("low_a", "low_b").alias("common"))
-    return both.where(F.size(F.array_intersect("least", "common")) >= (threshold - SLACK) * F.size("least")).select("a", "b")
+def _likely(a: str, b: str, threshold: float) -> Column:
+    """Whether two samples estimate the similarity above threshold - SLACK, three deviations."""
+    least = lambda x, y: F.slice(F.sort_array(F.array_union(x, y)), 1, SAMPLE)
+    shared = lambda u: F.size(F.array_intersect(u, F.array_intersect(a, b))) >= (threshold - SLACK) * F.size(u)
+    return F.transform(F.array(least(a, b)), shared)[0]
 
 
 def similar(pairs: DataFrame, text: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Those of the pairs (a, b) of keys k whose lines have at least that Jaccard similarity."""
-    both = pairs.join(text.select(F.col("k").alias("a"), F.col("normal").alias("x")), "a").join(text.select(F.col("k").alias("b"), F.col("normal").alias("y")), "b")
+    """Those of the pairs (a, b) of keys k whose lines have at least that Jaccard similarity, if their samples are `_likely`."""
+    side = lambda c, x: text.select(F.col("k").alias(c), F.col("normal").alias(x), F.col("low").alias(f"low_{c}"))
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(_likely("low_a", "low_b", threshold))
     sets = both.select("a", "b", F.array_distinct(shingles(F.col("x"))).alias("x"), F.array_distinct(shingles(F.col("y"))).alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     return sets.where(common >= threshold * (F.size("x") + F.size("y") - common)).select("a", "b")
@@ -248,10 +282,7 @@ def similar(pairs: DataFrame, text: DataFrame, threshold: float = THRESHOLD) ->
 
 def _links(pairs: DataFrame, text: DataFrame, threshold: float) -> DataFrame:
     """The similar ones of some candidates, as a table."""
-    pairs = scratch(likely(pairs.distinct(), text, threshold))
-    found = scratch(similar(pairs, text, threshold))
-    forget(pairs)
-    return found
+    return scratch(similar(pairs.distinct(), text, threshold))
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -259,17 +290,19 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     distinct = scratch(signatures(lines(docs, id_col, text_col)))
     inside = bucketed(distinct)
     text = texts(inside, distinct, docs, id_col, text_col)
-    links = _links(first_pairs(inside), text, threshold)
+    links = _links(first_pairs(inside, text, threshold), text, threshold)
     roots = scratch(components(links))
-    open_ = placed(inside, roots)
-    if open_.where(F.col("pairs") > FEW).take(1):
-        links = links.unionByName(_links(dealt_pairs(open_), text, threshold))
+    open_ = placed(inside, roots, text)
+    for turn in range(ROUNDS):
+        if not open_.where(F.col("pairs") > FEW).take(1):
+            break
+        links = links.unionByName(_links(dealt_pairs(open_, turn, threshold), text, threshold))
         forget(roots)
         forget(open_)
         roots = scratch(components(links))
-        open_ = placed(inside, roots)
+        open_ = placed(inside, roots, text)
     forget(inside)
-    rest = few_pairs(open_)
+    rest = few_pairs(open_, threshold)
     many = many_pairs(open_, text, threshold)
     more = _links(rest if many is None else rest.unionByName(many), text, threshold)
     forget(text)

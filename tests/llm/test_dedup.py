@@ -243,6 +243,39 @@ def test_prefix_is_shared_by_similar_lines(spark):
     assert got[1] & got[2] and not got[1] & got[3] and len(got[1]) == 96 - 66 + 1
 
 
+def test_parities_tell_no_similar_lines_apart(spark):
+    """Sets of at least the similarity always pass the bound, far ones hardly do; one shingle and thousands work alike."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        n = rng.choice((1, 5, 60, 200, 3000))
+        x = [rng.getrandbits(64) - 2**63 for _ in range(n)]
+        kept = rng.sample(x, rng.randint(n // 2, n))
+        rows.append((i, x, kept + [rng.getrandbits(64) - 2**63 for _ in range(rng.randint(0, max(1, n // 8)))]))
+    df = spark.createDataFrame(rows, "i long, x array<long>, y array<long>")
+    known = lambda c: F.struct(F.size(c).alias("n"), *line_dedup.parities(F.col(c))).alias(f"known_{c}")
+    passed = {r.i for r in df.select("i", known("x"), known("y")).where(line_dedup._may_be("known_x", "known_y", 0.8)).collect()}
+    share = {i: len(set(x) & set(y)) / len(set(x) | set(y)) for i, x, y in rows}
+    close = {i for i, v in share.items() if v >= 0.8}
+    far = {i for i, v in share.items() if v < 0.65 and len(rows[i][1]) in (60, 200)}
+    assert len(close) > 30 and close <= passed
+    assert len(far) > 20 and len(far & passed) < 0.2 * len(far)
+
+
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_rounds_change_no_component(spark, monkeypatch, rounds):
+    monkeypatch.setattr(line_dedup, "FEW", 0)
+    monkeypatch.setattr(line_dedup, "ROUNDS", rounds)
+    rng = random.Random(8)
+    base = [rng.choice(["river", "stone", "cloud", "paper", "light", "metal", "glass", "north"]) for _ in range(16)]
+    texts = [" ".join(w if rng.random() > 0.1 else rng.choice(base) + str(rng.randint(0, 9)) for w in base) for _ in range(60)]
+    rows = list(enumerate(texts))
+    got = {(r.doc_id, r.line): (r.keep_doc, r.keep_line) for r in line_dedup.line_verdicts(documents(spark, rows)).collect()}
+    want = fuzzy(rows)
+    assert all(want[k] == want[got[k]] for k in want)  # nothing is linked that isn't similar
+    assert sum(got[k] == want[k] for k in want) >= 0.95 * len(want)
+
+
 def test_shingles_are_exact(spark):
     rows = spark.createDataFrame([("abcdefghij",), ("é" * 9,), ("ab",)], "t string")
     n = [r.n for r in rows.select(F.size(F.array_distinct(line_dedup.shingles(F.col("t")))).alias("n")).collect()]
