@@ -75,11 +75,11 @@ def k05_archetype_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(H + SHARES + """SELECT Deck AS name, '{"archetype":"' || Archetype || '","games":' || Games || '}' AS value FROM m""")
 def k06_k09_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A JSON document with sorted keys for each deck, read back from its folder."""
+    """A JSON document with sorted keys for each deck, read back by name."""
     folder = shared_folder(spark)
     fields = sinks.status_row(games=F.col("Games"), archetype=F.col("Archetype"))
     sinks.write_documents(shares(spark, sf_dir), folder, F.col("Deck"), F.to_json(F.struct(*fields)))
-    return spark.read.schema("value string, name string").text(folder).select("name", "value")
+    return spark.read.schema("name string, value string").parquet(folder)
 
 
 @query(H + "SELECT EventID, Place, CASE WHEN Tier = '1-URGENT' THEN 'again' ELSE Deck END AS Deck FROM h")

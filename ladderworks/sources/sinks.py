@@ -78,8 +78,9 @@ def archetype_tree(decks: DataFrame) -> DataFrame:
 
 
 def write_documents(rows: DataFrame, path: str, name: Column, document: Column) -> None:
-    """JSON documents, one row each, in folders by name."""
-    rows.select(name.alias("name"), document.alias("value")).write.mode("overwrite").partitionBy("name").text(path)
+    """JSON documents by name. Each file has a range of the names, in order, so that reading one name opens one file, and
+    there are no more files than the rows need."""
+    rows.select(name.alias("name"), document.alias("value")).repartitionByRange("name").sortWithinPartitions("name").write.mode("overwrite").parquet(path)
 
 
 def status_row(**fields: Column) -> list[Column]:

@@ -13,8 +13,9 @@ from ladderworks.sources.tables import HISTORY, read_csv, typed_history
 
 
 def arriving_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths of CSV files as they arrive in a folder, once each."""
-    return spark.readStream.option("recursiveFileLookup", True).text(folder).select(F.col("_metadata.file_path").alias("file"))
+    """Paths of CSV files as they arrive in a folder, once each. Only their names are read here, not their content."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    return spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True).load(folder).select(F.col("path").alias("file"))
 
 
 def sync_stream(spark: SparkSession, folder: str, table: str, checkpoint: str) -> StreamingQuery:

@@ -101,6 +101,26 @@ def test_stream_keeps_resolved_decks_and_other_months(spark, tmp_path):
     assert run() == [("1", "2026-01", "Burn", "Di"), ("1", "2026-01", "Jund", "Ann"), ("2", "2026-02", "Elves", "Cy")]
 
 
+def test_stream_reads_names_with_blanks_and_empty_files(spark, tmp_path):
+    """Files are found by their names alone: one with a blank in its name, and one without a line, which changes nothing."""
+    table = f"{tmp_path}/table"
+    write(f"{tmp_path}/in", "a b%20c.csv", "EventID,EventDate,Format,Tier,Place,Deck,Archetype,Pilot\n1,2026-01-04,Modern,C32,1,Jund,Mid,Ann\n")
+    write(f"{tmp_path}/in", "none.csv", "")
+    sync_stream(spark, f"{tmp_path}/in", table, f"{tmp_path}/check").awaitTermination()
+    assert [(r.EventID, r.Deck) for r in spark.read.parquet(table).collect()] == [("1", "Jund")]
+
+
+def test_documents_by_name(spark, tmp_path):
+    """Many documents make few files, each with its own range of names; a second write replaces the first."""
+    rows = spark.range(5000).select(F.format_string("name %05d", "id").alias("name"), F.to_json(F.struct("id")).alias("doc"))
+    for n in (5000, 4000):
+        sinks.write_documents(rows.limit(n).repartition(7), f"{tmp_path}/docs", F.col("name"), F.col("doc"))
+    found = spark.read.parquet(f"{tmp_path}/docs")
+    assert found.count() == 4000
+    files = found.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min("name").alias("a"), F.max("name").alias("b")).orderBy("a").collect()
+    assert len(files) <= 16 and all(x.b < y.a for x, y in zip(files, files[1:], strict=False))
+
+
 def test_suggestions_as_by_comparing_all(spark):
     known = ["goblin guide", "goblin gide", "lightning bolt", "lightning helix", "tarmogoyf", "Tarmogoyf", "aa", "island"]
     new = ["goblin guid", "lightnin bolt", "lightning hlix", "tarmogof", "ab", "aaa", "dnalsi", "island", "", None]
