@@ -23,8 +23,9 @@ from ladderworks.llm.common import boxed, chunks, components, scratch
 
 #: Fingerprints of a leaf, on average; the tree is as deep as the table of fingerprints needs for that.
 LEAF = 4096
-#: Fingerprints sampled per leaf for the choice of vantage points, and the most levels; the tree is 10 MB at most; larger leaves grow trees of their own.
-SAMPLE, LEVELS = 32, 20
+#: Fingerprints sampled per leaf for the choice of vantage points, and the most levels. The driver gets 262,144 sampled
+#: fingerprints (2 MB) at most, whatever the input, and the tree has 8,192 leaves; leaves that grow beyond LEAF have trees of their own.
+SAMPLE, LEVELS = 32, 13
 #: Largest differing bits of linked fingerprints.
 RADIUS = 2
 BLOCK = 1024
@@ -139,8 +140,8 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (a, b) that connect the distinct fingerprints (column fp) within `radius` bits, as a spanning forest by leaf."""
     n = distinct.count()
     levels = min(LEVELS, max(0, math.ceil(math.log2(max(n, 1) / LEAF))))
-    taken = [r[0] for r in distinct.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE << levels).collect()] if levels else []
-    points, bounds = grow(np.array(taken, np.int64).view(np.uint64), levels)
+    taken = distinct.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE << levels).toArrow()["fp"].to_numpy() if levels else np.zeros(0, np.int64)
+    points, bounds = grow(taken.view(np.uint64), levels)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ladderworks.llm import line_dedup, substring_dedup
+from ladderworks.llm import line_dedup, simhash_dedup, substring_dedup
 from ladderworks.llm.common import components
 from ladderworks.llm.entry import ORACLES, op10_repeated_passages
 from ladderworks.llm.exact_dedup import drop_exact_copies, exact_copies, misra_gries
@@ -86,6 +86,26 @@ def test_near_groups_brute_force(spark):
     assert near_groups(documents(spark, [(1, "a"), (1, "a"), (2, None)])).count() == 3
 
 
+@pytest.mark.parametrize("levels", [2, 4])
+def test_leaves_beyond_the_tree_lose_no_link(spark, monkeypatch, levels):
+    """With fewer levels than the fingerprints need, leaves grow trees of their own, and components are those of all pairs."""
+    monkeypatch.setattr(simhash_dedup, "LEAF", 16)
+    monkeypatch.setattr(simhash_dedup, "LEVELS", levels)
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 150).astype(np.uint64)
+    bit = lambda n: np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64)
+    fps = np.unique(np.concatenate([base, *(base ^ bit(150) ^ bit(150) for _ in range(6))]))
+    rows = spark.createDataFrame([(int(v),) for v in fps.view(np.int64)], "fp long")
+    first = near(fps, 2)
+    want = {}
+    for v, f in zip(fps.view(np.int64).tolist(), first.tolist(), strict=True):
+        want.setdefault(f, set()).add(v)
+    got = {}
+    for r in components(simhash_dedup.fingerprint_links(rows)).collect():
+        got.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
+
+
 def test_tree_meets_every_near_pair():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 200).astype(np.uint64)
