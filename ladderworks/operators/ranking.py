@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges of rows that are numbered each by itself, and rows drawn for each range to find where it ends.
-RANGES, DRAWN = 64, 16
+from ladderworks.sources.scratch import cut
+
+#: Fixed value: bits of `monotonically_increasing_id` that count the rows of a partition; those above number the partition.
+ROW_BITS = 33
 
 
 def ranks(rows: DataFrame, *keys: Column, name: str = "Rank") -> DataFrame:
     """Adds the place of each row by the ascending keys, from 1. The keys must tell all rows apart.
 
-    Rows go to RANGES ranges of the keys, whose bounds come from the RANGES * DRAWN rows with the least hashes, so that they
-    depend on nothing but the rows. They are numbered within their range, after the counts of all ranges before.
+    Rows are dealt out once by ranges of the keys, as many as the session's partitions or, if it adapts them, as the rows
+    need. Each range is sorted, numbered and written; a row's place is its number after the counts of the ranges before. The
+    ranges may differ from run to run, the places don't.
     """
-    keyed = rows.withColumn("_k", F.struct(*(k.alias(f"k{i}") for i, k in enumerate(keys))))
-    drawn = keyed.select("_k").orderBy(F.xxhash64("_k"), "_k").limit(RANGES * DRAWN).agg(F.sort_array(F.collect_list("_k")).alias("_b"))
-    bounds = drawn.select(F.filter("_b", lambda b, i: i % DRAWN == DRAWN - 1).alias("_b"))
-    placed = keyed.crossJoin(F.broadcast(bounds)).withColumn("_range", F.size(F.filter("_b", lambda b: b < F.col("_k")))).drop("_b")  # one row of bounds
+    named = [f"_k{i}" for i in range(len(keys))]
+    keyed = rows.select("*", *(k.alias(n) for k, n in zip(keys, named, strict=True)))
+    placed = keyed.repartitionByRange(*named).sortWithinPartitions(*named).drop(*named)
+    placed = cut(placed.withColumn("_at", F.monotonically_increasing_id())).withColumn("_range", F.shiftright("_at", ROW_BITS))
     sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = sizes.select(F.col("_range").alias("_r"), (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))  # RANGES rows
-    place = F.row_number().over(Window.partitionBy("_range").orderBy("_k"))
-    return placed.withColumn("_at", place).join(F.broadcast(before), F.col("_range") == F.col("_r")).withColumn(name, (F.col("_at") + F.col("_before")).cast("int")).drop("_k", "_range", "_at", "_r", "_before")
+    before = sizes.select(F.col("_range").alias("_r"), (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))  # a row for each range
+    place = F.col("_at").bitwiseAND((1 << ROW_BITS) - 1) + F.col("_before") + 1
+    return placed.join(F.broadcast(before), F.col("_range") == F.col("_r")).withColumn(name, place.cast("int")).drop("_at", "_range", "_r", "_before")
