@@ -236,3 +236,25 @@ def test_pipeline_stages(spark):
     assert n(d) == int(P.BUDGET_SHARE * n(c)) and {r.doc_id for r in d.collect()} <= {r.doc_id for r in c.collect()}
     e = stage["packing"](spark, d, SMALL)
     assert sum(r.piece == 0 for r in e.collect()) == d.count() and P.run(spark, SMALL).count() == e.count()
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_stages_on_awkward_tables(spark, empty):
+    """Null ids and texts, empty and long texts, repeated rows, clashing columns, no rows: columns stay, no row is made up."""
+    import corpus_pipeline as P
+    from ladderworks.llm.common import scratch
+
+    rows = [] if empty else [*awkward(6), *awkward(6)[:5], (None, " ".join(f"word{i} of a text without an id" for i in range(40))), (None, None)]
+    docs = documents(spark, rows, clashes=True)
+    columns = docs.columns
+    for name, stage in P.STAGES[:-1]:
+        before = {(r.doc_id, r.text) for r in docs.collect()}
+        docs = scratch(stage(spark, docs, SMALL))
+        after = docs.collect()
+        assert docs.columns == columns, name
+        if name == "mixing":  # the last text of a leaf is cut to its budget
+            assert {r.doc_id for r in after} <= {i for i, _ in before}
+        else:
+            assert {(r.doc_id, r.text) for r in after} <= before, name
+    pieces = P.STAGES[-1][1](spark, docs, SMALL)
+    assert sum(r.piece == 0 for r in pieces.collect()) == docs.count() and (docs.count() > 0) != empty
