@@ -24,12 +24,9 @@ def match_table(documents: DataFrame, size: int = events.SIZE) -> DataFrame:
     An event with matches has a row for each (state `rows`); one without a bracket, one that isn't published yet and one that
     can't be read have a row without a match. An event that isn't here was never scanned.
     """
-    status = events.event_status(documents, size).select("EventID", "status", "reason")
-    matches = events.brackets(documents).join(status.where("status = 'OK'").select("EventID"), "EventID", "left_semi")
-    having = matches.select("EventID").distinct().withColumn("_rows", F.lit(True))
-    state = F.when(F.col("status") == "PENDING", PENDING).when(F.col("status") == "ERROR", ERROR).otherwise(NONE)
-    marks = status.join(having, "EventID", "left").where("_rows IS NULL").select("EventID", state.alias("State"), F.col("reason").alias("Reason"))
-    return matches.withColumn("State", F.lit(ROWS)).unionByName(marks, allowMissingColumns=True)
+    rows = events.judged_matches(documents, size)
+    state = F.when(F.col("matched"), ROWS).when(F.col("status") == "PENDING", PENDING).when(F.col("status") == "ERROR", ERROR).otherwise(NONE)
+    return rows.withColumns({"State": state, "Reason": F.when(~F.col("matched"), F.col("reason"))}).drop("status", "matched")
 
 
 def event_states(table: DataFrame, registry: DataFrame) -> DataFrame:
