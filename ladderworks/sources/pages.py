@@ -1,4 +1,4 @@
-"""Answers of a paged service as a table: a batch data source with one partition for each page.
+"""Answers of a paged service as a table: a batch data source with a partition for each page, or each run of pages if there are many.
 
 Answers are kept as JSON files `<folder>/<source>/<endpoint>_<key>.json`, where the key comes from the endpoint and all
 parameters, offset and limit among them, and the source is the service itself, its backup, or the cache. A page is taken from
@@ -19,11 +19,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from pyspark.sql.types import StructType
 
 from ladderworks.functions import text as T
+from ladderworks.sources.scratch import cut
 
 #: Where a page is looked for, in order.
 SOURCES = ("primary", "backup", "cache")
-#: Rows of a batch that a task hands over at once.
-BATCH = 1000
+#: Rows of a batch that a task hands over at once, and partitions among which more pages are shared out.
+BATCH, PARTITIONS = 1000, 512
 _SCHEMA = "page int, source string, n int, ordinal int, value string"
 
 
@@ -33,10 +34,10 @@ def file_name(endpoint: str, params: dict[str, object]) -> str:
     return f"{endpoint.replace('/', '_')}_{hashlib.md5(f'{endpoint}?{query}'.encode()).hexdigest()[:16]}.json"
 
 
-class _Page(InputPartition):
-    def __init__(self, page: int) -> None:
-        super().__init__(page)
-        self.page = page
+class _Part(InputPartition):
+    def __init__(self, pages: list[int]) -> None:
+        super().__init__(pages)
+        self.pages = pages
 
 
 class _Pages(DataSourceReader):
@@ -74,14 +75,20 @@ class _Pages(DataSourceReader):
         end = 0
         while self._name(end) in there:
             end += 1
-        return [_Page(p) for p in range(end + 1) if p >= self.low and (self.high is None or p <= self.high) and (self.among is None or p in self.among)]
+        asked = [p for p in range(end + 1) if p >= self.low and (self.high is None or p <= self.high) and (self.among is None or p in self.among)]
+        each = max(1, -(-len(asked) // PARTITIONS))
+        return [_Part(asked[at : at + each]) for at in range(0, len(asked), each)]
 
-    def read(self, partition: _Page | None) -> Iterator[pa.RecordBatch]:
-        """The page's rows; a row without a value for an empty page; a row without a source if nobody has an answer."""
+    def read(self, partition: _Part | None) -> Iterator[pa.RecordBatch]:
+        """The rows of the pages; a row without a value for an empty page; a row without a source if nobody has an answer."""
         if partition is None:  # no page is asked for
             return
         files, root = pafs.FileSystem.from_uri(self.folder)
-        page, rows, source = partition.page, None, None
+        for page in partition.pages:
+            yield from self._read_page(files, root, page)
+
+    def _read_page(self, files: pafs.FileSystem, root: str, page: int) -> Iterator[pa.RecordBatch]:
+        rows, source = None, None
         for source in SOURCES:
             try:
                 with files.open_input_stream(f"{root}/{source}/{self._name(page)}") as f:
@@ -137,9 +144,12 @@ def store_answers(answers: DataFrame, folder: str) -> None:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = pafs.FileSystem.from_uri(folder)
+        there: set[str] = set()
         for batch in batches:
             for r in batch.to_pylist():
-                files.create_dir(f"{root}/{r['source']}", recursive=True)
+                if r["source"] not in there:
+                    files.create_dir(f"{root}/{r['source']}", recursive=True)
+                    there.add(r["source"])
                 part = f"{root}/{r['source']}/.{r['name']}.part"
                 with files.open_output_stream(part) as f:
                     f.write((r["body"] or "").encode())
@@ -177,6 +187,7 @@ def calendar_events(rows: DataFrame, format_name: str, start: str, end: str, val
 def found_events(calendar: DataFrame, index: DataFrame) -> DataFrame:
     """The calendar's events, or, if it has none, those of the index page (EventDate, size, event_id, slug): there, of events of
     one date and size the one with the largest number. `listed` says which it was."""
+    calendar = cut(calendar)  # the pages are read once, not again to tell whether there is an event
     newest = index.groupBy("EventDate", "size").agg(F.max_by(F.struct("event_id", "slug"), F.col("event_id").cast("long")).alias("e")).select("EventDate", "size", "e.*")
     none = calendar.limit(1).agg((F.count("*") == 0).alias("_none"))
     fallback = newest.join(F.broadcast(none), F.col("_none")).drop("_none")  # one row

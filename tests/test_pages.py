@@ -86,3 +86,14 @@ def test_calendar_rows_that_are_no_challenge(spark):
     df = spark.createDataFrame([(json.dumps(r),) for r in odd] + [("broken",), (None,)], "value string")
     got = sorted((str(r.EventDate), r["size"], r.event_id, r.slug) for r in pages.calendar_events(df, "Modern", "2026-07-01", "2026-07-31").collect())
     assert got == [("2026-07-05", 64, "7", "modern-challenge-64-2026-07-057")] * 2 + [("2026-07-06", 32, "8", "modern-challenge-32-2026-07-068")]  # 007 and 7 are two ids
+
+
+def test_pages_share_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    names = [(n, pages.file_name("calendar", {"from": "]1", "c:limit": 3, "c:start": 3 * n})) for n in range(600)]
+    answers = spark.createDataFrame(names, "page int, name string").select(F.lit("cache").alias("source"), "name", F.when(F.col("page") < 599, F.lit('{"list": [{"id": 1}, {"id": 2}, {"id": 3}]}')).otherwise('{"list": []}').alias("body"))
+    pages.store_answers(answers, f"file://{tmp_path}")
+    found = pages.pages(spark, f"file://{tmp_path}", *CALL)
+    assert found.rdd.getNumPartitions() == 301 and found.where("source IS NOT NULL").select("page").distinct().count() == 600
+    assert pages.all_rows(spark, f"file://{tmp_path}", *CALL).count() == 3 * 599
