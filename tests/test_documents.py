@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
-from ladderworks.sources import events
+from ladderworks.sources import events, sinks
 from ladderworks.streaming import pending
 
 
@@ -38,3 +38,12 @@ def test_matches_and_states_of_one_reading(spark):
 def test_names_of_references(spark):
     row = spark.createDataFrame([("&amp;&nosuch;&eacute;&#65;&nbsp;x",)], "x string").select(T.unescaped(F.col("x")).alias("x")).first()
     assert row.x == "&&nosuch;éA x"
+
+
+def test_cached_documents_in_files_of_either_kind(spark, tmp_path):
+    rows = spark.createDataFrame([("1.json", "one"), ("1.0.json", "older"), ("2.0.json", "two"), ("9.json", "other")], "name string, id string")
+    sinks.write_documents(rows, f"file://{tmp_path}/events", F.col("name"), F.to_json(F.struct(F.col("id").alias("event_id"))))
+    (tmp_path / "events" / "3.json").write_text('{"event_id": "three"}')
+    ids = spark.createDataFrame([("1.0",), ("2",), ("3",), ("4",)], "EventID string")
+    found = {r.EventID: r.event.event_id for r in events.cached_events(spark, f"file://{tmp_path}/events", ids).collect()}
+    assert found == {"1": "one", "2": "two", "3": "three"}
