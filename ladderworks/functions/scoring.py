@@ -19,6 +19,13 @@ def rounded(x: Column | str, digits: int = 2) -> Column:
     return F.rint(x * 10.0**digits) / 10.0**digits
 
 
+def steady(x: Column | str, digits: int = 2) -> Column:
+    """As `rounded`, for sums of fractions: what the order of adding leaves in the last bits (beyond nine more digits) doesn't
+    decide which way an exact half goes."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.rint(F.round(x * 10.0**digits, 9)) / 10.0**digits
+
+
 def percent(part: Column, whole: Column, digits: int | None = 2) -> Column:
     """100 part / whole."""
     value = part / whole * 100.0

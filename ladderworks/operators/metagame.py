@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladderworks.functions import text as T
-from ladderworks.functions.scoring import copies, hits_at_least_one, prep_priority, record_probabilities, rounded, trend_label, trust_label
+from ladderworks.functions.scoring import copies, hits_at_least_one, prep_priority, record_probabilities, rounded, steady, trend_label, trust_label
 from ladderworks.operators.ranking import ranks
 from ladderworks.operators.rules import archetypes
 
@@ -60,7 +60,7 @@ def rogue_bucket(grouped: DataFrame) -> DataFrame:
 
 def roll_up_archetypes(decks: DataFrame) -> DataFrame:
     """Archetypes: share summed, win rates by share, my win rate over decks that have one."""
-    return decks.groupBy("Archetype").agg(rounded(F.sum("Meta")).alias("Meta"), rounded(_by_meta(F.col("Winrate"))).alias("Winrate"), F.sum("Games").alias("Games"), rounded(_by_meta(F.col("MyWinrate"))).alias("MyWinrate"), F.count("*").alias("Decks"))
+    return decks.groupBy("Archetype").agg(steady(F.sum("Meta")).alias("Meta"), steady(_by_meta(F.col("Winrate"))).alias("Winrate"), F.sum("Games").alias("Games"), steady(_by_meta(F.col("MyWinrate"))).alias("MyWinrate"), F.count("*").alias("Decks"))
 
 
 def my_matchups(scan: DataFrame, deck: str) -> DataFrame:
