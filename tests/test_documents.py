@@ -47,3 +47,23 @@ def test_cached_documents_in_files_of_either_kind(spark, tmp_path):
     ids = spark.createDataFrame([("1.0",), ("2",), ("3",), ("4",)], "EventID string")
     found = {r.EventID: r.event.event_id for r in events.cached_events(spark, f"file://{tmp_path}/events", ids).collect()}
     assert found == {"1": "one", "2": "two", "3": "three"}
+
+
+def test_matches_need_no_cards(spark):
+    """Matches and states are the same from a parse that passes over the cards, and the query for them parses no more."""
+    from ladderworks.plans import state_queries
+
+    page = "<script>window.MTGO.decklists.data = " + _document(1).replace('"main_deck": []', '"main_deck": [{"qty": "2", "card_attributes": {"card_name": "x"}}]') + ";"
+    pages = spark.createDataFrame([(page,)], "html string")
+    whole, some = (pending.match_table(events.embedded_events(pages, layout=x), 2).collect() for x in (events.EVENT, events.MATCHES))
+    assert whole == some and len(some) == 1
+    rows = spark.createDataFrame([(1, 1, 1, 1, 9.0, "R", 1.0)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, l_quantity double")
+    tables = {"lineitem": rows, "orders": spark.sql("SELECT 1L AS o_orderkey, current_timestamp() AS o_orderdate, 'F' AS o_orderstatus, 'x' AS o_orderpriority"), "part": spark.sql("SELECT 1L AS p_partkey, 'b' AS p_brand, 't' AS p_type, 'n' AS p_name")}
+    from ladderworks.plans import standins
+
+    own, standins.read = standins.read, lambda spark, sf_dir, name: tables[name]
+    try:
+        docs = state_queries._faulty_documents(spark, "", events.MATCHES)
+    finally:
+        standins.read = own
+    assert "main_deck" not in str(docs.schema) and docs.first().event.event_id == "1"
