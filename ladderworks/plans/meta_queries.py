@@ -255,16 +255,17 @@ _WORDS = """WITH d AS (SELECT doc_id AS deck_id, w AS item, count(*) AS qty FROM
 """
 
 
-def _bag(texts: DataFrame, key: str, name: str) -> DataFrame:
-    """Texts as bags of words."""
-    return texts.select(F.col(key).alias(name), F.explode(F.split(F.lower("text"), " ")).alias("item")).where("item <> ''").groupBy(name, "item").agg(F.count("*").alias("qty"))
+def _bag(texts: DataFrame, *keys: str) -> DataFrame:
+    """Texts (text and the keys) as bags of words. The texts are dealt out by the first key, so that their words stay where they are."""
+    rows = texts.select(*keys, "text").repartition(keys[0])
+    return rows.select(*keys, F.explode(F.split(F.lower("text"), " ")).alias("item")).where("item <> ''").groupBy(*keys, "item").agg(F.count("*").alias("qty"))
 
 
 @query(_WORDS + """, p AS (SELECT *, CAST(deck_id % 7 + 1 AS INT) * 2 AS Place FROM z), q AS (SELECT *, CASE WHEN second IS NULL THEN 'library too small' WHEN Place = 1 THEN 'winner' WHEN nearest <> second THEN 'labels differ' WHEN nearest_sim < CASE WHEN Place <= 8 THEN 0.95 ELSE 0.9 END THEN 'too far' END AS reason FROM p)
     SELECT *, CASE WHEN reason IS NULL THEN nearest ELSE 'NEEDS_MANUAL_REVIEW' END AS label FROM q""")
 def j12_f26_nearest_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decks = _bag(read(spark, sf_dir, "documents").where("doc_id % 20 = 0"), "doc_id", "deck_id")  # the queries of the search
-    library = _bag(read(spark, sf_dir, "benchmark"), "item_id", "lib_id").withColumn("label", F.concat(F.lit("L"), (F.col("lib_id") % 5).cast("string")))
+    decks = _bag(read(spark, sf_dir, "documents").where("doc_id % 20 = 0").withColumnRenamed("doc_id", "deck_id"), "deck_id")  # the queries of the search
+    library = _bag(read(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "lib_id"), "lib_id").withColumn("label", F.concat(F.lit("L"), (F.col("lib_id") % 5).cast("string")))
     places = decks.select("deck_id").distinct().withColumn("Place", ((F.col("deck_id") % 7 + 1) * 2).cast("int"))
     return N.classified(N.nearest_labels(decks, library), places)
 
@@ -280,9 +281,9 @@ def j12_f26_nearest_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j12_labels_at_the_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as bags of words, labelled by the sources of those that are as good as equal. Only rare words meet."""
     docs = read(spark, sf_dir, "documents")
-    decks = _bag(docs.where("doc_id % 20 = 0"), "doc_id", "deck_id")  # the queries of the search
-    rest = docs.where("doc_id % 20 <> 0")
-    library = _bag(rest, "doc_id", "lib_id").join(rest.select(F.col("doc_id").alias("lib_id"), F.col("source").alias("label")), "lib_id")
+    decks = _bag(docs.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "deck_id"), "deck_id")  # the queries of the search
+    rest = docs.where("doc_id % 20 <> 0").withColumnRenamed("doc_id", "lib_id")
+    library = _bag(rest, "lib_id").join(rest.select("lib_id", F.col("source").alias("label")), "lib_id")
     places = decks.select("deck_id").distinct().withColumn("Place", (F.floor(F.col("deck_id") / 20) % 4 + 1).cast("int"))
     return N.classified_at(N.labels_at(decks, library), places)
 
@@ -290,7 +291,7 @@ def j12_labels_at_the_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH d AS (SELECT doc_id AS deck_id, w AS item, count(*) AS qty FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY ALL),
     t AS (SELECT *, row_number() OVER (PARTITION BY deck_id ORDER BY qty DESC, item) AS i FROM d) SELECT deck_id, string_agg(item || ' x' || qty, '; ' ORDER BY i) AS key_cards FROM t WHERE i <= 8 GROUP BY deck_id""")
 def k13_key_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.key_items(_bag(read(spark, sf_dir, "documents"), "doc_id", "deck_id"))
+    return N.key_items(_bag(read(spark, sf_dir, "documents").withColumnRenamed("doc_id", "deck_id"), "deck_id"))
 
 
 @query("""WITH b AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY ALL),
@@ -298,10 +299,13 @@ def k13_key_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     low AS (SELECT x, sum(least(a.n, c.n)) AS low FROM pairs JOIN b a ON a.doc_id = x JOIN b c ON c.doc_id = y AND c.w = a.w GROUP BY x), s AS (SELECT doc_id, sum(n) AS n FROM b GROUP BY doc_id)
     SELECT x AS doc_id, round_even(coalesce(low, 0) / (s.n + t.n - coalesce(low, 0)) * 1e6, 0) / 1e6 AS similarity FROM pairs JOIN s ON s.doc_id = x JOIN s t ON t.doc_id = y LEFT JOIN low USING (x)""")
 def f26_multiset_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's bag of words beside that of the document with the next id."""
-    bags = _bag(read(spark, sf_dir, "documents"), "doc_id", "doc_id").groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("item", F.col("qty").cast("int")))).alias("bag"))
-    after = bags.select((F.col("doc_id") - 1).alias("doc_id"), F.col("bag").alias("other"))
-    return bags.join(after, "doc_id").select("doc_id", S.rounded(N.multiset_similarity(F.col("bag"), F.col("other")), 6).alias("similarity"))
+    """Each document's bag of words beside that of the document with the next id. A text goes to both of its pairs, and no bag is shuffled."""
+    pair = lambda at, after: F.struct((F.col("doc_id") - at).alias("first"), F.lit(after).alias("after"))
+    texts = read(spark, sf_dir, "documents").select(F.inline(F.array(pair(0, False), pair(1, True))), "text")
+    entry = lambda side: F.when(side, F.struct("item", F.col("qty").cast("int")))
+    both = _bag(texts, "first", "after").groupBy("first").agg(*(F.map_from_entries(F.collect_list(entry(side))).alias(n) for n, side in (("bag", ~F.col("after")), ("other", F.col("after")))))
+    found = both.where((F.size("bag") > 0) & (F.size("other") > 0))
+    return found.select(F.col("first").alias("doc_id"), S.rounded(N.multiset_similarity(F.col("bag"), F.col("other")), 6).alias("similarity"))
 
 
 @query(H + """, r AS (SELECT DISTINCT EventID AS RosterID, EventDate, Tier, Pilot FROM h), s AS (SELECT RosterID, EventID, count(*) AS Shared FROM r JOIN (SELECT DISTINCT EventID, EventDate, Tier, Pilot FROM h) USING (EventDate, Tier, Pilot) GROUP BY ALL),
