@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ladderworks.functions import text as T
 from ladderworks.functions.scoring import percent, rounded
 from ladderworks.operators.ranking import ranks
+from ladderworks.sources.scratch import cut
 
 TOPS, TOP_PLACES = (8, 16), (16, 8, 4, 2)
 SUMMED = ("Events", "Appearances", "Top8Count", "Top16Count", "WinnerCount", "Top32EventCount", "Top32EntryCount", "Top8EventCount", "Top16EventCount", "WinnerEventCount")
@@ -29,6 +30,15 @@ def entries(history: DataFrame, key: str = "Deck") -> DataFrame:
     )
 
 
+def single(history: DataFrame, key: str = "Deck") -> DataFrame:
+    """History rows as `entries` that aren't counted yet, one each, written once to the shared folder. No row is shuffled for it."""
+    rows = cut(history.select("Tier", key, "EventID", "EventDate", T.identity_key("LoginID", "Pilot").alias("_id"), "Place"))
+    within = lambda cond: F.coalesce(cond.cast("long"), F.lit(0).cast("long"))
+    place = F.col("Place")
+    tops = {f"in{k}": within(place <= k) for k in TOP_PLACES}
+    return rows.withColumns({"n": F.lit(1).cast("long"), "places": place.cast("long"), "placed": within(place.isNotNull()), "best": place, **tops, "won": within(place == 1)}).drop("Place")
+
+
 def event_counts(history: DataFrame) -> DataFrame:
     """Tier and n_events: the distinct events of each tier."""
     return history.groupBy("Tier").agg(F.countDistinct("EventID").alias("n_events"))
@@ -48,11 +58,11 @@ def event_lists(history: DataFrame, *by: str) -> DataFrame:
 def presence(history: DataFrame, key: str = "Deck") -> DataFrame:
     """The presence table of each tier and key, of history rows (EventID, EventDate, Tier, Place, the key, Pilot, LoginID).
 
-    Rows are grouped once by event and pilot, combined map-side; events then count by their best place, so that no row is
-    read once for each distinct count. Rows without a key are dropped. Percentages of events are over the tier's events and
+    The few columns needed are written to the shared folder (`single`), so that the history is read once, however often the
+    table is used, and nothing is grouped or shuffled before; events then count by their best place, so that no row is read once for each distinct count. Rows without a key are dropped. Percentages of events are over the tier's events and
     rounded to two digits, but those of the top 4 and top 2, which are not rounded. For the lists of events see `event_lists`.
     """
-    return presence_of(entries(history, key), key)
+    return presence_of(single(history, key), key)
 
 
 def presence_of(counted: DataFrame, key: str = "Deck") -> DataFrame:

@@ -39,3 +39,31 @@ def test_words_stay_where_their_text_is(spark, monkeypatch):
         assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert {tuple(r) for r in cards.collect()} == {(1, "a x2; b x1"), (2, "a x1; c x1"), (6, "q x2")}
     assert [tuple(r) for r in likeness.collect()] == [(1, 0.25)]
+
+
+def test_presence_reads_its_history_once(spark):
+    from ladderworks.operators import presence as P
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [("1", "A", "t", 1, "x", "P", "1"), ("1", "B", "t", 2, "y", "Q", ""), ("2", "A", "t", None, "x", "P", "1"), ("2", None, "t", 1, "y", "Q", "")]
+    plain = spark.createDataFrame(rows, "EventID string, Deck string, Tier string, Place int, Archetype string, Pilot string, LoginID string").withColumn("EventDate", F.lit("2024-01-01").cast("date"))
+    table = P.presence(plain.mapInArrow(counted, plain.schema))
+    got = table.unionByName(table).distinct().orderBy("Deck").collect()
+    assert seen.value == len(rows)
+    assert got == P.presence_of(P.entries(plain)).orderBy("Deck").collect() and [(r.Deck, r.Events, r.AvgPlace) for r in got] == [("A", 2, 1.0), ("B", 1, 2.0)]
+    assert table.schema == P.presence_of(P.entries(plain)).schema
+
+
+def test_event_checks_multiply_no_rows(spark):
+    from ladderworks.operators import quality as Q
+
+    rows = [("1", "2024-01-01", "t", 1, "P", "a"), ("1", "2024-01-02", "t", 2, "Q", "a"), ("2", "2024-01-01", "t", 1, "P", ""), ("2", "2024-01-01", "u", 1, "Q", "")]
+    found = Q.event_checks(spark.createDataFrame(rows, "EventID string, EventDate string, Tier string, Place int, Pilot string, LoginID string"), 2)
+    assert {(r.check_id, r.key, r.detail) for r in found.collect()} == {("one_date", "1", "2"), ("one_tier", "2", "2"), ("places", "2", "1/1/1"), ("one_name", "1:a", "2")}
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
