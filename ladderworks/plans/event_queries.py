@@ -14,6 +14,7 @@ from ladderworks.operators import quality as Q
 from ladderworks.operators import similarity as N
 from ladderworks.plans.standins import H, history, matches, query, read
 from ladderworks.sources import sinks
+from ladderworks.sources.scratch import cut
 
 _R = lambda x, d=2: f"round_even({x}, {d})"
 
@@ -37,8 +38,8 @@ PRESENCE = H + _PRESENCE.format(key="Deck")
 
 @query(PRESENCE + "SELECT * FROM p")
 def a01_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = history(spark, sf_dir)
-    return P.presence(h).join(P.event_lists(h, "Tier", "Deck"), ["Tier", "Deck"])
+    rows = P.single(history(spark, sf_dir))
+    return P.presence_of(rows).join(P.event_lists(rows, "Tier", "Deck"), ["Tier", "Deck"])
 
 
 @query(H + _PRESENCE.format(key="Archetype") + "SELECT * FROM p")
@@ -69,8 +70,8 @@ def a02_all_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT Tier, Deck, Events, CAST(NULL AS BIGINT) AS EvenYears FROM p UNION ALL SELECT 'ALL', Deck, n, even FROM a""")
 def a01_a02_event_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of each deck by tier and over all, counted from bitmaps; those of even years by merging the tiers' bitmaps of these years."""
-    rows = P.entries(history(spark, sf_dir)).persist()
-    numbers = B.event_numbers(rows).persist()
+    rows = cut(P.entries(history(spark, sf_dir)).select("Tier", "Deck", "EventID", "EventDate").distinct())  # whoever entered
+    numbers = B.event_numbers(rows)  # is written once by itself
     every = B.counted(B.event_bitmaps(rows, numbers), "Tier", "Deck")
     even = B.event_bitmaps(rows.where(F.year("EventDate") % 2 == 0), numbers).where(F.col("Tier") != B.ALL)
     some = B.counted(B.merged(even, "Deck"), "Deck").select(F.lit(B.ALL).alias("Tier"), "Deck", F.col("Events").alias("EvenYears"))
