@@ -45,13 +45,15 @@ def _listed(*columns: str | Column) -> Column:
 def event_rules(history: DataFrame, premier: DataFrame | None = None, size: int = SIZE) -> DataFrame:
     """By event: one date, one tier, `size` rows, places 1 to `size` once each, one name for each login, no premier event.
 
-    Rows are grouped by event and login, then by event; places are held as bits, so nothing is listed or counted apart.
+    Rows are dealt out by event once, then grouped by event and login and by event; places are held as bits, so nothing is
+    listed or counted apart.
     """
     if not 1 <= size <= 62:
         raise ValueError("an event has from 1 to 62 places")
     bit = F.when(F.col("Place").between(1, size), F.expr("shiftleft(1L, cast(Place - 1 as int))"))
     ends = [f(c).alias(f"{n}_{c}") for c in ("EventDate", "Tier") for n, f in (("min", F.min), ("max", F.max))]
-    logins = history.where("EventID IS NOT NULL").groupBy("EventID", "LoginID").agg(*ends, F.count("*").alias("rows"), F.count("Place").alias("placed"), F.bit_or(bit).alias("bits"), F.min("Pilot").alias("name"), F.max("Pilot").alias("other"))
+    rows = history.where("EventID IS NOT NULL").select("EventID", "LoginID", "EventDate", "Tier", "Place", "Pilot").repartition("EventID")
+    logins = rows.groupBy("EventID", "LoginID").agg(*ends, F.count("*").alias("rows"), F.count("Place").alias("placed"), F.bit_or(bit).alias("bits"), F.min("Pilot").alias("name"), F.max("Pilot").alias("other"))
     named = (T.trimmed("LoginID") != "") & (F.col("name") != F.col("other"))
     ends = [f(f"{n}_{c}").alias(f"{n}_{c}") for c in ("EventDate", "Tier") for n, f in (("min", F.min), ("max", F.max))]
     events = logins.groupBy("EventID").agg(*ends, F.sum("rows").alias("rows"), F.sum("placed").alias("placed"), F.bit_or("bits").alias("bits"), F.count_if(named).alias("renamed"))

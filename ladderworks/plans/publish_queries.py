@@ -12,10 +12,12 @@ from ladderworks.operators import presence as P
 from ladderworks.operators import publishing
 from ladderworks.plans.event_queries import _PRESENCE, PRESENCE
 from ladderworks.plans.standins import H, history, query
-from ladderworks.sources.scratch import shared_folder
+from ladderworks.sources.scratch import cut, shared_folder
 
 #: Entries of the events here: those of the orders with as many lines or more.
 SIZE = 4
+#: The window of all runs.
+_WINDOW = ("1992-01-01", "1998-12-31")
 _HEAD = "SELECT CAST(NULL AS VARCHAR) AS check_id, CAST(NULL AS VARCHAR) AS severity, CAST(NULL AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS detail WHERE false"
 #: The whole events as `h` and, with a fault in six of 97, as `e`.
 _FULL = H.replace("WITH h AS", "WITH raw AS") + f""", h AS (SELECT * FROM raw WHERE Place <= {SIZE} AND EventID IN (SELECT EventID FROM raw GROUP BY EventID HAVING count(*) >= {SIZE})),
@@ -177,18 +179,13 @@ def _notes(h: DataFrame) -> DataFrame:
     return h.select(F.col("EventDate").alias("date"), F.col("Tier").alias("event_type"), F.col("EventID").alias("event_id")).distinct()
 
 
-def _run(spark: SparkSession, h: DataFrame, stored: DataFrame, name: str, faulty: DataFrame | None = None, summary: bool = True, **more: object) -> DataFrame:
+def _run(spark: SparkSession, tables: dict[str, DataFrame], checks: DataFrame, summary: DataFrame | None, name: str, **more: object) -> DataFrame:
     """The outcome of publishing, as the folder and the status show it."""
-    folder, window = shared_folder(spark), ("1992-01-01", "1998-12-31")
-    registry = h.select("EventID", "EventDate", F.lit(SIZE).alias("size"), F.lit("challenge").alias("kind")).distinct()
-    note = publishing.premier_note(_notes(h).limit(0), "F", *window)
-    state = publishing.registry_state(registry, stored.withColumn("Format", F.lit("F")), "F")
-    table = P.presence(h)
-    checks = I.event_rules(h if faulty is None else faulty, size=SIZE)
-    out = publishing.publish({"decks": table, "finalists": P.finalists(h)}, checks, publishing.completeness(state, note) if summary else None, folder, window=window, **more)
+    folder = shared_folder(spark)
+    out = publishing.publish(tables, checks, summary, folder, window=_WINDOW, **more)
     status = spark.read.text(f"{folder}/statistics.status.json", wholetext=True)
     field: dict[str, Column] = {c: F.get_json_object("value", f"$.{c}") for c in ("complete", "partial", "registry_count", "fetched_count", "invariant_problem_count")}
-    shown = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").schema(table.schema).parquet(f"{out.folder}/decks").count() if out.folder else 0
+    shown = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").schema(tables["decks"].schema).parquet(f"{out.folder}/decks").count() if out.folder else 0
     return status.select(F.lit(name).alias("run"), F.lit(out.state).alias("state"), F.lit(out.reason).alias("reason"), F.lit(shown).cast("long").alias("rows_shown"), *(v.alias(c) for c, v in field.items()))
 
 
@@ -200,8 +197,17 @@ def _run(spark: SparkSession, h: DataFrame, stored: DataFrame, name: str, faulty
     UNION ALL SELECT 'no registry', 'withheld', 'incomplete', 0, 'false', 'false', NULL, NULL, NULL
     UNION ALL SELECT 'faulty', 'withheld', 'checks', 0, 'false', 'false', NULL, NULL, CAST(bad AS VARCHAR) FROM b""")
 def q05_q08_published_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six runs on the same events: what is to see of each, and what its status says."""
-    h = whole_events(spark, sf_dir)
-    some = h.where("CAST(EventID AS BIGINT) % 6 <> 0")
-    runs = [_run(spark, h, h, "complete"), _run(spark, h, some, "missing"), _run(spark, h, some, "missing, allowed", allow_partial=True), _run(spark, h, h, "other window", meta_window=("1992-01-01", "1998-12-24")), _run(spark, h, h, "no registry", summary=False), _run(spark, h, h, "faulty", faulty=_faulty(h))]
+    """Six runs on the same events: what is to see of each, and what its status says.
+
+    The events, and what more than one run takes of them (tables, checks, states of the registry), are written once.
+    """
+    h = cut(whole_events(spark, sf_dir).select("EventID", "EventDate", "Tier", "Place", "Deck", "Pilot", "LoginID"))
+    tables = {"decks": cut(P.presence(h)), "finalists": cut(P.finalists(h))}
+    checks = cut(I.event_rules(h, size=SIZE))
+    registry = cut(h.select("EventID", "EventDate", F.lit(SIZE).alias("size"), F.lit("challenge").alias("kind")).distinct())
+    note = publishing.premier_note(_notes(h).limit(0), "F", *_WINDOW)
+    state = lambda stored: publishing.completeness(cut(publishing.registry_state(registry, stored.withColumn("Format", F.lit("F")), "F")), note)
+    whole, some = state(h), state(h.where("CAST(EventID AS BIGINT) % 6 <> 0"))
+    run = lambda name, checks=checks, summary=whole, **more: _run(spark, tables, checks, summary, name, **more)
+    runs = [run("complete"), run("missing", summary=some), run("missing, allowed", summary=some, allow_partial=True), run("other window", meta_window=("1992-01-01", "1998-12-24")), run("no registry", summary=None), run("faulty", checks=I.event_rules(_faulty(h), size=SIZE))]
     return reduce(DataFrame.unionByName, runs)

@@ -67,3 +67,22 @@ def test_event_checks_multiply_no_rows(spark):
     found = Q.event_checks(spark.createDataFrame(rows, "EventID string, EventDate string, Tier string, Place int, Pilot string, LoginID string"), 2)
     assert {(r.check_id, r.key, r.detail) for r in found.collect()} == {("one_date", "1", "2"), ("one_tier", "2", "2"), ("places", "2", "1/1/1"), ("one_name", "1:a", "2")}
     assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_published_runs_read_their_events_once(spark, monkeypatch):
+    from ladderworks.plans import publish_queries as Q
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(str(e), p, "t", f"d{p}", f"P{e + p}", f"{e + p}") for e in (5, 12, 103) for p in range(1, 5)]
+    plain = spark.createDataFrame(rows, "EventID string, Place int, Tier string, Deck string, Pilot string, LoginID string").withColumn("EventDate", F.lit("1995-01-01").cast("date"))
+    monkeypatch.setattr(Q, "whole_events", lambda spark, sf_dir: plain.mapInArrow(counted, plain.schema))
+    got = {r.run: (r.state, r.rows_shown, r.registry_count, r.fetched_count, r.invariant_problem_count) for r in Q.q05_q08_published_runs(spark, "").collect()}
+    assert seen.value == len(rows)
+    assert got["complete"] == ("full", 4, "3", "3", None) and got["missing"] == ("withheld", 0, "3", "2", None) and got["missing, allowed"] == ("partial", 4, "3", "2", None)
+    assert got["other window"][0] == got["no registry"][0] == "withheld" and got["faulty"] == ("withheld", 0, None, None, "1")
