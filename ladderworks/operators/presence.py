@@ -30,9 +30,13 @@ def entries(history: DataFrame, key: str = "Deck") -> DataFrame:
     )
 
 
-def single(history: DataFrame, key: str = "Deck") -> DataFrame:
-    """History rows as `entries` that aren't counted yet, one each, written once to the shared folder. No row is shuffled for it."""
-    rows = cut(history.select("Tier", key, "EventID", "EventDate", T.identity_key("LoginID", "Pilot").alias("_id"), "Place"))
+def single(history: DataFrame, *keys: str) -> DataFrame:
+    """History rows as `entries` of the keys that aren't counted yet, one each, written once to the shared folder. No row is shuffled for it."""
+    return uncounted(cut(history.select("Tier", *(keys or ("Deck",)), "EventID", "EventDate", T.identity_key("LoginID", "Pilot").alias("_id"), "Place")))
+
+
+def uncounted(rows: DataFrame) -> DataFrame:
+    """Rows (Tier, EventID, EventDate, _id, Place and keys) as `entries` of one each, for a caller that has written them already."""
     within = lambda cond: F.coalesce(cond.cast("long"), F.lit(0).cast("long"))
     place = F.col("Place")
     tops = {f"in{k}": within(place <= k) for k in TOP_PLACES}
@@ -65,8 +69,8 @@ def presence(history: DataFrame, key: str = "Deck") -> DataFrame:
     return presence_of(single(history, key), key)
 
 
-def presence_of(counted: DataFrame, key: str = "Deck") -> DataFrame:
-    """The presence table, from `entries`."""
+def presence_of(counted: DataFrame, key: str = "Deck", events: DataFrame | None = None) -> DataFrame:
+    """The presence table, from `entries`, and from their `event_counts` where a caller has them."""
     rows = counted.where(F.col(key).isNotNull())
     each = rows.groupBy("Tier", key, "EventID").agg(*(F.sum(c).alias(c) for c in ("n", "places", "placed", *(f"in{k}" for k in TOP_PLACES), "won")), F.min("best").alias("best"))
     event = F.col("EventID").isNotNull()
@@ -77,7 +81,7 @@ def presence_of(counted: DataFrame, key: str = "Deck") -> DataFrame:
     )
     by_pilot = rows.groupBy("Tier", key, "_id").agg(F.sum("n").alias("n")).groupBy("Tier", key).agg(F.count("*").alias("DistinctPilots"), F.max("n").alias("_most"))
     n, seen = F.col("n_events"), F.greatest(F.col("Appearances"), F.lit(1))
-    out = stats.join(by_pilot, ["Tier", key]).join(event_counts(counted), "Tier")
+    out = stats.join(by_pilot, ["Tier", key]).join(event_counts(counted) if events is None else events, "Tier")
     pct = {"PresencePct": percent(F.col("Events"), n)}
     pct |= {f"Top{k}EventFreqPct": percent(F.col(f"Top{k}EventCount"), n, 2 if k >= 8 else None) for k in (16, 8, 4, 2)}
     pct |= {f"Top{k}PresencePct": pct[f"Top{k}EventFreqPct"] for k in TOPS}
@@ -113,11 +117,17 @@ def finalists(history: DataFrame) -> DataFrame:
 
 
 def _first_decks(rows: DataFrame) -> DataFrame:
-    names = F.array_join(F.array_sort(F.collect_set(F.when((F.col("Place") == 1) & (F.trim("Deck") != ""), F.trim("Deck")))), ";")
-    return rows.groupBy("_key").agg(
-        F.max_by("Pilot", F.struct("EventDate", (-F.col("_row")).alias("r"))).alias("Pilot"), F.min_by("LoginID", "_row").alias("LoginID"),
-        F.count_if(F.col("Place") == 1).alias("Wins"), F.count_if(F.col("Place") <= 8).alias("Top8"), F.count("Place").alias("Top32"),
-        rounded(F.avg("Place"), 1).alias("AvgPlace"), F.coalesce(F.min("Place"), F.lit(999)).alias("BestPlace"), F.countDistinct("Deck").alias("DecksPlayed"), names.alias("WinningDecks"),
+    day = F.coalesce(F.unix_date(F.col("EventDate").cast("date")), F.lit(-(2**31))).cast("decimal(12,0)")
+    late = (day * F.lit(str(2**64)).cast("decimal(20,0)") - F.col("_row").cast("decimal(20,0)")).cast("decimal(38,0)")
+    # numbers only, by names first: such an aggregation needs no sort of the history's rows
+    each = rows.groupBy("_key", "Pilot", "LoginID", "Deck").agg(
+        F.max(late).alias("_late"), F.min("_row").alias("_row"), F.count_if(F.col("Place") == 1).alias("won"), F.count_if(F.col("Place") <= 8).alias("top"), F.count("Place").alias("placed"),
+        F.sum("Place").alias("places"), F.min("Place").alias("best"),
+    )
+    names = F.array_join(F.array_sort(F.collect_set(F.when((F.col("won") > 0) & (F.trim("Deck") != ""), F.trim("Deck")))), ";")
+    return each.groupBy("_key").agg(
+        F.max_by("Pilot", "_late").alias("Pilot"), F.min_by("LoginID", "_row").alias("LoginID"), F.sum("won").alias("Wins"), F.sum("top").alias("Top8"), F.sum("placed").alias("Top32"),
+        rounded(F.sum("places") / F.sum("placed"), 1).alias("AvgPlace"), F.coalesce(F.min("best"), F.lit(999)).alias("BestPlace"), F.countDistinct("Deck").alias("DecksPlayed"), names.alias("WinningDecks"),
     )
 
 

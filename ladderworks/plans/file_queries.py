@@ -20,7 +20,7 @@ from ladderworks.plans.standins import H, history, matches, query, read, shares
 from ladderworks.plans.standins import M as SHARES
 from ladderworks.sources import pages, sinks
 from ladderworks.sources import tables as S
-from ladderworks.sources.scratch import shared_folder
+from ladderworks.sources.scratch import cut, shared_folder
 from ladderworks.sources.store import KeyedTable
 from ladderworks.sources.tables import cache_key
 
@@ -206,9 +206,12 @@ def s16_events_of_the_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT CAST(2 * dense_rank() OVER (ORDER BY Tier) AS VARCHAR) || '_C' || Tier || '_Decks' AS sheet, CAST(i AS INT) AS position, Deck FROM o
     UNION ALL SELECT '1_STATUS', 1, NULL""")
 def k04_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sheets of a run, written and read again: their order, and that of the decks in them."""
-    h, folder = history(spark, sf_dir), shared_folder(spark)
-    decks, groups = P.presence(h).persist(), P.presence(h, "Archetype").persist()
+    """The sheets of a run, written and read again: their order, and that of the decks in them. The history is written once for all."""
+    folder = shared_folder(spark)
+    h = cut(history(spark, sf_dir).select("EventID", "EventDate", "Tier", "Place", "Deck", "Archetype", "Pilot", "LoginID", "row_id", T.identity_key("LoginID", "Pilot").alias("_id")))
+    entries = P.uncounted(h)
+    events = cut(P.event_counts(entries))
+    decks, groups = (cut(P.presence_of(entries, key, events)) for key in ("Deck", "Archetype"))
     tiers = sorted(r.Tier for r in decks.select("Tier").distinct().collect())
     status = spark.createDataFrame([(True, False)], "Complete boolean, Partial boolean")
     sheets = sinks.statistics_sheets(status, tiers, decks, groups, P.all_tiers(decks), P.all_tiers(groups, "Archetype"), P.pilot_table(h, F.col("row_id")))

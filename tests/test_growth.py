@@ -86,3 +86,36 @@ def test_published_runs_read_their_events_once(spark, monkeypatch):
     assert seen.value == len(rows)
     assert got["complete"] == ("full", 4, "3", "3", None) and got["missing"] == ("withheld", 0, "3", "2", None) and got["missing, allowed"] == ("partial", 4, "3", "2", None)
     assert got["other window"][0] == got["no registry"][0] == "withheld" and got["faulty"] == ("withheld", 0, None, None, "1")
+
+
+def test_sheets_read_their_history_once(spark, monkeypatch):
+    from ladderworks.plans import file_queries as Q
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [("1", 1, "t", "b", "x", "P", "1", 101), ("1", 2, "t", "a", "x", "Q", "", 102), ("2", 1, "u", "a", "y", "P", "1", 201), ("3", 1, "t", "a", "y", "P", "1", 301)]
+    plain = spark.createDataFrame(rows, "EventID string, Place int, Tier string, Deck string, Archetype string, Pilot string, LoginID string, row_id long").withColumn("EventDate", F.lit("2024-01-01").cast("date"))
+    monkeypatch.setattr(Q, "history", lambda spark, sf_dir: plain.mapInArrow(counted, plain.schema))
+    got = {tuple(r) for r in Q.k04_sheets(spark, "").collect()}
+    assert seen.value == len(rows)
+    assert got == {("1_STATUS", 1, None), ("2_Ct_Decks", 1, "a"), ("2_Ct_Decks", 2, "b"), ("4_Cu_Decks", 1, "a")}
+
+
+def test_pilots_are_named_by_their_latest_row_without_a_sort_of_the_history(spark):
+    from ladderworks.operators import presence as P
+
+    rows = [
+        ("2024-01-01", 1, "a", "Old", "1", 1), ("2024-02-01", 9, "a", "Late", " 1", 2), ("2024-02-01", None, "b", "Later row", "1", 3), (None, 2, " a ", "No date", "1", 4), (None, None, None, "Q", "", 5),
+        (None, None, "c", "q", "", 6), ("2024-01-01", 1, "", "Z", None, 7), ("2024-01-01", 1, "b", "Z", None, 8), ("2024-01-01", 1, "a", " ", "5", 9),
+    ]
+    plain = spark.createDataFrame(rows, "d string, Place int, Deck string, Pilot string, LoginID string, row_id long").withColumn("EventDate", F.col("d").cast("date"))
+    got = {r.Pilot: (r.LoginID, r.Rank, r.Wins, r.Top8, r.Top32, r.AvgPlace, r.BestPlace, r.DecksPlayed, r.WinningDecks) for r in P.pilot_table(plain, F.col("row_id")).collect()}
+    assert got == {"Z": (None, 1, 2, 2, 2, 1.0, 1, 2, "b"), "Late": ("1", 2, 1, 2, 3, 4.0, 1, 3, "a"), "Q": ("", 3, 0, 0, 0, None, 999, 1, "")}
+    keyed = plain.withColumns({"_key": F.col("LoginID"), "_row": F.col("row_id")})
+    plan = P._first_decks(keyed)._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate(keys=[_key" in plan.splitlines()[-3] + plan.splitlines()[-2] + plan.splitlines()[-4]
