@@ -285,10 +285,11 @@ def j17_drift_of_bucketed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    h = history(spark, sf_dir).select("EventID", "Place", "Pilot", "LoginID")
+    h = cut(history(spark, sf_dir).select("EventID", "Place", "Pilot", "LoginID"))
+    buckets = sinks.buckets_of(h)
     renamed = h.withColumn("Pilot", F.when(F.col("EventID").cast("long") % 9 == 0, F.concat("Pilot", F.lit(" jr"))).otherwise(F.upper("Pilot")))
     name = uuid.uuid4().hex
-    return tuple(sinks.write_bucketed(t, f"results_{s}_{name}", f"{shared_folder(spark)}/{s}", buckets=8).hint("merge") for s, t in (("stored", h), ("fresh", renamed)))
+    return tuple(sinks.write_bucketed(t, f"results_{s}_{name}", f"{shared_folder(spark)}/{s}", buckets=buckets).hint("merge") for s, t in (("stored", h), ("fresh", renamed)))
 
 
 @query(H + """, w AS (SELECT DISTINCT date_trunc('month', EventDate) AS m FROM h), n AS (SELECT m, row_number() OVER (ORDER BY m) AS i FROM w),

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of a bucket, on average, where the number of buckets is made to fit.
+BUCKET_ROWS = 400_000
+
 
 def write_csv(rows: DataFrame, path: str, *, one_file: bool = False) -> None:
     """CSV with a header and plain line ends. `one_file` is for small tables."""
@@ -40,6 +43,12 @@ def write_by_event(rows: DataFrame, path: str) -> None:
     write_by(rows, path, "EventID")
 
 
+def buckets_of(rows: DataFrame, least: int = 8) -> int:
+    """Buckets for a table whose rows are cheap to count (such as files): at least `least`, and so many that one holds
+    BUCKET_ROWS rows on average, so that a task of a join has no more to sort however large the table is."""
+    return max(least, -(-rows.count() // BUCKET_ROWS))
+
+
 def write_bucketed(rows: DataFrame, table: str, path: str, key: str = "EventID", buckets: int = 64) -> DataFrame:
     """A table of the catalogue, bucketed and sorted by a key: tables with as many buckets join on it without a shuffle.
 

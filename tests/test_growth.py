@@ -119,3 +119,19 @@ def test_pilots_are_named_by_their_latest_row_without_a_sort_of_the_history(spar
     keyed = plain.withColumns({"_key": F.col("LoginID"), "_row": F.col("row_id")})
     plan = P._first_decks(keyed)._jdf.queryExecution().sparkPlan().toString()
     assert "HashAggregate(keys=[_key" in plan.splitlines()[-3] + plan.splitlines()[-2] + plan.splitlines()[-4]
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    from ladderworks.plans import file_queries as Q
+    from ladderworks.sources import sinks
+
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 10)
+    rows = [(str(9 + e % 5), e, f"P{e}", str(e)) for e in range(150)]
+    plain = spark.createDataFrame(rows, "EventID string, Place int, Pilot string, LoginID string")
+    monkeypatch.setattr(Q, "history", lambda spark, sf_dir: plain)
+    stored, fresh = Q._bucketed(spark, "")
+    assert sinks.buckets_of(plain.limit(3)) == sinks.buckets_of(plain.limit(0)) == 8
+    joined = Q.L.name_drift(stored, fresh)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SelectedBucketsCount: 15 out of 15") == 2 and "Exchange" not in plan
+    assert {(r.EventID, r.Place, r.NewPilot) for r in joined.collect()} == {(e, p, f"{n} jr") for e, p, n, _ in rows if int(e) % 9 == 0}
