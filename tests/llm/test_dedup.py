@@ -296,6 +296,31 @@ def test_rounds_change_no_component(spark, monkeypatch, rounds):
     assert sum(got[k] == want[k] for k in want) >= 0.95 * len(want)
 
 
+@pytest.mark.parametrize("few", [0, 1024])
+def test_no_pair_of_lines_is_compared_twice(spark, monkeypatch, few):
+    """Neither in the steps that follow each other nor, by several rare hashes that they share, in the last one."""
+    monkeypatch.setattr(line_dedup, "FEW", few)
+    rng = random.Random(8)
+    base = [rng.choice(["river", "stone", "cloud", "paper", "light", "metal", "glass", "north"]) for _ in range(16)]
+    texts = [" ".join(w if rng.random() > 0.1 else rng.choice(base) + str(rng.randint(0, 9)) for w in base) for _ in range(60)]
+    compared, many = [], []
+    similar, many_pairs = line_dedup.similar, line_dedup.many_pairs
+
+    def seen(step, into):
+        def run(*given):
+            out = step(*given)
+            into.extend((r.a, r.b) for r in (given[0] if step is similar else out).collect())
+            return out
+
+        return run
+
+    monkeypatch.setattr(line_dedup, "similar", seen(similar, compared))
+    monkeypatch.setattr(line_dedup, "many_pairs", seen(many_pairs, many))
+    assert line_dedup.fuzzy_lines(documents(spark, list(enumerate(texts)))).count() == len(set(texts))
+    assert len(compared) > 50 and len(compared) == len(set(compared))
+    assert bool(many) == (few == 0) and len(many) == len(set(many))
+
+
 def test_shingles_are_exact(spark):
     rows = spark.createDataFrame([("abcdefghij",), ("é" * 9,), ("ab",)], "t string")
     n = [r.n for r in rows.select(F.size(F.array_distinct(line_dedup.shingles(F.col("t")))).alias("n")).collect()]
