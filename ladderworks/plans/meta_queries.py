@@ -281,11 +281,10 @@ def j12_f26_nearest_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j12_labels_at_the_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as bags of words, labelled by the sources of those that are as good as equal. Only rare words meet."""
     docs = read(spark, sf_dir, "documents")
-    decks = _bag(docs.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "deck_id"), "deck_id")  # the queries of the search
-    rest = docs.where("doc_id % 20 <> 0").withColumnRenamed("doc_id", "lib_id")
-    library = _bag(rest, "lib_id").join(rest.select("lib_id", F.col("source").alias("label")), "lib_id")
-    places = decks.select("deck_id").distinct().withColumn("Place", (F.floor(F.col("deck_id") / 20) % 4 + 1).cast("int"))
-    return N.classified_at(N.labels_at(decks, library), places)
+    decks = N.packed_texts(docs.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "deck_id"), "deck_id")  # the queries of the search
+    library = N.packed_texts(docs.where("doc_id % 20 <> 0").withColumnsRenamed({"doc_id": "lib_id", "source": "label"}), "lib_id", "label")
+    found = N.labels_at(decks, library)
+    return N.classified_at(found, found.select("deck_id", (F.floor(F.col("deck_id") / 20) % 4 + 1).cast("int").alias("Place")))
 
 
 @query("""WITH d AS (SELECT doc_id AS deck_id, w AS item, count(*) AS qty FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY ALL),

@@ -135,3 +135,63 @@ def test_buckets_grow_with_the_rows(spark, monkeypatch):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SelectedBucketsCount: 15 out of 15") == 2 and "Exchange" not in plan
     assert {(r.EventID, r.Place, r.NewPilot) for r in joined.collect()} == {(e, p, f"{n} jr") for e, p, n, _ in rows if int(e) % 9 == 0}
+
+
+def _search(rng, n):
+    """Texts of which some are edits of others; every twentieth id is a query of the search."""
+    pool = [f"w{i}" for i in range(300)]
+    base = [rng.choices(pool, k=30) for _ in range(n // 2 - 1)]
+    return [(i, "  ".join(base[i % len(base)][: 30 - i % 3]), f"s{i % 4}") for i in range(n)]
+
+
+def test_labels_at_the_bound_read_their_texts_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    texts = [*_search(random.Random(7), 120), (120, None, "s1"), (121, " ", "s2")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    monkeypatch.setattr(meta_queries, "read", lambda spark, sf_dir, name: docs.mapInArrow(counted, docs.schema))
+    got = {r.deck_id: (r.nearest, r.second, r.nearest_sim) for r in meta_queries.j12_labels_at_the_bound(spark, "").collect()}
+    assert seen.value <= 2 * len(texts)  # the queries and the library
+    assert set(got) == {0, 20, 40, 60, 80, 100} and sum(v[0] is not None and v[1] is not None for v in got.values()) > 2
+
+
+def test_one_rare_word_makes_no_candidate(spark):
+    """Bags that share their rarest word only can't be alike at the bound, and aren't compared."""
+    rows = [(i, w, 1) for i in range(40) for w in ["rare", *(f"u{i}-{k}" for k in range(12)), *(f"c{k}" for k in range(20))]] + [(90, w, 1) for w in ["rare", *(f"u0-{k}" for k in range(12)), *(f"c{k}" for k in range(20))]]
+    each = spark.createDataFrame(rows, "id long, item string, qty long")
+    own, keys = N.bags(each.where("id = 90"), "id")
+    theirs, names = N.bags(each.where("id BETWEEN 1 AND 40"), "id")
+    assert N.candidate_pairs(own, theirs, 0.9).count() == 0
+    theirs, names = N.bags(each.where("id < 40"), "id")
+    assert N.candidate_pairs(own, theirs, 0.9).join(names.withColumnRenamed("bag", "other"), "other").select("id").collect() == [(0,)]
+    assert [r.sim for r in N.similar_pairs(own, theirs, 0.9).collect()] == [1.0]
+
+
+def test_a_search_multiplies_neither_side(spark, monkeypatch):
+    """Blocks of decks go to the library's tasks; no bag is written or shuffled for each block, whatever their number."""
+    texts = N.packed_texts(spark.createDataFrame([(i, t) for i, t, _ in _search(random.Random(8), 60)], "id long, text string"), "id")
+    own, _ = N.bags(texts.where("id % 3 = 0"), "id")
+    theirs, _ = N.bags(texts.where("id % 3 <> 0"), "id")
+    whole = sorted(N._nearest_sharing(own, theirs).join(own.select("bag"), "bag").select("bag", "sim").collect())
+    written = []
+    monkeypatch.setattr(N, "BLOCK", 4)
+    monkeypatch.setattr(N, "cut", lambda rows, cut=N.cut: written.append(rows) or cut(rows))
+    found = N._nearest_sharing(own, theirs)
+    assert len(written) == 5 and all("Exchange" not in w._jdf.queryExecution().sparkPlan().toString() and w.columns == ["bag", "other", "sim"] for w in written)
+    best = lambda rows: {b: max(s for c, s in rows if bytes(c) == b) for b in {bytes(c) for c, _ in rows}}
+    assert best(found.select("bag", "sim").collect()) == best(whole)
+
+
+def test_words_of_texts_are_counted_in_place(spark, monkeypatch):
+    monkeypatch.setattr(N, "TEXTS", 2)
+    docs = spark.createDataFrame([(1, "b A  b"), (2, "é z"), (3, ""), (4, None), (5, " "), (6, "q Q\tq"), (7, "b")], "id long, text string")
+    rows = N.packed_texts(docs.repartition(1), "id")
+    assert {(r.id, *zip(r["keys"], r.quantities)) for r in rows.collect()} == {(1, ("a", 1), ("b", 2)), (2, ("z", 1), ("é", 1)), (6, ("q", 1), ("q\tq", 1)), (7, ("b", 1))}
+    plain = rows.selectExpr("id", "inline(arrays_zip(keys, quantities)) AS (item, qty)")
+    assert {(r.id, bytes(r.bag), r.n) for r in N.packed(plain, "id").collect()} == {(r.id, bytes(r.bag), r.n) for r in N.packed(rows, "id").collect()}
+    assert rows.limit(0).count() == N.packed_texts(docs.limit(0), "id").count() == 0
