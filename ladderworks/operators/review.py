@@ -53,16 +53,16 @@ def _archetype_of(labels: DataFrame, rules: DataFrame, mappings: DataFrame) -> D
 def rescan(history: DataFrame, cards: DataFrame, rules: DataFrame, mappings: DataFrame, *, rounds: int | None = 1, least: float = N.OTHERS) -> tuple[DataFrame, DataFrame, int]:
     """Another classification of all entries that wait for review: the history, what still waits with its reason, and the rounds.
 
-    `history` has row_id, Place, Deck, Archetype; `cards` has row_id, item, qty for the entries whose decks are known. Every
-    labelled entry with a deck is in the library. An entry gets the label of its two nearest if these agree and are near
+    `history` has row_id, Place, Deck, Archetype; `cards` has row_id, item, qty for the entries whose decks are known, or one row for each
+    as `similarity.packed` takes them. Every labelled entry with a deck is in the library. An entry gets the label of its two nearest if these agree and are near
     enough for its place, and the archetype of that label. With `rounds` None newly labelled entries join the library of the
     next round until nothing changes. From the second round on, only those entries are looked at again that the new ones are
     near to, or that have a near neighbour already: nothing else can have changed.
     """
-    decks = cards.select("row_id", "item", "qty")
+    decks = cut(N.packed(cards, "row_id"))
     state = cut(history.select("row_id", "Place", F.col("Deck").alias("label")))
-    open_ = cut(state.where(F.col("label") == SENTINEL).join(decks.select("row_id").distinct(), "row_id", "left_semi").select("row_id", "Place"))
-    library = cut(decks.join(state.where(F.col("label") != SENTINEL).select("row_id", "label"), "row_id").withColumnRenamed("row_id", "lib_id"))
+    open_ = cut(state.where(F.col("label") == SENTINEL).join(decks.select("row_id"), "row_id", "left_semi").select("row_id", "Place"))
+    labelled = cut(state.where(F.col("label") != SENTINEL).select("row_id", "label"))
     waiting, new, done = None, None, 0
     while rounds is None or done < rounds:
         done += 1
@@ -73,6 +73,7 @@ def rescan(history: DataFrame, cards: DataFrame, rules: DataFrame, mappings: Dat
             near = keys.join(N.similar_pairs(own, fresh, least).select("bag").distinct(), "bag", "left_semi").select(F.col("deck_id").alias("row_id"))
             look = cut(open_.join(near.unionByName(waiting.where("nearest IS NOT NULL").select("row_id")).distinct(), "row_id", "left_semi"))
         asked = decks.join(look.select("row_id"), "row_id", "left_semi").withColumnRenamed("row_id", "deck_id")
+        library = decks.join(labelled, "row_id").withColumnRenamed("row_id", "lib_id")
         found = N.classified_at(N.labels_at(asked, library, least), look.withColumnRenamed("row_id", "deck_id"))
         found = cut(found.withColumnRenamed("deck_id", "row_id"))
         before, new = waiting, found.where("reason IS NULL").select("row_id", "label")
@@ -82,7 +83,7 @@ def rescan(history: DataFrame, cards: DataFrame, rules: DataFrame, mappings: Dat
             break
         open_ = cut(open_.join(new, "row_id", "left_anti"))
         state = cut(state.join(new.withColumnRenamed("label", "_new"), "row_id", "left").withColumn("label", F.coalesce("_new", "label")).drop("_new"))
-        library = library.unionByName(cut(decks.join(new, "row_id").withColumnRenamed("row_id", "lib_id").select(library.columns)))
+        labelled = cut(labelled.unionByName(new))
     told = state.join(history.where(F.col("Deck") == SENTINEL).select("row_id"), "row_id", "left_semi").where(F.col("label") != SENTINEL).select("row_id", "label")
     told = _archetype_of(told, rules, mappings).withColumnRenamed("Archetype", "_archetype")
     rows = history.join(told, "row_id", "left").withColumns({"Deck": F.coalesce("label", "Deck"), "Archetype": F.coalesce("_archetype", "Archetype")}).select(*history.columns)
