@@ -67,3 +67,42 @@ def test_matches_need_no_cards(spark):
     finally:
         standins.read = own
     assert "main_deck" not in str(docs.schema) and docs.first().event.event_id == "1"
+
+
+def test_cards_of_rosters_are_read_once(spark):
+    """Rosters with their cards as by joining the two, from one parse and without an exchange."""
+    card = lambda name, qty=None: {"card_attributes": {"card_name": name}} | ({"qty": qty} if qty else {})
+    deck = [card("Bolt", "3"), card(" BOLT "), card("Island", "9"), card(" "), card("Opt", "4"), card("bolt", "2")]
+    body = {"event_id": "7", "final_rank": [{"loginid": "a", "rank": "2"}, {"loginid": "a", "rank": "1"}], "decklists": [{"loginid": "a", "player": "Ann", "main_deck": deck}, {"loginid": "b", "player": "Bob", "main_deck": [card("Opt", "1")]}, {"loginid": "c", "player": "Cy", "main_deck": [card("Forest", "60")]}, {"loginid": "d", "player": "Di"}]}
+    pages = spark.createDataFrame([("<script>window.MTGO.decklists.data = " + json.dumps(body) + ";",)], "html string").repartition(2)
+    found = events.roster_cards(events.embedded_events(pages, layout=events.ROSTERS))
+    assert {tuple(r) for r in found.collect()} == {("7", "a", "Ann", 1, "bolt", 6), ("7", "a", "Ann", 1, "opt", 4), ("7", "b", "Bob", None, "opt", 1)}
+    assert _plan(found).count("from_json") == 1 and "Join" not in _plan(found) and "Aggregate" not in _plan(found)
+    rosters = events.rosters(events.embedded_events(pages))
+    sums = events.cards(rosters).collect()
+    assert {(r.deck_id, r["item"], r.qty) for r in sums} == {(f"{r.EventID}:{r.LoginID}", r["item"], r.qty) for r in found.collect()}
+
+
+def test_rosters_of_documents_are_parsed_once(spark, monkeypatch):
+    from ladderworks.plans import state_queries
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    plain = spark.createDataFrame([(str(e), p, f"n {p}", f"P{e + p}") for e in (1, 2) for p in range(1, 4)], "EventID string, Place int, RawDeck string, Pilot string")
+    monkeypatch.setattr(state_queries, "history", lambda spark, sf_dir: plain.mapInArrow(counted, plain.schema))
+    got = {tuple(r) for r in state_queries.s15_j25_rosters(spark, "").select("EventID", "LoginID", "Pilot", "Place", "item", "qty").collect()}
+    assert seen.value == 6 and got == {(str(e), f"L{p}", f"P{e + p}", p, f"n {p}", p + 2) for e in (1, 2) for p in range(1, 4)}
+
+
+def test_embedded_document_ends_at_its_first_end(spark):
+    mark = "window.MTGO.decklists.data"
+    pages = [f'x {mark} = {{"event_id": "1"}};\n var y = {{}};', f'{mark}={{"event_id": "a}}b;\n}}"}} ;}}', f'{mark} ={{}};{{}};', f'{mark} = {{"event_id": "2"', f'{mark} = {{"event_id": "{"z" * 300_000}}}"}};', "none"]
+    rows = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    lazy = F.regexp_extract("html", r"(?s)window\.MTGO\.decklists\.data\s*=\s*(\{.*?\});", 1)
+    got = rows.select("i", F.regexp_extract("html", events.EMBEDDED, 1).alias("x"), lazy.alias("y")).collect()
+    assert all(r.x == r.y for r in got) and [bool(r.x) for r in sorted(got)] == [True, False, True, False, True, False]
